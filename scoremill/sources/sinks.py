@@ -14,7 +14,9 @@ def write_csv(df: DataFrame, path: str, first: str | None = None, single_file: b
         df = df.select(first, *[c for c in df.columns if c != first])
     if single_file:
         df = df.coalesce(1)
-    df.write.mode("overwrite").option("header", True).csv(path)
+    (df.write.mode("overwrite")
+     .options(header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+     .csv(path))
 
 
 def write_json(record: DataFrame, path: str) -> None:
