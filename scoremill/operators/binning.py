@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from scoremill.functions.expressions import as_number, interval_value
 from scoremill.operators.quantiles import exact_quantiles
 
-SKETCH_ERROR = 0.02   # relative standard deviation of the distinct-count sketch
-SKETCH_MARGIN = 0.3   # estimates this far from a limit decide alone: 15 deviations
+SKETCH_ERROR = 0.05   # relative standard deviation of the distinct-count sketch
+SKETCH_MARGIN = 0.5   # estimates this far from a limit decide alone: 10 deviations
 
 
 @dataclass(frozen=True)
@@ -32,26 +32,39 @@ class Bins:
         return list(zip(edges[:-1], edges[1:]))
 
 
-def few_distinct(df: DataFrame, limits: Mapping[str, int]) -> dict[str, bool]:
+@dataclass(frozen=True)
+class Sketch:
+    """Row count and estimated distinct counts of a frame's columns."""
+
+    rows: int
+    distinct: Mapping[str, int]
+
+    def surely_over(self, name: str, limit: int) -> bool:
+        return self.distinct[name] > limit * (1 + SKETCH_MARGIN) + 3
+
+    def surely_within(self, name: str, limit: int) -> bool:
+        return self.distinct[name] < limit * (1 - SKETCH_MARGIN) - 3
+
+
+def sketch_columns(df: DataFrame, names: Sequence[str]) -> Sketch:
+    """One scan with a bounded buffer per column."""
+    row = df.agg(F.count(F.lit(1)).alias("n"), *[
+        F.approx_count_distinct(c, SKETCH_ERROR).alias(f"d{i}") for i, c in enumerate(names)]).first()
+    return Sketch(row["n"], {c: row[f"d{i}"] for i, c in enumerate(names)})
+
+
+def few_distinct(df: DataFrame, limits: Mapping[str, int], sketch: Sketch | None = None) -> dict[str, bool]:
     """Whether each column has at most its limit of distinct non-null values.
 
-    A bounded sketch settles the clear cases in one scan; only columns estimated near the limit
-    are counted exactly, and those hold few distinct values by construction.
+    The sketch settles the clear cases; only columns estimated near the limit are counted
+    exactly, and those hold few distinct values by construction.
     """
     if not limits:
         return {}
-    names = list(limits)
-    row = df.agg(*[F.approx_count_distinct(c, SKETCH_ERROR).alias(f"d{i}")
-                   for i, c in enumerate(names)]).first()
-    verdict, unclear = {}, []
-    for i, c in enumerate(names):
-        estimate, limit = row[f"d{i}"], limits[c]
-        if estimate > limit * (1 + SKETCH_MARGIN) + 3:
-            verdict[c] = False
-        elif estimate < limit * (1 - SKETCH_MARGIN) - 3:
-            verdict[c] = True
-        else:
-            unclear.append(c)
+    sketch = sketch or sketch_columns(df, list(limits))
+    verdict = {c: False for c, limit in limits.items() if sketch.surely_over(c, limit)}
+    verdict.update({c: True for c, limit in limits.items() if sketch.surely_within(c, limit)})
+    unclear = [c for c in limits if c not in verdict]
     if unclear:
         exact = df.agg(*[F.count_distinct(c).alias(f"d{i}") for i, c in enumerate(unclear)]).first()
         verdict.update({c: exact[f"d{i}"] <= limits[c] for i, c in enumerate(unclear)})
@@ -86,10 +99,14 @@ def edges_table(df: DataFrame, names: Sequence[str], **options) -> DataFrame:
 
 
 def fit_bins(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], max_bins: int = 10,
-             max_categories: int = 100, method: str = "quantile", **options) -> list[Bins]:
-    """Decide the bins of every feature; categories over the limit are left out."""
+             max_categories: int = 100, method: str = "quantile", sketch: Sketch | None = None,
+             **options) -> list[Bins]:
+    """Decide the bins of every feature; categories over the limit are left out.
+
+    ``sketch`` may stem from the same frame before its missing values were filled.
+    """
     limits = {**{c: max_bins for c in numeric}, **{c: max_categories for c in categorical}}
-    few = few_distinct(df, limits)
+    few = few_distinct(df, limits, sketch)
     spread = [c for c in numeric if not few[c]]
     edges = quantile_edges(df, spread, max_bins, method, **options) if spread else {}
     bins = [Bins(c, "value") if few[c] else Bins(c, "interval", tuple(edges[c][1:-1])) for c in numeric]

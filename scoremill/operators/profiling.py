@@ -193,6 +193,18 @@ def high_correlation_pairs(matrix: DataFrame, columns: Sequence[str], limit: flo
     return matrix.where((order[F.col("var1")] < order[F.col("var2")]) & (F.abs("corr") > limit))
 
 
+def histogram_bin(x, low: float, high: float, bins: int):
+    """0-based equal-width bin; an edge value belongs to the bin above, the maximum to the last.
+
+    The quotient may round across an edge, so it is checked against the edges themselves.
+    """
+    width = (high - low) / bins
+    guess = F.least(F.floor((x - low) / (high - low) * bins), F.lit(bins - 1)).cast("long")
+    return (F.when(x < F.lit(low) + guess * F.lit(width), guess - 1)
+            .when((x >= F.lit(low) + (guess + 1) * F.lit(width)) & (guess < bins - 1), guess + 1)
+            .otherwise(guess))
+
+
 def class_histograms(df: DataFrame, target: str, variables: Sequence[str] = PROFILED_NUMBERS,
                      bins: int = 50) -> DataFrame:
     """Density histograms of goods and bads, each over its own range.
@@ -218,8 +230,7 @@ def class_histograms(df: DataFrame, target: str, variables: Sequence[str] = PROF
             for k in (0, 1):
                 if (c, k) in ranges:
                     low, high, _ = ranges[c, k]
-                    at = F.width_bucket(value[c, k], F.lit(low), F.lit(high), F.lit(bins)) - 1
-                    place = F.when(y == k, F.least(at, F.lit(bins - 1))).otherwise(place)
+                    place = F.when(y == k, histogram_bin(value[c, k], low, high, bins)).otherwise(place)
             return place.alias(c)
         long = (df.select(y.alias("class"), *[slot(c) for c in group])
                 .unpivot(["class"], group, "variable", "bin").where(F.col("bin").isNotNull()))

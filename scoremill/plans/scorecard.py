@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from scoremill.functions.columns import numeric_columns, present, string_columns
 from scoremill.functions.expressions import parse_number
 from scoremill.operators import woe as weight
-from scoremill.operators.binning import Bins, fit_bins
+from scoremill.operators.binning import Bins, fit_bins, sketch_columns
 from scoremill.operators.cleaning import apply_fills, fills_from_table, fills_table, fit_fills
 from scoremill.operators.evaluation import score_metrics
 from scoremill.operators.models import LinearModel, fit_logistic, naive_model
@@ -150,21 +150,29 @@ def candidate_features(df: DataFrame, spec: ScorecardSpec) -> tuple[list[str], l
 
 
 def with_target_and_split(df: DataFrame, spec: ScorecardSpec) -> DataFrame:
-    """Target by policy, then the exact stratified test flag."""
+    """Target by policy, then the exact stratified test flag; kept where already present."""
+    if "is_test" in df.columns:
+        return df
     labelled = df if spec.target in df.columns else add_target(
         df, spec.policy, spec.status_column, spec.target)
     return add_split(labelled, spec.key, spec.target, spec.test_share, spec.seed)
 
 
-def fit_weights(df: DataFrame, spec: ScorecardSpec, rows: int | None = None):
-    """Fills, bins and the WoE rows of a labelled frame."""
+def fit_weights(df: DataFrame, spec: ScorecardSpec):
+    """Fills, bins and the WoE rows of a labelled frame.
+
+    Scans: a sketch of all columns, medians, modes, deciles of the filled columns, bin counts;
+    and an exact distinct count if some column is near its limit. Text columns that are surely
+    over the category limit drop out before the modes are counted.
+    """
     numbers, texts = candidate_features(df, spec)
-    rows = df.count() if rows is None else rows
+    sketch = sketch_columns(df, numbers + texts)
+    texts = [c for c in texts if not sketch.surely_over(c, spec.max_categories)]
     narrow = df.select(spec.target, *numbers, *texts)
-    fills = fit_fills(narrow, spec.fills, skip=[spec.target], only_missing=False, rows=rows)
+    fills = fit_fills(narrow, spec.fills, skip=[spec.target], only_missing=False, rows=sketch.rows)
     filled = apply_fills(narrow, fills)
     bins = fit_bins(filled, numbers, texts, spec.max_bins, spec.max_categories,
-                    spec.edge_method, rows=rows)
+                    spec.edge_method, sketch, rows=sketch.rows)
     return fills, bins, weight.collected(weight.woe_table(filled, bins, spec.target))
 
 

@@ -220,8 +220,10 @@ def histograms() -> str:
     return ("long AS (" + " UNION ALL ".join(parts) + """),
 ends AS (SELECT variable, class, CASE WHEN min(x) = max(x) THEN min(x) - 0.5e0 ELSE min(x) END AS a,
   CASE WHEN min(x) = max(x) THEN max(x) + 0.5e0 ELSE max(x) END AS z, count(*) AS total FROM long GROUP BY ALL),
-tallied AS (SELECT variable, class, least(CAST(floor((x - a) / (z - a) * 50) AS BIGINT), 49) AS bin, count(*) AS n
-  FROM long JOIN ends USING (variable, class) GROUP BY ALL)
+slots AS (SELECT variable, class, b AS bin, a + b * ((z - a) / 50) AS bin_lo,
+  CASE WHEN b = 49 THEN 'infinity'::DOUBLE ELSE a + (b + 1) * ((z - a) / 50) END AS bin_hi FROM ends, range(0, 50) AS r(b)),
+tallied AS (SELECT l.variable, l.class, s.bin, count(*) AS n FROM long l JOIN slots s
+  ON l.variable = s.variable AND l.class = s.class AND l.x >= s.bin_lo AND l.x < s.bin_hi GROUP BY ALL)
 """)
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -242,15 +243,16 @@ def standardize(spark, sf):
     return tidy(models.standardise(matrix, scales), 5)
 
 
-def closed_form(spark, sf, spec=SPEC) -> ScorecardModel:
-    return fit_scorecard(loans(spark, sf), spec, closed_form=True)
+def fitted(spark, sf) -> tuple[ScorecardModel, DataFrame]:
+    """A scorecard fitted on the training rows, and the split rows."""
+    split = with_target_and_split(loans(spark, sf), SPEC)
+    return fit_scorecard(split, SPEC, closed_form=True), split
 
 
 def scored_test(spark, sf) -> DataFrame:
     """Held-out rows with the score of a scorecard fitted on the others."""
-    card = closed_form(spark, sf)
-    test = with_target_and_split(loans(spark, sf), SPEC).where("is_test")
-    return card.transform(test, "score")
+    card, split = fitted(spark, sf)
+    return card.transform(split.where("is_test"), "score")
 
 
 def metrics(spark, sf):
@@ -278,33 +280,31 @@ def roc_curve_plotted(spark, sf):
     return tidy(curve.drop("threshold"))
 
 
-def rule_scored(spark, sf) -> DataFrame:
-    test = with_target_and_split(loans(spark, sf), SPEC).where("is_test")
-    return test.select(TARGET, evaluation.rule_score().alias("score"))
+def rule_scored(split: DataFrame) -> DataFrame:
+    return split.where("is_test").select(TARGET, evaluation.rule_score().alias("score"))
 
 
-def majority_scored(spark, sf) -> DataFrame:
-    split = with_target_and_split(loans(spark, sf), SPEC)
+def majority_scored(split: DataFrame) -> DataFrame:
     score = evaluation.majority_score(split.where(~F.col("is_test")), TARGET)
     return split.where("is_test").select(TARGET, F.lit(score).alias("score"))
 
 
 def rules_baseline(spark, sf):
-    return tidy(evaluation.score_metrics(rule_scored(spark, sf)))
+    return tidy(evaluation.score_metrics(rule_scored(with_target_and_split(loans(spark, sf), SPEC))))
 
 
 def majority_baseline(spark, sf):
-    return tidy(evaluation.score_metrics(majority_scored(spark, sf)))
+    return tidy(evaluation.score_metrics(majority_scored(with_target_and_split(loans(spark, sf), SPEC))))
 
 
 def gated(spark, sf) -> DataFrame:
-    pair = evaluation.score_metrics(rule_scored(spark, sf)).select(
-        F.lit("baseline_auc").alias("name"), "auc", "n").unionByName(
-        metrics(spark, sf).select(F.lit("primary_auc").alias("name"), "auc", "n"))
-    both = pair.agg(F.max(F.when(F.col("name") == "baseline_auc", F.col("auc"))).alias("baseline_auc"),
-                    F.max(F.when(F.col("name") == "primary_auc", F.col("auc"))).alias("primary_auc"),
-                    F.max("n").alias("test_set_size"))
-    return both
+    """``baseline_auc, primary_auc, test_set_size`` of the policy rule and the scorecard."""
+    card, split = fitted(spark, sf)
+    rule = evaluation.score_metrics(rule_scored(split)).first()
+    scored = card.transform(split.where("is_test"), "score").select("score", TARGET)
+    return evaluation.score_metrics(scored).select(
+        F.lit(rule["auc"]).alias("baseline_auc"), F.col("auc").alias("primary_auc"),
+        F.col("n").alias("test_set_size"))
 
 
 def pass_gate(spark, sf):
@@ -312,35 +312,32 @@ def pass_gate(spark, sf):
 
 
 def metrics_report(spark, sf):
-    records = [("Policy rule", evaluation.score_metrics(rule_scored(spark, sf))),
-               ("Majority class", evaluation.score_metrics(majority_scored(spark, sf))),
-               ("WoE scorecard", metrics(spark, sf))]
-    first, *others = [evaluation.metric_record(m, name) for name, m in records]
-    for record in others:
-        first = first.unionByName(record)
-    return tidy(first)
+    card, split = fitted(spark, sf)
+    scored = card.transform(split.where("is_test"), "score").select("score", TARGET)
+    records = [evaluation.metric_record(evaluation.score_metrics(df), name) for name, df in (
+        ("Policy rule", rule_scored(split)), ("Majority class", majority_scored(split)),
+        ("WoE scorecard", scored))]
+    return tidy(reduce(DataFrame.unionByName, records))
 
 
 # --- points, scoring -----------------------------------------------------------------------
 
 def scorecard_points(spark, sf):
-    return longs(closed_form(spark, sf).points().drop("category"))
+    return longs(fitted(spark, sf)[0].points().drop("category"))
 
 
 def scorecard_points_additive(spark, sf):
-    return longs(closed_form(spark, sf).points("additive").drop("category"))
+    return longs(fitted(spark, sf)[0].points("additive").drop("category"))
 
 
 def score_points(spark, sf):
     """Total points per held-out row."""
-    card = closed_form(spark, sf)
-    test = with_target_and_split(loans(spark, sf), SPEC).where("is_test")
-    return card.total_points(test).select(KEY, "score")
+    card, split = fitted(spark, sf)
+    return card.total_points(split.where("is_test")).select(KEY, "score")
 
 
 def scorecard_comparison(spark, sf):
-    card = closed_form(spark, sf)
-    split = with_target_and_split(loans(spark, sf), SPEC)
+    card, split = fitted(spark, sf)
     weighted = weight.add_weights(card.prepare(split), card.used_bins(), card.weights)
     columns = card.model.features
     mean = weighted.where(~F.col("is_test")).agg(*[F.avg(c).alias(c) for c in columns]).first()
@@ -376,10 +373,9 @@ def score_new_metrics(spark, sf):
 def artifacts(spark, sf):
     """Save the scorecard, load it and score with the loaded one."""
     path = new_path(spark, "scorecard")
-    closed_form(spark, sf).save(path)
-    card = ScorecardModel.load(spark, path)
-    test = with_target_and_split(loans(spark, sf), SPEC).where("is_test")
-    return tidy(card.transform(test).select(KEY, PROBABILITY))
+    card, split = fitted(spark, sf)
+    card.save(path)
+    return tidy(ScorecardModel.load(spark, path).transform(split.where("is_test")).select(KEY, PROBABILITY))
 
 
 def run_manifest(spark, sf):
