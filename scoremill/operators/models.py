@@ -83,7 +83,7 @@ def _vectors(df: DataFrame, features: Sequence[str], *keep: str) -> DataFrame:
 
 
 def fit_logistic(train: DataFrame, features: Sequence[str], target: str, inverse_penalty: float = 1.0,
-                 max_iter: int = 500, tolerance: float = 1e-9) -> LinearModel:
+                 max_iter: int = 500, tolerance: float = 1e-12) -> LinearModel:
     """L2 logistic regression with penalty 1 / (C · rows), intercept unpenalised (M3, M4)."""
     if not features:
         raise ValueError("no features to fit")

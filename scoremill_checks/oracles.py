@@ -127,9 +127,12 @@ SCORE_CTES = [
 
 
 def scorecard_test() -> list[str]:
+    return [*scorecard_rows(), *weights("train_rows", "test_rows"), *SCORE_CTES]
+
+
+def scorecard_rows() -> list[str]:
     return [labelled(), *split(), "train_rows AS (SELECT * FROM flagged WHERE NOT is_test)",
-            "test_rows AS (SELECT * FROM flagged WHERE is_test)",
-            *weights("train_rows", "test_rows"), *SCORE_CTES]
+            "test_rows AS (SELECT * FROM flagged WHERE is_test)"]
 
 
 def metric_ctes(scores: str, prefix: str = "") -> list[str]:
@@ -183,6 +186,89 @@ def correlations(names: Sequence[str]) -> str:
     return f"wide AS (SELECT {pairs} FROM clean), corrs AS ({unions})"
 
 
+def logistic(matrix: str, features: Sequence[str], inverse_penalty: str, sweeps: int = 150) -> list[str]:
+    """L2 logistic regression of ``matrix`` by Newton steps on one coefficient at a time.
+
+    The objective is convex, so any descent ends at the same coefficients. The intercept is not
+    penalised. ``beta`` is the last step's row ``b0, b1, ...``.
+    """
+    size = len(features) + 1
+    x = ["1e0"] + [f"x{i}" for i in range(1, size)]
+    z = " + ".join(f"b{i} * {v}" for i, v in enumerate(x))
+    pick = "CASE step % " + str(size) + " " + " ".join(f"WHEN {i} THEN {v}" for i, v in enumerate(x)) + " END"
+    betas = ", ".join(f"b{i}" for i in range(size))
+    moved = ", ".join(
+        f"CASE WHEN step % {size} = {i} THEN b{i} - (g + {0 if i == 0 else f'b{i} / {inverse_penalty}'})"
+        f" / (h + {0 if i == 0 else f'1e0 / {inverse_penalty}'}) ELSE b{i} END" for i in range(size))
+    return [
+        "pts AS MATERIALIZED (SELECT " + ", ".join(f"{c} AS x{i}" for i, c in enumerate(features, 1))
+        + f", y, count(*) AS n FROM {matrix} GROUP BY ALL)",
+        f"""steps_taken AS (
+  SELECT 0 AS step, {", ".join(f"0e0 AS b{i}" for i in range(size))}
+  UNION ALL
+  SELECT step + 1, {moved} FROM (
+    SELECT step, {betas}, sum(n * (p - y) * x) AS g, sum(n * p * (1 - p) * x * x) AS h FROM (
+      SELECT step, {betas}, n, y, {pick} AS x, 1e0 / (1e0 + exp(-({z}))) AS p FROM steps_taken, pts
+      WHERE step < {sweeps * size}) GROUP BY step, {betas}))""",
+        f"beta AS (SELECT {betas} FROM steps_taken WHERE step = {sweeps * size})"]
+
+
+def recursive(sql: str) -> str:
+    return "WITH RECURSIVE" + sql.removeprefix("WITH")
+
+
+BASELINE_FILLED = [
+    "train_rows AS (SELECT * FROM flagged WHERE NOT is_test)", *fills(NUMBERS, "train_rows"),
+    f"filled AS (SELECT s.loan_id, s.y, is_test, {cols(NUMBERS, 'coalesce(CAST(s.{c} AS DOUBLE), med.{c}) AS {c}')} FROM flagged s, med)",
+    f"scale AS (SELECT {cols(NUMBERS, 'avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}')} FROM filled WHERE NOT is_test)",
+    f"scaled AS (SELECT loan_id, y, is_test, {cols(NUMBERS, '({c} - m_{c}) / s_{c} AS {c}')} FROM filled, scale)"]
+
+
+def baseline_regression() -> str:
+    z = " + ".join(["b0"] + [f"b{i} * {c}" for i, c in enumerate(NUMBERS, 1)])
+    ctes = with_loans(
+        labelled(), *split(), *BASELINE_FILLED, "fit_matrix AS (SELECT * FROM scaled WHERE NOT is_test)",
+        *logistic("fit_matrix", NUMBERS, "1e0"),
+        f"scores AS (SELECT y, 1e0 / (1e0 + exp(-({z}))) AS score FROM scaled, beta WHERE is_test)",
+        *metric_ctes("scores"))
+    return recursive(ctes) + f"""SELECT 'Logistic Regression' AS model, 'ROC-AUC' AS metric_name, {tidy('round_even(auc, 6)', 5)} AS value,
+  {tidy('round_even(ks, 6)', 5)} AS KS, {tidy('round_even(brier, 6)', 5)} AS Brier, {tidy('b0', 5)} AS intercept,
+  {", ".join(f"{tidy(f'b{i}', 5)} AS beta_{c}" for i, c in enumerate(NUMBERS, 1))} FROM m, beta"""
+
+
+def regression_ctes(rows: str) -> list[str]:
+    """Regression on the weights of ``cells``; ``rows`` selects the training keys.
+
+    Every feature takes part; one outside the selected range has its weight set to 0, which the
+    penalty turns into a coefficient of 0.
+    """
+    wide = ", ".join(
+        f"coalesce(max(CASE WHEN feature = '{c}' AND k IS NOT NULL THEN woe END), 0e0) AS {c}" for c in FEATURES)
+    return [SCORE_CTES[0],
+            f"wide_cells AS (SELECT loan_id, y, {wide} FROM cells LEFT JOIN chosen USING (feature) GROUP BY loan_id, y)",
+            f"fit_matrix AS (SELECT * FROM wide_cells WHERE loan_id IN ({rows}))",
+            *logistic("fit_matrix", FEATURES, "0.1e0"),
+            "named AS (" + " UNION ALL ".join(
+                f"SELECT '{c}' AS feature, b{i} AS coefficient FROM beta" for i, c in enumerate(FEATURES, 1)) + ")"]
+
+
+def woe_regression() -> str:
+    return recursive(with_loans(*scorecard_rows(), *weights("train_rows", "train_rows"),
+                                *regression_ctes("SELECT loan_id FROM train_rows")))
+
+
+def new_loan_scores() -> list[str]:
+    """Weights from all old loans, regression on their training part, scores of the new loans."""
+    columns = "loan_id, y, " + ", ".join(FEATURES)
+    z = " + ".join(["b0"] + [f"b{i} * {c}" for i, c in enumerate(FEATURES, 1)])
+    return [labelled("all_rows", "old_rows", f"(SELECT * FROM loans WHERE issue_d < TIMESTAMP '{NEW_LOANS_FROM}')"),
+            labelled("all_rows", "new_rows", f"(SELECT * FROM loans WHERE issue_d >= TIMESTAMP '{NEW_LOANS_FROM}')"),
+            *split(source="old_rows"), f"both_rows AS (SELECT {columns} FROM old_rows UNION ALL SELECT {columns} FROM new_rows)",
+            *weights("old_rows", "both_rows"), *regression_ctes("SELECT loan_id FROM flagged WHERE NOT is_test"),
+            f"""scores AS (SELECT loan_id, y, 1e0 / (1e0 + exp(-({z}))) AS score FROM wide_cells, beta
+  WHERE loan_id IN (SELECT loan_id FROM new_rows))"""]
+
+
 def documents_iv() -> str:
     ctes = ["docs AS (SELECT doc_id, lang, source, n_chars, quality AS y FROM documents JOIN labels USING (doc_id))",
             *weights("docs", "docs", ["n_chars"], ["lang", "source"], key="doc_id", fill=False)]
@@ -242,9 +328,6 @@ def oracle_sql() -> dict[str, str]:
     matrix_names = ("loan_amnt", "annual_inc", "n_items", "avg_disc", "sum_qty", "int_rate", "dti",
                     "mths_since_last_delinq", "revol_util", "funded_amnt", "installment")
     nullable = [c for c in LOAN_COLUMNS]
-    new_fit = [labelled("all_rows", "old_rows", f"(SELECT * FROM loans WHERE issue_d < TIMESTAMP '{NEW_LOANS_FROM}')"),
-               labelled("all_rows", "new_rows", f"(SELECT * FROM loans WHERE issue_d >= TIMESTAMP '{NEW_LOANS_FROM}')"),
-               *weights("old_rows", "new_rows"), *SCORE_CTES]
     record = ("SELECT '{name}' AS model, 'ROC-AUC' AS metric_name, round_even(auc, 6) AS value, "
               "round_even(ks, 6) AS KS, round_even(brier, 6) AS Brier FROM {p}m")
     wide_cells = ", ".join(f"max(CASE WHEN feature = '{c}' THEN woe END) AS {c}" for c in FEATURES)
@@ -343,11 +426,8 @@ JOIN (SELECT c.*, int_rate BETWEEN q[1] - 1.5e0 * (q[3] - q[1]) AND q[3] + 1.5e0
             + f" FROM (SELECT loan_id, y, {wide_cells} FROM cells GROUP BY loan_id, y)",
         "document_iv": documents_iv() + f"SELECT feature, round(iv, 6) AS iv, {POWER} FROM ivs",
         "stratified_split": flagged + "SELECT loan_id, CAST(y AS BIGINT) AS default_status, is_test FROM flagged",
-        "standardize": with_loans(lab, *split(), "train_rows AS (SELECT * FROM flagged WHERE NOT is_test)",
-                                  *fills(NUMBERS, "train_rows"),
-                                  f"filled AS (SELECT s.loan_id, is_test, {cols(NUMBERS, 'coalesce(CAST(s.{c} AS DOUBLE), med.{c}) AS {c}')} FROM flagged s, med)",
-                                  f"scale AS (SELECT {cols(NUMBERS, 'avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}')} FROM filled WHERE NOT is_test)")
-            + "SELECT loan_id, is_test, " + ", ".join(f"{tidy(f'({c} - m_{c}) / s_{c}', 5)} AS {c}" for c in NUMBERS) + " FROM filled, scale",
+        "standardize": with_loans(lab, *split(), *BASELINE_FILLED)
+            + f"SELECT loan_id, is_test, " + ", ".join(f"{tidy(c, 5)} AS {c}" for c in NUMBERS) + " FROM scaled",
         "metric_auc": tested + f"SELECT n, n_bad, {tidy('auc')} AS auc, {tidy('2 * auc - 1')} AS gini FROM m",
         "metric_ks": tested + f"SELECT n, n_bad, {tidy('ks')} AS ks FROM m",
         "metric_brier": tested + f"SELECT n, n_bad, {tidy('brier')} AS brier FROM m",
@@ -363,7 +443,6 @@ WHERE place = 1 OR next0 IS NULL OR next0 <> n0 OR next1 <> n1""",
             record.format(name=n, p=p) for n, p in (("Policy rule", "r"), ("Majority class", "j"), ("WoE scorecard", ""))),
         "rules_baseline": with_loans(lab, *split(), RULE_CTE, *metric_ctes("rule_scores")) + all_metrics(),
         "majority_baseline": with_loans(lab, *split(), MAJORITY_CTE, *metric_ctes("major_scores")) + all_metrics(),
-        "scorecard_points": test[:-1] + ",\n" + card() + "\nSELECT feature, bin_id, points FROM card",
         "scorecard_points_additive": test[:-1] + ",\n" + card("additive") + "\nSELECT feature, bin_id, points FROM card",
         "score_points": test[:-1] + ",\n" + card("additive") + """
 SELECT loan_id, any_value(base) * any_value(k) + sum(own) AS score
@@ -377,11 +456,11 @@ FROM cells JOIN card USING (feature, bin_id) GROUP BY loan_id""",
             + f"""SELECT feature, min(points) AS min_points, max(points) AS max_points, max(points) - min(points) AS points_range,
   round(any_value(importance), 6) AS importance, round(any_value(importance) / any_value(top) * 100, 6) AS importance_score
 FROM card JOIN pushes USING (feature), (SELECT max(importance) AS top FROM pushes) GROUP BY feature""",
-        "score_new": with_loans(*new_fit) + """SELECT id, member_id, round(loan_amnt, 6) AS loan_amnt, term, round(int_rate, 6) AS int_rate, grade,
-  home_ownership, round(annual_inc, 6) AS annual_inc, round(score, 6) AS predicted_default_probability
+        "score_new": recursive(with_loans(*new_loan_scores())) + """SELECT id, member_id, round(loan_amnt, 6) AS loan_amnt, term, round(int_rate, 6) AS int_rate, grade,
+  home_ownership, round(annual_inc, 6) AS annual_inc, round(score, 4) AS predicted_default_probability
 FROM loans JOIN scores USING (loan_id)""",
-        "score_new_metrics": with_loans(*new_fit, *metric_ctes("scores"))
-            + f"SELECT n, n_bad, {tidy('auc')} AS auc, {tidy('2 * auc - 1')} AS gini FROM m",
+        "score_new_metrics": recursive(with_loans(*new_loan_scores(), *metric_ctes("scores")))
+            + f"SELECT n, n_bad, {tidy('auc', 5)} AS auc, {tidy('2 * auc - 1', 5)} AS gini FROM m",
         "artifacts": test + "SELECT loan_id, round(score, 6) AS predicted_default_probability FROM scores",
         "run_manifest": both + f"""SELECT 'raw' AS data_mode_used, (SELECT count(*) FROM lab) AS data_rows_after_filter,
   CAST({len(FEATURES)} AS BIGINT) AS features_used, n AS test_set_size, round(round_even(baseline_auc, 6), 6) AS baseline_roc_auc,
@@ -392,4 +471,11 @@ FROM loans JOIN scores USING (loan_id)""",
     CASE WHEN primary_auc >= 0.72e0 THEN 'True' ELSE 'False' END,
     CASE WHEN primary_auc - baseline_auc >= 0.04e0 THEN 'True' ELSE 'False' END) AS hypothesis_result FROM {gate}""",
     }
+    sql["lr_baseline"] = baseline_regression()
+    sql["lr_woe"] = woe_regression() + f"""SELECT feature, {tidy('coefficient', 5)} AS coefficient, coefficient > 0 AS unexpected_sign
+FROM named JOIN chosen USING (feature)
+UNION ALL SELECT '(intercept)', {tidy('b0', 5)}, false FROM beta"""
+    sql["scorecard_points"] = woe_regression() + f"""SELECT feature, bin_id, round_even(-{FACTOR!r}e0 * woe * coefficient, 0)
+  + round_even({OFFSET!r}e0 - {FACTOR!r}e0 * (b0 / k), 0) AS points
+FROM w JOIN chosen USING (feature) JOIN named USING (feature), beta"""
     return sql

@@ -243,10 +243,10 @@ def standardize(spark, sf):
     return tidy(models.standardise(matrix, scales), 5)
 
 
-def fitted(spark, sf) -> tuple[ScorecardModel, DataFrame]:
+def fitted(spark, sf, closed_form: bool = True) -> tuple[ScorecardModel, DataFrame]:
     """A scorecard fitted on the training rows, and the split rows."""
     split = with_target_and_split(loans(spark, sf), SPEC)
-    return fit_scorecard(split, SPEC, closed_form=True), split
+    return fit_scorecard(split, SPEC, closed_form), split
 
 
 def scored_test(spark, sf) -> DataFrame:
@@ -323,7 +323,7 @@ def metrics_report(spark, sf):
 # --- points, scoring -----------------------------------------------------------------------
 
 def scorecard_points(spark, sf):
-    return longs(fitted(spark, sf)[0].points().drop("category"))
+    return longs(fitted(spark, sf, closed_form=False)[0].points().drop("category"))
 
 
 def scorecard_points_additive(spark, sf):
@@ -359,15 +359,12 @@ ALL_SPEC = replace(SPEC, policy="all_rows", fit_on="all")
 
 def score_new(spark, sf):
     old, new = old_and_new(spark, sf)
-    card = fit_scorecard(old, ALL_SPEC, closed_form=True)
-    keyed = card.transform(new)
-    return tidy(keyed.select("id", "member_id", "loan_amnt", "term", "int_rate", "grade",
-                             "home_ownership", "annual_inc", PROBABILITY))
+    return tidy(fit_scorecard(old, ALL_SPEC).score_file(new), 6, **{PROBABILITY: 4})
 
 
 def score_new_metrics(spark, sf):
     old, new = old_and_new(spark, sf)
-    return tidy(fit_scorecard(old, ALL_SPEC, closed_form=True).back_test(new))
+    return tidy(fit_scorecard(old, ALL_SPEC).back_test(new), 5)
 
 
 def artifacts(spark, sf):
@@ -404,7 +401,7 @@ def lr_baseline(spark, sf):
 
 
 def lr_woe(spark, sf):
-    card = fit_scorecard(loans(spark, sf), SPEC)
+    card, _ = fitted(spark, sf, closed_form=False)
     table = card.coefficients().select("feature", "coefficient", "unexpected_sign")
     constant = spark.range(1).select(F.lit("(intercept)").alias("feature"),
                                      F.lit(card.model.intercept).alias("coefficient"),
