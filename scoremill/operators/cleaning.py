@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from scoremill.functions.aggregates import aggregate_rows, union_all
 from scoremill.functions.columns import in_groups, numeric_columns, present, string_columns
 from scoremill.functions.expressions import as_number
 from scoremill.operators.quantiles import median_values
@@ -21,25 +21,26 @@ def drop_unusable(df: DataFrame) -> DataFrame:
     return df.drop(*SPARSE_COLUMNS, *NON_PREDICTIVE_COLUMNS)
 
 
-def missing_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Missing count and percentage of the columns with any, largest first.
+def missing_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """``column_name, rows, missing_count`` of every column."""
+    names = list(columns or df.columns)
+    return aggregate_rows(df, [
+        F.struct(F.lit(c).alias("column_name"), F.count(F.lit(1)).alias("rows"),
+                 F.count_if(F.col(c).isNull()).alias("missing_count")) for c in names])
 
-    One aggregate over all columns; its single row is then turned into one row per column.
-    """
-    columns = list(columns or df.columns)
-    counts = df.agg(F.count(F.lit(1)).alias("__rows"),
-                    *[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
-    return (counts.unpivot(["__rows"], columns, "column_name", "missing_count")
-            .where(F.col("missing_count") > 0)
+
+def missing_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Missing count and percentage of the columns with any, largest first."""
+    return (missing_counts(df, columns).where(F.col("missing_count") > 0)
             .select("column_name", "missing_count",
-                    (F.col("missing_count") * 100.0 / F.col("__rows")).alias("missing_pct"))
+                    (F.col("missing_count") * 100.0 / F.col("rows")).alias("missing_pct"))
             .orderBy(F.desc("missing_count"), "column_name"))
 
 
 def residual_nulls(df: DataFrame) -> DataFrame:
     """Missing values left in the whole table, and whether there are none."""
-    cells = reduce(lambda a, b: a + b, [F.count_if(F.col(c).isNull()) for c in df.columns])
-    return df.agg(cells.alias("remaining_nulls"), (cells == 0).alias("complete"))
+    cells = F.sum("missing_count")
+    return missing_counts(df).agg(cells.alias("remaining_nulls"), (cells == 0).alias("complete"))
 
 
 def fill_constants(df: DataFrame, fills: Mapping[str, object] = CONSTANT_FILLS) -> DataFrame:
@@ -59,19 +60,12 @@ def mode_values(df: DataFrame, names: Sequence[str]) -> dict[str, str | None]:
              .where(F.col("value").isNotNull())
              .groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
              for group in in_groups(list(names), 6)]
-    best = (reduce(DataFrame.unionByName, parts).groupBy("feature")
+    best = (union_all(parts).groupBy("feature")
             .agg(F.min(F.struct((-F.col("n")).alias("rank"), F.col("value"))).alias("top")))
     found = {r["feature"]: r["top"]["value"] for r in best.collect()}
     return {c: found.get(c) for c in names}
 
 
-def null_counts(df: DataFrame, names: Sequence[str]) -> dict[str, int]:
-    if not names:
-        return {}
-    row = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"c{i}") for i, c in enumerate(names)]).first()
-    return {c: row[f"c{i}"] for i, c in enumerate(names)}
-
-
 def fit_fills(df: DataFrame, constants: Mapping[str, object] = CONSTANT_FILLS,
               skip: Sequence[str] = (), only_missing: bool = True,
               rows: int | None = None) -> dict[str, object]:
@@ -84,9 +78,9 @@ def fit_fills(df: DataFrame, constants: Mapping[str, object] = CONSTANT_FILLS,
     taken = set(skip) | set(fills)
     numbers, texts = numeric_columns(df, taken), string_columns(df, taken)
     if only_missing:
-        nulls = null_counts(df, numbers + texts)
-        numbers = [c for c in numbers if nulls[c]]
-        texts = [c for c in texts if nulls[c]]
+        lacking = {r["column_name"] for r in missing_profile(df, numbers + texts).collect()}
+        numbers = [c for c in numbers if c in lacking]
+        texts = [c for c in texts if c in lacking]
     medians = median_values(df, numbers, rows=rows)
     fills.update({c: v for c, v in medians.items() if v is not None})
     fills.update({c: MODE_FALLBACK if v is None else v for c, v in mode_values(df, texts).items()})

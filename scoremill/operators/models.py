@@ -12,6 +12,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from scoremill.functions.aggregates import scalars
 from scoremill.functions.columns import numeric_columns
 from scoremill.functions.expressions import as_number, linear, sigmoid
 from scoremill.operators.quantiles import median_values
@@ -66,9 +67,8 @@ def feature_matrix(df: DataFrame, features: Sequence[str], keep: Sequence[str],
 
 def scaling(train: DataFrame, features: Sequence[str]) -> dict[str, tuple[float, float]]:
     """Mean and population standard deviation per feature; a constant one gets 1 (M2)."""
-    row = train.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(features)],
-                    *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(features)]).first()
-    return {c: (row[f"m{i}"], row[f"s{i}"] or 1.0) for i, c in enumerate(features)}
+    found = scalars(train, {(c, f): f(c) for c in features for f in (F.avg, F.stddev_pop)})
+    return {c: (found[c, F.avg], found[c, F.stddev_pop] or 1.0) for c in features}
 
 
 def standardise(df: DataFrame, scales: dict[str, tuple[float, float]]) -> DataFrame:

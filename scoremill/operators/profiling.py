@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from functools import reduce
-from itertools import combinations
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from scoremill.functions.aggregates import aggregate_rows, scalars, union_all
 from scoremill.functions.columns import in_groups, present
 from scoremill.functions.expressions import as_number
 from scoremill.operators.quantiles import exact_quantiles
@@ -35,7 +34,7 @@ def default_rate_by_category(df: DataFrame, target: str,
         parts.append(long.groupBy("variable", "value").agg(
             F.count("__target").alias("total_count"), F.sum("__target").alias("default_count"),
             F.avg("__target").alias("default_rate")))
-    rates = reduce(DataFrame.unionByName, parts)
+    rates = union_all(parts)
     if top is not None:
         place = F.row_number().over(
             Window.partitionBy("variable").orderBy(F.desc("default_rate"), "value"))
@@ -92,20 +91,19 @@ def describe_by_class(df: DataFrame, target: str, variables: Sequence[str] = PRO
                       **options) -> DataFrame:
     """Mean, median and standard deviation of goods and bads, and their difference (A10).
 
-    One aggregate for the moments of all variables, exact medians beside it; the table holds
-    three rows per variable.
+    The result has three rows per variable.
     """
     names = present(df, variables)
     y = F.col(target)
     cells = {(c, k): F.when(y == k, as_number(F.col(c))) for c in names for k in (0, 1)}
-    moments = df.agg(*[f(x).alias(f"{label}_{i}") for i, x in enumerate(cells.values())
-                       for label, f in (("mean", F.avg), ("std", F.stddev_samp))]).first()
+    moments = scalars(df, {(c, k, label): f(x) for (c, k), x in cells.items()
+                           for label, f in (("mean", F.avg), ("std", F.stddev_samp))})
     medians = exact_quantiles(df, {f"{c}\t{k}": x for (c, k), x in cells.items()}, [0.5], **options)
     rows = []
-    for at, c in enumerate(names):
-        stats = {"mean": [moments[f"mean_{2 * at + k}"] for k in (0, 1)],
+    for c in names:
+        stats = {"mean": [moments[c, k, "mean"] for k in (0, 1)],
                  "median": [(medians[f"{c}\t{k}"] or [None])[0] for k in (0, 1)],
-                 "std": [moments[f"std_{2 * at + k}"] for k in (0, 1)]}
+                 "std": [moments[c, k, "std"] for k in (0, 1)]}
         rows += [(c, s, good, bad, None if good is None or bad is None else bad - good)
                  for s, (good, bad) in stats.items()]
     return df.sparkSession.createDataFrame(
@@ -116,9 +114,9 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson correlations of all ordered pairs, diagonal included, as rows ``var1, var2, corr``.
 
     Each pair uses the rows where both values are present; null where one of them is constant
-    there (A11). A few columns are aggregated by built-ins. For many, the number of pairwise
-    aggregates would outgrow generated code, so each task forms the matrix of sums of its rows
-    and only those sums are shuffled.
+    there (A11). A few columns are aggregated by built-ins. Many would need pairwise aggregates in
+    the hundreds, so there each task forms the matrix of sums of its rows in one scan, and only
+    those sums are shuffled.
     """
     names = list(columns)
     numbers = df.select(*[as_number(F.col(c)).alias(c) for c in names])
@@ -132,16 +130,14 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def _pairs_builtin(numbers, names):
-    wanted = [(a, b) for i, a in enumerate(names) for b in names[i:]]
-    cells = []
-    for a, b in wanted:
-        both = F.col(a).isNotNull() & F.col(b).isNotNull()
-        x, y = F.when(both, F.col(a)), F.when(both, F.col(b))
-        cells.append(F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y)))
-    row = numbers.agg(F.array(*[
-        F.struct(F.lit(a).alias("var1"), F.lit(b).alias("var2"), c.alias("corr"))
-        for (a, b), c in zip(wanted, cells)]).alias("pairs"))
-    return row.select(F.inline("pairs"))
+    rows = []
+    for i, a in enumerate(names):
+        for b in names[i:]:
+            both = F.col(a).isNotNull() & F.col(b).isNotNull()
+            x, y = F.when(both, F.col(a)), F.when(both, F.col(b))
+            corr = F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+            rows.append(F.struct(F.lit(a).alias("var1"), F.lit(b).alias("var2"), corr.alias("corr")))
+    return aggregate_rows(numbers, rows)
 
 
 def _pairs_by_task(numbers, names):
@@ -193,60 +189,58 @@ def high_correlation_pairs(matrix: DataFrame, columns: Sequence[str], limit: flo
     return matrix.where((order[F.col("var1")] < order[F.col("var2")]) & (F.abs("corr") > limit))
 
 
-def histogram_bin(x, low: float, high: float, bins: int):
-    """0-based equal-width bin; an edge value belongs to the bin above, the maximum to the last.
-
-    The quotient may round across an edge, so it is checked against the edges themselves.
-    """
-    width = (high - low) / bins
-    guess = F.least(F.floor((x - low) / (high - low) * bins), F.lit(bins - 1)).cast("long")
-    return (F.when(x < F.lit(low) + guess * F.lit(width), guess - 1)
-            .when((x >= F.lit(low) + (guess + 1) * F.lit(width)) & (guess < bins - 1), guess + 1)
-            .otherwise(guess))
-
-
 def class_histograms(df: DataFrame, target: str, variables: Sequence[str] = PROFILED_NUMBERS,
                      bins: int = 50) -> DataFrame:
     """Density histograms of goods and bads, each over its own range.
 
-    The class ranges are one small aggregate; bins are then counted map-side. A class with a
-    single value gets a unit-wide range around it.
+    The class ranges are one small aggregate; bins are then counted map-side. An edge value
+    belongs to the bin above, the maximum to the last one. The quotient that places a value may
+    round across an edge, so it is checked against the edges themselves. A class with a single
+    value gets a unit-wide range around it.
     """
     names = present(df, variables)
     y = F.col(target)
-    cells = [(c, k) for c in names for k in (0, 1)]
-    value = {(c, k): F.when(y == k, as_number(F.col(c))) for c, k in cells}
-    ends = df.agg(*[f(value[cell]).alias(f"{label}{i}") for i, cell in enumerate(cells)
-                    for label, f in (("lo", F.min), ("hi", F.max), ("n", F.count))]).first()
+    ends = scalars(df, {(c, k, label): f(F.when(y == k, as_number(F.col(c))))
+                        for c in names for k in (0, 1)
+                        for label, f in (("lo", F.min), ("hi", F.max), ("n", F.count))})
     ranges = {}
-    for i, cell in enumerate(cells):
-        low, high, n = ends[f"lo{i}"], ends[f"hi{i}"], ends[f"n{i}"]
-        if n:
-            ranges[cell] = (low - 0.5, high + 0.5, n) if low == high else (low, high, n)
-    parts = []
-    for group in in_groups(names, 6):
-        def slot(c):
-            place = F.lit(None).cast("long")
-            for k in (0, 1):
-                if (c, k) in ranges:
-                    low, high, _ = ranges[c, k]
-                    place = F.when(y == k, histogram_bin(value[c, k], low, high, bins)).otherwise(place)
-            return place.alias(c)
-        long = (df.select(y.alias("class"), *[slot(c) for c in group])
-                .unpivot(["class"], group, "variable", "bin").where(F.col("bin").isNotNull()))
-        parts.append(long.groupBy("variable", "class", "bin").agg(F.count(F.lit(1)).alias("n")))
-    counted = reduce(DataFrame.unionByName, parts)
-    spark = df.sparkSession
-    frame = spark.createDataFrame(
+    for c in names:
+        for k in (0, 1):
+            low, high, n = (ends[c, k, label] for label in ("lo", "hi", "n"))
+            if n:
+                ranges[c, k] = (low - 0.5, high + 0.5, n) if low == high else (low, high, n)
+    parts = [_histogram_counts(df, y, c, ranges, bins) for c in names]
+    frame = df.sparkSession.createDataFrame(
         [(c, k, b, low + (high - low) / bins * b, low + (high - low) / bins * (b + 1),
           n * ((high - low) / bins))
          for (c, k), (low, high, n) in ranges.items() for b in range(bins)],
         "variable string, class int, bin long, lo double, hi double, area double")
-    return (frame.join(counted, ["variable", "class", "bin"], "left")
+    return (frame.join(F.broadcast(union_all(parts)), ["variable", "class", "bin"], "left")
             .select("variable", "class", "bin", "lo", "hi", F.coalesce("n", F.lit(0)).alias("n"),
                     (F.coalesce("n", F.lit(0)) / F.col("area")).alias("density")))
 
 
+def _histogram_counts(df, y, name, ranges, bins):
+    """Rows per class and bin of one variable: a scan of two columns, at most 2 x bins groups."""
+    def by_class(pick):
+        return F.coalesce(*[F.when(F.col("class") == k, F.lit(pick(*ranges[name, k][:2])))
+                            for k in (0, 1) if (name, k) in ranges], F.lit(None).cast("double"))
+
+    placed = (df.select(y.cast("int").alias("class"), as_number(F.col(name)).alias("x"))
+              .where(F.col("x").isNotNull() & F.col("class").isin(0, 1))
+              .select("class", "x", by_class(lambda low, high: low).alias("low"),
+                      by_class(lambda low, high: high - low).alias("span"))
+              .withColumn("width", F.col("span") / bins)
+              .withColumn("guess", F.least(
+                  F.floor((F.col("x") - F.col("low")) / F.col("span") * bins), F.lit(bins - 1))))
+    edge = lambda k: F.col("low") + k * F.col("width")
+    guess = F.col("guess")
+    exact = (F.when(F.col("x") < edge(guess), guess - 1)
+             .when((F.col("x") >= edge(guess + 1)) & (guess < bins - 1), guess + 1).otherwise(guess))
+    return (placed.groupBy("class", exact.cast("long").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+            .select(F.lit(name).alias("variable"), "class", "bin", "n"))
+
+
 def box_summary(df: DataFrame, target: str, value: str = "int_rate", group: str = "grade",
                 **options) -> DataFrame:
     """Quartiles, whiskers within 1.5 interquartile ranges, and outliers per group and class."""

@@ -16,11 +16,11 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from scoremill.functions.aggregates import union_all
 from scoremill.functions.columns import in_groups
 from scoremill.functions.expressions import as_number, balanced
 from scoremill.sources.staging import stage
@@ -141,7 +141,7 @@ def _values_at(df, columns, brackets, wanted):
             .select(F.col("column").cast("int").alias("column"), F.col("cell.segment").alias("segment"),
                     F.when(F.col("cell.segment") % 2 == 1, F.col("cell.value")).alias("value"))
             .groupBy("column", "segment", "value").agg(F.count(F.lit(1)).alias("n")))
-    table = stage(reduce(DataFrame.unionByName, parts), "quantile-brackets")
+    table = stage(union_all(parts), "quantile-brackets")
 
     inner = table.where(F.col("value").isNotNull())
     splits = inner.groupBy("column", "segment").agg(F.percentile_approx(

@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from scoremill.functions.aggregates import union_all
 from scoremill.functions.columns import in_groups
 from scoremill.functions.expressions import as_number, interval_value
 from scoremill.operators.binning import Bins
@@ -49,7 +49,7 @@ def bin_counts(df: DataFrame, bins: Sequence[Bins], target: str) -> DataFrame:
                   for k, t, name in (("interval", "int", "bin_id"), ("value", "double", "number"),
                                      ("category", "string", "category"))],
                 "good", "bad"))
-    return reduce(DataFrame.unionByName, parts)
+    return union_all(parts)
 
 
 def weights(counts: DataFrame, bins: Sequence[Bins], smoothing: float = WOE_SMOOTHING) -> DataFrame:
