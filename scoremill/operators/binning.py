@@ -7,7 +7,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from scoremill.functions.aggregates import scalars
 from scoremill.functions.expressions import as_number, interval_value
 from scoremill.operators.quantiles import exact_quantiles
 
@@ -34,9 +36,10 @@ class Bins:
 
 @dataclass(frozen=True)
 class Sketch:
-    """Row count and estimated distinct counts of a frame's columns."""
+    """Row count, and per column the non-null values and the estimated distinct ones."""
 
     rows: int
+    present: Mapping[str, int]      # non-null values
     distinct: Mapping[str, int]
 
     def surely_over(self, name: str, limit: int) -> bool:
@@ -47,10 +50,15 @@ class Sketch:
 
 
 def sketch_columns(df: DataFrame, names: Sequence[str]) -> Sketch:
-    """One scan with a bounded buffer per column."""
-    row = df.agg(F.count(F.lit(1)).alias("n"), *[
-        F.approx_count_distinct(c, SKETCH_ERROR).alias(f"d{i}") for i, c in enumerate(names)]).first()
-    return Sketch(row["n"], {c: row[f"d{i}"] for i, c in enumerate(names)})
+    """One scan with a bounded buffer per column; NaN counts as missing."""
+    def value(name: str) -> Column:
+        return as_number(F.col(name)) if isinstance(df.schema[name].dataType, T.NumericType) else F.col(name)
+
+    found = scalars(df, {("rows", None): F.count(F.lit(1)), **{
+        (label, c): f(value(c)) for c in names for label, f in (
+            ("present", F.count), ("distinct", lambda x: F.approx_count_distinct(x, SKETCH_ERROR)))}})
+    return Sketch(int(found["rows", None]), {c: int(found["present", c]) for c in names},
+                  {c: int(found["distinct", c]) for c in names})
 
 
 def few_distinct(df: DataFrame, limits: Mapping[str, int], sketch: Sketch | None = None) -> dict[str, bool]:
@@ -100,14 +108,17 @@ def edges_table(df: DataFrame, names: Sequence[str], **options) -> DataFrame:
 
 def fit_bins(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], max_bins: int = 10,
              max_categories: int = 100, method: str = "quantile", sketch: Sketch | None = None,
-             **options) -> list[Bins]:
+             known_edges: Mapping[str, Sequence[float]] | None = None, **options) -> list[Bins]:
     """Decide the bins of every feature; categories over the limit are left out.
 
-    ``sketch`` may stem from the same frame before its missing values were filled.
+    ``sketch`` may stem from the same frame before its missing values were filled, and
+    ``known_edges`` saves the pass for columns whose edges are at hand.
     """
     limits = {**{c: max_bins for c in numeric}, **{c: max_categories for c in categorical}}
     few = few_distinct(df, limits, sketch)
-    spread = [c for c in numeric if not few[c]]
-    edges = quantile_edges(df, spread, max_bins, method, **options) if spread else {}
+    edges = dict(known_edges or {})
+    spread = [c for c in numeric if not few[c] and c not in edges]
+    if spread:
+        edges.update(quantile_edges(df, spread, max_bins, method, **options))
     bins = [Bins(c, "value") if few[c] else Bins(c, "interval", tuple(edges[c][1:-1])) for c in numeric]
     return bins + [Bins(c, "category") for c in categorical if few[c]]

@@ -15,7 +15,7 @@ from scoremill.functions.expressions import as_number
 from scoremill.spec import AUC_THRESHOLD, LIFT_THRESHOLD, RULE_DTI, RULE_GRADES
 
 ROWS_PER_BUCKET = 2_000_000
-MAX_BUCKETS = 4096
+MAX_BUCKETS = 1024
 
 BASELINE_NAME = "Logistic Regression"
 
@@ -28,7 +28,7 @@ def _totals(df: DataFrame, score: str, y: Column):
     row = scored.agg(
         F.count_if(y == 0).alias("n0"), F.count_if(y == 1).alias("n1"),
         F.avg((p - y) * (p - y)).alias("brier"),
-        F.percentile_approx(p, fractions, 2 * MAX_BUCKETS).alias("splits")).first()
+        F.percentile_approx(p, fractions, 4 * MAX_BUCKETS).alias("splits")).first()
     return scored, row
 
 

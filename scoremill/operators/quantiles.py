@@ -28,7 +28,7 @@ from scoremill.sources.staging import stage
 BUFFER_VALUES = 4_000_000   # values that built-in percentile buffers may hold in total
 SKETCH_ACCURACY = 10_000    # rank error of the sketch: rows / accuracy
 SUB_BUCKETS = 64
-COLUMNS_PER_SCAN = 6        # keeps generated code small enough for the JIT compiler
+COLUMNS_PER_SCAN = 2        # keeps generated code small enough for the JIT compiler
 
 
 def exact_quantiles(df: DataFrame, columns: Mapping[str, Column], probs: Sequence[float],
@@ -67,17 +67,15 @@ def _by_bracketing(df, numbers, probs, accuracy):
     names = list(numbers)
     reach = 2.0 / accuracy
     values: dict[tuple[int, int], float] = {}
-    counts: list[int] | None = None
     while True:
-        sketch, counts = _sketch(df, numbers, probs, accuracy, reach)
-        wanted = {i: sorted({r for p in probs for r in _positions(p, n)[:2]} -
-                            {r for j, r in values if j == i})
+        brackets, counts = _sketch(df, numbers, probs, accuracy, reach)
+        wanted = {i: {r for p in probs for r in _positions(p, n)[:2]} - {r for j, r in values if j == i}
                   for i, n in enumerate(counts) if n}
-        wanted = {i: ranks for i, ranks in wanted.items() if ranks}
-        if not wanted:
+        wanted = {i: sorted(ranks) for i, ranks in wanted.items() if ranks}
+        values.update(_values_at(df, [numbers[c] for c in names],
+                                 {i: brackets[i] for i in wanted}, wanted))
+        if all((i, r) in values for i, ranks in wanted.items() for r in ranks):
             break
-        brackets = {i: sketch[i] for i in wanted}
-        values.update(_values_at(df, [numbers[c] for c in names], brackets, wanted))
         reach *= 8
     result: dict[str, list[float] | None] = {}
     for i, name in enumerate(names):
@@ -130,6 +128,8 @@ def _segment(x: Column, brackets: Sequence[Sequence[float]]) -> Column:
 
 def _values_at(df, columns, brackets, wanted):
     """The values at the wanted ranks that lie inside the brackets."""
+    if not wanted:
+        return {}
     parts = []
     for group in in_groups(sorted(brackets), COLUMNS_PER_SCAN):
         cells = df.select(*[

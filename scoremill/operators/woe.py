@@ -13,7 +13,7 @@ from scoremill.functions.expressions import as_number, interval_value
 from scoremill.operators.binning import Bins
 from scoremill.spec import IV_RANGE, POWER_ABOVE, POWER_LABELS, WOE_SMOOTHING
 
-FEATURES_PER_SCAN = 6   # wider projections outgrow the JIT compiler's method limit
+FEATURES_PER_SCAN = 4   # wider projections outgrow the JIT compiler's method limit
 CASE_CATEGORIES = 16    # up to here categories are compared inline, above they are joined
 
 WOE_COLUMNS = ("feature", "bin_id", "lo", "hi", "category", "bin", "good_count", "bad_count",

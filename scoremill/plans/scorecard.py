@@ -14,13 +14,15 @@ from scoremill.functions.columns import numeric_columns, present, string_columns
 from scoremill.functions.expressions import parse_number
 from scoremill.operators import woe as weight
 from scoremill.operators.binning import Bins, fit_bins, sketch_columns
-from scoremill.operators.cleaning import apply_fills, fills_from_table, fills_table, fit_fills
+from scoremill.operators.cleaning import apply_fills, fills_from_table, fills_table, mode_values
 from scoremill.operators.evaluation import score_metrics
 from scoremill.operators.models import LinearModel, fit_logistic, naive_model
 from scoremill.operators.points import base_points, scorecard
+from scoremill.operators.quantiles import exact_quantiles
 from scoremill.operators.split import add_split
 from scoremill.operators.target import add_target, is_member
-from scoremill.spec import ALL_ROWS_BAD, SCORED_COLUMNS, ScorecardSpec
+from scoremill.sources.staging import stage
+from scoremill.spec import ALL_ROWS_BAD, MODE_FALLBACK, SCORED_COLUMNS, ScorecardSpec
 
 PROBABILITY = "predicted_default_probability"
 ACTUAL = "actual_default_status"
@@ -161,31 +163,42 @@ def with_target_and_split(df: DataFrame, spec: ScorecardSpec) -> DataFrame:
 def fit_weights(df: DataFrame, spec: ScorecardSpec):
     """Fills, bins and the WoE rows of a labelled frame.
 
-    Scans: a sketch of all columns, medians, modes, deciles of the filled columns, bin counts;
-    and an exact distinct count if some column is near its limit. Text columns that are surely
-    over the category limit drop out before the modes are counted.
+    Scans: a sketch of all columns, quantiles, modes, bin counts; an exact distinct count if some
+    column is near its limit; and quantiles again for the columns that fills have changed. Text
+    columns that are surely over the category limit drop out before the modes are counted.
     """
     numbers, texts = candidate_features(df, spec)
     sketch = sketch_columns(df, numbers + texts)
     texts = [c for c in texts if not sketch.surely_over(c, spec.max_categories)]
     narrow = df.select(spec.target, *numbers, *texts)
-    fills = fit_fills(narrow, spec.fills, skip=[spec.target], only_missing=False, rows=sketch.rows)
+    fills = {c: spec.fills[c] for c in numbers + texts if c in spec.fills}
+    deciles = [k / spec.max_bins for k in range(spec.max_bins + 1)]
+    raw = exact_quantiles(narrow, {c: F.col(c) for c in numbers if c not in fills},
+                          [*deciles, 0.5], rows=sketch.rows)
+    fills.update({c: q[-1] for c, q in raw.items() if q is not None})
+    modes = mode_values(narrow, [c for c in texts if c not in fills])
+    fills.update({c: MODE_FALLBACK if v is None else v for c, v in modes.items()})
+    complete = {c: sorted(set(q[:-1])) for c, q in raw.items()
+                if sketch.present[c] == sketch.rows and spec.edge_method == "quantile"}
     filled = apply_fills(narrow, fills)
     bins = fit_bins(filled, numbers, texts, spec.max_bins, spec.max_categories,
-                    spec.edge_method, sketch, rows=sketch.rows)
+                    spec.edge_method, sketch, complete, rows=sketch.rows)
     return fills, bins, weight.collected(weight.woe_table(filled, bins, spec.target))
 
 
 def fit_scorecard(df: DataFrame, spec: ScorecardSpec, closed_form: bool = False) -> ScorecardModel:
     """Clean, bin, weigh, select and model a loan table.
 
-    ``df`` is read several times, a few columns at a time; stage it first if it is dear to
-    recompute. ``closed_form`` replaces the regression by the weights' own log-odds.
+    The rows to fit on are written once with the target and the candidate features only, since
+    many passes read them a few columns at a time; the row hash behind the split is then not
+    computed again. ``closed_form`` replaces the regression by the weights' own log-odds.
     """
     split = with_target_and_split(df, spec)
-    train = split.where(~F.col("is_test"))
-    fit_frame = split if spec.fit_on == "all" else train
-    fills, bins, rows = fit_weights(fit_frame, spec)
+    numbers, texts = candidate_features(split, spec)
+    wanted = split if spec.fit_on == "all" else split.where(~F.col("is_test"))
+    fit_frame = stage(wanted.select(spec.target, "is_test", *numbers, *texts), "scorecard-rows")
+    train = fit_frame.where(~F.col("is_test")) if spec.fit_on == "all" else fit_frame
+    fills, bins, rows = fit_weights(fit_frame.drop("is_test"), spec)
     iv: dict[str, float] = {}
     for r in rows:
         iv[r["feature"]] = iv.get(r["feature"], 0.0) + r["iv"]
