@@ -18,6 +18,7 @@ from scoremill.plans import comparison
 from scoremill.plans.scorecard import (
     PROBABILITY, ScorecardModel, fit_scorecard, fit_weights, with_target_and_split)
 from scoremill.sources import loans as source
+from scoremill.sources.session import tuned
 from scoremill.sources.sinks import write_csv
 from scoremill.sources.staging import new_path, stage
 from scoremill.spec import ATTRIBUTION_SAMPLE, ScorecardSpec
@@ -451,5 +452,11 @@ ALL: tuple[Query, ...] = (
     attribution_ranking, attribution_top)
 
 
+def _prepared(query: Query) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return query(tuned(spark), sf_dir)
+    return run
+
+
 def queries() -> dict[str, Query]:
-    return {q.__name__: q for q in ALL}
+    return {q.__name__: _prepared(q) for q in ALL}
