@@ -8,9 +8,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from scoremill.sources.staging import stage
-
-BUCKET_DIGITS = 4   # 65,536 hash buckets per class
+BUCKET_DIGITS = 3   # 4,096 hash buckets per class
 
 
 def key_hash(key: str, purpose: str, seed: int) -> Column:
@@ -50,40 +48,34 @@ def add_split(df: DataFrame, key: str, stratum: str, share: float, seed: int = 4
 
 def _cut_points(df, key, stratum, share, seed):
     """Per class, the hash and key of the last test row."""
-    h = key_hash(key, "split", seed)
-    keyed = df.select(F.col(stratum).alias("stratum"), F.col(key).alias("key"), h.alias("h"))
-    buckets = (keyed.where(F.col("stratum").isNotNull())
-               .groupBy("stratum", F.substring("h", 1, BUCKET_DIGITS).alias("bucket"))
-               .agg(F.count(F.lit(1)).alias("n")))
-    classes = Window.partitionBy("stratum")
-    through = F.sum("n").over(classes.orderBy("bucket")
-                              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    # At most classes x 65,536 rows from here on; one row per class reaches the driver at a time.
-    buckets = stage(buckets, "split-buckets")
-    counts = {r["stratum"]: r["n"] for r in
-              buckets.groupBy("stratum").agg(F.sum("n").alias("n")).collect()}
-    sizes = {c: n for c, n in test_sizes(counts, share).items() if n}
-    if not sizes:
+    keyed = df.select(F.col(stratum).alias("stratum"), F.col(key).alias("key"),
+                      key_hash(key, "split", seed).alias("h")).where(F.col("stratum").isNotNull())
+    # At most classes x 4,096 counts reach the driver.
+    buckets = (keyed.groupBy("stratum", F.substring("h", 1, BUCKET_DIGITS).alias("bucket"))
+               .agg(F.count(F.lit(1)).alias("n")).collect())
+    counts: dict[object, int] = {}
+    for b in buckets:
+        counts[b["stratum"]] = counts.get(b["stratum"], 0) + b["n"]
+    sizes = test_sizes(counts, share)
+    places, passed = [], dict.fromkeys(counts, 0)
+    for b in sorted(buckets, key=lambda b: b["bucket"]):
+        before = passed[b["stratum"]]
+        passed[b["stratum"]] = before + b["n"]
+        if before < sizes[b["stratum"]] <= before + b["n"]:
+            places.append((b["stratum"], b["bucket"], sizes[b["stratum"]] - before))
+    if not places:
         return {}
-    spark = df.sparkSession
-    wanted = spark.createDataFrame([(c, n) for c, n in sizes.items()],
-                                   f"stratum {buckets.schema['stratum'].dataType.simpleString()}, "
-                                   "wanted long")
-    edges = (buckets.withColumn("through", through).join(F.broadcast(wanted), "stratum")
-             .where((F.col("through") >= F.col("wanted")) &
-                    (F.col("through") - F.col("n") < F.col("wanted"))).collect())
-    cut = F.lit(False)
-    for e in edges:
-        cut = cut | ((F.col("stratum") == F.lit(e["stratum"])) &
-                     F.col("h").startswith(e["bucket"]))
-    ranks = spark.createDataFrame(
-        [(e["stratum"], e["wanted"] - (e["through"] - e["n"])) for e in edges],
-        f"stratum {buckets.schema['stratum'].dataType.simpleString()}, place long")
-    inside = (keyed.where(cut).groupBy("stratum", "h", "key").agg(F.count(F.lit(1)).alias("n"))
-              .withColumn("through", F.sum("n").over(
-                  classes.orderBy("h", "key").rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-              .join(F.broadcast(ranks), "stratum")
-              .where((F.col("through") >= F.col("place")) & (F.col("through") - F.col("n") < F.col("place"))))
+    kind = keyed.schema["stratum"].dataType.simpleString()
+    wanted = df.sparkSession.createDataFrame(places, f"stratum {kind}, bucket string, place long")
+    order = (Window.partitionBy("stratum").orderBy("h", "key")
+             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    # Copies of a key collapse before the window, which holds one bucket's rows per class.
+    inside = (keyed.withColumn("bucket", F.substring("h", 1, BUCKET_DIGITS))
+              .join(F.broadcast(wanted), ["stratum", "bucket"])
+              .groupBy("stratum", "place", "h", "key").agg(F.count(F.lit(1)).alias("n"))
+              .withColumn("through", F.sum("n").over(order))
+              .where((F.col("through") >= F.col("place")) &
+                     (F.col("through") - F.col("n") < F.col("place"))))
     return {r["stratum"]: (r["h"], r["key"]) for r in inside.collect()}
 
 
