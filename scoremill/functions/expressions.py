@@ -21,19 +21,16 @@ def parse_number(column: Column) -> Column:
 def interval_value(x: Column, cuts: Sequence[float], leaves: Sequence) -> Column:
     """``leaves[i]`` for the i-th right-closed interval between ``cuts`` that holds ``x``.
 
-    A balanced tree of comparisons: log2(cuts) tests per row, no lambda and no lookup array.
     The caller handles a null ``x``.
     """
-    if not cuts:
-        leaf = leaves[0]
-        return leaf if isinstance(leaf, Column) else F.lit(leaf)
-    mid = len(cuts) // 2
-    return (F.when(x <= F.lit(cuts[mid]), interval_value(x, cuts[:mid], leaves[:mid + 1]))
-            .otherwise(interval_value(x, cuts[mid + 1:], leaves[mid + 1:])))
+    return balanced([lambda c=c: x <= F.lit(c) for c in cuts], [F.lit(v) for v in leaves])
 
 
 def balanced(tests: Sequence[Callable[[], Column]], leaves: Sequence[Column]) -> Column:
-    """Like :func:`interval_value` for arbitrary ordered tests ("x is at or below boundary i")."""
+    """The leaf chosen by ordered tests, of which each says "at or below boundary i".
+
+    A balanced tree: log2(tests) comparisons per row, no lambda and no lookup array.
+    """
     if not tests:
         return leaves[0]
     mid = len(tests) // 2

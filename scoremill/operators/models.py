@@ -59,10 +59,13 @@ def model_features(df: DataFrame, key: str, target: str, extra: Iterable[str] =
 
 def feature_matrix(df: DataFrame, features: Sequence[str], keep: Sequence[str],
                    fit_on: DataFrame | None = None) -> DataFrame:
-    """The kept columns and the features as doubles, missing values at the median."""
+    """The kept columns and the features as doubles, missing values at the median.
+
+    A feature without a single value to fit on has no median and is left out.
+    """
     medians = median_values(df if fit_on is None else fit_on, features)
     return df.select(*keep, *[F.coalesce(as_number(F.col(c)), F.lit(medians[c])).alias(c)
-                              for c in features])
+                              for c in features if medians[c] is not None])
 
 
 def scaling(train: DataFrame, features: Sequence[str]) -> dict[str, tuple[float, float]]:

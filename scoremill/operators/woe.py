@@ -52,6 +52,13 @@ def bin_counts(df: DataFrame, bins: Sequence[Bins], target: str) -> DataFrame:
     return union_all(parts)
 
 
+def _interval_label(lo: Column, hi: Column) -> Column:
+    """``(lo, hi]`` with inf for the open ends; null without bounds."""
+    def text(edge: Column) -> Column:
+        return F.regexp_replace(edge.cast("string"), "Infinity", "inf")
+    return F.concat(F.lit("("), text(lo), F.lit(", "), text(hi), F.lit("]"))
+
+
 def weights(counts: DataFrame, bins: Sequence[Bins], smoothing: float = WOE_SMOOTHING) -> DataFrame:
     """The WoE table from the bin counts (W2, W3, W7). Works on a few rows per feature."""
     spark = counts.sparkSession
@@ -67,8 +74,7 @@ def weights(counts: DataFrame, bins: Sequence[Bins], smoothing: float = WOE_SMOO
                       F.coalesce("bin_id", rank).cast("int").alias("bin_id"),
                       F.coalesce("lo", number).alias("lo"), F.coalesce("hi", number).alias("hi"),
                       "category",
-                      F.coalesce(F.concat(F.lit("("), F.col("lo").cast("string"), F.lit(", "),
-                                          F.col("hi").cast("string"), F.lit("]")),
+                      F.coalesce(_interval_label(F.col("lo"), F.col("hi")),
                                  number.cast("string"), "category").alias("bin"),
                       (F.col("good") + smoothing).alias("good_count"),
                       (F.col("bad") + smoothing).alias("bad_count")))
@@ -123,7 +129,7 @@ def woe_frame(spark: SparkSession, rows: Sequence[Mapping]) -> DataFrame:
 
 
 def add_weights(df: DataFrame, bins: Sequence[Bins], rows: Sequence[Mapping], column: str = "woe",
-                suffix: str = "_woe", as_index: bool = False) -> DataFrame:
+                suffix: str = "_woe") -> DataFrame:
     """Add ``<feature><suffix>`` for every bin set, from fitted rows.
 
     Intervals, raw values and small category sets become comparisons with literals; a larger

@@ -41,7 +41,8 @@ def prepared(df: DataFrame, key: str, target: str = "defaultstatus", policy: str
     names = list(features or model_features(labelled, key, target))
     split = add_split(labelled.select(key, target, *names), key, target, share, seed)
     fit_frame = split if fit_on == "all" else split.where(~F.col("is_test"))
-    return feature_matrix(split, names, [key, target, "is_test"], fit_frame), names
+    matrix = feature_matrix(split, names, [key, target, "is_test"], fit_frame)
+    return matrix, [c for c in names if c in matrix.columns]
 
 
 def fit_baseline(matrix: DataFrame, features: Sequence[str], target: str,

@@ -22,7 +22,7 @@ def test_intervals_are_right_closed_with_ties_on_edges(spark):
     rows = table(df, [bins])
     counted = {(r["lo"], r["hi"]): round(r["good_count"] + r["bad_count"], 3) for r in rows}
     assert counted == {(-math.inf, 5.0): 5.0, (5.0, 10.0): 6.0, (10.0, math.inf): 10.0}
-    assert [r["bin"] for r in rows] == ["(-Infinity, 5.0]", "(5.0, 10.0]", "(10.0, Infinity]"]
+    assert [r["bin"] for r in rows] == ["(-inf, 5.0]", "(5.0, 10.0]", "(10.0, inf]"]
 
 
 def test_few_values_stay_values_and_duplicate_edges_drop(spark):
