@@ -17,6 +17,7 @@ from scoremill.spec import PROFILED_CATEGORIES, PROFILED_NUMBERS
 
 PAIRWISE_COLUMNS = 10   # up to here correlations are built-in aggregates
 GROUPS_PER_PASS = 50    # groups whose quantiles are taken together
+BROADCAST_GROUPS = 10_000   # group tables up to this length are broadcast
 
 
 def default_rate_by_category(df: DataFrame, target: str,
@@ -124,9 +125,10 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         pairs = _pairs_builtin(numbers, names)
     else:
         pairs = _pairs_by_task(numbers, names)
-    mirrored = pairs.where("var1 <> var2").select(
-        F.col("var2").alias("var1"), F.col("var1").alias("var2"), "corr")
-    return pairs.unionByName(mirrored)
+    as_found = F.struct("var1", "var2", "corr")
+    mirrored = F.struct(F.col("var2").alias("var1"), F.col("var1").alias("var2"), "corr")
+    return pairs.select(F.inline(F.when(F.col("var1") == F.col("var2"), F.array(as_found))
+                                 .otherwise(F.array(as_found, mirrored))))
 
 
 def _pairs_builtin(numbers, names):
@@ -257,11 +259,13 @@ def box_summary(df: DataFrame, target: str, value: str = "int_rate", group: str
         [(r[group], r["class"], r["n"], *quartiles[f"{i}"]) for i, r in enumerate(found)
          if quartiles[f"{i}"]],
         f"`{group}` string, class int, n long, q1 double, median double, q3 double")
+    if len(found) <= BROADCAST_GROUPS:
+        fences = F.broadcast(fences)
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     fences = fences.withColumns({"fence_lo": F.col("q1") - reach, "fence_hi": F.col("q3") + reach})
     inside = (F.col("x") >= F.col("fence_lo")) & (F.col("x") <= F.col("fence_hi"))
     return (df.select(F.col(group), y.cast("int").alias("class"), x.alias("x")).where(F.col("x").isNotNull())
-            .join(F.broadcast(fences), [group, "class"])
+            .join(fences, [group, "class"])
             .groupBy(group, "class", "n", "q1", "median", "q3")
             .agg(F.min(F.when(inside, F.col("x"))).alias("whisker_lo"),
                  F.max(F.when(inside, F.col("x"))).alias("whisker_hi"),
