@@ -49,13 +49,16 @@ class Sketch:
         return self.distinct[name] < limit * (1 - SKETCH_MARGIN) - 3
 
 
-def sketch_columns(df: DataFrame, names: Sequence[str]) -> Sketch:
-    """One scan with a bounded buffer per column; NaN counts as missing."""
-    def value(name: str) -> Column:
-        return as_number(F.col(name)) if isinstance(df.schema[name].dataType, T.NumericType) else F.col(name)
+def _value(df: DataFrame, name: str) -> Column:
+    """The column, with NaN read as missing."""
+    numeric = isinstance(df.schema[name].dataType, T.NumericType)
+    return as_number(F.col(name)) if numeric else F.col(name)
+
 
+def sketch_columns(df: DataFrame, names: Sequence[str]) -> Sketch:
+    """One job with a bounded buffer per column."""
     found = scalars(df, {("rows", None): F.count(F.lit(1)), **{
-        (label, c): f(value(c)) for c in names for label, f in (
+        (label, c): f(_value(df, c)) for c in names for label, f in (
             ("present", F.count), ("distinct", lambda x: F.approx_count_distinct(x, SKETCH_ERROR)))}})
     return Sketch(int(found["rows", None]), {c: int(found["present", c]) for c in names},
                   {c: int(found["distinct", c]) for c in names})
@@ -74,7 +77,7 @@ def few_distinct(df: DataFrame, limits: Mapping[str, int], sketch: Sketch | None
     verdict.update({c: True for c, limit in limits.items() if sketch.surely_within(c, limit)})
     unclear = [c for c in limits if c not in verdict]
     if unclear:
-        exact = df.agg(*[F.count_distinct(c).alias(f"d{i}") for i, c in enumerate(unclear)]).first()
+        exact = df.agg(*[F.count_distinct(_value(df, c)).alias(f"d{i}") for i, c in enumerate(unclear)]).first()
         verdict.update({c: exact[f"d{i}"] <= limits[c] for i, c in enumerate(unclear)})
     return verdict
 

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.errors import AnalysisException
 
-from scoremill.spec import REQUIRED_COLUMNS
+from scoremill.spec import IDENTIFIER_COLUMNS, REQUIRED_COLUMNS
 
 # Text that stands for a missing value in a loan file.
 MISSING_TOKENS = (
@@ -17,9 +17,10 @@ MISSING_TOKENS = (
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 
-# Loan columns that hold numbers; every other column is read as text.
+# Loan columns that hold numbers; identifiers are whole numbers, and every other
+# column is read as text.
 NUMERIC_LOAN_COLUMNS = (
-    "id", "member_id", "loan_amnt", "funded_amnt", "funded_amnt_inv", "int_rate", "installment",
+    "loan_amnt", "funded_amnt", "funded_amnt_inv", "int_rate", "installment",
     "annual_inc", "dti", "delinq_2yrs", "inq_last_6mths", "mths_since_last_delinq",
     "mths_since_last_record", "open_acc", "pub_rec", "revol_bal", "revol_util", "total_acc",
     "out_prncp", "out_prncp_inv", "total_pymnt", "total_pymnt_inv", "total_rec_prncp",
@@ -46,28 +47,21 @@ def resolve_source(spark: SparkSession, *candidates: tuple[str, str]) -> tuple[s
     raise FileNotFoundError(f"no loan file found ({places})")
 
 
-def loan_schema(columns: Sequence[str], numeric: Iterable[str] = NUMERIC_LOAN_COLUMNS) -> T.StructType:
-    """Doubles for the known numeric columns and strings for the rest."""
-    numbers = set(numeric)
-    return T.StructType([
-        T.StructField(c, T.DoubleType() if c in numbers else T.StringType()) for c in columns])
-
-
 def read_loans_csv(spark: SparkSession, path: str, numeric: Iterable[str] = NUMERIC_LOAN_COLUMNS,
-                   multi_line: bool = False) -> DataFrame:
+                   integers: Iterable[str] = IDENTIFIER_COLUMNS, multi_line: bool = False) -> DataFrame:
     """Scan a loan CSV with a header.
 
-    The header alone decides the schema, so there is no inference pass over the data. A file
-    with line breaks inside quoted text needs ``multi_line``, which makes a file unsplittable;
-    keep it off for large files without such text.
+    Known columns decide the types, so there is no inference pass over the data; what does not
+    parse is missing. A file with line breaks inside quoted text needs ``multi_line``, which makes
+    a file unsplittable; keep it off for large files without such text.
     """
     options = {"header": True, "quote": '"', "escape": '"', "multiLine": multi_line}
     columns = spark.read.options(**options).csv(path).columns
-    raw = spark.read.schema(loan_schema(columns, ())).options(**options).csv(path)
-    numbers = set(numeric)
-    return normalise_missing(raw).select(*[
-        F.col(f"`{c}`").try_cast("double").alias(c) if c in numbers else F.col(f"`{c}`")
-        for c in columns])
+    texts = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+    raw = normalise_missing(spark.read.schema(texts).options(**options).csv(path))
+    kinds = {**dict.fromkeys(numeric, "double"), **dict.fromkeys(integers, "bigint")}
+    return raw.select(*[F.col(f"`{c}`").try_cast(kinds[c]).alias(c) if c in kinds else F.col(f"`{c}`")
+                        for c in columns])
 
 
 def read_loans_parquet(spark: SparkSession, path: str) -> DataFrame:

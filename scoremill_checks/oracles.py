@@ -322,7 +322,7 @@ def oracle_sql() -> dict[str, str]:
     flagged = with_loans(lab, *split())
     both = with_loans(*scorecard_test(), *metric_ctes("scores"), RULE_CTE,
                       *metric_ctes("rule_scores", "r"), MAJORITY_CTE, *metric_ctes("major_scores", "j"))
-    csv_numbers = ("loan_id", "id", "member_id", "loan_amnt", "annual_inc", *CLEAN_NUMBERS,
+    csv_numbers = ("loan_id", "loan_amnt", "annual_inc", *CLEAN_NUMBERS,
                    "mths_since_last_delinq", "funded_amnt", "installment", "total_pymnt",
                    "recoveries", "dti_joint")
     matrix_names = ("loan_amnt", "annual_inc", "n_items", "avg_disc", "sum_qty", "int_rate", "dti",

@@ -21,7 +21,7 @@ from scoremill.sources import loans as source
 from scoremill.sources.session import tuned
 from scoremill.sources.sinks import write_csv
 from scoremill.sources.staging import new_path, stage
-from scoremill.spec import ATTRIBUTION_SAMPLE, ScorecardSpec
+from scoremill.spec import ATTRIBUTION_SAMPLE, IDENTIFIER_COLUMNS, ScorecardSpec
 from scoremill_checks.loan_view import KEY, TARGET, cleaned, loans
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,7 +66,7 @@ def load_loans(spark, sf):
     path = new_path(spark, "loans-csv")
     write_csv(kept, path)
     mode, found = source.resolve_source(spark, ("raw", path + "-absent"), ("fallback", path))
-    numeric = [c for c, t in kept.dtypes if t in ("double", "bigint", "int")]
+    numeric = [c for c, t in kept.dtypes if t in ("double", "bigint") and c not in IDENTIFIER_COLUMNS]
     read = source.read_loans_csv(spark, found, numeric)
     return read.select(F.lit(mode).alias("data_mode"), "*")
 

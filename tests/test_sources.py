@@ -20,6 +20,12 @@ def test_csv_reading(spark, tmp_path):
         ("Default", None, 1000.0, "B", "ok", None)]
 
 
+def test_identifiers_are_whole_numbers(spark, tmp_path):
+    path = tmp_path / "loans.csv"
+    path.write_text("id,member_id,dti\n1077501,,7\n")
+    assert [tuple(r) for r in source.read_loans_csv(spark, str(path)).collect()] == [(1077501, None, 7.0)]
+
+
 def test_probe_and_required_columns(spark):
     df = spark.createDataFrame([("Current", 1.0, 2.0, "A", 9)] * 8,
                                "loan_status string, loan_amnt double, dti double, grade string, x int")

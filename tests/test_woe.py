@@ -1,5 +1,7 @@
 import math
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -115,3 +117,24 @@ def test_sketch_counts_nan_as_missing(spark):
     df = frame(spark, [(float("nan"),), (1.0,), (None,)], "x double")
     sketch = binning.sketch_columns(df, ["x"])
     assert (sketch.rows, sketch.present["x"], sketch.distinct["x"]) == (3, 1, 1)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_bins_and_weights_equal_pandas_cuts(spark, seed):
+    rng = np.random.default_rng(seed)
+    pdf = pd.DataFrame({"spread": rng.normal(0, 50, 700).round(seed), "steps": rng.integers(0, 13, 700) / 4,
+                        "skewed": np.where(rng.random(700) < 0.6, 0.0, rng.exponential(9, 700).round(1)),
+                        "y": (rng.random(700) < 0.3).astype(int)})
+    df = spark.createDataFrame(pdf).repartition(4)
+    names = ["spread", "steps", "skewed"]
+    rows = table(df, fit_bins(df, names, []))
+    for name in names:
+        edges = np.unique(pd.qcut(pdf[name], 10, retbins=True, duplicates="drop")[1])
+        edges[0], edges[-1] = -np.inf, np.inf
+        counts = pd.crosstab(pd.cut(pdf[name], edges), pdf["y"]) + 0.0001
+        share = counts / counts.sum()
+        woe = np.log(share[0] / share[1])
+        own = [r for r in rows if r["feature"] == name]
+        assert [r["good_count"] for r in own] == list(counts[0])
+        assert [r["woe"] for r in own] == pytest.approx(list(woe))
+        assert sum(r["iv"] for r in own) == pytest.approx(((share[0] - share[1]) * woe).sum())
