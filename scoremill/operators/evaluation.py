@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scoremill.functions.expressions import as_number
-from scoremill.spec import AUC_THRESHOLD, LIFT_THRESHOLD, RULE_DTI, RULE_GRADES
+from scoremill.spec import (
+    AUC_THRESHOLD, LIFT_THRESHOLD, RULE_DTI, RULE_GRADES, VERDICT_FORMAT, VERDICT_WORDS)
 
 ROWS_PER_BUCKET = 2_000_000
 MAX_BUCKETS = 1024
@@ -142,9 +143,8 @@ def verdict(auc_threshold: float = AUC_THRESHOLD, lift_threshold: float = LIFT_T
     def word(condition: Column) -> Column:
         return F.when(condition, "True").otherwise("False")
     return F.format_string(
-        f"%s: {primary_name} AUC = %.4f, LR baseline AUC = %.4f, lift = %.4f (required >= "
-        f"{lift_threshold}), AUC threshold passed = %s, lift threshold passed = %s",
-        F.when(F.col("passed"), "SUPPORTED").otherwise("NOT SUPPORTED"),
+        VERDICT_FORMAT.format(primary=primary_name, lift=lift_threshold),
+        F.when(F.col("passed"), VERDICT_WORDS[0]).otherwise(VERDICT_WORDS[1]),
         F.col("primary_auc"), F.col("baseline_auc"), F.col("lift"),
         word(F.col("primary_auc") >= auc_threshold), word(F.col("lift") >= lift_threshold))
 

@@ -76,6 +76,12 @@ TARGET_SCORE, TARGET_ODDS, POINTS_TO_DOUBLE = 600.0, 50.0, 20.0
 RULE_GRADES, RULE_DTI = ("E", "F", "G"), 30.0
 ATTRIBUTION_SAMPLE = 5000
 
+# Wording of the verdict on a comparison.
+VERDICT_WORDS = ("SUPPORTED", "NOT SUPPORTED")
+VERDICT_FORMAT = (
+    "%s: {primary} AUC = %.4f, LR baseline AUC = %.4f, lift = %.4f (required >= {lift}), "
+    "AUC threshold passed = %s, lift threshold passed = %s")
+
 
 @dataclass(frozen=True)
 class ScorecardSpec:
