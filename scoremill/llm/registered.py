@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from scoremill.llm import bpe, exact_dedup, packing
+from scoremill.llm import (
+    bpe, chat, exact_dedup, html_text, licenses, near_dedup, packing, quality, suffix_tree, toxicity)
 from scoremill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +18,11 @@ TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def op1_toxicity(spark, sf):
+    docs = table(spark, sf, "documents")
+    return toxicity.severity(docs, toxicity.fit(docs, table(spark, sf, "labels")))
+
+
 def op2_byte_bpe(spark, sf):
     return bpe.round_trip(table(spark, sf, "documents"), MULTI_RANKS, public_tokenizers.PATTERN)
 
@@ -25,14 +31,39 @@ def op3_packing(spark, sf):
     return packing.pack(table(spark, sf, "documents"), TOKENIZER, RANKS, public_tokenizers.PATTERN)
 
 
+def op4_near_dedup(spark, sf):
+    return near_dedup.near_duplicates(table(spark, sf, "documents"))
+
+
+def op5_html_extraction(spark, sf):
+    return html_text.extract(table(spark, sf, "pages"))
+
+
+def op6_suffix_tree(spark, sf):
+    return suffix_tree.score(table(spark, sf, "documents"))
+
+
+def op7_license_scan(spark, sf):
+    return licenses.licenses(table(spark, sf, "documents"))
+
+
+def op8_preference_chat(spark, sf):
+    return chat.preference_examples(table(spark, sf, "conversations"))
+
+
+def op9_quality_rules(spark, sf):
+    return quality.quality(table(spark, sf, "documents"))
+
+
 def op10_exact_dedup(spark, sf):
     return exact_dedup.exact_duplicates(table(spark, sf, "documents"))
 
 
 def queries() -> dict[str, Query]:
-    found = [op2_byte_bpe, op3_packing, op10_exact_dedup]
+    found = [op1_toxicity, op2_byte_bpe, op3_packing, op4_near_dedup, op5_html_extraction, op6_suffix_tree,
+             op7_license_scan, op8_preference_chat, op9_quality_rules, op10_exact_dedup]
     return {q.__name__: q for q in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_exact_dedup": exact_dedup.ORACLE_SQL}
+    return {"op8_preference_chat": chat.ORACLE_SQL, "op10_exact_dedup": exact_dedup.ORACLE_SQL}
