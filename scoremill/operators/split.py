@@ -8,12 +8,37 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKET_DIGITS = 3   # 4,096 hash buckets per class
+from scoremill.sources.staging import stage
+
+DIGITS = 3             # hash digits looked at in one round: 4,096 buckets per class
+SMALL_BUCKET = 50_000  # rows of a bucket that are ranked; a larger one is split by further digits
+
+# The key of frames that have none: a hash of the whole row, then a number of its own.
+ROW_KEY = "__row"
+_CONTENT = 32
+
+
+def with_row_key(df: DataFrame) -> DataFrame:
+    """A written copy of ``df`` with ``ROW_KEY``, for frames without an identifier.
+
+    Rows are told apart by what they hold; only among equal rows does the order of reading decide, and
+    there it makes no difference which of them is taken.
+    """
+    values = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\x00")) for c in df.columns]
+    content = F.md5(F.concat_ws("\x1f", *values).cast("binary"))
+    return stage(df.withColumn(ROW_KEY, F.concat(
+        content, F.monotonically_increasing_id().cast("string"))), "keyed-rows")
 
 
 def key_hash(key: str, purpose: str, seed: int) -> Column:
-    """md5 of the key with a purpose, so that splits and samples are independent."""
-    return F.md5(F.concat(F.col(key).cast("string"), F.lit(f"|{purpose}|{seed}")).cast("binary"))
+    """md5 of the key with a purpose, so that splits and samples are independent. A null key hashes
+    like an empty one. A row key's hash is that of its content, then that of its number."""
+    def hashed(value: Column) -> Column:
+        return F.md5(F.concat(value, F.lit(f"|{purpose}|{seed}")).cast("binary"))
+    text = F.coalesce(F.col(key).cast("string"), F.lit(""))
+    if key == ROW_KEY:
+        return F.concat(hashed(F.substring(text, 1, _CONTENT)), hashed(text))
+    return hashed(text)
 
 
 def test_sizes(class_counts: Mapping[object, int], share: float) -> dict[object, int]:
@@ -32,51 +57,61 @@ def add_split(df: DataFrame, key: str, stratum: str, share: float, seed: int = 4
               column: str = "is_test") -> DataFrame:
     """Add a boolean test flag with an exact share of every class (M1).
 
-    Rows are ordered by a hash of their key inside each class. Counting hash buckets finds the
-    bucket where a class is cut; only that sliver is ranked. The flag itself is then a plain
-    comparison on each row: the data is never shuffled, and any frame with the same keys can be
-    flagged again. Rows with equal keys stay together.
+    Rows are ordered by a hash of their key inside each class. Hash buckets are counted to find the one
+    where a class is cut, and that bucket is split by further digits until few rows are left to rank.
+    The flag itself is then a plain comparison on each row: the data is never shuffled, and any frame
+    with the same keys can be flagged again. Rows with equal keys stay together.
     """
     cuts = _cut_points(df, key, stratum, share, seed)
     h = key_hash(key, "split", seed)
     flag = F.lit(False)
-    for value, (cut_hash, cut_key) in cuts.items():
-        at_or_below = (h < cut_hash) | ((h == cut_hash) & (F.col(key) <= F.lit(cut_key)))
-        flag = F.when(F.col(stratum) == F.lit(value), at_or_below).otherwise(flag)
+    for value, cut in cuts.items():
+        flag = F.when(F.col(stratum) == F.lit(value), h <= F.lit(cut)).otherwise(flag)
     return df.withColumn(column, flag)
 
 
-def _cut_points(df, key, stratum, share, seed):
-    """Per class, the hash and key of the last test row."""
-    keyed = df.select(F.col(stratum).alias("stratum"), F.col(key).alias("key"),
-                      key_hash(key, "split", seed).alias("h")).where(F.col("stratum").isNotNull())
-    # At most classes x 4,096 counts reach the driver.
-    buckets = (keyed.groupBy("stratum", F.substring("h", 1, BUCKET_DIGITS).alias("bucket"))
-               .agg(F.count(F.lit(1)).alias("n")).collect())
-    counts: dict[object, int] = {}
-    for b in buckets:
-        counts[b["stratum"]] = counts.get(b["stratum"], 0) + b["n"]
-    sizes = test_sizes(counts, share)
-    places, passed = [], dict.fromkeys(counts, 0)
-    for b in sorted(buckets, key=lambda b: b["bucket"]):
-        before = passed[b["stratum"]]
-        passed[b["stratum"]] = before + b["n"]
-        if before < sizes[b["stratum"]] <= before + b["n"]:
-            places.append((b["stratum"], b["bucket"], sizes[b["stratum"]] - before))
-    if not places:
+def _cut_points(df, key, stratum, share, seed, small=None):
+    """Per class, the hash of the last test row."""
+    small = SMALL_BUCKET if small is None else small
+    keyed = stage(df.select(F.col(stratum).alias("stratum"), key_hash(key, "split", seed).alias("h"))
+                  .where(F.col("stratum").isNotNull()), "split-hashes")
+    counts = {r["stratum"]: r["n"] for r in keyed.groupBy("stratum").agg(F.count(F.lit(1)).alias("n")).collect()}
+    # For each class: the prefix its cut lies in, and the cut row's place among the rows with it.
+    open_cuts = {c: ("", n) for c, n in test_sizes(counts, share).items() if n > 0}
+    sizes, width = dict(counts), 2 * _CONTENT if key == ROW_KEY else _CONTENT
+    depth = 0
+    while open_cuts and depth < width and max(sizes[c] for c in open_cuts) > small:
+        # At most classes x 4,096 counts reach the driver.
+        rows = (_inside(keyed, open_cuts).groupBy("stratum", F.substring("h", depth + 1, DIGITS).alias("next"))
+                .agg(F.count(F.lit(1)).alias("n")).collect())
+        depth += DIGITS
+        passed = dict.fromkeys(open_cuts, 0)
+        found = {}
+        for r in sorted(rows, key=lambda r: r["next"]):
+            c, (prefix, place) = r["stratum"], open_cuts[r["stratum"]]
+            before = passed[c]
+            passed[c] += r["n"]
+            if before < place <= passed[c]:
+                found[c], sizes[c] = (prefix + r["next"], place - before), r["n"]
+        open_cuts = found
+    if not open_cuts:
         return {}
-    kind = keyed.schema["stratum"].dataType.simpleString()
-    wanted = df.sparkSession.createDataFrame(places, f"stratum {kind}, bucket string, place long")
-    order = (Window.partitionBy("stratum").orderBy("h", "key")
+    # Copies of a key collapse first; what is left of a class is one small bucket, or one hash.
+    order = (Window.partitionBy("stratum").orderBy("h")
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    # Copies of a key collapse before the window, which holds one bucket's rows per class.
-    inside = (keyed.withColumn("bucket", F.substring("h", 1, BUCKET_DIGITS))
-              .join(F.broadcast(wanted), ["stratum", "bucket"])
-              .groupBy("stratum", "place", "h", "key").agg(F.count(F.lit(1)).alias("n"))
+    place = F.coalesce(*[F.when(F.col("stratum") == F.lit(c), F.lit(p)) for c, (_, p) in open_cuts.items()])
+    inside = (_inside(keyed, open_cuts).groupBy("stratum", "h").agg(F.count(F.lit(1)).alias("n"))
               .withColumn("through", F.sum("n").over(order))
-              .where((F.col("through") >= F.col("place")) &
-                     (F.col("through") - F.col("n") < F.col("place"))))
-    return {r["stratum"]: (r["h"], r["key"]) for r in inside.collect()}
+              .where((F.col("through") >= place) & (F.col("through") - F.col("n") < place)))
+    return {r["stratum"]: r["h"] for r in inside.collect()}
+
+
+def _inside(keyed, open_cuts):
+    """The rows whose hash starts with their class's prefix."""
+    wanted = F.lit(False)
+    for c, (prefix, _) in open_cuts.items():
+        wanted = F.when(F.col("stratum") == F.lit(c), F.col("h").startswith(prefix)).otherwise(wanted)
+    return keyed.where(wanted)
 
 
 def fixed_sample(df: DataFrame, key: str, size: int, seed: int = 42) -> DataFrame:

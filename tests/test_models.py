@@ -71,6 +71,17 @@ def test_boosted_trees_score_probabilities_that_rank(frame, boosted):
     assert score_metrics(scored).first()["auc"] > 0.75
 
 
+def test_best_prefix_waits_for_patience():
+    assert models.best_prefix([5, 4, 3, 4, 4, 2], 10) == (6, False)
+    assert models.best_prefix([5, 4, 3, 4, 4, 2], 2) == (3, True)
+    assert models.best_prefix([1.0], 3) == (1, False)
+
+
+def test_small_steps_keep_boosting(frame):
+    model = models.fit_boosted_trees(frame, FEATURES, "y", "id", trees=40, learning_rate=0.05, depth=2, patience=5)
+    assert model.getNumTrees > 10
+
+
 def stored_trees(spark, model, tmp_path):
     model.write().overwrite().save(str(tmp_path / "trees"))
     trees = {}

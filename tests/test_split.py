@@ -4,7 +4,8 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from scoremill.operators.split import add_split, fixed_sample, test_sizes as sizes_per_class
+from scoremill.operators import split
+from scoremill.operators.split import ROW_KEY, add_split, fixed_sample, test_sizes as sizes_per_class, with_row_key
 
 
 def by_hash(key, purpose):
@@ -26,6 +27,31 @@ def test_same_rows_as_ranking_each_class(frame, share, partitions):
         assert {r["id"] for r in flagged if r["y"] == y and r["is_test"]} == set(keys[:size])
 
 
+def test_refined_buckets_give_the_same_split(frame, monkeypatch):
+    whole = {r["id"] for r in add_split(frame, "id", "y", 0.2).where("is_test").collect()}
+    monkeypatch.setattr(split, "SMALL_BUCKET", 1)
+    monkeypatch.setattr(split, "DIGITS", 1)
+    assert {r["id"] for r in add_split(frame, "id", "y", 0.2).where("is_test").collect()} == whole
+
+
+def test_frames_without_a_key_split_exactly(spark, monkeypatch):
+    df = spark.range(400).select((F.col("id") % 3).alias("a"), F.lit(None).cast("string").alias("b"),
+                                 (F.col("id") % 2).cast("int").alias("y")).repartition(5)
+    sides = []
+    for small in (50_000, 1):
+        monkeypatch.setattr(split, "SMALL_BUCKET", small)
+        flagged = add_split(with_row_key(df), ROW_KEY, "y", 0.3)
+        rows = flagged.groupBy("a", "y").agg(F.count_if("is_test").alias("n")).orderBy("a", "y").collect()
+        assert flagged.where("is_test").count() == 120 and flagged.where("is_test AND y = 1").count() == 60
+        sides.append([tuple(r) for r in rows])
+    assert sides[0] == sides[1]
+
+
+def test_null_keys_share_a_side(spark):
+    df = spark.range(100).select(F.when(F.col("id") > 20, F.col("id")).alias("id"), F.lit(1).alias("y"))
+    assert add_split(df, "id", "y", 0.5).where("id IS NULL").select("is_test").distinct().count() == 1
+
+
 def test_sizes_add_up_by_largest_remainder():
     for counts in ({0: 547, 1: 653}, {0: 3, 1: 2}, {0: 10, 1: 11, 2: 13}, {0: 1}, {}):
         sizes = sizes_per_class(counts, 0.2)
