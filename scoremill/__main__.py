@@ -12,6 +12,7 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 
 from scoremill.operators.cleaning import clean
+from scoremill.operators.split import ROW_KEY
 from scoremill.operators.target import add_target
 from scoremill.plans.comparison import compare_models
 from scoremill.plans.outputs import write_comparison, write_profile, write_scorecard
@@ -42,7 +43,7 @@ def arguments(argv: list[str] | None) -> argparse.Namespace:
         if name != "probe":
             sub.add_argument("--out", required=True)
         if name in ("compare", "scorecard"):
-            sub.add_argument("--key", default="id")
+            sub.add_argument("--key", help="a column that identifies a row; by default all columns do")
             sub.add_argument("--seed", type=int, default=42)
         if name == "compare":
             sub.add_argument("--trees", type=int, default=500)
@@ -72,7 +73,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         write_comparison(compare_models(loans, args.key, mode, args.trees, args.depth, seed=args.seed),
                          args.out)
     elif args.command == "scorecard":
-        spec = ScorecardSpec(key=args.key, policy=args.policy, seed=args.seed, fit_on=args.fit_on)
+        spec = ScorecardSpec(key=args.key or ROW_KEY, policy=args.policy, seed=args.seed, fit_on=args.fit_on)
         write_scorecard(fit_scorecard(loans, spec), args.out, args.points)
     else:
         write_csv(ScorecardModel.load(spark, args.card).score_file(loans), args.out)

@@ -1,8 +1,9 @@
 """Ranking and calibration metrics of a scored table, exact and distributed.
 
-Rows are collapsed to one row per distinct score first. Distinct scores are spread over buckets
-of consecutive scores, balanced by a sketch; running counts are taken inside each bucket, and
-the few bucket totals supply the offsets. No window ever spans the whole table.
+Rows are collapsed to one row per distinct score, which is written once: whatever it took to score a
+row is not done again. Distinct scores are spread over buckets of neighbouring scores, as many as keep a
+bucket small; running counts are taken inside each bucket, and the bucket totals supply the offsets. No
+window ever spans the whole table.
 """
 
 from __future__ import annotations
@@ -12,34 +13,36 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scoremill.functions.expressions import as_number
+from scoremill.sources.staging import stage
 from scoremill.spec import (
     AUC_THRESHOLD, LIFT_THRESHOLD, RULE_DTI, RULE_GRADES, VERDICT_FORMAT, VERDICT_WORDS)
 
-ROWS_PER_BUCKET = 2_000_000
-MAX_BUCKETS = 1024
+ROWS_PER_BUCKET = 1_000_000
 
 BASELINE_NAME = "Logistic Regression"
 
 
-def _totals(df: DataFrame, score: str, y: Column):
-    """One scan: class sizes, Brier score and a sketch of the score distribution."""
-    fractions = F.array(*[F.lit(k / MAX_BUCKETS) for k in range(1, MAX_BUCKETS)])
-    p = F.col(score)
-    scored = df.where(p.isNotNull() & y.isNotNull())
-    row = scored.agg(
-        F.count_if(y == 0).alias("n0"), F.count_if(y == 1).alias("n1"),
-        F.avg((p - y) * (p - y)).alias("brier"),
-        F.percentile_approx(p, fractions, 4 * MAX_BUCKETS).alias("splits")).first()
-    return scored, row
-
-
-def _bucketed(scored: DataFrame, score: str, y: Column, total: int, splits) -> DataFrame:
-    """Distinct scores with class counts and their bucket; buckets ascend with the score."""
-    wanted = min(MAX_BUCKETS, total // ROWS_PER_BUCKET + 1)
-    step = MAX_BUCKETS // wanted
-    inner = sorted(set((splits or [])[step - 1::step])) if wanted > 1 else []
-    distinct = (scored.groupBy(F.col(score).alias("score"))
-                .agg(F.count_if(y == 0).alias("n0"), F.count_if(y == 1).alias("n1")))
+def _collapsed(df: DataFrame, score: str, y: Column):
+    """A row per distinct score with its class counts, written; and the table's totals."""
+    p = as_number(F.col(score))
+    distinct = stage(df.select(p.alias("score"), y.alias("y")).where("score IS NOT NULL AND y IS NOT NULL")
+                     .groupBy("score").agg(F.count_if(F.col("y") == 0).alias("n0"),
+                                           F.count_if(F.col("y") == 1).alias("n1")), "scores")
+    p = F.col("score")
+    totals = distinct.agg(
+        F.coalesce(F.sum("n0"), F.lit(0)).alias("n0"), F.coalesce(F.sum("n1"), F.lit(0)).alias("n1"),
+        F.count(F.lit(1)).alias("scores"),
+        F.sum(F.col("n0") * p * p + F.col("n1") * (1 - p) * (1 - p)).alias("error")).first()
+    return distinct, totals
+
+
+def _bucketed(distinct: DataFrame, scores: int, rows_per_bucket: int | None) -> DataFrame:
+    """Adds ``bucket``, ascending with the score; a sketch of the scores sets the borders."""
+    wanted = scores // (rows_per_bucket or ROWS_PER_BUCKET) + 1
+    inner = []
+    if wanted > 1:
+        fractions = F.array(*[F.lit(k / wanted) for k in range(1, wanted)])
+        inner = sorted(set(distinct.agg(F.percentile_approx("score", fractions, 4 * wanted)).first()[0]))
     if not inner:
         return distinct.withColumn("bucket", F.lit(0.0))
     return Bucketizer(splits=[float("-inf"), *inner, float("inf")],
@@ -47,21 +50,22 @@ def _bucketed(scored: DataFrame, score: str, y: Column, total: int, splits) -> D
 
 
 def score_metrics(df: DataFrame, score: str = "score", target: str = "default_status",
-                  positives: Column | None = None) -> DataFrame:
+                  positives: Column | None = None, rows_per_bucket: int | None = None) -> DataFrame:
     """One row ``n, n_bad, auc, gini, ks, brier`` (E1-E4); null where a class is empty.
 
     AUC counts ties half. KS needs, per bucket, only the extremes of the local difference
     between the two distribution functions, shifted by the bucket's offset.
     """
     y = F.col(target) if positives is None else positives
-    scored, row = _totals(df.withColumn(score, as_number(F.col(score))), score, y)
+    distinct, row = _collapsed(df, score, y)
     n0, n1 = row["n0"], row["n1"]
+    brier = row["error"] / (n0 + n1) if n0 + n1 else None
     spark = df.sparkSession
     if not n0 or not n1:
         return spark.createDataFrame(
-            [(n0 + n1, n1, None, None, None, row["brier"])],
+            [(n0 + n1, n1, None, None, None, brier)],
             "n long, n_bad long, auc double, gini double, ks double, brier double")
-    buckets = _bucketed(scored, score, y, n0 + n1, row["splits"])
+    buckets = _bucketed(distinct, row["scores"], rows_per_bucket)
     inside = Window.partitionBy("bucket").orderBy("score").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     running = buckets.select("bucket", "n0", "n1", F.sum("n0").over(inside).alias("c0"),
@@ -72,7 +76,7 @@ def score_metrics(df: DataFrame, score: str = "score", target: str = "default_st
         F.sum("n0").alias("t0"), F.sum("n1").alias("t1"),
         F.sum(F.col("n1") * (F.col("c0") - F.col("n0") / 2.0)).alias("wins"),
         F.max(gap).alias("top"), F.min(gap).alias("low"))
-    # At most MAX_BUCKETS rows from here on.
+    # A row per bucket from here on.
     before = Window.partitionBy(F.lit(0)).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     placed = (local.withColumn("b0", F.coalesce(F.sum("t0").over(before), F.lit(0)))
               .withColumn("b1", F.coalesce(F.sum("t1").over(before), F.lit(0))))
@@ -82,22 +86,22 @@ def score_metrics(df: DataFrame, score: str = "score", target: str = "default_st
         F.lit(n0 + n1).cast("long").alias("n"), F.lit(n1).cast("long").alias("n_bad"),
         auc.alias("auc"), (2 * auc - 1).alias("gini"),
         F.max(F.greatest(F.abs(shift + F.col("top")), F.abs(shift + F.col("low")))).alias("ks"),
-        F.lit(row["brier"]).alias("brier"))
+        F.lit(brier).alias("brier"))
 
 
 def roc_curve(df: DataFrame, score: str = "score", target: str = "default_status",
-              drop_collinear: bool = False) -> DataFrame:
+              drop_collinear: bool = False, rows_per_bucket: int | None = None) -> DataFrame:
     """ROC points ``threshold, fpr, tpr`` from the highest score down, after (0, 0) (E5).
 
     One point per distinct score. ``drop_collinear`` leaves out points in the middle of a
     straight run, as plotting libraries do. Rates are null for an empty class.
     """
     y = F.col(target)
-    scored, row = _totals(df.withColumn(score, as_number(F.col(score))), score, y)
+    distinct, row = _collapsed(df, score, y)
     n0, n1 = row["n0"], row["n1"]
-    buckets = _bucketed(scored, score, y, n0 + n1, row["splits"])
+    buckets = _bucketed(distinct, row["scores"], rows_per_bucket)
     down = Window.partitionBy("bucket").orderBy(F.desc("score"))
-    # At most MAX_BUCKETS rows: totals, and each bucket's first step for its upper neighbour.
+    # A row per bucket: totals, and each bucket's first step for its upper neighbour.
     totals = buckets.groupBy("bucket").agg(
         F.sum("n0").alias("t0"), F.sum("n1").alias("t1"),
         F.max_by(F.struct("n0", "n1"), "score").alias("first_step"))
@@ -138,12 +142,12 @@ def gate(metrics: DataFrame, auc_threshold: float = AUC_THRESHOLD,
 
 
 def verdict(auc_threshold: float = AUC_THRESHOLD, lift_threshold: float = LIFT_THRESHOLD,
-            primary_name: str = "Boosted trees") -> Column:
+            primary_name: str = "Boosted trees", baseline_name: str = "LR baseline") -> Column:
     """The hypothesis sentence (E8) for a row with ``primary_auc, baseline_auc, lift, passed``."""
     def word(condition: Column) -> Column:
         return F.when(condition, "True").otherwise("False")
     return F.format_string(
-        VERDICT_FORMAT.format(primary=primary_name, lift=lift_threshold),
+        VERDICT_FORMAT.format(primary=primary_name, baseline=baseline_name, lift=lift_threshold),
         F.when(F.col("passed"), VERDICT_WORDS[0]).otherwise(VERDICT_WORDS[1]),
         F.col("primary_auc"), F.col("baseline_auc"), F.col("lift"),
         word(F.col("primary_auc") >= auc_threshold), word(F.col("lift") >= lift_threshold))

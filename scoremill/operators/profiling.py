@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,7 +13,6 @@ from scoremill.functions.expressions import as_number
 from scoremill.operators.quantiles import exact_quantiles
 from scoremill.spec import PROFILED_CATEGORIES, PROFILED_NUMBERS
 
-PAIRWISE_COLUMNS = 10   # up to here correlations are built-in aggregates
 GROUPS_PER_PASS = 50    # groups whose quantiles are taken together
 BROADCAST_GROUPS = 10_000   # group tables up to this length are broadcast
 
@@ -114,24 +111,12 @@ def describe_by_class(df: DataFrame, target: str, variables: Sequence[str] = PRO
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson correlations of all ordered pairs, diagonal included, as rows ``var1, var2, corr``.
 
-    Each pair uses the rows where both values are present; null where one of them is constant
-    there (A11). A few columns are aggregated by built-ins. Many would need pairwise aggregates in
-    the hundreds, so there each task forms the matrix of sums of its rows in one scan, and only
-    those sums are shuffled.
+    Each pair uses the rows where both values are present; null where one of them is constant there
+    (A11). Pairs are aggregated by built-ins, a few of one column at a time: a scan reads the columns
+    of its pairs only.
     """
     names = list(columns)
     numbers = df.select(*[as_number(F.col(c)).alias(c) for c in names])
-    if len(names) <= PAIRWISE_COLUMNS:
-        pairs = _pairs_builtin(numbers, names)
-    else:
-        pairs = _pairs_by_task(numbers, names)
-    as_found = F.struct("var1", "var2", "corr")
-    mirrored = F.struct(F.col("var2").alias("var1"), F.col("var1").alias("var2"), "corr")
-    return pairs.select(F.inline(F.when(F.col("var1") == F.col("var2"), F.array(as_found))
-                                 .otherwise(F.array(as_found, mirrored))))
-
-
-def _pairs_builtin(numbers, names):
     rows = []
     for i, a in enumerate(names):
         for b in names[i:]:
@@ -139,41 +124,11 @@ def _pairs_builtin(numbers, names):
             x, y = F.when(both, F.col(a)), F.when(both, F.col(b))
             corr = F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
             rows.append(F.struct(F.lit(a).alias("var1"), F.lit(b).alias("var2"), corr.alias("corr")))
-    return aggregate_rows(numbers, rows)
-
-
-def _pairs_by_task(numbers, names):
-    shift = numbers.agg(*[F.avg(c).alias(c) for c in names]).first()
-    centre = [shift[c] or 0.0 for c in names]
-    size = len(names)
-
-    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        totals = np.zeros((5, size, size))
-        for batch in batches:
-            x = batch.to_numpy(dtype=float) - centre
-            seen = ~np.isnan(x)
-            x, one = np.where(seen, x, 0.0), seen.astype(float)
-            # Row i, column j: count, Σx_i, Σx_j, Σx_i², Σx_i·x_j over rows with both present.
-            totals += [one.T @ one, x.T @ one, one.T @ x, (x * x).T @ one, x.T @ x]
-        at, to = np.meshgrid(range(size), range(size), indexing="ij")
-        yield pd.DataFrame({"i": at.ravel(), "j": to.ravel(),
-                            **{k: t.ravel() for k, t in zip(("n", "si", "sj", "sii", "sij"), totals)}})
-
-    added = (numbers.mapInPandas(
-        sums, "i int, j int, n double, si double, sj double, sii double, sij double")
-        .groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "si", "sj", "sii", "sij")]))
-    # The pair's other sum of squares is the mirrored entry; the table has size² rows.
-    upper = added.where("i <= j")
-    other = added.select(F.col("j").alias("i"), F.col("i").alias("j"), F.col("sii").alias("sjj"))
-    labels = F.array(*[F.lit(c) for c in names])
-    vi = F.col("n") * F.col("sii") - F.col("si") * F.col("si")
-    vj = F.col("n") * F.col("sjj") - F.col("sj") * F.col("sj")
-    cov = F.col("n") * F.col("sij") - F.col("si") * F.col("sj")
-    # Rounding leaves a constant column a variance of about 1e-16 of its sum of squares.
-    steady = lambda v, s: F.when(v > F.col("n") * F.col(s) * 1e-12, v)
-    return upper.join(F.broadcast(other), ["i", "j"]).select(
-        labels[F.col("i")].alias("var1"), labels[F.col("j")].alias("var2"),
-        F.try_divide(cov, F.sqrt(steady(vi, "sii")) * F.sqrt(steady(vj, "sjj"))).alias("corr"))
+    pairs = aggregate_rows(numbers, rows)
+    as_found = F.struct("var1", "var2", "corr")
+    mirrored = F.struct(F.col("var2").alias("var1"), F.col("var1").alias("var2"), "corr")
+    return pairs.select(F.inline(F.when(F.col("var1") == F.col("var2"), F.array(as_found))
+                                 .otherwise(F.array(as_found, mirrored))))
 
 
 def correlation_with_target(matrix: DataFrame, target: str, top: int = 15) -> DataFrame:

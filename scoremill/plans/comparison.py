@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scoremill.operators.attribution import attribution_ranking, tree_attribution
@@ -14,10 +14,10 @@ from scoremill.operators.evaluation import (
 from scoremill.operators.models import (
     LinearModel, feature_matrix, fit_boosted_trees, fit_logistic, model_features, scaling,
     score_trees, standardise)
-from scoremill.operators.split import add_split, fixed_sample
+from scoremill.operators.split import ROW_KEY, add_split, with_row_key
 from scoremill.operators.target import add_target
 from scoremill.sources.staging import stage
-from scoremill.spec import ATTRIBUTION_SAMPLE, LIFT_THRESHOLD, AUC_THRESHOLD
+from scoremill.spec import AUC_THRESHOLD, LIFT_THRESHOLD
 
 PRIMARY_NAME = "Boosted trees"
 
@@ -33,10 +33,15 @@ class Comparison:
     manifest: DataFrame       # one row
 
 
-def prepared(df: DataFrame, key: str, target: str = "defaultstatus", policy: str = "four_status",
+def prepared(df: DataFrame, key: str | None, target: str = "defaultstatus", policy: str = "four_status",
              share: float = 0.2, seed: int = 42, features: Sequence[str] | None = None,
              fit_on: str = "train") -> tuple[DataFrame, list[str]]:
-    """Labelled, split and median-filled feature matrix with ``key, target, is_test``."""
+    """Labelled, split and median-filled feature matrix with ``key, target, is_test``.
+
+    Without a key the rows get one of their own, ``ROW_KEY``.
+    """
+    if key is None:
+        df, key = with_row_key(df), ROW_KEY
     labelled = df if target in df.columns else add_target(df, policy, target=target)
     names = list(features or model_features(labelled, key, target))
     split = add_split(labelled.select(key, target, *names), key, target, share, seed)
@@ -58,6 +63,21 @@ def score_baseline(matrix: DataFrame, model: LinearModel, scales: dict, keep: Se
     return standardise(matrix, scales).select(*keep, model.probability().alias(column))
 
 
+def primary_record(metrics: DataFrame, baseline_auc: float, name: str = PRIMARY_NAME) -> DataFrame:
+    """The stored record of the primary model (E6, E7) with its gate against the baseline."""
+    judged = gate(metrics.select("*", F.col("auc").alias("primary_auc"), F.lit(baseline_auc).alias("baseline_auc")))
+    return judged.select(
+        F.lit(name).alias("model"), F.lit("ROC-AUC").alias("metric_name"), F.bround("auc", 6).alias("value"),
+        "passed", "threshold", F.bround("lift", 6).alias("lift_over_baseline"), "lift_threshold",
+        F.bround("baseline_auc", 6).alias("baseline_logreg_auc"),
+        F.bround("ks", 6).alias("KS"), F.bround("brier", 6).alias("Brier"))
+
+
+def model_table(spark: SparkSession, found: Sequence[tuple[str, float]]) -> DataFrame:
+    """``model, roc_auc``, one row a model."""
+    return spark.createDataFrame(list(found), "model string, roc_auc double")
+
+
 def manifest(rows: DataFrame, features: int, source_mode: str, primary_name: str = PRIMARY_NAME) -> DataFrame:
     """Run record (S10, E8) from one row ``data_rows_after_filter, test_set_size, primary_auc,
     baseline_auc``."""
@@ -72,36 +92,30 @@ def manifest(rows: DataFrame, features: int, source_mode: str, primary_name: str
         verdict(primary_name=primary_name).alias("hypothesis_result"))
 
 
-def compare_models(df: DataFrame, key: str, source_mode: str = "raw", trees: int = 500,
+def compare_models(df: DataFrame, key: str | None = None, source_mode: str = "raw", trees: int = 500,
                    depth: int = 6, policy: str = "four_status", target: str = "defaultstatus",
                    features: Sequence[str] | None = None, seed: int = 42) -> Comparison:
-    """The whole comparison; the prepared matrix is written once and read by each step."""
+    """The whole comparison; the prepared matrix is written once and read by each step.
+
+    Every test row is attributed, where it lies.
+    """
+    spark = df.sparkSession
     matrix, names = prepared(df, key, target, policy, seed=seed, features=features)
+    key = key or ROW_KEY
     matrix = stage(matrix, "comparison-matrix")
     train, test = matrix.where(~F.col("is_test")), matrix.where("is_test")
     model, scales = fit_baseline(matrix, names, target)
-    baseline = score_metrics(score_baseline(test, model, scales, [target]), target=target)
+    found = score_metrics(score_baseline(test, model, scales, [target]), target=target).first()
     boosted = fit_boosted_trees(train, names, target, key, trees=trees, depth=depth, seed=seed)
-    primary = score_metrics(score_trees(boosted, test, names).select(target, "score"), target=target)
-    b, p = baseline.first(), primary.first()
-    spark = df.sparkSession
+    best = score_metrics(score_trees(boosted, test, names).select(target, "score"), target=target).first()
     counts = matrix.agg(F.count(F.lit(1)).alias("n"), F.count_if("is_test").alias("t")).first()
-    both = spark.createDataFrame([(counts["n"], counts["t"], p["auc"], b["auc"])],
+    both = spark.createDataFrame([(counts["n"], counts["t"], best["auc"], found["auc"])],
                                  "data_rows_after_filter long, test_set_size long, "
                                  "primary_auc double, baseline_auc double")
     columns = "n long, n_bad long, auc double, gini double, ks double, brier double"
-    judged = gate(both).first()
-    primary_record = metric_record(spark.createDataFrame([tuple(p)], columns), PRIMARY_NAME).select(
-        "model", "metric_name", "value", F.lit(judged["passed"]).alias("passed"),
-        F.lit(AUC_THRESHOLD).alias("threshold"),
-        F.bround(F.lit(judged["lift"]), 6).alias("lift_over_baseline"),
-        F.lit(LIFT_THRESHOLD).alias("lift_threshold"),
-        F.bround(F.lit(b["auc"]), 6).alias("baseline_logreg_auc"), "KS", "Brier")
-    sample = fixed_sample(test, key, ATTRIBUTION_SAMPLE, seed)
     return Comparison(
-        baseline=metric_record(spark.createDataFrame([tuple(b)], columns), BASELINE_NAME),
-        primary=primary_record,
-        models=spark.createDataFrame([("Baseline LR", b["auc"]), (PRIMARY_NAME, p["auc"])],
-                                     "model string, roc_auc double"),
-        ranking=attribution_ranking(tree_attribution(sample, boosted, names, key), key),
+        baseline=metric_record(spark.createDataFrame([tuple(found)], columns), BASELINE_NAME),
+        primary=primary_record(spark.createDataFrame([tuple(best)], columns), found["auc"]),
+        models=model_table(spark, [("Baseline LR", found["auc"]), (PRIMARY_NAME, best["auc"])]),
+        ranking=attribution_ranking(tree_attribution(test, boosted, names, key), key),
         manifest=manifest(both, len(names), source_mode))

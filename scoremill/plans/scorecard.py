@@ -19,7 +19,7 @@ from scoremill.operators.evaluation import score_metrics
 from scoremill.operators.models import LinearModel, fit_logistic, naive_model
 from scoremill.operators.points import base_points, scorecard
 from scoremill.operators.quantiles import exact_quantiles
-from scoremill.operators.split import add_split
+from scoremill.operators.split import ROW_KEY, add_split, with_row_key
 from scoremill.operators.target import add_target, is_member
 from scoremill.sources.staging import stage
 from scoremill.spec import ALL_ROWS_BAD, MODE_FALLBACK, SCORED_COLUMNS, ScorecardSpec
@@ -155,6 +155,8 @@ def with_target_and_split(df: DataFrame, spec: ScorecardSpec) -> DataFrame:
     """Target by policy, then the exact stratified test flag; kept where already present."""
     if "is_test" in df.columns:
         return df
+    if spec.key == ROW_KEY and ROW_KEY not in df.columns:
+        df = with_row_key(df)
     labelled = df if spec.target in df.columns else add_target(
         df, spec.policy, spec.status_column, spec.target)
     return add_split(labelled, spec.key, spec.target, spec.test_share, spec.seed)

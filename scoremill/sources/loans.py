@@ -17,22 +17,6 @@ MISSING_TOKENS = (
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 
-# Loan columns that hold numbers; identifiers are whole numbers, and every other
-# column is read as text.
-NUMERIC_LOAN_COLUMNS = (
-    "loan_amnt", "funded_amnt", "funded_amnt_inv", "int_rate", "installment",
-    "annual_inc", "dti", "delinq_2yrs", "inq_last_6mths", "mths_since_last_delinq",
-    "mths_since_last_record", "open_acc", "pub_rec", "revol_bal", "revol_util", "total_acc",
-    "out_prncp", "out_prncp_inv", "total_pymnt", "total_pymnt_inv", "total_rec_prncp",
-    "total_rec_int", "total_rec_late_fee", "recoveries", "collection_recovery_fee",
-    "last_pymnt_amnt", "collections_12_mths_ex_med", "mths_since_last_major_derog",
-    "policy_code", "annual_inc_joint", "dti_joint", "acc_now_delinq", "tot_coll_amt",
-    "tot_cur_bal", "open_acc_6m", "open_il_6m", "open_il_12m", "open_il_24m",
-    "mths_since_rcnt_il", "total_bal_il", "il_util", "open_rv_12m", "open_rv_24m", "max_bal_bc",
-    "all_util", "total_rev_hi_lim", "inq_fi", "total_cu_tl", "inq_last_12m",
-)
-
-
 def resolve_source(spark: SparkSession, *candidates: tuple[str, str]) -> tuple[str, str]:
     """The first ``(mode, path)`` whose path exists."""
     for mode, path in candidates:
@@ -47,23 +31,45 @@ def resolve_source(spark: SparkSession, *candidates: tuple[str, str]) -> tuple[s
     raise FileNotFoundError(f"no loan file found ({places})")
 
 
-def read_loans_csv(spark: SparkSession, path: str, numeric: Iterable[str] = NUMERIC_LOAN_COLUMNS,
+def read_loans_csv(spark: SparkSession, path: str, numeric: Iterable[str] | None = None,
                    integers: Iterable[str] = IDENTIFIER_COLUMNS, multi_line: bool = False) -> DataFrame:
     """Scan a loan CSV with a header.
 
-    Known columns decide the types, so there is no inference pass over the data; what does not
-    parse is missing. A file with line breaks inside quoted text needs ``multi_line``, which makes
-    a file unsplittable; keep it off for large files without such text.
+    A column is numeric if every value it has parses as a number, which one aggregation over the files
+    decides; with ``numeric`` given, those columns are, and what does not parse is missing. Identifiers
+    of whole numbers are whole numbers.
+
+    A file is refused rather than misread: if the files' columns differ or come in another order, if a
+    row has more or fewer fields than the header, and so also if a quoted text holds a line break while
+    ``multi_line`` is off. That setting makes files unsplittable; keep it off for large files without
+    such text.
     """
     options = {"header": True, "quote": '"', "escape": '"', "multiLine": multi_line}
     columns = spark.read.options(**options).csv(path).columns
     texts = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    raw = normalise_missing(spark.read.schema(texts).options(**options).csv(path))
-    kinds = {**dict.fromkeys(numeric, "double"), **dict.fromkeys(integers, "bigint")}
+    raw = normalise_missing(
+        spark.read.schema(texts).options(**options, mode="FAILFAST", enforceSchema=False, columnPruning=False).csv(path))
+    whole = [c for c in columns if c in set(integers)]
+    if numeric is None:
+        found = _parsing_columns(raw, {c: "bigint" if c in whole else "double" for c in columns})
+    else:
+        found = [c for c in columns if c in {*numeric, *whole}]
+    kinds = {c: "bigint" if c in whole else "double" for c in found}
     return raw.select(*[F.col(f"`{c}`").try_cast(kinds[c]).alias(c) if c in kinds else F.col(f"`{c}`")
                         for c in columns])
 
 
+def _parsing_columns(raw: DataFrame, kinds: dict[str, str]) -> list[str]:
+    """The columns whose every value parses. One pass: a bit per column, 60 columns to a number."""
+    names = list(kinds)
+    groups = [names[i:i + 60] for i in range(0, len(names), 60)]
+    masks = [F.bit_or(sum((F.when(F.col(f"`{c}`").isNotNull() & F.col(f"`{c}`").try_cast(kinds[c]).isNull(),
+                                  F.lit(1 << i).cast("long")).otherwise(F.lit(0).cast("long"))
+                           for i, c in enumerate(group)), F.lit(0).cast("long"))) for group in groups]
+    row = raw.agg(*[m.alias(f"m{g}") for g, m in enumerate(masks)]).first()
+    return [c for g, group in enumerate(groups) for i, c in enumerate(group) if not (row[g] or 0) >> i & 1]
+
+
 def read_loans_parquet(spark: SparkSession, path: str) -> DataFrame:
     """Scan a columnar loan table."""
     return normalise_missing(spark.read.parquet(path))

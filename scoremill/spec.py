@@ -74,12 +74,11 @@ AUC_THRESHOLD = 0.72
 LIFT_THRESHOLD = 0.04
 TARGET_SCORE, TARGET_ODDS, POINTS_TO_DOUBLE = 600.0, 50.0, 20.0
 RULE_GRADES, RULE_DTI = ("E", "F", "G"), 30.0
-ATTRIBUTION_SAMPLE = 5000
 
 # Wording of the verdict on a comparison.
 VERDICT_WORDS = ("SUPPORTED", "NOT SUPPORTED")
 VERDICT_FORMAT = (
-    "%s: {primary} AUC = %.4f, LR baseline AUC = %.4f, lift = %.4f (required >= {lift}), "
+    "%s: {primary} AUC = %.4f, {baseline} AUC = %.4f, lift = %.4f (required >= {lift}), "
     "AUC threshold passed = %s, lift threshold passed = %s")
 
 
@@ -87,12 +86,13 @@ VERDICT_FORMAT = (
 class ScorecardSpec:
     """How a scorecard is fitted.
 
-    ``key`` names a column that identifies a row; the exact split and samples hash it.
+    ``key`` names a column that identifies a row; the exact split and samples hash it. By default rows
+    are told apart by all they hold.
     ``fit_on`` says whether imputation, bins and weights see the training rows only
     (``train``) or every row (``all``).
     """
 
-    key: str
+    key: str = "__row"
     target: str = "default_status"
     policy: str = "all_rows"
     status_column: str = "loan_status"

@@ -4,15 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from scoremill.operators.points import FACTOR, OFFSET
 from scoremill_checks.loan_view import LOAN_COLUMNS, duck_loans
 from scoremill_checks.queries import (
-    CATEGORIES, CORRELATED, FEW_CORRELATED, NEW_LOANS_FROM, NUMBERS, PROFILED)
+    ALL_NUMBERS, ALL_TEXTS, CATEGORIES, CORRELATED, NEW_LOANS_FROM, NUMBERS, PROFILED, ROW_COLUMNS, SAMPLE, STUMP)
 
 FOUR_KEPT = "('Charged Off', 'Default', 'Late (31-120 days)', 'Fully Paid')"
 FOUR_BAD = "('Charged Off', 'Default', 'Late (31-120 days)')"
 ALL_BAD = "('Charged Off', 'Default')"
 FEATURES = NUMBERS + CATEGORIES
+# 20 points double the odds; 600 points are odds of 50 to 1.
+FACTOR = "(20e0 / ln(2e0))"
+OFFSET = f"(600e0 - {FACTOR} * ln(50e0))"
 SELECTED_RANGE = "iv >= 0.02e0 AND iv < 0.5e0"
 
 
@@ -257,12 +259,12 @@ def woe_regression() -> str:
                                 *regression_ctes("SELECT loan_id FROM train_rows")))
 
 
-def new_loan_scores() -> list[str]:
+def new_loan_scores(new_columns: str = "*") -> list[str]:
     """Weights from all old loans, regression on their training part, scores of the new loans."""
     columns = "loan_id, y, " + ", ".join(FEATURES)
     z = " + ".join(["b0"] + [f"b{i} * {c}" for i, c in enumerate(FEATURES, 1)])
     return [labelled("all_rows", "old_rows", f"(SELECT * FROM loans WHERE issue_d < TIMESTAMP '{NEW_LOANS_FROM}')"),
-            labelled("all_rows", "new_rows", f"(SELECT * FROM loans WHERE issue_d >= TIMESTAMP '{NEW_LOANS_FROM}')"),
+            labelled("all_rows", "new_rows", f"(SELECT {new_columns} FROM loans WHERE issue_d >= TIMESTAMP '{NEW_LOANS_FROM}')"),
             *split(source="old_rows"), f"both_rows AS (SELECT {columns} FROM old_rows UNION ALL SELECT {columns} FROM new_rows)",
             *weights("old_rows", "both_rows"), *regression_ctes("SELECT loan_id FROM flagged WHERE NOT is_test"),
             f"""scores AS (SELECT loan_id, y, 1e0 / (1e0 + exp(-({z}))) AS score FROM wide_cells, beta
@@ -278,17 +280,64 @@ def documents_iv() -> str:
 POWER = """CASE WHEN iv < 0.02e0 THEN 'Not useful' WHEN iv < 0.1e0 THEN 'Weak' WHEN iv < 0.3e0 THEN 'Medium'
   WHEN iv < 0.5e0 THEN 'Strong' ELSE 'Suspicious' END AS predictive_power"""
 
-CARD = """card AS (
-  SELECT feature, bin_id, round_even(-{factor!r}e0 * woe * -1e0, 0)
-    + round_even({offset} - {factor!r}e0 * (intercept / k), 0) AS points,
-    round_even(-{factor!r}e0 * woe * -1e0, 0) AS own,
-    round_even({offset} - {factor!r}e0 * (intercept / k), 0) AS base, k
-  FROM w JOIN chosen USING (feature), constant)"""
+def card(mode: str = "reference") -> str:
+    """Points of every bin of the regression's features."""
+    offset = OFFSET if mode == "reference" else f"{OFFSET} / k"
+    own, base = f"round_even(-{FACTOR} * woe * coefficient, 0)", f"round_even({offset} - {FACTOR} * (b0 / k), 0)"
+    return (f"card AS (SELECT feature, bin_id, category, {own} + {base} AS points, {own} AS own, {base} AS base, k "
+            "FROM w JOIN chosen USING (feature) JOIN named USING (feature), beta)")
 
 
-def card(mode: str = "reference") -> str:
-    offset = f"{OFFSET!r}e0" if mode == "reference" else f"{OFFSET!r}e0 / k"
-    return CARD.format(factor=FACTOR, offset=offset)
+def regression_rows(share: str = "0.2e0") -> list[str]:
+    """Weights and regression from the training rows, and the weights of every row in ``cells``."""
+    rows = [labelled(), *split(share), "train_rows AS (SELECT * FROM flagged WHERE NOT is_test)",
+            "test_rows AS (SELECT * FROM flagged WHERE is_test)"]
+    return [*rows, *weights("train_rows", "flagged"), *regression_ctes("SELECT loan_id FROM train_rows")]
+
+
+def regression_test() -> list[str]:
+    z = " + ".join(["b0"] + [f"b{i} * {c}" for i, c in enumerate(FEATURES, 1)])
+    return [*regression_rows(), f"""scores AS (SELECT loan_id, y, 1e0 / (1e0 + exp(-({z}))) AS score FROM wide_cells, beta
+  WHERE loan_id IN (SELECT loan_id FROM test_rows))"""]
+
+
+def baseline_found() -> str:
+    """Metrics of the logistic baseline."""
+    z = " + ".join(["b0"] + [f"b{i} * {c}" for i, c in enumerate(NUMBERS, 1)])
+    return recursive(with_loans(
+        labelled(), *split(), *BASELINE_FILLED, "fit_matrix AS (SELECT * FROM scaled WHERE NOT is_test)",
+        *logistic("fit_matrix", NUMBERS, "1e0"),
+        f"scores AS (SELECT y, 1e0 / (1e0 + exp(-({z}))) AS score FROM scaled, beta WHERE is_test)",
+        *metric_ctes("scores"))) + "SELECT * FROM m"
+
+
+def stump_ctes() -> list[str]:
+    """The best single split of the training rows without the held-out slice, and the test rows' scores.
+
+    The first tree of a boosted ensemble fits the outcome as -1 and 1; log-odds are twice its leaves.
+    """
+    coded = ("coded AS (SELECT *, ascii(grade) - 64 AS grade_no, CAST(regexp_extract(term, '(\\d+)', 1) AS INT) AS months FROM flagged)")
+    long = " UNION ALL ".join(f"SELECT '{c}' AS feature, {c} AS x, 2 * y - 1 AS s FROM fit_rows" for c in STUMP)
+    return [
+        labelled(), *split(), coded, "known AS (SELECT * FROM coded WHERE NOT is_test)", *fills(STUMP, "known"),
+        f"matrix AS (SELECT s.loan_id, s.y, is_test, {cols(STUMP, 'coalesce(CAST(s.{c} AS DOUBLE), med.{c}) AS {c}')} FROM coded s, med)",
+        "fit_rows AS (SELECT * FROM matrix WHERE NOT is_test AND substr(md5(concat(CAST(loan_id AS string), '|validation|42')), 1, 8) >= '19999999')",
+        f"by_value AS (SELECT feature, x, count(*) AS n, sum(s) AS s FROM ({long}) GROUP BY feature, x)",
+        """cuts AS (SELECT feature, (x + lead(x) OVER v) / 2 AS cut, sum(n) OVER v AS ln, sum(s) OVER v AS ls,
+  sum(n) OVER (PARTITION BY feature) AS tn, sum(s) OVER (PARTITION BY feature) AS ts FROM by_value WINDOW v AS (PARTITION BY feature ORDER BY x))""",
+        """best AS (SELECT *, 2e0 * ls / ln AS low, 2e0 * (ts - ls) / (tn - ln) AS high, 2e0 * ts / tn AS expected FROM cuts
+  WHERE cut IS NOT NULL AND ln >= 20 AND tn - ln >= 20
+  ORDER BY ls::DOUBLE * ls / ln + (ts - ls)::DOUBLE * (ts - ls) / (tn - ln) DESC LIMIT 1)""",
+        "placed AS (SELECT loan_id, y, CASE WHEN CASE feature " + " ".join(f"WHEN '{c}' THEN {c}" for c in STUMP)
+        + " END <= cut THEN low ELSE high END AS odds, feature, expected FROM matrix, best WHERE is_test)",
+        "scores AS (SELECT loan_id, y, 1e0 / (1e0 + exp(-odds)) AS score FROM placed)"]
+
+
+def stump_ranking() -> str:
+    listed = " UNION ALL ".join(f"SELECT '{c}' AS name" for c in STUMP)
+    return with_loans(*stump_ctes()) + f"""SELECT name AS feature,
+  round(coalesce(any_value(moved), 0e0), 6) AS importance, CASE WHEN any_value(moved) IS NULL THEN 0e0 ELSE 100e0 END AS importance_score
+FROM ({listed}) l LEFT JOIN (SELECT feature, avg(abs(odds - expected)) AS moved FROM placed GROUP BY feature) p ON name = p.feature GROUP BY name"""
 
 
 def group_stats(group: str, spread: bool) -> str:
@@ -317,11 +366,11 @@ def oracle_sql() -> dict[str, str]:
     lab = labelled()
     clean = with_loans(*clean_ctes())
     fitted = with_loans(lab, *weights("lab", "lab"))
-    test = with_loans(*scorecard_test())
-    tested = with_loans(*scorecard_test(), *metric_ctes("scores"))
+    tested = recursive(with_loans(*regression_test(), *metric_ctes("scores")))
+    closed = with_loans(*scorecard_test(), *metric_ctes("scores"))
     flagged = with_loans(lab, *split())
-    both = with_loans(*scorecard_test(), *metric_ctes("scores"), RULE_CTE,
-                      *metric_ctes("rule_scores", "r"), MAJORITY_CTE, *metric_ctes("major_scores", "j"))
+    both = recursive(with_loans(*regression_test(), *metric_ctes("scores"), RULE_CTE,
+                                *metric_ctes("rule_scores", "r"), MAJORITY_CTE, *metric_ctes("major_scores", "j")))
     csv_numbers = ("loan_id", "loan_amnt", "annual_inc", *CLEAN_NUMBERS,
                    "mths_since_last_delinq", "funded_amnt", "installment", "total_pymnt",
                    "recoveries", "dti_joint")
@@ -331,15 +380,19 @@ def oracle_sql() -> dict[str, str]:
     record = ("SELECT '{name}' AS model, 'ROC-AUC' AS metric_name, round_even(auc, 6) AS value, "
               "round_even(ks, 6) AS KS, round_even(brier, 6) AS Brier FROM {p}m")
     wide_cells = ", ".join(f"max(CASE WHEN feature = '{c}' THEN woe END) AS {c}" for c in FEATURES)
-    gate = "(SELECT rm.auc AS baseline_auc, m.auc AS primary_auc, m.n FROM rm, m)"
+    gate = (f"(SELECT b.auc AS baseline_auc, w.auc AS primary_auc, w.n, w.ks, w.brier "
+            f"FROM ({baseline_found()}) b, ({tested}SELECT * FROM m) w)")
     passed = "primary_auc >= 0.72e0 AND primary_auc - baseline_auc >= 0.04e0"
-    roc = """SELECT 0e0 AS fpr, 0e0 AS tpr UNION ALL
-SELECT round(sum(n0) OVER d / t0::DOUBLE, 6), round(sum(n1) OVER d / t1::DOUBLE, 6) FROM steps
+    roc = """SELECT 'infinity'::DOUBLE AS threshold, 0e0 AS fpr, 0e0 AS tpr UNION ALL
+SELECT round(score, 4), round(sum(n0) OVER d / t0::DOUBLE, 6), round(sum(n1) OVER d / t1::DOUBLE, 6) FROM steps
 WINDOW d AS (ORDER BY score DESC)"""
     sql = {
         "load_loans": with_loans() + "SELECT 'fallback' AS data_mode, " + ", ".join(
-            f"CAST({c} AS DOUBLE) AS {c}" if c in csv_numbers else c
-            for c in LOAN_COLUMNS if c != "issue_d") + " FROM loans",
+            f"CAST({c} AS DOUBLE) AS {c}" if c in csv_numbers else
+            f"strftime({c}, '%Y-%m-%d') AS {c}" if c == "issue_d" else c for c in LOAN_COLUMNS) + " FROM loans",
+        "key_first_csv": with_loans() + "SELECT 'loan_status' AS first_column, loan_id, loan_amnt, grade, loan_status FROM loans",
+        "json_record": with_loans(lab) + """SELECT count(*) AS total_rows, count(*) FILTER (y = 0) AS good_loans,
+  count(*) FILTER (y = 1) AS bad_loans, round(avg(y), 6) AS bad_rate, CAST(NULL AS VARCHAR) AS note FROM lab""",
         "probe_columns": with_loans() + "SELECT loan_status, loan_amnt, dti, grade FROM loans ORDER BY loan_id LIMIT 5",
         "target_four_status": with_loans(lab) + "SELECT loan_id, loan_status, CAST(y AS BIGINT) AS defaultstatus FROM lab",
         "target_all_rows": with_loans(labelled("all_rows")) + "SELECT loan_id, loan_status, CAST(y AS BIGINT) AS default_status FROM lab",
@@ -391,7 +444,7 @@ WINDOW d AS (ORDER BY score DESC)"""
                 for c in PROFILED for s, f in (("mean", f"avg({c})"), ("median", f"quantile_cont({c}, 0.5)"),
                                                ("std", f"stddev_samp({c})"))) + ")",
         "corr_matrix": with_loans(*clean_ctes(), correlations(CORRELATED)) + f"SELECT var1, var2, {tidy('corr')} AS corr FROM corrs",
-        "corr_with_target": with_loans(*clean_ctes(), correlations(FEW_CORRELATED)) + """SELECT var2 AS variable, round(abs(corr), 6) AS abs_corr
+        "corr_with_target": with_loans(*clean_ctes(), correlations(CORRELATED)) + """SELECT var2 AS variable, round(abs(corr), 6) AS abs_corr
 FROM corrs WHERE var1 = 'default_status' AND var2 <> 'default_status' ORDER BY abs(corr) DESC, var2 LIMIT 15""",
         "high_corr_pairs": with_loans(*clean_ctes(), correlations(CORRELATED)) + f"SELECT var1, var2, {tidy('corr')} AS corr FROM corrs "
             f"WHERE list_position({list(CORRELATED)!r}, var1) < list_position({list(CORRELATED)!r}, var2) AND abs(corr) > 0.8e0",
@@ -417,8 +470,14 @@ JOIN (SELECT c.*, int_rate BETWEEN q[1] - 1.5e0 * (q[3] - q[1]) AND q[3] + 1.5e0
             + " UNION ALL ".join(
                 f"SELECT '{c}' AS feature, CAST(min({c}) AS DOUBLE) AS a, CAST(max({c}) AS DOUBLE) AS z FROM lab"
                 for c in NUMBERS) + "), range(0, 11) AS r(k)",
-        "woe_bins": fitted + f"""SELECT feature, bin_id, category, round(good_count, 6) AS good_count, round(bad_count, 6) AS bad_count,
-  round(good_rate, 6) AS good_rate, round(bad_rate, 6) AS bad_rate, {tidy('woe')} AS woe, {tidy('iv')} AS iv FROM w""",
+        "woe_bins": fitted + f"""SELECT feature, bin_id, category, {tidy('lo')} AS lo, {tidy('hi')} AS hi, round(good_count, 6) AS good_count, round(bad_count, 6) AS bad_count,
+  round(good_rate, 6) AS good_rate, round(bad_rate, 6) AS bad_rate, {tidy('woe')} AS woe, {tidy('iv')} AS iv
+FROM (SELECT w.*, CASE WHEN number IS NOT NULL THEN number WHEN bin = 0 THEN '-infinity'::DOUBLE ELSE e[bin + 1] END AS lo,
+  CASE WHEN number IS NOT NULL THEN number WHEN bin = len(e) - 2 THEN 'infinity'::DOUBLE ELSE e[bin + 2] END AS hi
+  FROM w LEFT JOIN edges USING (feature))""",
+        "iv_all_variables": with_loans(lab, """lab2 AS (SELECT * REPLACE (coalesce(mths_since_last_delinq, 999e0) AS mths_since_last_delinq,
+  coalesce(emp_length, 'Unknown') AS emp_length), emp_title AS employer FROM lab)""",
+            *weights("lab2", "lab2", ALL_NUMBERS, ALL_TEXTS)) + f"SELECT feature, round(iv, 6) AS iv, {POWER} FROM ivs",
         "iv_summary": fitted + f"SELECT feature, round(iv, 6) AS iv, {POWER} FROM ivs",
         "iv_selection": fitted + f"SELECT feature, round(iv, 6) AS iv, {POWER} FROM ivs WHERE {SELECTED_RANGE}",
         "woe_transform": fitted + f"SELECT loan_id, CAST(y AS BIGINT) AS default_status, "
@@ -430,43 +489,70 @@ JOIN (SELECT c.*, int_rate BETWEEN q[1] - 1.5e0 * (q[3] - q[1]) AND q[3] + 1.5e0
             + f"SELECT loan_id, is_test, " + ", ".join(f"{tidy(c, 5)} AS {c}" for c in NUMBERS) + " FROM scaled",
         "metric_auc": tested + f"SELECT n, n_bad, {tidy('auc')} AS auc, {tidy('2 * auc - 1')} AS gini FROM m",
         "metric_ks": tested + f"SELECT n, n_bad, {tidy('ks')} AS ks FROM m",
+        "stratified_split_rows": with_loans(lab, f"content AS (SELECT *, md5(concat_ws(chr(31), CAST(y AS string), "
+            + ", ".join(ROW_COLUMNS) + ")) AS c FROM lab)", *split(source="content")[:3], """flagged AS (
+  SELECT l.*, row_number() OVER (PARTITION BY l.y ORDER BY md5(concat(c, '|split|42'))) <= n_test AS is_test
+  FROM content l JOIN class_test t ON l.y = t.y)""") + f"""SELECT {", ".join(ROW_COLUMNS)}, count(*) AS n, count(*) FILTER (is_test) AS n_test
+FROM flagged GROUP BY ALL""",
+        "sampled_rows": with_loans() + f"""SELECT loan_id, grade FROM loans
+ORDER BY md5(concat(CAST(loan_id AS string), '|sample|42')), loan_id LIMIT {SAMPLE}""",
+        "metrics_in_buckets": tested + all_metrics(),
+        "closed_form_metrics": closed + all_metrics(),
+        "model_table": f"""SELECT 'Baseline LR' AS model, {tidy('baseline_auc')} AS roc_auc FROM {gate}
+UNION ALL SELECT 'WoE scorecard', {tidy('primary_auc')} FROM {gate}""",
+        "primary_record": f"""SELECT 'WoE scorecard' AS model, 'ROC-AUC' AS metric_name, round_even(primary_auc, 6) AS value, {passed} AS passed,
+  0.72e0 AS threshold, round_even(primary_auc - baseline_auc, 6) AS lift_over_baseline, 0.04e0 AS lift_threshold,
+  round_even(baseline_auc, 6) AS baseline_logreg_auc, round_even(ks, 6) AS KS, round_even(brier, 6) AS Brier FROM {gate}""",
+        "gbt_stump": with_loans(*stump_ctes(), *metric_ctes("scores")) + f"""SELECT feature, {tidy('cut')} AS threshold, {tidy('low')} AS low_log_odds,
+  {tidy('high')} AS high_log_odds, {tidy('expected')} AS expected_log_odds, n, n_bad, {tidy('auc')} AS auc, {tidy('ks')} AS ks,
+  {tidy('brier')} AS brier FROM best, m""",
+        "attribution_ranking": stump_ranking(),
+        "attribution_top": f"SELECT * FROM ({stump_ranking()}) ORDER BY importance DESC, feature LIMIT 1",
+        "attribution_additivity": flagged + "SELECT count(*) AS n, CAST(0 AS BIGINT) AS off FROM flagged WHERE is_test",
         "metric_brier": tested + f"SELECT n, n_bad, {tidy('brier')} AS brier FROM m",
         "roc_curve": tested + roc,
-        "roc_curve_plotted": tested + """SELECT 0e0 AS fpr, 0e0 AS tpr UNION ALL
-SELECT round(d0 / t0::DOUBLE, 6), round(d1 / t1::DOUBLE, 6) FROM (
+        "roc_curve_plotted": tested + """SELECT 'infinity'::DOUBLE AS threshold, 0e0 AS fpr, 0e0 AS tpr UNION ALL
+SELECT round(score, 4), round(d0 / t0::DOUBLE, 6), round(d1 / t1::DOUBLE, 6) FROM (
   SELECT *, sum(n0) OVER d AS d0, sum(n1) OVER d AS d1, lead(n0) OVER d AS next0, lead(n1) OVER d AS next1,
     row_number() OVER d AS place FROM steps WINDOW d AS (ORDER BY score DESC))
 WHERE place = 1 OR next0 IS NULL OR next0 <> n0 OR next1 <> n1""",
-        "pass_gate": both + f"""SELECT {tidy('baseline_auc')} AS baseline_auc, {tidy('primary_auc')} AS primary_auc,
+        "pass_gate": f"""SELECT {tidy('baseline_auc')} AS baseline_auc, {tidy('primary_auc')} AS primary_auc,
   {tidy('primary_auc - baseline_auc')} AS lift, 0.72e0 AS threshold, 0.04e0 AS lift_threshold, {passed} AS passed FROM {gate}""",
         "metrics_report": both + " UNION ALL ".join(
             record.format(name=n, p=p) for n, p in (("Policy rule", "r"), ("Majority class", "j"), ("WoE scorecard", ""))),
         "rules_baseline": with_loans(lab, *split(), RULE_CTE, *metric_ctes("rule_scores")) + all_metrics(),
         "majority_baseline": with_loans(lab, *split(), MAJORITY_CTE, *metric_ctes("major_scores")) + all_metrics(),
-        "scorecard_points_additive": test[:-1] + ",\n" + card("additive") + "\nSELECT feature, bin_id, points FROM card",
-        "score_points": test[:-1] + ",\n" + card("additive") + """
-SELECT loan_id, any_value(base) * any_value(k) + sum(own) AS score
-FROM cells JOIN card USING (feature, bin_id) GROUP BY loan_id""",
-        "scorecard_comparison": with_loans(
-            labelled(), *split(), "train_rows AS (SELECT * FROM flagged WHERE NOT is_test)",
-            *weights("train_rows", "flagged"), *SCORE_CTES, card(),
-            "means AS (SELECT feature, avg(woe) AS mean FROM cells JOIN flagged USING (loan_id) WHERE NOT is_test GROUP BY feature)",
-            "sampled AS (SELECT loan_id FROM flagged WHERE is_test ORDER BY md5(concat(CAST(loan_id AS string), '|sample|42')), loan_id LIMIT 5000)",
-            "pushes AS (SELECT feature, avg(abs(woe - mean)) AS importance FROM cells JOIN sampled USING (loan_id) JOIN means USING (feature) JOIN chosen USING (feature) GROUP BY feature)")
+        "scorecard_points_additive": recursive(with_loans(*regression_rows(), card("additive"))) + "SELECT feature, bin_id, points FROM card",
+        "scorecard_categories": recursive(with_loans(*regression_rows(), card()))
+            + "SELECT feature, category, points FROM card WHERE category IS NOT NULL",
+        "scorecard_own_split": recursive(with_loans(*regression_rows("0.3e0"), card())) + "SELECT feature, bin_id, points FROM card",
+        "score_points": recursive(with_loans(*regression_rows(), card("additive"))) + """
+SELECT loan_id, any_value(base) * any_value(k) + sum(own) AS score FROM cells JOIN card USING (feature, bin_id)
+WHERE loan_id IN (SELECT loan_id FROM test_rows) GROUP BY loan_id""",
+        "scorecard_comparison": recursive(with_loans(
+            *regression_rows(), card(),
+            "means AS (SELECT feature, avg(woe) AS mean FROM cells WHERE loan_id IN (SELECT loan_id FROM train_rows) GROUP BY feature)",
+            """pushes AS (SELECT feature, avg(abs(coefficient * (woe - mean))) AS importance FROM cells JOIN means USING (feature)
+  JOIN chosen USING (feature) JOIN named USING (feature) WHERE loan_id IN (SELECT loan_id FROM test_rows) GROUP BY feature)"""))
             + f"""SELECT feature, min(points) AS min_points, max(points) AS max_points, max(points) - min(points) AS points_range,
-  round(any_value(importance), 6) AS importance, round(any_value(importance) / any_value(top) * 100, 6) AS importance_score
+  round(any_value(importance), 5) AS importance, round(any_value(importance) / any_value(top) * 100, 3) AS importance_score
 FROM card JOIN pushes USING (feature), (SELECT max(importance) AS top FROM pushes) GROUP BY feature""",
+        "score_new_gaps": recursive(with_loans(*new_loan_scores(
+            "* REPLACE (CASE WHEN n_items = 3 THEN NULL ELSE n_items END AS n_items, CAST(NULL AS DOUBLE) AS avg_disc)")))
+            + """SELECT id, member_id, round(loan_amnt, 6) AS loan_amnt, term, round(int_rate, 6) AS int_rate, grade,
+  home_ownership, round(annual_inc, 6) AS annual_inc, round(score, 4) AS predicted_default_probability
+FROM loans JOIN scores USING (loan_id)""",
         "score_new": recursive(with_loans(*new_loan_scores())) + """SELECT id, member_id, round(loan_amnt, 6) AS loan_amnt, term, round(int_rate, 6) AS int_rate, grade,
   home_ownership, round(annual_inc, 6) AS annual_inc, round(score, 4) AS predicted_default_probability
 FROM loans JOIN scores USING (loan_id)""",
         "score_new_metrics": recursive(with_loans(*new_loan_scores(), *metric_ctes("scores")))
             + f"SELECT n, n_bad, {tidy('auc', 5)} AS auc, {tidy('2 * auc - 1', 5)} AS gini FROM m",
-        "artifacts": test + "SELECT loan_id, round(score, 6) AS predicted_default_probability FROM scores",
-        "run_manifest": both + f"""SELECT 'raw' AS data_mode_used, (SELECT count(*) FROM lab) AS data_rows_after_filter,
+        "artifacts": recursive(with_loans(*regression_test())) + "SELECT loan_id, round(score, 4) AS predicted_default_probability FROM scores",
+        "run_manifest": with_loans(lab) + f"""SELECT 'raw' AS data_mode_used, (SELECT count(*) FROM lab) AS data_rows_after_filter,
   CAST({len(FEATURES)} AS BIGINT) AS features_used, n AS test_set_size, round(round_even(baseline_auc, 6), 6) AS baseline_roc_auc,
   round(round_even(primary_auc, 6), 6) AS primary_roc_auc, {passed} AS primary_passed,
   round(round_even(2 * primary_auc - 1, 6), 6) AS gini_coefficient,
-  printf('%s: Scorecard AUC = %.4f, LR baseline AUC = %.4f, lift = %.4f (required >= 0.04), AUC threshold passed = %s, lift threshold passed = %s',
+  printf('%s: WoE scorecard AUC = %.4f, LR baseline AUC = %.4f, lift = %.4f (required >= 0.04), AUC threshold passed = %s, lift threshold passed = %s',
     CASE WHEN {passed} THEN 'SUPPORTED' ELSE 'NOT SUPPORTED' END, primary_auc, baseline_auc, primary_auc - baseline_auc,
     CASE WHEN primary_auc >= 0.72e0 THEN 'True' ELSE 'False' END,
     CASE WHEN primary_auc - baseline_auc >= 0.04e0 THEN 'True' ELSE 'False' END) AS hypothesis_result FROM {gate}""",
@@ -475,7 +561,6 @@ FROM loans JOIN scores USING (loan_id)""",
     sql["lr_woe"] = woe_regression() + f"""SELECT feature, {tidy('coefficient', 5)} AS coefficient, coefficient > 0 AS unexpected_sign
 FROM named JOIN chosen USING (feature)
 UNION ALL SELECT '(intercept)', {tidy('b0', 5)}, false FROM beta"""
-    sql["scorecard_points"] = woe_regression() + f"""SELECT feature, bin_id, round_even(-{FACTOR!r}e0 * woe * coefficient, 0)
-  + round_even({OFFSET!r}e0 - {FACTOR!r}e0 * (b0 / k), 0) AS points
-FROM w JOIN chosen USING (feature) JOIN named USING (feature), beta"""
+    sql["scorecard_points"] = recursive(with_loans(*regression_rows(), card())) + "SELECT feature, bin_id, points FROM card"
+    sql["quantile_edges_bracketed"] = sql["quantile_edges"]
     return sql

@@ -13,30 +13,35 @@ from scoremill.operators import attribution, binning, cleaning, evaluation, mode
 from scoremill.operators import profiling, target
 from scoremill.operators import woe as weight
 from scoremill.operators.quantiles import median_values
-from scoremill.operators.split import add_split, fixed_sample
+from scoremill.operators.split import ROW_KEY, add_split, fixed_sample, with_row_key
 from scoremill.plans import comparison
 from scoremill.plans.scorecard import (
     PROBABILITY, ScorecardModel, fit_scorecard, fit_weights, with_target_and_split)
 from scoremill.sources import loans as source
 from scoremill.sources.session import tuned
-from scoremill.sources.sinks import write_csv
+from scoremill.sources.sinks import write_csv, write_json
 from scoremill.sources.staging import new_path, stage
-from scoremill.spec import ATTRIBUTION_SAMPLE, IDENTIFIER_COLUMNS, ScorecardSpec
+from scoremill.spec import ScorecardSpec
 from scoremill_checks.loan_view import KEY, TARGET, cleaned, loans
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 NUMBERS = ("loan_amnt", "annual_inc", "n_items", "avg_disc", "sum_qty")
 CATEGORIES = ("grade", "purpose", "addr_state")
-PROFILED = ("loan_amnt", "annual_inc", "int_rate", "dti", "revol_util")
+PROFILED = ("loan_amnt", "funded_amnt", "int_rate", "installment", "annual_inc", "dti", "revol_util")
 CORRELATED = (TARGET, "loan_amnt", "annual_inc", "n_items", "avg_disc", "sum_qty", "int_rate", "dti",
               "mths_since_last_delinq", "revol_util", "funded_amnt", "installment", "total_pymnt")
-FEW_CORRELATED = (TARGET, "loan_amnt", "annual_inc", "n_items", "avg_disc", "sum_qty", "dti")
 NEW_LOANS_FROM = "1997-01-01"
 
 SPEC = ScorecardSpec(key=KEY, target=TARGET, policy="four_status", test_share=0.2, fit_on="train",
                      features=NUMBERS + CATEGORIES)
-TREES, TREE_DEPTH = 10, 4
+ALL_NUMBERS = ("loan_amnt", "annual_inc", "n_items", "avg_disc", "sum_qty", "int_rate", "dti",
+               "mths_since_last_delinq", "revol_util", "installment")
+ALL_TEXTS = ("grade", "purpose", "addr_state", "employer", "term", "emp_length", "home_ownership")
+STUMP = ("n_items", "grade_no", "months")
+SAMPLE = 1000
+SCORECARD = "WoE scorecard"
+ROW_COLUMNS = ("loan_status", "grade", "purpose", "term")
 
 
 def rounded(df: DataFrame, digits: int = 6, **special: int) -> DataFrame:
@@ -60,15 +65,33 @@ def tidy(df: DataFrame, digits: int = 6, **special: int) -> DataFrame:
 
 # --- sources, target, cleaning -------------------------------------------------------------
 
+def with_date(df: DataFrame) -> DataFrame:
+    return df.withColumn("issue_d", F.date_format("issue_d", "yyyy-MM-dd"))
+
+
 def load_loans(spark, sf):
     """Write the view as CSV, then read it back the way a loan file is read."""
-    kept = loans(spark, sf).drop("issue_d")
     path = new_path(spark, "loans-csv")
-    write_csv(kept, path)
+    write_csv(with_date(loans(spark, sf)), path)
     mode, found = source.resolve_source(spark, ("raw", path + "-absent"), ("fallback", path))
-    numeric = [c for c, t in kept.dtypes if t in ("double", "bigint") and c not in IDENTIFIER_COLUMNS]
-    read = source.read_loans_csv(spark, found, numeric)
-    return read.select(F.lit(mode).alias("data_mode"), "*")
+    return source.read_loans_csv(spark, found).select(F.lit(mode).alias("data_mode"), "*")
+
+
+def key_first_csv(spark, sf):
+    """Write with the status in front, and read back: the first column's name and the rows."""
+    path = new_path(spark, "key-first-csv")
+    write_csv(loans(spark, sf).select("loan_id", "loan_amnt", "grade", "loan_status"), path, first="loan_status")
+    read = source.read_loans_csv(spark, path)
+    return longs(read.select(F.lit(read.columns[0]).alias("first_column"),
+                             F.col("loan_id").cast("bigint").alias("loan_id"), "loan_amnt", "grade", "loan_status"))
+
+
+def json_record(spark, sf):
+    """Write a record as JSON, an empty field included, and read it back."""
+    path = new_path(spark, "record-json")
+    write_json(target.target_summary(labelled(spark, sf)).withColumn("note", F.lit(None).cast("string")), path)
+    return tidy(spark.read.schema("total_rows bigint, good_loans bigint, bad_loans bigint, bad_rate double, "
+                                  "note string").json(path))
 
 
 def probe_columns(spark, sf):
@@ -164,7 +187,7 @@ def corr_matrix(spark, sf):
 
 
 def corr_with_target(spark, sf):
-    matrix = profiling.correlation_matrix(cleaned(spark, sf), FEW_CORRELATED)
+    matrix = profiling.correlation_matrix(cleaned(spark, sf), CORRELATED)
     return tidy(profiling.correlation_with_target(matrix, TARGET))
 
 
@@ -195,13 +218,28 @@ def quantile_edges(spark, sf):
     return tidy(binning.edges_table(labelled(spark, sf), NUMBERS))
 
 
+def quantile_edges_bracketed(spark, sf):
+    """The same edges the way larger tables take: a sketch brackets the ranks, a scan counts exactly."""
+    return tidy(binning.edges_table(labelled(spark, sf), NUMBERS, buffer_values=0))
+
+
 def equal_width_edges(spark, sf):
     return tidy(binning.edges_table(labelled(spark, sf), NUMBERS, method="equal_width"))
 
 
 def woe_bins(spark, sf):
     _, _, rows = fitted_weights(spark, sf)
-    return tidy(weight.woe_frame(spark, rows).drop("bin", "lo", "hi"))
+    return tidy(weight.woe_frame(spark, rows).drop("bin"))
+
+
+def all_variables(spark, sf) -> DataFrame:
+    """Every column that may be binned; the employer has far more than 100 values."""
+    return labelled(spark, sf).withColumn("employer", F.col("emp_title"))
+
+
+def iv_all_variables(spark, sf):
+    _, _, rows = fit_weights(all_variables(spark, sf), replace(SPEC, features=None))
+    return tidy(weight.iv_table(weight.woe_frame(spark, rows)))
 
 
 def iv_summary(spark, sf):
@@ -235,6 +273,18 @@ def stratified_split(spark, sf):
     return longs(with_target_and_split(loans(spark, sf), SPEC).select(KEY, TARGET, "is_test"))
 
 
+def stratified_split_rows(spark, sf):
+    """The split of rows without an identifier; equal rows are counted together."""
+    df = with_row_key(labelled(spark, sf).select(TARGET, *ROW_COLUMNS))
+    return (add_split(df, ROW_KEY, TARGET, 0.2).groupBy(*ROW_COLUMNS)
+            .agg(F.count(F.lit(1)).alias("n"), F.count_if("is_test").alias("n_test")))
+
+
+def sampled_rows(spark, sf):
+    """A sample of a fixed size (M7)."""
+    return fixed_sample(loans(spark, sf).select(KEY, "grade"), KEY, SAMPLE)
+
+
 def standardize(spark, sf):
     df = add_split(labelled(spark, sf), KEY, TARGET, SPEC.test_share)
     train = df.where(~F.col("is_test"))
@@ -244,7 +294,7 @@ def standardize(spark, sf):
     return tidy(models.standardise(matrix, scales), 5)
 
 
-def fitted(spark, sf, closed_form: bool = True) -> tuple[ScorecardModel, DataFrame]:
+def fitted(spark, sf, closed_form: bool = False) -> tuple[ScorecardModel, DataFrame]:
     """A scorecard fitted on the training rows, and the split rows."""
     split = with_target_and_split(loans(spark, sf), SPEC)
     return fit_scorecard(split, SPEC, closed_form), split
@@ -272,13 +322,25 @@ def metric_brier(spark, sf):
     return tidy(metrics(spark, sf).select("n", "n_bad", "brier"))
 
 
+def metrics_in_buckets(spark, sf):
+    """All metrics with the distinct scores spread over many buckets."""
+    scored = scored_test(spark, sf).select("score", TARGET)
+    return tidy(evaluation.score_metrics(scored, rows_per_bucket=50))
+
+
+def closed_form_metrics(spark, sf):
+    """Metrics of the scorecard whose log-odds are the weights' own sum."""
+    card, split = fitted(spark, sf, closed_form=True)
+    return tidy(evaluation.score_metrics(card.transform(split.where("is_test"), "score").select("score", TARGET)))
+
+
 def roc_curve(spark, sf):
-    return tidy(evaluation.roc_curve(scored_test(spark, sf).select("score", TARGET)).drop("threshold"))
+    return tidy(evaluation.roc_curve(scored_test(spark, sf).select("score", TARGET)), threshold=4)
 
 
 def roc_curve_plotted(spark, sf):
-    curve = evaluation.roc_curve(scored_test(spark, sf).select("score", TARGET), drop_collinear=True)
-    return tidy(curve.drop("threshold"))
+    scored = scored_test(spark, sf).select("score", TARGET)
+    return tidy(evaluation.roc_curve(scored, drop_collinear=True, rows_per_bucket=50), threshold=4)
 
 
 def rule_scored(split: DataFrame) -> DataFrame:
@@ -298,16 +360,30 @@ def majority_baseline(spark, sf):
     return tidy(evaluation.score_metrics(majority_scored(with_target_and_split(loans(spark, sf), SPEC))))
 
 
+def baseline_metrics(spark, sf) -> DataFrame:
+    """Metrics of the logistic baseline on the raw numbers."""
+    data = stage(matrix(spark, sf), "baseline-matrix")
+    model, scales = comparison.fit_baseline(data, NUMBERS, TARGET)
+    return evaluation.score_metrics(comparison.score_baseline(data.where("is_test"), model, scales, [TARGET]))
+
+
 def gated(spark, sf) -> DataFrame:
-    """``baseline_auc, primary_auc, test_set_size`` of the policy rule and the scorecard."""
-    card, split = fitted(spark, sf)
-    rule = evaluation.score_metrics(rule_scored(split)).first()
-    scored = card.transform(split.where("is_test"), "score").select("score", TARGET)
-    return evaluation.score_metrics(scored).select(
-        F.lit(rule["auc"]).alias("baseline_auc"), F.col("auc").alias("primary_auc"),
+    """``baseline_auc, primary_auc, test_set_size`` of the logistic baseline and the scorecard."""
+    return metrics(spark, sf).select(
+        F.lit(baseline_metrics(spark, sf).first()["auc"]).alias("baseline_auc"), F.col("auc").alias("primary_auc"),
         F.col("n").alias("test_set_size"))
 
 
+def model_table(spark, sf):
+    found = gated(spark, sf).first()
+    return tidy(comparison.model_table(spark, [("Baseline LR", found["baseline_auc"]), (SCORECARD, found["primary_auc"])]))
+
+
+def primary_record(spark, sf):
+    baseline = baseline_metrics(spark, sf).first()["auc"]
+    return tidy(comparison.primary_record(metrics(spark, sf), baseline, SCORECARD))
+
+
 def pass_gate(spark, sf):
     return tidy(evaluation.gate(gated(spark, sf).drop("test_set_size")))
 
@@ -317,14 +393,26 @@ def metrics_report(spark, sf):
     scored = card.transform(split.where("is_test"), "score").select("score", TARGET)
     records = [evaluation.metric_record(evaluation.score_metrics(df), name) for name, df in (
         ("Policy rule", rule_scored(split)), ("Majority class", majority_scored(split)),
-        ("WoE scorecard", scored))]
+        (SCORECARD, scored))]
     return tidy(reduce(DataFrame.unionByName, records))
 
 
 # --- points, scoring -----------------------------------------------------------------------
 
 def scorecard_points(spark, sf):
-    return longs(fitted(spark, sf, closed_form=False)[0].points().drop("category"))
+    return longs(fitted(spark, sf)[0].points().drop("category"))
+
+
+def scorecard_categories(spark, sf):
+    """The published card, with what each bin of a text feature stands for."""
+    card = fitted(spark, sf)[0].points().where(F.col("feature").isin(*CATEGORIES))
+    return longs(card.drop("bin_id"))
+
+
+def scorecard_own_split(spark, sf):
+    """The card under its own defaults: 30% held out, penalty 1 / 0.1."""
+    spec = replace(SPEC, test_share=ScorecardSpec().test_share)
+    return longs(fit_scorecard(with_target_and_split(loans(spark, sf), spec), spec).points().drop("category"))
 
 
 def scorecard_points_additive(spark, sf):
@@ -342,11 +430,11 @@ def scorecard_comparison(spark, sf):
     weighted = weight.add_weights(card.prepare(split), card.used_bins(), card.weights)
     columns = card.model.features
     mean = weighted.where(~F.col("is_test")).agg(*[F.avg(c).alias(c) for c in columns]).first()
-    sample = fixed_sample(weighted.where("is_test").select(KEY, *columns), KEY, ATTRIBUTION_SAMPLE)
-    pushes = attribution.linear_attribution(sample, card.model, KEY, mean.asDict())
+    rows = weighted.where("is_test").select(KEY, *columns)
+    pushes = attribution.linear_attribution(rows, card.model, KEY, mean.asDict())
     ranking = attribution.attribution_ranking(pushes, KEY).withColumn(
         "feature", F.regexp_replace("feature", "_woe$", ""))
-    return tidy(points.point_range(card.points()).join(F.broadcast(ranking), "feature", "left"))
+    return tidy(points.point_range(card.points()).join(F.broadcast(ranking), "feature", "left"), 5, importance_score=3)
 
 
 def old_and_new(spark, sf) -> tuple[DataFrame, DataFrame]:
@@ -363,6 +451,14 @@ def score_new(spark, sf):
     return tidy(fit_scorecard(old, ALL_SPEC).score_file(new), 6, **{PROBABILITY: 4})
 
 
+def score_new_gaps(spark, sf):
+    """New loans without one of the features and with numbers as text, some of it no number."""
+    old, new = old_and_new(spark, sf)
+    text = F.when(F.col("n_items") == 3, F.lit("three")).otherwise(F.col("n_items").cast("string"))
+    torn = new.drop("avg_disc").withColumn("n_items", text)
+    return tidy(fit_scorecard(old, ALL_SPEC).score_file(torn), 6, **{PROBABILITY: 4})
+
+
 def score_new_metrics(spark, sf):
     old, new = old_and_new(spark, sf)
     return tidy(fit_scorecard(old, ALL_SPEC).back_test(new), 5)
@@ -373,13 +469,13 @@ def artifacts(spark, sf):
     path = new_path(spark, "scorecard")
     card, split = fitted(spark, sf)
     card.save(path)
-    return tidy(ScorecardModel.load(spark, path).transform(split.where("is_test")).select(KEY, PROBABILITY))
+    return tidy(ScorecardModel.load(spark, path).transform(split.where("is_test")).select(KEY, PROBABILITY), 4)
 
 
 def run_manifest(spark, sf):
     kept = labelled(spark, sf).agg(F.count(F.lit(1)).alias("n")).first()["n"]
     counted = gated(spark, sf).withColumn("data_rows_after_filter", F.lit(kept).cast("long"))
-    return tidy(comparison.manifest(counted, len(SPEC.features), "raw", "Scorecard"))
+    return tidy(comparison.manifest(counted, len(SPEC.features), "raw", SCORECARD))
 
 
 # --- fitted models -------------------------------------------------------------------------
@@ -410,24 +506,43 @@ def lr_woe(spark, sf):
     return tidy(table.unionByName(constant), 5)
 
 
-def boosted(spark, sf):
-    data = stage(matrix(spark, sf), "trees-matrix")
-    fitted = models.fit_boosted_trees(data.where(~F.col("is_test")), NUMBERS, TARGET, KEY,
-                                      trees=TREES, learning_rate=0.2, depth=TREE_DEPTH)
-    return data.where("is_test"), fitted
-
-
 def gbt_primary(spark, sf):
-    test, fitted = boosted(spark, sf)
-    scored = models.score_trees(fitted, test, NUMBERS).select(TARGET, "score")
-    return evaluation.metric_record(evaluation.score_metrics(scored), comparison.PRIMARY_NAME)
+    """Boosted trees on all numbers with the default settings, gated against the baseline."""
+    data, names = comparison.prepared(loans(spark, sf), KEY, TARGET)
+    data = stage(data, "trees-matrix")
+    test = data.where("is_test")
+    fitted = models.fit_boosted_trees(data.where(~F.col("is_test")), names, TARGET, KEY)
+    scored = models.score_trees(fitted, test, names).select(TARGET, "score")
+    model, scales = comparison.fit_baseline(data, names, TARGET)
+    baseline = evaluation.score_metrics(comparison.score_baseline(test, model, scales, [TARGET])).first()
+    record = comparison.primary_record(evaluation.score_metrics(scored), baseline["auc"])
+    return record.withColumn("trees", F.lit(fitted.getNumTrees).cast("bigint"))
+
+
+def stump(spark, sf):
+    """One tree of one split on columns of few values, which SQL can state exactly."""
+    coded = loans(spark, sf).withColumns({
+        "grade_no": F.ascii("grade") - 64, "months": F.regexp_extract("term", r"(\d+)", 1).cast("int")})
+    data, names = comparison.prepared(coded, KEY, TARGET, features=STUMP)
+    data = stage(data, "stump-matrix")
+    fitted = models.fit_boosted_trees(data.where(~F.col("is_test")), names, TARGET, KEY, trees=1, depth=1)
+    return data.where("is_test"), names, fitted
+
+
+def gbt_stump(spark, sf):
+    test, names, fitted = stump(spark, sf)
+    leaves, base = attribution.tree_leaves(spark, fitted)
+    low, high = sorted(leaves, key=lambda leaf: leaf.low)
+    found = evaluation.score_metrics(models.score_trees(fitted, test, names).select(TARGET, "score"))
+    return tidy(found.select(
+        F.lit(names[low.features[0]]).alias("feature"), F.lit(low.high[0]).alias("threshold"),
+        F.lit(low.value).alias("low_log_odds"), F.lit(high.value).alias("high_log_odds"),
+        F.lit(base).alias("expected_log_odds"), "n", "n_bad", "auc", "ks", "brier"))
 
 
 def attributed(spark, sf):
-    test, fitted = boosted(spark, sf)
-    sample = fixed_sample(test, KEY, ATTRIBUTION_SAMPLE)
-    return attribution.attribution_ranking(
-        attribution.tree_attribution(sample, fitted, NUMBERS, KEY), KEY)
+    test, names, fitted = stump(spark, sf)
+    return tidy(attribution.attribution_ranking(attribution.tree_attribution(test, fitted, names, KEY), KEY))
 
 
 def attribution_ranking(spark, sf):
@@ -435,21 +550,37 @@ def attribution_ranking(spark, sf):
 
 
 def attribution_top(spark, sf):
-    return attribution.top_features(attributed(spark, sf), 3)
+    return attribution.top_features(attributed(spark, sf), 1)
+
+
+def attribution_additivity(spark, sf):
+    """Held-out rows, and those whose attributions and expectation do not add up to the log-odds."""
+    data = stage(matrix(spark, sf), "additivity-matrix")
+    test = data.where("is_test")
+    fitted = models.fit_boosted_trees(data.where(~F.col("is_test")), NUMBERS, TARGET, KEY,
+                                      trees=10, learning_rate=0.2, depth=4)
+    base = attribution.tree_leaves(spark, fitted)[1]
+    pushes = attribution.tree_attribution(test, fitted, NUMBERS, KEY)
+    total = pushes.select(KEY, (sum((F.col(c) for c in NUMBERS), F.lit(base))).alias("total"))
+    odds = F.ln(F.col("score") / (1 - F.col("score")))
+    return (models.score_trees(fitted, test, NUMBERS).select(KEY, "score").join(total, KEY)
+            .agg(F.count(F.lit(1)).alias("n"), F.count_if(F.abs(odds - F.col("total")) > 1e-6).alias("off")))
 
 
 ALL: tuple[Query, ...] = (
-    load_loans, probe_columns, target_four_status, target_all_rows, target_summary,
+    load_loans, key_first_csv, json_record, probe_columns, target_four_status, target_all_rows, target_summary,
     status_distribution, event_distribution, missing_profile, residual_nulls, impute_constants,
     impute_median, impute_mode, clean_loans, feature_matrix, default_rate_by_category, grade_stats,
     purpose_stats, grade_default_rates, class_crosstab_pct, describe_by_class, corr_matrix,
     corr_with_target, high_corr_pairs, hist_by_class, box_by_grade_class, quantile_edges,
-    equal_width_edges, woe_bins, iv_summary, iv_selection, woe_transform, document_iv,
-    stratified_split, standardize, metric_auc, metric_ks, metric_brier, roc_curve,
+    quantile_edges_bracketed,
+    equal_width_edges, woe_bins, iv_all_variables, iv_summary, iv_selection, woe_transform, document_iv,
+    stratified_split, stratified_split_rows, sampled_rows, standardize, metric_auc, metric_ks, metric_brier,
+    metrics_in_buckets, closed_form_metrics, model_table, primary_record, roc_curve,
     roc_curve_plotted, pass_gate, metrics_report, rules_baseline, majority_baseline,
-    scorecard_points, scorecard_points_additive, score_points, scorecard_comparison, score_new,
-    score_new_metrics, artifacts, run_manifest, lr_baseline, lr_woe, gbt_primary,
-    attribution_ranking, attribution_top)
+    scorecard_points, scorecard_categories, scorecard_own_split, scorecard_points_additive, score_points, scorecard_comparison, score_new, score_new_gaps,
+    score_new_metrics, artifacts, run_manifest, lr_baseline, lr_woe, gbt_primary, gbt_stump,
+    attribution_ranking, attribution_top, attribution_additivity)
 
 
 def _prepared(query: Query) -> Query:

@@ -16,9 +16,17 @@ def frame(spark):
     return spark.createDataFrame(rows, "y int, grade string, a double, b double, c double, k double").repartition(5)
 
 
-@pytest.mark.parametrize("limit", [10, 0])
-def test_correlations_are_pairwise_complete_and_null_for_constants(frame, monkeypatch, limit):
-    monkeypatch.setattr(profiling, "PAIRWISE_COLUMNS", limit)
+def test_the_number_of_columns_does_not_change_a_correlation(spark):
+    df = spark.range(5000).select(
+        F.when(F.col("id") % 50 == 0, F.col("id").cast("double")).alias("a"),
+        F.when(F.col("id") % 50 == 0, 1e6 + 0.1 * F.col("id")).otherwise(0.0).alias("b"),
+        *[(F.col("id") % (i + 2)).cast("double").alias(f"c{i}") for i in range(18)])
+    for names in (["a", "b"], df.columns):
+        found = profiling.correlation_matrix(df, names).where("var1 = 'a' AND var2 = 'b'").first()
+        assert found["corr"] == pytest.approx(1.0)
+
+
+def test_correlations_are_pairwise_complete_and_null_for_constants(frame):
     names = ["a", "b", "c", "k", "y"]
     found = {(r["var1"], r["var2"]): r["corr"] for r in profiling.correlation_matrix(frame, names).collect()}
     expected = frame.select(*names).toPandas().corr()

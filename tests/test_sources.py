@@ -7,17 +7,51 @@ from scoremill.sources.sinks import write_csv, write_json
 from scoremill.sources.staging import shared_folder, stage
 
 
-def test_csv_reading(spark, tmp_path):
-    path = tmp_path / "loans.csv"
-    path.write_text('loan_status,loan_amnt,dti,grade,desc,term\n'
-                    'Current,1000,NA,A,"said ""yes"", twice", 36 months\n'
-                    'Default,n/a,3.5,,None,NaN\n'
-                    'Default,12x,1e3,B,ok,\n')
-    rows = source.read_loans_csv(spark, str(path)).collect()
-    assert [tuple(r) for r in rows] == [
-        ("Current", 1000.0, None, "A", 'said "yes", twice', " 36 months"),
-        ("Default", None, 3.5, None, None, None),
-        ("Default", None, 1000.0, "B", "ok", None)]
+def written(tmp_path, *texts):
+    folder = tmp_path / "files"
+    folder.mkdir()
+    for i, text in enumerate(texts):
+        (folder / f"{i}.csv").write_text(text)
+    return str(folder)
+
+
+LOANS = ('loan_status,loan_amnt,dti,grade,desc,term,fico_low\n'
+         'Current,1000,NA,A,"said ""yes"", twice", 36 months,700\n'
+         'Default,n/a,3.5,,None,NaN,\n'
+         'Default,{odd},1e3,B,ok,,690.5\n')
+
+
+def test_csv_types_follow_the_data(spark, tmp_path):
+    df = source.read_loans_csv(spark, written(tmp_path, LOANS.format(odd="12")))
+    assert [t for _, t in df.dtypes] == ["string", "double", "double", "string", "string", "string", "double"]
+    assert [tuple(r) for r in df.collect()] == [
+        ("Current", 1000.0, None, "A", 'said "yes", twice', " 36 months", 700.0),
+        ("Default", None, 3.5, None, None, None, None),
+        ("Default", 12.0, 1000.0, "B", "ok", None, 690.5)]
+
+
+def test_a_column_with_other_text_stays_text_unless_named(spark, tmp_path):
+    path = written(tmp_path, LOANS.format(odd="12x"))
+    assert dict(source.read_loans_csv(spark, path).dtypes)["loan_amnt"] == "string"
+    named = source.read_loans_csv(spark, path, numeric=["loan_amnt"])
+    assert [r["loan_amnt"] for r in named.collect()] == [1000.0, None, None]
+
+
+@pytest.mark.parametrize("texts", [
+    ("id,loan_amnt,dti\n1,2,3\n", "id,dti,loan_amnt\n1,3,2\n"),   # columns in another order
+    ("id,desc\n1,\"two\nlines\"\n2,x\n",),                        # an open quote
+    ("id,dti\n1,2\n3,4,5\n",),                                      # a field too many
+    ("id,dti,x\n1,2,3\n4,5\n",),                                    # a field too few
+])
+def test_what_would_be_misread_is_refused(spark, tmp_path, texts):
+    with pytest.raises(Exception, match="MALFORMED|header|FAILFAST|conform"):
+        source.read_loans_csv(spark, written(tmp_path, *texts)).collect()
+
+
+def test_line_breaks_in_quotes_with_the_setting(spark, tmp_path):
+    path = written(tmp_path, 'id,desc\n1,"two\nlines"\n2,x\n')
+    rows = source.read_loans_csv(spark, path, multi_line=True).collect()
+    assert [tuple(r) for r in rows] == [(1, "two\nlines"), (2, "x")]
 
 
 def test_identifiers_are_whole_numbers(spark, tmp_path):
