@@ -21,7 +21,7 @@ from scoremill.sources.loans import (
     probe, read_loans_csv, read_loans_parquet, require_columns, resolve_source)
 from scoremill.sources.session import tuned
 from scoremill.sources.sinks import write_csv
-from scoremill.sources.staging import stage
+from scoremill.sources.staging import stage, workspace
 from scoremill.spec import ScorecardSpec
 
 
@@ -60,6 +60,11 @@ def arguments(argv: list[str] | None) -> argparse.Namespace:
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
     args = arguments(argv)
     spark = tuned(spark or SparkSession.builder.appName("scoremill").getOrCreate())
+    with workspace(spark):
+        run(args, spark)
+
+
+def run(args: argparse.Namespace, spark: SparkSession) -> None:
     places = [("raw", args.data)] + ([("fallback", args.fallback)] if args.fallback else [])
     mode, path = resolve_source(spark, *places)
     loans = read(spark, path, args.format, args.multi_line)

@@ -11,10 +11,10 @@ from scoremill.functions.aggregates import aggregate_rows, scalars, union_all
 from scoremill.functions.columns import in_groups, present
 from scoremill.functions.expressions import as_number
 from scoremill.operators.quantiles import exact_quantiles
+from scoremill.sources.staging import stage
 from scoremill.spec import PROFILED_CATEGORIES, PROFILED_NUMBERS
 
-GROUPS_PER_PASS = 50    # groups whose quantiles are taken together
-BROADCAST_GROUPS = 10_000   # group tables up to this length are broadcast
+GROUP_ACCURACY = 10_000   # a group's ranks are bracketed to one in this many
 
 
 def default_rate_by_category(df: DataFrame, target: str,
@@ -198,29 +198,56 @@ def _histogram_counts(df, y, name, ranges, bins):
             .select(F.lit(name).alias("variable"), "class", "bin", "n"))
 
 
-def box_summary(df: DataFrame, target: str, value: str = "int_rate", group: str = "grade",
-                **options) -> DataFrame:
+def group_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float],
+                    accuracy: int = GROUP_ACCURACY) -> DataFrame:
+    """The keys, ``n`` and ``quantiles`` (exact, linearly interpolated) of each group.
+
+    A sketch of each group brackets the wanted ranks; the rows inside a bracket, a few in ten thousand
+    of a large group, are counted by value and ranked. However many groups there are, the data is read twice, and however
+    large one is, no task holds more of it than a bracket.
+    """
+    keys, reach = list(keys), 4.0 / accuracy
+    x = F.col(value)
+    ends = [f for q in probs for f in (max(q - reach, 0.0), min(q + reach, 1.0))]
+    sketched = df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"), F.min(x).alias("lo"), F.max(x).alias("hi"),
+        F.percentile_approx(x, F.array(*[F.lit(e) for e in ends]), accuracy).alias("q"))
+    spot = lambda q: F.lit(float(q)) * (F.col("n") - 1)
+    few = F.col("n") <= accuracy  # a bracket would be narrower than two ranks; all of the group is
+    bracket = [F.struct(
+        F.lit(i).alias("p"), F.when(few | F.lit(ends[2 * i] <= 0), F.col("lo")).otherwise(F.col("q")[2 * i]).alias("low"),
+        F.when(few | F.lit(ends[2 * i + 1] >= 1), F.col("hi")).otherwise(F.col("q")[2 * i + 1]).alias("high"),
+        F.floor(spot(q)).alias("rank"), (spot(q) - F.floor(spot(q))).alias("part")) for i, q in enumerate(probs)]
+    brackets = stage(sketched.select(*keys, "n", F.array(*bracket).alias("brackets")), "group-brackets")
+    # A value under a bracket counts as one row without a value; one above it is left out.
+    seen = F.transform(F.filter("brackets", lambda b: F.col(value) <= b["high"]), lambda b: F.struct(
+        b["p"].alias("p"), F.when(F.col(value) >= b["low"], F.col(value)).alias("v")))
+    counted = (df.join(brackets, keys).select(*keys, F.inline(seen))
+               .groupBy(*keys, "p", "v").agg(F.count(F.lit(1)).alias("m")))
+    through = F.sum("m").over(Window.partitionBy(*keys, "p").orderBy(F.col("v").asc_nulls_first())
+                              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ranks = brackets.select(*keys, "n", F.inline("brackets")).select(*keys, "n", "p", "rank", "part")
+    at = lambda rank: F.max(F.when((F.col("t") > rank) & (F.col("t") - F.col("m") <= rank), F.col("v")))
+    found = (counted.withColumn("t", through).join(ranks, [*keys, "p"])
+             .groupBy(*keys, "n", "p", "part").agg(
+                 at(F.col("rank")).alias("a"), at(F.least(F.col("rank") + 1, F.col("n") - 1)).alias("b"))
+             .withColumn("v", F.when((F.col("part") == 0) | (F.col("a") == F.col("b")), F.col("a"))
+                         .otherwise((1 - F.col("part")) * F.col("a") + F.col("part") * F.col("b"))))
+    return found.groupBy(*keys, "n").agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("p", "v"))), lambda s: s["v"]).alias("quantiles"))
+
+
+def box_summary(df: DataFrame, target: str, value: str = "int_rate", group: str = "grade") -> DataFrame:
     """Quartiles, whiskers within 1.5 interquartile ranges, and outliers per group and class."""
-    y = F.col(target)
-    found = (df.where(F.col(group).isNotNull() & F.col(value).isNotNull() & y.isNotNull())
-             .groupBy(group, y.alias("class")).agg(F.count(F.lit(1)).alias("n")).collect())
-    x = as_number(F.col(value))
-    cells = [(f"{i}", F.when((F.col(group) == r[group]) & (y == r["class"]), x))
-             for i, r in enumerate(found)]
-    quartiles = {}
-    for part in in_groups(cells, GROUPS_PER_PASS):
-        quartiles.update(exact_quantiles(df, dict(part), [0.25, 0.5, 0.75], **options))
-    fences = df.sparkSession.createDataFrame(
-        [(r[group], r["class"], r["n"], *quartiles[f"{i}"]) for i, r in enumerate(found)
-         if quartiles[f"{i}"]],
-        f"`{group}` string, class int, n long, q1 double, median double, q3 double")
-    if len(found) <= BROADCAST_GROUPS:
-        fences = F.broadcast(fences)
+    rows = (df.select(F.col(group), F.col(target).cast("int").alias("class"), as_number(F.col(value)).alias("x"))
+            .where(F.col(group).isNotNull() & F.col("class").isNotNull() & F.col("x").isNotNull()))
+    quartiles = group_quantiles(rows, [group, "class"], "x", [0.25, 0.5, 0.75])
+    fences = quartiles.select(
+        group, "class", "n", *[F.col("quantiles")[i].alias(c) for i, c in enumerate(("q1", "median", "q3"))])
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     fences = fences.withColumns({"fence_lo": F.col("q1") - reach, "fence_hi": F.col("q3") + reach})
     inside = (F.col("x") >= F.col("fence_lo")) & (F.col("x") <= F.col("fence_hi"))
-    return (df.select(F.col(group), y.cast("int").alias("class"), x.alias("x")).where(F.col("x").isNotNull())
-            .join(fences, [group, "class"])
+    return (rows.join(fences, [group, "class"])
             .groupBy(group, "class", "n", "q1", "median", "q3")
             .agg(F.min(F.when(inside, F.col("x"))).alias("whisker_lo"),
                  F.max(F.when(inside, F.col("x"))).alias("whisker_hi"),

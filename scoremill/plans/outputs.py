@@ -62,7 +62,7 @@ def write_profile(df: DataFrame, folder: str, label: str = "default_status", raw
     have = set(df.columns)
     numbers = [c for c in PROFILED_NUMBERS if c in have]
     tables = {"target_summary": target.target_summary(df, label),
-              "default_rate_by_category": profiling.default_rate_by_category(df, label)}
+              "default_rate_by_category": profiling.default_rate_by_category(df, label, top=None)}
     if raw is not None:
         tables["missing_profile"] = missing_profile(raw)
     if numbers:

@@ -9,10 +9,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_folders: dict[str, str] = {}
+_workspaces: list[list[str]] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -29,14 +32,33 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folders.setdefault(context.applicationId, tempfile.mkdtemp(prefix="scoremill-"))
 
 
-def new_path(spark: SparkSession, label: str) -> str:
+def new_path(spark: SparkSession, label: str, kept: bool = False) -> str:
+    """A place of its own in the shared folder; the open workspaces own it unless it is ``kept``."""
     folder = shared_folder(spark).rstrip("/")
-    return f"{folder}/scoremill/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex[:12]}"
+    path = f"{folder}/scoremill/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex[:12]}"
+    if not kept:
+        for owned in _workspaces:
+            owned.append(path)
+    return path
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+@contextmanager
+def workspace(spark: SparkSession) -> Iterator[None]:
+    """Owns what is staged inside and removes it at the end. Results have to be written by then."""
+    owned: list[str] = []
+    _workspaces.append(owned)
+    try:
+        yield
+    finally:
+        _workspaces.remove(owned)
+        for path in owned:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def stage(df: DataFrame, label: str, kept: bool = False) -> DataFrame:
     """Write ``df`` to the shared folder and return a scan of it."""
     spark = df.sparkSession
-    path = new_path(spark, label)
+    path = new_path(spark, label, kept)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

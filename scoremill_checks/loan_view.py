@@ -68,6 +68,7 @@ LOAN_COLUMNS = (
     "emp_length", "home_ownership", "mths_since_last_delinq", "revol_util", "funded_amnt",
     "installment", "total_pymnt", "recoveries", "dti_joint", "pymnt_plan")
 
+# By session, input files and label: changed input is staged anew.
 _staged: dict[tuple[str, str, str], DataFrame] = {}
 
 
@@ -83,15 +84,25 @@ def duck_loans() -> str:
     return LOAN_SQL.replace("{hex2}(", "printf('%02x', ").format(**{t: t for t in TABLES})
 
 
+def _input_files(spark: SparkSession, sf_dir: str) -> str:
+    """Names, sizes and times of the tables' files, from the file system's listing."""
+    found = []
+    for t in TABLES:
+        place = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{t}.parquet")
+        files = place.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(place)
+        found += [f"{f.getPath()}:{f.getLen()}:{f.getModificationTime()}" for f in files]
+    return "\n".join(found)
+
+
 def _once(spark: SparkSession, sf_dir: str, label: str, build) -> DataFrame:
-    key = (spark.sparkContext.applicationId, sf_dir, label)
+    key = (spark.sparkContext.applicationId, _input_files(spark, sf_dir), label)
     if key not in _staged:
-        _staged[key] = stage(build(), label)
+        _staged[key] = stage(build(), label, kept=True)
     return _staged[key]
 
 
 def loans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The view, written once per session and input, since every query scans it repeatedly."""
+    """The view, written once per session and state of the input files, since every query scans it repeatedly."""
     return _once(spark, sf_dir, "loans", lambda: loan_view(spark, sf_dir))
 
 

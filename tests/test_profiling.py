@@ -75,7 +75,7 @@ def test_describe_and_box(frame, options):
     assert rows["c", "median"]["good"] == pytest.approx(good.median())
     assert rows["c", "std"]["bad"] == pytest.approx(bad.std())
     assert rows["c", "mean"]["difference"] == pytest.approx(bad.mean() - good.mean())
-    for r in profiling.box_summary(frame, "y", "c", **options).collect():
+    for r in profiling.box_summary(frame, "y", "c").collect():
         x = pdf[(pdf.grade == r["grade"]) & (pdf.y == r["class"])]["c"].dropna()
         q1, q3 = x.quantile(0.25), x.quantile(0.75)
         inside = x[(x >= q1 - 1.5 * (q3 - q1)) & (x <= q3 + 1.5 * (q3 - q1))]
@@ -91,3 +91,15 @@ def test_rates_skip_missing_keys_and_keep_the_worst(spark):
     assert profiling.default_rate_by_category(df, "y", top=None).count() == 15
     crosstab = profiling.class_crosstab(df, "y", "purpose").first()
     assert (crosstab["good_pct"], crosstab["bad_pct"]) == (100.0, 0.0)
+
+
+@pytest.mark.parametrize("accuracy", [20, 100, 10_000])
+def test_quantiles_of_groups_equal_the_exact_ones(spark, accuracy):
+    df = spark.range(3000).select(
+        F.when(F.col("id") % 7 == 0, "few").when(F.col("id") == 1, "one").otherwise("many").alias("g"),
+        F.when(F.col("id") % 3 == 0, 5.0).otherwise(F.pmod(F.hash("id"), F.lit(997)) / 7).alias("x")).repartition(4)
+    probs = [0.0, 0.25, 0.5, 0.75, 1.0]
+    found = {r["g"]: (r["n"], r["quantiles"]) for r in profiling.group_quantiles(df, ["g"], "x", probs, accuracy).collect()}
+    for g, x in df.toPandas().groupby("g")["x"]:
+        assert found[g][0] == len(x)
+        assert found[g][1] == pytest.approx([x.quantile(p) for p in probs])

@@ -4,7 +4,7 @@ import pytest
 
 from scoremill.sources import loans as source
 from scoremill.sources.sinks import write_csv, write_json
-from scoremill.sources.staging import shared_folder, stage
+from scoremill.sources.staging import shared_folder, stage, workspace
 
 
 def written(tmp_path, *texts):
@@ -95,3 +95,15 @@ def test_staged_tables_lie_in_the_configured_folder(spark):
     staged = stage(df, "test")
     assert staged.inputFiles()[0].removeprefix("file://").startswith(shared_folder(spark))
     assert sorted(staged.collect()) == sorted(df.collect()) and staged.dtypes == df.dtypes
+
+
+def test_a_workspace_removes_what_was_staged_in_it(spark):
+    before = stage(spark.range(3), "outside")
+    with workspace(spark):
+        inside = stage(spark.range(5), "inside")
+        kept = stage(spark.range(7), "kept", kept=True)
+        assert inside.count() == 5
+    spark.catalog.clearCache()
+    with pytest.raises(Exception, match="FILE_NOT_EXIST|does not exist|FileNotFound"):
+        inside.count()
+    assert before.count() == 3 and kept.count() == 7
