@@ -17,7 +17,6 @@ from scoremill.operators.models import (
 from scoremill.operators.split import ROW_KEY, add_split, with_row_key
 from scoremill.operators.target import add_target
 from scoremill.sources.staging import stage
-from scoremill.spec import AUC_THRESHOLD, LIFT_THRESHOLD
 
 PRIMARY_NAME = "Boosted trees"
 
