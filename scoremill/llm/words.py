@@ -9,8 +9,8 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 1 << 20
-BATCH_BYTES = 16 << 20
+BLOCK_BYTES = 1 << 19
+BATCH_BYTES = 4 << 20
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
