@@ -21,7 +21,6 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from scoremill.llm.common import in_arrow, stage
@@ -260,11 +259,13 @@ def _member_sets(docs: DataFrame, members: DataFrame) -> DataFrame:
     return in_arrow(joined, each, f"rep {kind}, cluster {kind}, n_shingles bigint, members binary")
 
 
-def _blocks(rows: DataFrame, size: int, *order: str) -> DataFrame:
-    """Adds ``block`` and ``blocks`` to the rows of each cluster, in the given order."""
-    place = F.row_number().over(W.partitionBy("cluster").orderBy(*order))
-    sizes = rows.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / size).cast("int").alias("blocks"))
-    return rows.withColumn("block", F.floor((place - 1) / size).cast("int")).join(sizes, "cluster")
+def _blocks(rows: DataFrame, size: int, *group: str) -> DataFrame:
+    """Deals the rows of each group to ``blocks`` blocks of about ``size`` rows, by hash: nothing is sorted."""
+    sizes = (rows.groupBy(*[F.col(g).alias(f"of_{g}") for g in group])
+             .agg(F.ceil(F.count(F.lit(1)) / size).cast("int").alias("blocks")))
+    same = [F.col(g).eqNullSafe(F.col(f"of_{g}")) for g in group]
+    return (rows.join(sizes, same).drop(*[f"of_{g}" for g in group])
+            .withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("bigint")))
 
 
 def links(docs: DataFrame, classes: DataFrame, threshold: int, link: tuple[int, int]) -> DataFrame:
@@ -275,20 +276,25 @@ def links(docs: DataFrame, classes: DataFrame, threshold: int, link: tuple[int,
     clusters = grouped.unionByName(heads).select(F.col("node").alias("rep"), F.col("component").alias("cluster"))
     members = classes.select("rep", "n_shingles", "set_a").join(clusters, "rep")
     sets = stage(_member_sets(docs, members), "sets")
-    narrow = sets.select("rep", "cluster", "n_shingles")
+    narrow = sets.select("rep", "cluster")
 
-    first = _blocks(narrow, SET_BLOCK, "n_shingles", "rep")
-    others = F.when((F.col("block") == 0) & (F.col("blocks") > 1), F.sequence(F.lit(1), F.col("blocks") - 1)).otherwise(F.array("block"))
-    star = (first.withColumn("j", F.explode(others)).withColumn("i", F.lit(0)).withColumn("joined", F.col("rep"))
+    first = _blocks(narrow, SET_BLOCK, "cluster")
+    others = (F.when((F.col("block") == 0) & (F.col("blocks") > 1), F.sequence(F.lit(1).cast("bigint"), F.col("blocks").cast("bigint") - 1))
+              .otherwise(F.array("block")))
+    star = (first.withColumn("j", F.explode(others)).withColumn("i", F.lit(0).cast("bigint")).withColumn("joined", F.col("rep"))
             .select("rep", "cluster", "i", "j", "joined").join(sets.select("rep", "members"), "rep"))
     found = stage(_confirm(star, kind, threshold, link), "links")
 
     joined = components(found, "a", "b")
     labelled = (narrow.join(joined.withColumnRenamed("node", "rep"), "rep", "left")
                 .withColumn("joined", F.coalesce("component", "rep")).drop("component"))
-    several = (labelled.groupBy("cluster").agg(F.min("joined").alias("low"), F.max("joined").alias("high"), F.count(F.lit(1)).alias("n"))
-               .filter((F.col("low") != F.col("high")) & (F.col("n") > SET_BLOCK)).select("cluster"))
-    open_rows = stage(_blocks(labelled.join(several, "cluster", "left_semi"), SET_BLOCK, "joined", "n_shingles", "rep"), "open")
+    several = (first.filter("blocks > 1").select("rep").join(labelled, "rep").groupBy("cluster")
+               .agg(F.min("joined").alias("low"), F.max("joined").alias("high")).filter(F.col("low") != F.col("high")).select("cluster"))
+    still_open = stage(labelled.join(several, "cluster", "left_semi"), "open")
+    # what is joined already and fills blocks of its own need not meet itself again; the rest is pooled
+    large = still_open.groupBy("cluster", "joined").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > SET_BLOCK)
+    pooled = still_open.join(large.select("cluster", "joined", F.col("joined").alias("pool")), ["cluster", "joined"], "left")
+    open_rows = stage(_blocks(pooled, SET_BLOCK, "cluster", "pool").withColumn("block", F.xxhash64("pool", "block")), "open")
     groups = open_rows.groupBy("cluster", "block").agg(F.min("joined").alias("low"), F.max("joined").alias("high"))
     left = groups.select("cluster", F.col("block").alias("i"), F.col("low").alias("i_low"), F.col("high").alias("i_high"))
     right = groups.select("cluster", F.col("block").alias("j"), F.col("low").alias("j_low"), F.col("high").alias("j_high"))
@@ -321,3 +327,24 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", th
     component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
     return found.select("doc_id", "n_shingles", component.alias("component_id"),
                         F.col("doc_id").eqNullSafe(component).alias("kept"))
+
+
+ORACLE_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5
+    THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g FROM d),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b USING (g)
+  WHERE a.doc_id < b.doc_id GROUP BY 1, 2),
+link AS (SELECT a, b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+both_ways AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reached AS (SELECT a, b FROM both_ways UNION SELECT r.a, l.b FROM reached r JOIN both_ways l ON r.b = l.a),
+least_one AS (SELECT a, min(b) AS b FROM reached GROUP BY a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(l.b, d.doc_id)) AS component_id,
+       d.doc_id = least(d.doc_id, coalesce(l.b, d.doc_id)) AS kept
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN least_one l ON l.a = d.doc_id
+"""
