@@ -191,3 +191,13 @@ def extract(pages: DataFrame, key: str = "page_id", html: str = "html", scores:
              pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
     kinds = dict(narrow.dtypes)
     return in_arrow(narrow, each, f"page_id {kinds['page_id']}, url {kinds['url']}, text string, n_chars bigint")
+
+
+# For the pages of the tables, whose article is one element without others in it that are left out.
+ORACLE_SQL = r"""
+SELECT page_id, url, text, length(text) AS n_chars FROM (
+  SELECT page_id, url, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
+    regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)</article>', 1),
+    '</?(a|b|em|i|span|strong)( [^>]*)?>', '', 'g'), '<[^>]*>', ' ', 'g'),
+    '&quot;?', '"', 'g'), '&amp;?', '&', 'g'), '\s+', ' ', 'g')) AS text FROM pages)
+"""

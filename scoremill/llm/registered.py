@@ -66,4 +66,5 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_preference_chat": chat.ORACLE_SQL, "op10_exact_dedup": exact_dedup.ORACLE_SQL}
+    return {"op4_near_dedup": near_dedup.ORACLE_SQL, "op5_html_extraction": html_text.ORACLE_SQL,
+            "op8_preference_chat": chat.ORACLE_SQL, "op10_exact_dedup": exact_dedup.ORACLE_SQL}
