@@ -2,10 +2,10 @@
 
 The templates' words, but for function words, form an index: word -> (template, position). A first pass
 counts in how many documents each of them occurs and keeps the words of those documents that have any.
-Each such document then looks up its licence words of highest inverse document frequency. A posting
-and a place in the document give the template's relative position there; where they agree, the
-template's mandatory phrase must stand at exactly its place, and the share of the template's index words
-found at their places, by weight, is the score.
+Each such document then looks up, for every template, the word of highest inverse document frequency in its
+mandatory phrase: a phrase that stands there has it. A posting and a place in the document give the
+template's relative position there; the phrase must stand at exactly its place, and the share of the
+template's index words found at their places, by weight, is the score.
 """
 
 from __future__ import annotations
@@ -46,7 +46,6 @@ TEMPLATES = (
 # Words too common to point at a licence.
 FUNCTION_WORDS = frozenset(("a any and are as by can for in into is it of or person the this to use v with "
                             "without you 0 2 3 4").split())
-LOOKED_UP = 6
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _PLACE = 1 << 40
 
@@ -101,13 +100,23 @@ def base_places(ws: Column) -> Column:
     return F.filter(F.transform(ws, at), lambda x: x.isNotNull())
 
 
-def _postings() -> Column:
-    """word -> places in templates, each as template * 2^40 + position."""
-    index: dict[str, list[int]] = {w: [] for w in vocabulary()}
-    for t, (_, template, _) in enumerate(TEMPLATES):
-        for position, w in enumerate(template.split()):
-            if w in index:
-                index[w].append(t * _PLACE + position)
+def _key_at(template: str, phrase: str) -> int:
+    """Where the mandatory phrase begins in its template, in words."""
+    parts, key = template.split(), phrase.split()
+    return next(i for i in range(len(parts)) if parts[i:i + len(key)] == key)
+
+
+def looked_up(weights: dict[str, float]) -> dict[str, list[int]]:
+    """The rarest word of each template's phrase -> its places there, each as template * 2^40 + position."""
+    index: dict[str, list[int]] = {}
+    for t, (_, template, phrase) in enumerate(TEMPLATES):
+        key = phrase.split()
+        word = min((w for w in key if w in weights), key=lambda w: (-weights[w], w))
+        index.setdefault(word, []).append(t * _PLACE + _key_at(template, phrase) + key.index(word))
+    return index
+
+
+def _postings(index: dict[str, list[int]]) -> Column:
     return F.create_map(*[x for w, places in index.items()
                           for x in (F.lit(w), F.array(*[F.lit(p).cast("bigint") for p in places]))])
 
@@ -116,23 +125,21 @@ def _templates(weights: dict[str, float]) -> Column:
     rows = []
     for label, template, phrase in TEMPLATES:
         parts, key = template.split(), phrase.split()
-        at = next(i for i in range(len(parts)) if parts[i:i + len(key)] == key)
         indexed = [(i, w) for i, w in enumerate(parts) if w in weights]
         total = sum(weights[w] for _, w in indexed)
         rows.append(F.struct(
-            F.lit(label).alias("label"), F.lit(at).alias("key_at"), _strings(key).alias("key"),
+            F.lit(label).alias("label"), F.lit(_key_at(template, phrase)).alias("key_at"), _strings(key).alias("key"),
             F.array(*[F.struct(F.lit(i).alias("at"), F.lit(w).alias("word"), F.lit(
                 weights[w] / total if total > 0 else 1 / len(indexed)).alias("weight"))
                 for i, w in indexed]).alias("indexed")))
     return F.array(*rows)
 
 
-def method_matches(ws: Column, rare: Column, weights: dict[str, float]) -> Column:
+def method_matches(ws: Column, rare: Column, index: dict[str, list[int]]) -> Column:
     """Verified templates: array of (label, score)."""
-    ranked = [w for w in sorted(weights, key=lambda w: (-weights[w], w))]
-    return _let(F.slice(F.array_intersect(_strings(ranked), rare), 1, LOOKED_UP), lambda looked_up: _let(
+    return _let(F.array_intersect(_strings(sorted(index)), rare), lambda wanted: _let(
         F.array_distinct(F.flatten(F.filter(F.transform(ws, lambda w, i: F.when(
-            F.array_contains(looked_up, w),
+            F.array_contains(wanted, w),
             # a template's start in the document may lie before it: shifted to stay above 0
             F.transform(F.col("postings")[w], lambda p: p - p % _PLACE + i.cast("bigint") - p % _PLACE + _PLACE // 2))),
             lambda x: x.isNotNull()))),
@@ -156,15 +163,17 @@ def licenses(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     """
     found = stage(with_licence_words(docs, key, text), "licence-words")
     weights = inverse_frequencies(found)
+    index = looked_up(weights)
     none = F.array().cast("array<string>")
     ws = F.coalesce(F.col("words"), none)
     searched = found.select(
-        "doc_id", "n_words", ws.alias("words"), "rare", _postings().alias("postings"),
+        "doc_id", "n_words", ws.alias("words"), "rare", _postings(index).alias("postings"),
         _templates(weights).alias("templates"))
     matched = searched.select(
         "doc_id", "n_words",
         F.when(F.array_contains("rare", "license"), base_places(F.col("words"))).alias("places"),
-        F.when(F.size("rare") > 0, method_matches(F.col("words"), F.col("rare"), weights)).alias("matches"))
+        F.when(F.arrays_overlap("rare", _strings(sorted(index))),
+               method_matches(F.col("words"), F.col("rare"), index)).alias("matches"))
     starts = F.col("places.start")
     base = F.array_sort(F.array_distinct(F.coalesce(F.col("places.label"), none)))
     every = F.array_sort(F.array_union(base, F.coalesce(F.col("matches.label"), none)))

@@ -1,6 +1,6 @@
 import re
 
-from scoremill.llm.licenses import PHRASES, licenses
+from scoremill.llm.licenses import PHRASES, TEMPLATES, licenses, vocabulary
 from scoremill.llm.registered import op7_license_scan
 from scoremill_checks.compare import duck
 
@@ -61,3 +61,14 @@ def test_query_equals_brute_force_and_is_native(spark):
     check(frame, duck(SF).execute("SELECT doc_id, text FROM documents").fetchall())
     plan = frame._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+def test_every_notice_of_a_file_is_looked_up(spark):
+    every = ". ".join(t for _, t, _ in TEMPLATES)
+    others = [w for w in vocabulary() if w not in "permission is hereby granted free of charge".split()]
+    rows = [(1, every), (2, " ".join(others[::-1]) + " " + TEMPLATES[1][1])]
+    # one source's notice makes its words the least rare
+    rows += [(10 + i, f"{TEMPLATES[1][1]} in file {i}") for i in range(40)] + [(100 + i, "no such words") for i in range(20)]
+    got = {r["doc_id"]: r["labels"] for r in licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1] == ",".join(sorted({label for label, _, _ in TEMPLATES}))
+    assert got[2] == got[10] == "mit"
