@@ -1,16 +1,17 @@
 """Toxicity as an ordinal regression on sparse text features.
 
 A cumulative-link (proportional odds) model: P(grade > k) = logistic(w . x - theta_k), with one weight per
-feature shared by all thresholds. Features are the presence of words and of their first 6 and 8 bytes, as
-64-bit hashes, so a vocabulary is never gathered. Severity is the expected grade, the sum of P(grade > k).
+feature shared by all thresholds. Features are the presence of words and of the first 6 and 8 bytes of longer
+ones, as 64-bit hashes, so a vocabulary is never gathered. Severity is the expected grade, the sum of P(grade > k).
 
 The model is fitted on at most ``SAMPLE`` labelled rows, those of the smallest hashed identifiers. Labels say
-toxic or not; a toxic text with ``SEVERE`` or more distinct marker words is graded 2, another one 1.
+toxic or not; a toxic text with ``SEVERE`` or more distinct marker words is graded 2, another one 1. A marker
+word is a word of which any feature is in the model, however many are.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scoremill.llm.common import in_arrow
-from scoremill.llm.words import LETTERS, random_numbers, slices, words_of
+from scoremill.llm.words import LETTERS, Words, random_numbers, slices, words_of
 
 SAMPLE = 12_000
 CANDIDATES = 20_000
@@ -42,17 +43,32 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(scores[:, None] - self.thresholds[None, :], -500, 500)))
 
 
-def present(texts: pa.Array, features: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(text, feature) pairs, each once, of the sorted features that occur in the texts."""
+def _features(words: Words) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each kind of feature, the words that have it and its hashes; only longer words have a prefix."""
+    lengths = words.ends - words.starts
+    for kind, length in zip(_kinds, PREFIXES):
+        having = np.arange(len(words)) if length is None else np.flatnonzero(lengths > length)
+        yield having, words.prefix_hashes(length)[having] ^ kind
+
+
+def _found(texts: pa.Array, features: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, Words]:
+    """Text, word and feature of each occurrence of the sorted features, and all words."""
     words = words_of(texts, LETTERS)
     owner = np.repeat(np.arange(len(texts)), words.counts)
-    found = []
-    for kind, length in zip(_kinds, PREFIXES):
-        ids = words.prefix_hashes(length) ^ kind
+    where, which = [], []
+    for having, ids in _features(words):
         at = np.minimum(np.searchsorted(features, ids), max(len(features) - 1, 0))
         hit = features[at] == ids if len(features) else np.zeros(len(ids), dtype=bool)
-        found.append(owner[hit] * max(len(features), 1) + at[hit])
-    pairs = np.unique(np.concatenate(found))
+        where.append(having[hit])
+        which.append(at[hit])
+    word, feature = np.concatenate(where), np.concatenate(which)
+    return owner[word], word, feature, words
+
+
+def present(texts: pa.Array, features: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(text, feature) pairs, each once, of the sorted features that occur in the texts."""
+    text, _, feature, _ = _found(texts, features)
+    pairs = np.unique(text * max(len(features), 1) + feature)
     return pairs // max(len(features), 1), pairs % max(len(features), 1)
 
 
@@ -70,10 +86,9 @@ def _candidates(sample: DataFrame, least: int, most: int) -> np.ndarray:
         for part in slices(batch, "text"):
             words = words_of(part.column("text"), LETTERS)
             owner, out = np.repeat(np.arange(part.num_rows), words.counts), []
-            for kind, length in zip(_kinds, PREFIXES):
-                ids = words.prefix_hashes(length) ^ kind
-                order = np.lexsort((ids, owner))
-                ids, own = ids[order], owner[order]
+            for having, ids in _features(words):
+                order = np.lexsort((ids, owner[having]))
+                ids, own = ids[order], owner[having][order]
                 new = np.ones(len(ids), dtype=bool)
                 new[1:] = (ids[1:] != ids[:-1]) | (own[1:] != own[:-1])
                 out.append(ids[new])
@@ -85,20 +100,30 @@ def _candidates(sample: DataFrame, least: int, most: int) -> np.ndarray:
     return np.sort(np.array([r["feature"] for r in rows], dtype=np.int64).view(np.uint64))
 
 
-def _active(sample: DataFrame, features: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
-    """The sample's labels and, for each text, the features present; a bounded number of rows."""
+def _active(sample: DataFrame, features: np.ndarray) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]:
+    """The sample's labels and, for each text, its (distinct word, feature) pairs as two arrays; the words of
+    a text are numbered. A bounded number of rows."""
     def each(batch: pa.RecordBatch) -> Iterable[pa.RecordBatch]:
         for part in slices(batch, "text"):
-            text, feature = present(part.column("text"), features)
-            ends = np.searchsorted(text, np.arange(part.num_rows + 1))
-            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(feature, pa.int32()))
-            yield pa.RecordBatch.from_arrays([part.column("toxic"), lists], ["toxic", "active"])
-    rows = in_arrow(sample, each, "toxic int, active array<int>").toArrow()
-    lists = rows.column("active").combine_chunks()
-    lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
-    flat, ends = np.asarray(lists.flatten()), np.asarray(lists.offsets)
-    ends = ends - ends[0]
-    return np.asarray(rows.column("toxic")), [flat[a:b] for a, b in zip(ends, ends[1:])]
+            text, word, feature, words = _found(part.column("text"), features)
+            _, same = np.unique(words.hashes()[word], return_inverse=True)
+            order = np.lexsort((feature, same, text))
+            text, same, feature = text[order], same[order], feature[order]
+            new = np.ones(len(text), dtype=bool)
+            new[1:] = (text[1:] != text[:-1]) | (same[1:] != same[:-1]) | (feature[1:] != feature[:-1])
+            text, same, feature = text[new], same[new], feature[new]
+            ends = pa.array(np.searchsorted(text, np.arange(part.num_rows + 1)), pa.int32())
+            lists = [pa.ListArray.from_arrays(ends, pa.array(x, pa.int32())) for x in (same, feature)]
+            yield pa.RecordBatch.from_arrays([part.column("toxic"), *lists], ["toxic", "words", "active"])
+    rows = in_arrow(sample, each, "toxic int, words array<int>, active array<int>").toArrow()
+    held = []
+    for name in ("words", "active"):
+        lists = rows.column(name).combine_chunks()
+        lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
+        flat, ends = np.asarray(lists.flatten()), np.asarray(lists.offsets)
+        ends = ends - ends[0]
+        held.append([flat[a:b] for a, b in zip(ends, ends[1:])])
+    return np.asarray(rows.column("toxic")), held[0], held[1]
 
 
 def _marked(toxic: np.ndarray, active: list[np.ndarray], count: int, most: int) -> np.ndarray:
@@ -160,20 +185,23 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = SAMPLE, severe: int = SE
     if not counts["toxic"]:
         return Model()
     candidates = _candidates(sample, max(3, counts["toxic"] // 300), CANDIDATES)
-    toxic, active = _active(sample, candidates)
+    toxic, words, pairs = _active(sample, candidates)
+    active = [np.unique(p) for p in pairs]
     marked = _marked(toxic, active, len(candidates), FEATURES)
     place = np.full(len(candidates) + 1, -1)
     place[marked] = np.arange(len(marked))
     held = [place[a][place[a] >= 0] for a in active]
     rows = np.repeat(np.arange(len(held)), [len(h) for h in held])
     columns = np.concatenate(held).astype(int) if held else np.zeros(0, int)
-    grades = np.where(toxic > 0, np.where(np.array([len(h) for h in held]) >= severe, 2, 1), 0)
+    markers = np.array([len(np.unique(w[place[p] >= 0])) for w, p in zip(words, pairs)])
+    grades = np.where(toxic > 0, np.where(markers >= severe, 2, 1), 0)
     weights, thresholds = cumulative_link(rows, columns, grades, len(marked), 3)
     order = np.argsort(candidates[marked])
     return Model(candidates[marked][order], weights[order], thresholds)
 
 
 def _severity(part: pa.RecordBatch, text: str, model: Model) -> np.ndarray:
+    """P(grade > k) of each row, a column for each threshold."""
     owner, feature = present(part.column(text), model.features)
     scores = np.bincount(owner, model.weights[feature], minlength=part.num_rows) if len(feature) else np.zeros(part.num_rows)
     return model.above(scores)
@@ -182,7 +210,7 @@ def _severity(part: pa.RecordBatch, text: str, model: Model) -> np.ndarray:
 def severity(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row a document: ``doc_id, expected_severity, grade, toxic``.
 
-    ``grade`` is the most probable one, ``toxic`` whether the expected severity is half a grade or more. A null
+    ``grade`` is the most probable one, ``toxic`` whether a grade above 0 is as probable as not. A null
     or empty text has no features. Long texts are read whole, in blocks. Rows that repeat are answered one
     by one; no rows give no rows; other columns are not read.
     """
@@ -193,7 +221,7 @@ def severity(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "te
             chances = np.hstack([np.ones((n, 1)), above]) - np.hstack([above, np.zeros((n, 1))])
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), pa.array(above.sum(axis=1)),
-                 pa.array(chances.argmax(axis=1).astype(np.int32)), pa.array(above.sum(axis=1) >= REJECTED)],
+                 pa.array(chances.argmax(axis=1).astype(np.int32)), pa.array(above[:, 0] >= REJECTED)],
                 ["doc_id", "expected_severity", "grade", "toxic"])
     narrow = docs.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     return in_arrow(narrow, each, f"doc_id {dict(narrow.dtypes)['doc_id']}, expected_severity double, "
@@ -204,5 +232,5 @@ def clean_rows(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """The rows of ``docs`` that are not toxic, with all their columns, in one pass."""
     def each(batch: pa.RecordBatch) -> Iterable[pa.RecordBatch]:
         for part in slices(batch, text):
-            yield part.filter(pa.array(_severity(part, text, model).sum(axis=1) < REJECTED))
+            yield part.filter(pa.array(_severity(part, text, model)[:, 0] < REJECTED))
     return docs.mapInArrow(lambda batches: (out for b in batches for out in each(b)), docs.schema)

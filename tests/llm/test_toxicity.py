@@ -1,6 +1,8 @@
 import numpy as np
+import pyarrow as pa
 
-from scoremill.llm.toxicity import Model, clean_rows, cumulative_link, fit, severity
+from scoremill.llm.toxicity import Model, _kinds, clean_rows, cumulative_link, fit, severity
+from scoremill.llm.words import LETTERS, words_of
 from scoremill_checks.compare import duck
 
 SF = "/root/testdata/sf0.01"
@@ -46,3 +48,24 @@ def test_cumulative_link_recovers_ordered_thresholds():
     rows, columns = np.nonzero(x)
     weights, thresholds = cumulative_link(rows, columns, grades, 3, 3, penalty=0.01)
     assert np.allclose(weights, [2, -1, 0], atol=0.25) and np.allclose(thresholds, [0, 1.5], atol=0.2)
+
+
+def test_grades_count_marker_words_not_their_features(spark):
+    rows = [(i, f"you are a reader {i} and a friend of topic {i} and more", 0) for i in range(200)]
+    rows += [(200 + i, f"you are a {MARKERS[i % 10]} of topic {i}", 1) for i in range(100)]
+    rows += [(300 + i, f"you are a {MARKERS[i % 10]} and a {MARKERS[(i + 3) % 10]} and a {MARKERS[(i + 5) % 10]} "
+              f"of topic {i}", 1) for i in range(100)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    model = fit(docs, spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int"))
+    new = [(0, "plain words about a topic"), (1, "such a disgusting topic"), (1, "a scum, scum, SCUM topic"),
+           (2, "a pathetic, worthless moron"), (2, "idiot clown and loser, stupid trash")]
+    got = severity(spark.createDataFrame(new, "doc_id long, text string"), model).collect()
+    assert all(r["grade"] == r["doc_id"] and r["toxic"] == (r["doc_id"] > 0) for r in got), got
+
+
+def test_rejected_by_the_chance_of_any_grade(spark):
+    feature = np.sort(words_of(pa.array(["moron"]), LETTERS).hashes() ^ _kinds[0])
+    docs = spark.createDataFrame([(1, "a moron")], "doc_id long, text string")
+    row = severity(docs, Model(feature, np.array([1.0]), np.array([1.5, 1.6]))).first()
+    assert row["expected_severity"] > 0.5 and not row["toxic"]
+    assert clean_rows(docs, Model(feature, np.array([1.0]), np.array([1.5, 1.6]))).count() == 1
