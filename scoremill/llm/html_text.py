@@ -5,6 +5,10 @@ article label their own tokens, and every token class (a tag, or a word in a kin
 logarithm of how much commoner it is inside the article than outside. One linear scan (Kadane) finds the
 contiguous run of highest score. Its words outside excluded containers are the text; what is excluded within an
 article neither adds to the run nor breaks it.
+
+A container is excluded by its element or role, or by a class or id whose parts all name what is not the article.
+Forms, and names with such a part beside other words ("has-sidebar"), are excluded only outside an article, and
+not if they wrap the page's article (``let_back``).
 """
 
 from __future__ import annotations
@@ -36,6 +40,9 @@ EXCLUDED_NAMES = frozenset("ad ads advert adverts advertisement advertising spon
                            "sidebar aside footer masthead comment comments commentlist disqus reply replies share sharing "
                            "social related newsletter subscribe subscription popup modal login signup search toolbar "
                            "pagination pager widget".split())
+# Parts of names that say nothing about the content by themselves.
+NEUTRAL = frozenset("post posts entry user global top bottom left right inner outer primary secondary list links link "
+                    "items item box block bar button buttons icons icon area section panel form header title".split())
 KNOWN = CONTAINERS | INLINE | frozenset("p h1 h2 h3 h4 h5 h6 br hr pre img tr td th thead tbody tfoot caption figcaption dt "
                                         "dd address summary meta link input option picture source".split())
 WORD, TAG, INLINE_TAG = 1.0, -0.75, -0.25
@@ -50,55 +57,127 @@ _named = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+
 _parts = re.compile(r"[a-z0-9]+")
 
 
-def _is_excluded(name: str, attributes: str, within_article: bool) -> bool:
+VISIBLE, WEAK, STRONG = 0, 1, 2
+
+
+def _exclusion(name: str, attributes: str, within_article: bool) -> int:
+    """How a container is excluded; a weak exclusion ends where it would take the article."""
+    if name == "form":
+        return STRONG if within_article else WEAK
     if name in EXCLUDED or (name == "header" and not within_article):
-        return True
+        return STRONG
     if name in ("html", "body", "article", "main"):
-        return False
+        return VISIBLE
+    found = VISIBLE
     for kind, *values in _named.findall(attributes):
         value = next((v for v in values if v), "").lower()
         if kind.lower() == "role":
             if value.strip() in EXCLUDED_ROLES:
-                return True
-        elif not EXCLUDED_NAMES.isdisjoint(_parts.findall(value)):
-            return True
-    return False
+                return STRONG
+            continue
+        for one in value.split():
+            parts = set(_parts.findall(one))
+            if not EXCLUDED_NAMES.isdisjoint(parts):
+                if parts <= EXCLUDED_NAMES | NEUTRAL:
+                    return STRONG
+                found = VISIBLE if within_article else WEAK
+    return found
+
+
+class _Container:
+    """An open container: its place in the page, and the words in it, without what is excluded within."""
+    __slots__ = ("name", "parent", "exclusion", "words")
+
+    def __init__(self, name: str, parent: int, exclusion: int):
+        self.name, self.parent, self.exclusion, self.words = name, parent, exclusion, 0
+
+
+def let_back(containers: list[_Container]) -> None:
+    """Ends the exclusion of what wraps the article; ``words`` are those directly in each container.
+
+    The article is a <main>, or the largest <article>, if none of either is visible already. Its wrappers are let
+    back in where their exclusion is weak, and strong ones if it is a <main> or has more words than all that is
+    visible. Without one, a weakly excluded container is let back if it has more words than all that is visible
+    without any, and within one that is let back, more than what is visible there.
+    """
+    hidden = []  # whether excluded by itself or what it is in
+    for c in containers:
+        hidden.append(c.exclusion != VISIBLE or (c.parent >= 0 and hidden[c.parent]))
+    if not any(hidden):
+        return
+    for c in reversed(containers):
+        if c.exclusion == VISIBLE and c.parent >= 0:
+            containers[c.parent].words += c.words
+    visible = containers[0].words
+
+    def around(c: _Container) -> list[_Container]:
+        out = []
+        while c.parent >= 0:
+            c = containers[c.parent]
+            out.append(c)
+        return out
+
+    named = [i for i, c in enumerate(containers) if c.name in ("article", "main") and c.words]
+    if named and all(hidden[i] for i in named):
+        label = containers[max(named, key=lambda i: (containers[i].name == "main", containers[i].words))]
+        for c in around(label):
+            if c.exclusion == WEAK or label.name == "main" or label.words > visible:
+                c.exclusion = VISIBLE
+        return
+    back = set()
+    for c in sorted((c for c in containers if c.exclusion == WEAK), key=lambda c: -c.words):
+        wrappers = around(c)
+        if c.exclusion == WEAK and not any(w.exclusion == STRONG for w in wrappers) and c.words > max(
+                (w.words for w in wrappers if w in back), default=visible):
+            for w in wrappers:
+                w.words += c.words
+            for w in (c, *wrappers):
+                if w.exclusion == WEAK:
+                    w.exclusion = VISIBLE
+                    back.add(w)
 
 
 def tokens(page: str) -> Iterator[tuple[str, str | None, bool, bool]]:
     """(class, text, excluded, within an article) of each run of words and each tag."""
-    open_containers: list[tuple[str, bool]] = []  # name, excluded
-    excluded, articles = 0, 0
+    containers = [_Container("body", -1, VISIBLE)]  # the page itself, then each container as it opens
+    seen: list[tuple[str, str | None, int, bool]] = []  # class, text, container, within an article
+    at: list[int] = [0]
+    articles = 0
     for found in _token.finditer(page):
-        kind = found.lastgroup
         text = found["text"]
         if text is not None:
-            where = open_containers[-1][0] if open_containers else "body"
-            yield ("word-excluded" if excluded else f"word-{where}"), text, excluded > 0, articles > 0
+            containers[at[-1]].words += _count(text)
+            seen.append(("", text, at[-1], articles > 0))
             continue
         name = found["name"]
         if name is None:
-            if found["raw"] or kind is None:
-                yield "tag-hidden", None, excluded > 0, articles > 0
+            if found["raw"] or found.lastgroup is None:
+                seen.append(("tag-hidden", None, at[-1], articles > 0))
             continue
         name, closing = name.lower(), bool(found["close"])
         if closing and name in CONTAINERS:
-            if any(n == name for n, _ in open_containers):
+            if any(containers[i].name == name for i in at[1:]):
                 while True:
-                    last, was = open_containers.pop()
-                    excluded -= was
+                    last = containers[at.pop()].name
                     articles -= last == "article"
                     if last == name:
                         break
         inside = articles > 0
         if not closing and name in CONTAINERS and not found["attributes"].rstrip().endswith("/"):
-            if name == "li" and open_containers and open_containers[-1][0] == "li":
-                excluded -= open_containers.pop()[1]
-            out = _is_excluded(name, found["attributes"], inside)
-            open_containers.append((name, out))
-            excluded += out
+            if name == "li" and containers[at[-1]].name == "li":
+                at.pop()
+            containers.append(_Container(name, at[-1], _exclusion(name, found["attributes"], inside)))
+            at.append(len(containers) - 1)
             articles += name == "article"
-        yield f"tag-{name if name in KNOWN else 'other'}", None, excluded > 0, inside
+        seen.append((f"tag-{name if name in KNOWN else 'other'}", None, at[-1], inside))
+    let_back(containers)
+    excluded: list[bool] = []
+    for c in containers:
+        excluded.append(c.exclusion != VISIBLE or (c.parent >= 0 and excluded[c.parent]))
+    for name, text, i, inside in seen:
+        if text is not None:
+            name = "word-excluded" if excluded[i] else f"word-{containers[i].name}"
+        yield name, text, excluded[i], inside
 
 
 def _count(text: str | None) -> int:

@@ -49,3 +49,37 @@ def test_awkward_pages(spark):
     assert got == sorted((str(i), t, len(t)) for (i, _, _), t in zip(rows, want))
     none = spark.createDataFrame([], "page_id long, url string, html string")
     assert extract(none).collect() == []
+
+
+WORDS = "plain words of a long enough article that tells something about its subject"
+
+
+def test_wrapped_articles_stay(spark):
+    scores = learned(spark.read.parquet(f"{SF}/pages.parquet"))
+    wrappers = [f'<div class="{c}">|</div>' for c in ("content has-sidebar", "no-sidebar", "with-nav", "nav-fixed page")]
+    wrappers += ['<div id="page-widget">|</div>', '<form id="aspnet" action="/">|</form>',
+                 '<form><div class="has-sidebar with-nav">|</div></form>']
+    around = '<nav><a href="/">menu words here</a></nav>|<div class="sidebar-left"><p>side words</p></div><footer>foot words</footer>'
+    for wrapper in wrappers:
+        for inner in ("<article>|</article>", "<main>|</main>", "|"):
+            body = wrapper.replace("|", around.replace("|", inner.replace("|", f"<p>{WORDS}</p><p>{WORDS}</p>")))
+            page = f"<html><body>{body}</body></html>"
+            assert main_text(page, {} if inner == "|" else scores) == f"{WORDS} {WORDS}", page
+    rows = "".join(f'<div class="row has-sidebar"><p>{WORDS}</p><div class="our-newsletter">join us</div></div>' for _ in range(3))
+    assert main_text(f"<html><body>{rows}</body></html>", {}) == " ".join([WORDS] * 3)
+    banner = f'<div class="banner"><main><p>{WORDS}</p></main></div>'
+    assert main_text(f"<html><body>{banner}</body></html>", scores) == WORDS
+
+
+def test_parts_of_names_within_an_article(spark):
+    page = (f'<html><body><article><p>{WORDS}</p><section id="related-work"><p>{WORDS}</p></section>'
+            f'<div class="search-results-method"><p>{WORDS}</p></div><div class="share-buttons"><p>send it</p></div>'
+            f'<p>{WORDS}</p></article></body></html>')
+    assert main_text(page, learned(spark.read.parquet(f"{SF}/pages.parquet"))) == " ".join([WORDS] * 4)
+
+
+def test_comments_are_not_taken_for_the_article():
+    said = '<li><article class="comment"><p>nice post thanks a lot</p></article></li>'
+    page = (f'<html><body><div class="content"><p>{WORDS}</p></div><ol class="comment-list">{said * 9}</ol>'
+            f'<form><p>write a comment</p><input name=q></form></body></html>')
+    assert main_text(page, {}) == WORDS
