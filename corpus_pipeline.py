@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from scoremill.llm import exact_dedup, near_dedup, packing, quality, toxicity
 from scoremill.llm.common import stage, table
@@ -16,6 +17,8 @@ from scoremill.llm.registered import RANKS, TOKENIZER
 # A classifier and expectation-maximisation decide; SQL cannot state them.
 ORACLE_SQL = None
 
+ROW = "corpus_row"
+
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are more probably clean than not."""
@@ -27,20 +30,27 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.good_rows(docs)
 
 
-def _kept(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose identifier was not dropped."""
-    dropped = verdicts.filter("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+def _numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with a number of each row, written out so that it stays: identifiers may repeat or be null."""
+    return stage(docs.withColumn(ROW, F.monotonically_increasing_id()), "rows")
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts: the one with the largest identifier."""
-    return _kept(docs, exact_dedup.exact_duplicates(docs))
+    """One row of each group of equal texts: one with the largest identifier, a null one if there is no other."""
+    rows = _numbered(docs)
+    verdicts = exact_dedup.exact_duplicates(rows.select(F.struct("doc_id", ROW).alias("doc_id"), "text"))
+    dropped = verdicts.filter("NOT kept").select(F.col("doc_id")[ROW].alias(ROW))
+    return rows.join(dropped, ROW, "left_anti").select(*docs.columns)
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the one with the smallest identifier."""
-    return _kept(docs, near_dedup.near_duplicates(docs))
+    """One row of each group of near duplicates: one with the smallest identifier, a null one if there is no other."""
+    rows = _numbered(docs)
+    found = near_dedup.near_duplicates(rows, ROW).select(F.col("doc_id").alias(ROW), "component_id")
+    first = F.min(F.struct(F.isnull("doc_id").alias("unnamed"), "doc_id", ROW))
+    stays = (found.join(rows.select(ROW, "doc_id"), ROW).groupBy("component_id").agg(first.alias("first"))
+             .select(F.col("first")[ROW].alias(ROW)))
+    return rows.join(stays, ROW, "left_semi").select(*docs.columns)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -49,3 +49,19 @@ def test_awkward_documents(spark, awkward, empty):
 def test_dropped_labels_do_not_matter(spark):
     assert exact_duplicates(spark.read.parquet(f"{SF}/documents.parquet")).count() == duck(SF).execute(
         "SELECT count(*) FROM documents").fetchone()[0] == near_duplicates(spark.read.parquet(f"{SF}/documents.parquet")).count()
+
+
+def test_one_row_of_each_group_stays_with_repeated_and_null_identifiers(spark):
+    a, b, c, d = (" ".join(f"{letter}{i}" for i in range(60)) for letter in "abcd")
+    rows = [(1, a), (1, b), (2, a), (3, c), (3, c), (None, d), (None, d.upper()), (None, "alone"), (4, None), (None, None)]
+    docs = spark.createDataFrame([(*r, "en") for r in rows], "doc_id long, text string, lang string")
+    got = [tuple(r)[:2] for r in corpus_pipeline.exact_stage(spark, docs, SF).collect()]
+    assert sorted(got, key=str)[:4] == [(1, b), (2, a), (3, c), (4, None)]
+    assert sorted((t or "").lower() for i, t in got if i is None) == sorted([d, "alone"]) and len(got) == 6
+
+    rows = [(1, a), (1, b), (0, a + " x"), (3, c), (3, c + " x"), (None, d), (None, d + " x"), (None, c + " y"), (None, None),
+            (None, ""), (7, "")]
+    docs = spark.createDataFrame([(*r, "en") for r in rows], "doc_id long, text string, lang string")
+    got = [tuple(r)[:2] for r in corpus_pipeline.near_stage(spark, docs, SF).collect()]
+    assert sorted(i for i, t in got if i is not None) == [0, 1, 3, 7] and (0, a + " x") in got and (1, b) in got
+    assert sorted((t or "")[:2] for i, t in got if i is None) == ["", "", "d0"]
