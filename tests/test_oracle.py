@@ -27,3 +27,8 @@ def test_only_boosted_trees_lack_sql():
 
 def test_entry(spark):
     assert entry.entry(spark).columns == ["feature", "iv", "predictive_power"]
+
+
+def test_entry_covers_every_variable(spark):
+    every = entry.queries()["iv_all_variables"](spark, "/root/testdata/sf0.001").count()
+    assert entry.entry(spark).count() == every > 8
