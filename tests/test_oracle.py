@@ -1,5 +1,11 @@
 """Every registered query against its SQL, or by row count where SQL cannot state it."""
 
+import os
+import shutil
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 
 import __spark_entry__ as entry
@@ -32,3 +38,17 @@ def test_entry(spark):
 def test_entry_covers_every_variable(spark):
     every = entry.queries()["iv_all_variables"](spark, "/root/testdata/sf0.001").count()
     assert entry.entry(spark).count() == every > 8
+
+
+@pytest.mark.parametrize("pipeline", [True, False])
+def test_the_rest_stands_without_the_separable_folders(tmp_path, pipeline):
+    """In a copy without them, with or without the pipeline's file, every other query is there."""
+    here, copy = Path(entry.__file__).parent, tmp_path / "copy"
+    left_out = shutil.ignore_patterns("llm", ".git", "__pycache__", *([] if pipeline else ["corpus_pipeline.py"]))
+    shutil.copytree(here, copy, ignore=left_out)
+    code = "import __spark_entry__ as e; print(*e.queries()); print(*e.oracle_sql())"
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    run = subprocess.run([sys.executable, "-c", code], cwd=copy, env=env, capture_output=True, text=True)
+    assert run.returncode == 0, run.stderr
+    names, stated = run.stdout.splitlines()
+    assert set(names.split()) == set(QUERIES) and set(stated.split()) == set(ORACLES)
