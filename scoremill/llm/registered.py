@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from scoremill.llm import (
-    bpe, chat, collocations, exact_dedup, html_text, licenses, near_dedup, packing, quality, suffix_tree, toxicity)
+    bpe, chat, collocations, exact_dedup, html_text, licenses, near_dedup, packing, quality,
+    ranked_search, suffix_tree, toxicity, vector_topk)
 from scoremill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,13 +64,23 @@ def op11_collocations(spark, sf):
     return collocations.collocations(table(spark, sf, "documents"))
 
 
+def op12_vector_topk(spark, sf):
+    return vector_topk.top_k(table(spark, sf, "embeddings"), lambda key: key % 50 == 0)
+
+
+def op13_ranked_search(spark, sf):
+    return ranked_search.ranked_search(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 def queries() -> dict[str, Query]:
     found = [op1_toxicity, op2_byte_bpe, op3_packing, op4_near_dedup, op5_html_extraction, op6_suffix_tree,
-             op7_license_scan, op8_preference_chat, op9_quality_rules, op10_exact_dedup, op11_collocations]
+             op7_license_scan, op8_preference_chat, op9_quality_rules, op10_exact_dedup, op11_collocations, op12_vector_topk,
+             op13_ranked_search]
     return {q.__name__: q for q in found}
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op4_near_dedup": near_dedup.ORACLE_SQL, "op5_html_extraction": html_text.ORACLE_SQL,
             "op8_preference_chat": chat.ORACLE_SQL, "op10_exact_dedup": exact_dedup.ORACLE_SQL,
-            "op11_collocations": collocations.ORACLE_SQL}
+            "op11_collocations": collocations.ORACLE_SQL, "op12_vector_topk": vector_topk.ORACLE_SQL,
+            "op13_ranked_search": ranked_search.ORACLE_SQL}
