@@ -7,9 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from scoremill.functions.aggregates import aggregate_rows, scalars, union_all
+from scoremill.functions.aggregates import scalars, union_all
 from scoremill.functions.columns import in_groups, present
 from scoremill.functions.expressions import as_number
+from scoremill.operators.comoments import correlations
 from scoremill.operators.quantiles import exact_quantiles
 from scoremill.sources.staging import stage
 from scoremill.spec import PROFILED_CATEGORIES, PROFILED_NUMBERS
@@ -112,23 +113,9 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson correlations of all ordered pairs, diagonal included, as rows ``var1, var2, corr``.
 
     Each pair uses the rows where both values are present; null where one of them is constant there
-    (A11). Pairs are aggregated by built-ins, a few of one column at a time: a scan reads the columns
-    of its pairs only.
+    (A11). However many columns there are, they are scanned once.
     """
-    names = list(columns)
-    numbers = df.select(*[as_number(F.col(c)).alias(c) for c in names])
-    rows = []
-    for i, a in enumerate(names):
-        for b in names[i:]:
-            both = F.col(a).isNotNull() & F.col(b).isNotNull()
-            x, y = F.when(both, F.col(a)), F.when(both, F.col(b))
-            corr = F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
-            rows.append(F.struct(F.lit(a).alias("var1"), F.lit(b).alias("var2"), corr.alias("corr")))
-    pairs = aggregate_rows(numbers, rows)
-    as_found = F.struct("var1", "var2", "corr")
-    mirrored = F.struct(F.col("var2").alias("var1"), F.col("var1").alias("var2"), "corr")
-    return pairs.select(F.inline(F.when(F.col("var1") == F.col("var2"), F.array(as_found))
-                                 .otherwise(F.array(as_found, mirrored))))
+    return correlations(df, columns).select("var1", "var2", "corr")
 
 
 def correlation_with_target(matrix: DataFrame, target: str, top: int = 15) -> DataFrame:

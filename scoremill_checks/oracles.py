@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from scoremill_checks.loan_view import LOAN_COLUMNS, duck_loans
 from scoremill_checks.queries import (
-    ALL_NUMBERS, ALL_TEXTS, CATEGORIES, CORRELATED, NEW_LOANS_FROM, NUMBERS, PROFILED, ROW_COLUMNS, SAMPLE, STUMP)
+    ALL_NUMBERS, ALL_TEXTS, CATEGORIES, CORRELATED, LOAN_NUMBERS, NEW_LOANS_FROM, NUMBERS, PROFILED, ROW_COLUMNS, SAMPLE, STUMP)
 
 FOUR_KEPT = "('Charged Off', 'Default', 'Late (31-120 days)', 'Fully Paid')"
 FOUR_BAD = "('Charged Off', 'Default', 'Late (31-120 days)')"
@@ -181,11 +181,11 @@ def clean_ctes() -> list[str]:
             f"clean AS (SELECT {listed}, y, y AS default_status FROM lab s, med, top)"]
 
 
-def correlations(names: Sequence[str]) -> str:
-    pairs = ", ".join(f"corr({a}, {b}) AS \"{a}|{b}\"" for a in names for b in names)
-    unions = " UNION ALL ".join(f"SELECT '{a}' AS var1, '{b}' AS var2, \"{a}|{b}\" AS corr FROM wide"
+def correlations(names: Sequence[str], source: str = "clean") -> str:
+    pairs = ", ".join(f"corr({a}, {b}) AS \"{a}|{b}\", regr_count({a}, {b}) AS \"{a}#{b}\"" for a in names for b in names)
+    unions = " UNION ALL ".join(f"SELECT '{a}' AS var1, '{b}' AS var2, \"{a}|{b}\" AS corr, \"{a}#{b}\" AS n FROM wide"
                                 for a in names for b in names)
-    return f"wide AS (SELECT {pairs} FROM clean), corrs AS ({unions})"
+    return f"wide AS (SELECT {pairs} FROM {source}), corrs AS ({unions})"
 
 
 def logistic(matrix: str, features: Sequence[str], inverse_penalty: str, sweeps: int = 150) -> list[str]:
@@ -444,6 +444,7 @@ WINDOW d AS (ORDER BY score DESC)"""
                 for c in PROFILED for s, f in (("mean", f"avg({c})"), ("median", f"quantile_cont({c}, 0.5)"),
                                                ("std", f"stddev_samp({c})"))) + ")",
         "corr_matrix": with_loans(*clean_ctes(), correlations(CORRELATED)) + f"SELECT var1, var2, {tidy('corr')} AS corr FROM corrs",
+        "corr_all_numbers": with_loans(correlations(LOAN_NUMBERS, "loans")) + f"SELECT var1, var2, CAST(n AS BIGINT) AS n, {tidy('corr')} AS corr FROM corrs",
         "corr_with_target": with_loans(*clean_ctes(), correlations(CORRELATED)) + """SELECT var2 AS variable, round(abs(corr), 6) AS abs_corr
 FROM corrs WHERE var1 = 'default_status' AND var2 <> 'default_status' ORDER BY abs(corr) DESC, var2 LIMIT 15""",
         "high_corr_pairs": with_loans(*clean_ctes(), correlations(CORRELATED)) + f"SELECT var1, var2, {tidy('corr')} AS corr FROM corrs "

@@ -9,7 +9,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scoremill.operators import attribution, binning, cleaning, evaluation, models, points
+from scoremill.functions.columns import numeric_columns
+from scoremill.operators import attribution, binning, cleaning, comoments, evaluation, models, points
 from scoremill.operators import profiling, target
 from scoremill.operators import woe as weight
 from scoremill.operators.quantiles import median_values
@@ -31,6 +32,8 @@ CATEGORIES = ("grade", "purpose", "addr_state")
 PROFILED = ("loan_amnt", "funded_amnt", "int_rate", "installment", "annual_inc", "dti", "revol_util")
 CORRELATED = (TARGET, "loan_amnt", "annual_inc", "n_items", "avg_disc", "sum_qty", "int_rate", "dti",
               "mths_since_last_delinq", "revol_util", "funded_amnt", "installment", "total_pymnt")
+LOAN_NUMBERS = ("loan_id", "id", "member_id", "loan_amnt", "annual_inc", "n_items", "avg_disc", "sum_qty", "int_rate", "dti",
+                "mths_since_last_delinq", "revol_util", "funded_amnt", "installment", "total_pymnt", "recoveries", "dti_joint")
 NEW_LOANS_FROM = "1997-01-01"
 
 SPEC = ScorecardSpec(key=KEY, target=TARGET, policy="four_status", test_share=0.2, fit_on="train",
@@ -186,6 +189,12 @@ def corr_matrix(spark, sf):
     return tidy(profiling.correlation_matrix(cleaned(spark, sf), CORRELATED))
 
 
+def corr_all_numbers(spark, sf):
+    """Every pair of the raw view's numbers, with the rows that hold both; one of them never has a value."""
+    df = loans(spark, sf)
+    return tidy(comoments.correlations(df, numeric_columns(df)))
+
+
 def corr_with_target(spark, sf):
     matrix = profiling.correlation_matrix(cleaned(spark, sf), CORRELATED)
     return tidy(profiling.correlation_with_target(matrix, TARGET))
@@ -572,7 +581,7 @@ ALL: tuple[Query, ...] = (
     status_distribution, event_distribution, missing_profile, residual_nulls, impute_constants,
     impute_median, impute_mode, clean_loans, feature_matrix, default_rate_by_category, grade_stats,
     purpose_stats, grade_default_rates, class_crosstab_pct, describe_by_class, corr_matrix,
-    corr_with_target, high_corr_pairs, hist_by_class, box_by_grade_class, quantile_edges,
+    corr_all_numbers, corr_with_target, high_corr_pairs, hist_by_class, box_by_grade_class, quantile_edges,
     quantile_edges_bracketed,
     equal_width_edges, woe_bins, iv_all_variables, iv_summary, iv_selection, woe_transform, document_iv,
     stratified_split, stratified_split_rows, sampled_rows, standardize, metric_auc, metric_ks, metric_brier,
