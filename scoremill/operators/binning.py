@@ -55,15 +55,23 @@ def _value(df: DataFrame, name: str) -> Column:
     return as_number(F.col(name)) if numeric else F.col(name)
 
 
-def sketch_columns(df: DataFrame, names: Sequence[str]) -> Sketch:
-    """One job with a bounded buffer per column."""
-    found = scalars(df, {("rows", None): F.count(F.lit(1)), **{
+def sketch_totals(df: DataFrame, names: Sequence[str]) -> dict[tuple, Column]:
+    """The aggregates of a sketch, a bounded buffer per column; they may be observed while ``df`` is written."""
+    return {("rows", None): F.count(F.lit(1)), **{
         (label, c): f(_value(df, c)) for c in names for label, f in (
-            ("present", F.count), ("distinct", lambda x: F.approx_count_distinct(x, SKETCH_ERROR)))}})
+            ("present", F.count), ("distinct", lambda x: F.approx_count_distinct(x, SKETCH_ERROR)))}}
+
+
+def sketch_of(found: Mapping[tuple, float], names: Sequence[str]) -> Sketch:
     return Sketch(int(found["rows", None]), {c: int(found["present", c]) for c in names},
                   {c: int(found["distinct", c]) for c in names})
 
 
+def sketch_columns(df: DataFrame, names: Sequence[str]) -> Sketch:
+    """One job over the columns."""
+    return sketch_of(scalars(df, sketch_totals(df, names)), names)
+
+
 def few_distinct(df: DataFrame, limits: Mapping[str, int], sketch: Sketch | None = None) -> dict[str, bool]:
     """Whether each column has at most its limit of distinct non-null values.
 
@@ -77,7 +85,7 @@ def few_distinct(df: DataFrame, limits: Mapping[str, int], sketch: Sketch | None
     verdict.update({c: True for c, limit in limits.items() if sketch.surely_within(c, limit)})
     unclear = [c for c in limits if c not in verdict]
     if unclear:
-        exact = df.agg(*[F.count_distinct(_value(df, c)).alias(f"d{i}") for i, c in enumerate(unclear)]).first()
+        exact = df.agg(*[F.size(F.collect_set(_value(df, c))).alias(f"d{i}") for i, c in enumerate(unclear)]).first()
         verdict.update({c: exact[f"d{i}"] <= limits[c] for i, c in enumerate(unclear)})
     return verdict
 

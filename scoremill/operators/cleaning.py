@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scoremill.functions.aggregates import aggregate_rows, union_all
@@ -43,6 +43,24 @@ def residual_nulls(df: DataFrame) -> DataFrame:
     return missing_counts(df).agg(cells.alias("remaining_nulls"), (cells == 0).alias("complete"))
 
 
+def null_totals(df: DataFrame) -> dict[str, Column]:
+    """What to observe while ``df`` is written: its rows, and each column's missing values."""
+    return {"": F.count(F.lit(1)), **{c: F.count_if(F.col(f"`{c}`").isNull()) for c in df.columns}}
+
+
+def observed_missing(spark: SparkSession, totals: Mapping[str, int]) -> DataFrame:
+    """``missing_profile`` from observed totals, without a scan."""
+    rows = sorted(((c, n) for c, n in totals.items() if c and n), key=lambda r: (-r[1], r[0]))
+    return spark.createDataFrame([(c, n, n * 100.0 / totals[""]) for c, n in rows],
+                                 "column_name string, missing_count long, missing_pct double")
+
+
+def observed_nulls(spark: SparkSession, totals: Mapping[str, int]) -> DataFrame:
+    """``residual_nulls`` from observed totals, without a scan."""
+    left = sum(n for c, n in totals.items() if c)
+    return spark.createDataFrame([(left, left == 0)], "remaining_nulls long, complete boolean")
+
+
 def fill_constants(df: DataFrame, fills: Mapping[str, object] = CONSTANT_FILLS) -> DataFrame:
     """Replace missing values by fixed ones where the column exists."""
     return apply_fills(df, {c: fills[c] for c in present(df, fills)})

@@ -1,19 +1,20 @@
-"""Ranking and calibration metrics of a scored table, exact and distributed.
+"""Ranking and calibration metrics of scored rows, exact and distributed, for any number of models and segments at once.
 
-Rows are collapsed to one row per distinct score, which is written once: whatever it took to score a
-row is not done again. Distinct scores are spread over buckets of neighbouring scores, as many as keep a
-bucket small; running counts are taken inside each bucket, and the bucket totals supply the offsets. No
-window ever spans the whole table.
+Rows are collapsed to one row per distinct score of each key, which is written once: whatever it took to score a
+row is not done again. Where there are many, distinct scores are dealt by ranges of key and score into buckets, as many
+as keep a bucket small; running counts are taken inside each bucket, and the bucket totals supply the offsets. No
+window ever spans the whole table, and a key that holds most of the rows is spread over as many buckets as it fills.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scoremill.functions.expressions import as_number
-from scoremill.sources.staging import stage
+from scoremill.sources.staging import stage, stage_observed
 from scoremill.spec import (
     AUC_THRESHOLD, LIFT_THRESHOLD, RULE_DTI, RULE_GRADES, VERDICT_FORMAT, VERDICT_WORDS)
 
@@ -22,113 +23,113 @@ ROWS_PER_BUCKET = 1_000_000
 BASELINE_NAME = "Logistic Regression"
 
 
-def _collapsed(df: DataFrame, score: str, y: Column):
-    """A row per distinct score with its class counts, written; and the table's totals."""
-    p = as_number(F.col(score))
-    distinct = stage(df.select(p.alias("score"), y.alias("y")).where("score IS NOT NULL AND y IS NOT NULL")
-                     .groupBy("score").agg(F.count_if(F.col("y") == 0).alias("n0"),
-                                           F.count_if(F.col("y") == 1).alias("n1")), "scores")
-    p = F.col("score")
-    totals = distinct.agg(
-        F.coalesce(F.sum("n0"), F.lit(0)).alias("n0"), F.coalesce(F.sum("n1"), F.lit(0)).alias("n1"),
-        F.count(F.lit(1)).alias("scores"),
-        F.sum(F.col("n0") * p * p + F.col("n1") * (1 - p) * (1 - p)).alias("error")).first()
-    return distinct, totals
-
-
-def _bucketed(distinct: DataFrame, scores: int, rows_per_bucket: int | None) -> DataFrame:
-    """Adds ``bucket``, ascending with the score; a sketch of the scores sets the borders."""
-    wanted = scores // (rows_per_bucket or ROWS_PER_BUCKET) + 1
-    inner = []
-    if wanted > 1:
-        fractions = F.array(*[F.lit(k / wanted) for k in range(1, wanted)])
-        inner = sorted(set(distinct.agg(F.percentile_approx("score", fractions, 4 * wanted)).first()[0]))
-    if not inner:
-        return distinct.withColumn("bucket", F.lit(0.0))
-    return Bucketizer(splits=[float("-inf"), *inner, float("inf")],
-                      inputCol="score", outputCol="bucket").transform(distinct)
+def _bucketed(df: DataFrame, keys: Sequence[str], score: str, y: Column, rows_per_bucket: int | None) -> tuple[DataFrame, bool]:
+    """``keys, score, n0, n1, bucket``, written; and whether there are several buckets.
+
+    The number of distinct scores is observed while they are written, so it costs no scan.
+    """
+    counted = (df.select(*keys, as_number(F.col(score)).alias("score"), y.alias("y"))
+               .where("score IS NOT NULL AND y IS NOT NULL").groupBy(*keys, "score")
+               .agg(F.count_if(F.col("y") == 0).alias("n0"), F.count_if(F.col("y") == 1).alias("n1")))
+    distinct, seen = stage_observed(counted, "scores", {"rows": F.count(F.lit(1))})
+    wanted = seen["rows"] // (rows_per_bucket or ROWS_PER_BUCKET) + 1
+    if wanted == 1:
+        return distinct.withColumn("bucket", F.lit(0)), False
+    dealt = distinct.repartitionByRange(wanted, *keys, "score").withColumn("bucket", F.spark_partition_id())
+    return stage(dealt, "score-buckets"), True
+
+
+def _ranked(df: DataFrame, keys: Sequence[str], score: str, y: Column, rows_per_bucket: int | None) -> DataFrame:
+    """Each key's distinct scores with ``c0, c1`` (goods and bads up to the score), ``t0, t1`` (of the key) and
+    ``below`` (the counts of the next lower score)."""
+    distinct, many = _bucketed(df, keys, score, y, rows_per_bucket)
+    whole = Window.partitionBy(*keys, "bucket")
+    ordered = whole.orderBy("score")
+    so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = distinct.select(
+        *keys, "bucket", "score", "n0", "n1", F.sum("n0").over(so_far).alias("c0"), F.sum("n1").over(so_far).alias("c1"),
+        F.lag(F.struct("n0", "n1")).over(ordered).alias("below"),
+        *([] if many else [F.sum("n0").over(whole).alias("t0"), F.sum("n1").over(whole).alias("t1")]))
+    if not many:
+        return local
+    # A row per key and bucket from here on.
+    totals = distinct.groupBy(*keys, "bucket").agg(
+        F.sum("n0").alias("s0"), F.sum("n1").alias("s1"), F.max_by(F.struct("n0", "n1"), "score").alias("last"))
+    of_key = Window.partitionBy(*keys, F.lit(0))
+    before = of_key.orderBy("bucket")
+    earlier = before.rowsBetween(Window.unboundedPreceding, -1)
+    marks = [F.col(k).alias(f"__{k}") for k in keys]
+    offsets = totals.select(
+        *marks, F.col("bucket").alias("__bucket"), F.coalesce(F.sum("s0").over(earlier), F.lit(0)).alias("b0"),
+        F.coalesce(F.sum("s1").over(earlier), F.lit(0)).alias("b1"), F.lag("last").over(before).alias("last"),
+        F.sum("s0").over(of_key).alias("t0"), F.sum("s1").over(of_key).alias("t1"))
+    same = F.col("bucket") == F.col("__bucket")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"__{k}"))
+    return local.join(offsets, same).select(
+        *keys, "score", "n0", "n1", (F.col("c0") + F.col("b0")).alias("c0"), (F.col("c1") + F.col("b1")).alias("c1"),
+        F.coalesce("below", "last").alias("below"), "t0", "t1")
+
+
+def metrics_by(df: DataFrame, keys: Sequence[str], score: str = "score", target: str = "default_status",
+               positives: Column | None = None, rows_per_bucket: int | None = None) -> DataFrame:
+    """``n, n_bad, auc, gini, ks, brier`` of every key (E1-E4); null where a class is empty.
+
+    AUC counts ties half. However many keys there are, rows are scored and collapsed once.
+    """
+    ranked = _ranked(df, keys, score, F.col(target) if positives is None else positives, rows_per_bucket)
+    p, both = F.col("score"), F.col("t0") * F.col("t1") > 0
+    t0, t1 = F.col("t0").cast("double"), F.col("t1").cast("double")
+    # Bad scores beaten: goods strictly below plus half of the ties.
+    wins = F.col("n1") * (F.col("c0") - F.col("n0") / 2.0)
+    gap = F.abs(F.try_divide(F.col("c0"), t0) - F.try_divide(F.col("c1"), t1))
+    found = ranked.groupBy(*keys).agg(
+        F.coalesce(F.sum(F.col("n0") + F.col("n1")), F.lit(0)).alias("n"), F.coalesce(F.sum("n1"), F.lit(0)).alias("n_bad"),
+        F.sum(F.when(both, wins / (t0 * t1))).alias("auc"), F.max(F.when(both, gap)).alias("ks"),
+        F.sum(F.col("n0") * p * p + F.col("n1") * (1 - p) * (1 - p)).alias("error"))
+    return found.select(*keys, "n", "n_bad", "auc", (2 * F.col("auc") - 1).alias("gini"), "ks",
+                        F.try_divide(F.col("error"), F.col("n")).alias("brier"))
 
 
 def score_metrics(df: DataFrame, score: str = "score", target: str = "default_status",
                   positives: Column | None = None, rows_per_bucket: int | None = None) -> DataFrame:
-    """One row ``n, n_bad, auc, gini, ks, brier`` (E1-E4); null where a class is empty.
-
-    AUC counts ties half. KS needs, per bucket, only the extremes of the local difference
-    between the two distribution functions, shifted by the bucket's offset.
-    """
-    y = F.col(target) if positives is None else positives
-    distinct, row = _collapsed(df, score, y)
-    n0, n1 = row["n0"], row["n1"]
-    brier = row["error"] / (n0 + n1) if n0 + n1 else None
-    spark = df.sparkSession
-    if not n0 or not n1:
-        return spark.createDataFrame(
-            [(n0 + n1, n1, None, None, None, brier)],
-            "n long, n_bad long, auc double, gini double, ks double, brier double")
-    buckets = _bucketed(distinct, row["scores"], rows_per_bucket)
-    inside = Window.partitionBy("bucket").orderBy("score").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    running = buckets.select("bucket", "n0", "n1", F.sum("n0").over(inside).alias("c0"),
-                             F.sum("n1").over(inside).alias("c1"))
-    gap = F.col("c0") / F.lit(float(n0)) - F.col("c1") / F.lit(float(n1))
-    # Bad scores beaten: goods strictly below plus half of the ties, local to the bucket.
-    local = running.groupBy("bucket").agg(
-        F.sum("n0").alias("t0"), F.sum("n1").alias("t1"),
-        F.sum(F.col("n1") * (F.col("c0") - F.col("n0") / 2.0)).alias("wins"),
-        F.max(gap).alias("top"), F.min(gap).alias("low"))
-    # A row per bucket from here on.
-    before = Window.partitionBy(F.lit(0)).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    placed = (local.withColumn("b0", F.coalesce(F.sum("t0").over(before), F.lit(0)))
-              .withColumn("b1", F.coalesce(F.sum("t1").over(before), F.lit(0))))
-    shift = F.col("b0") / F.lit(float(n0)) - F.col("b1") / F.lit(float(n1))
-    auc = F.sum(F.col("wins") + F.col("t1") * F.col("b0")) / F.lit(float(n0) * float(n1))
-    return placed.agg(
-        F.lit(n0 + n1).cast("long").alias("n"), F.lit(n1).cast("long").alias("n_bad"),
-        auc.alias("auc"), (2 * auc - 1).alias("gini"),
-        F.max(F.greatest(F.abs(shift + F.col("top")), F.abs(shift + F.col("low")))).alias("ks"),
-        F.lit(brier).alias("brier"))
+    """One row ``n, n_bad, auc, gini, ks, brier`` (E1-E4); null where a class is empty."""
+    return metrics_by(df, [], score, target, positives, rows_per_bucket)
 
 
-def roc_curve(df: DataFrame, score: str = "score", target: str = "default_status",
-              drop_collinear: bool = False, rows_per_bucket: int | None = None) -> DataFrame:
-    """ROC points ``threshold, fpr, tpr`` from the highest score down, after (0, 0) (E5).
+def roc_by(df: DataFrame, keys: Sequence[str], score: str = "score", target: str = "default_status",
+           drop_collinear: bool = False, rows_per_bucket: int | None = None) -> DataFrame:
+    """ROC points ``threshold, fpr, tpr`` of every key from its highest score down, after (0, 0) (E5).
 
     One point per distinct score. ``drop_collinear`` leaves out points in the middle of a
     straight run, as plotting libraries do. Rates are null for an empty class.
     """
-    y = F.col(target)
-    distinct, row = _collapsed(df, score, y)
-    n0, n1 = row["n0"], row["n1"]
-    buckets = _bucketed(distinct, row["scores"], rows_per_bucket)
-    down = Window.partitionBy("bucket").orderBy(F.desc("score"))
-    # A row per bucket: totals, and each bucket's first step for its upper neighbour.
-    totals = buckets.groupBy("bucket").agg(
-        F.sum("n0").alias("t0"), F.sum("n1").alias("t1"),
-        F.max_by(F.struct("n0", "n1"), "score").alias("first_step"))
-    by_bucket = Window.partitionBy(F.lit(0)).orderBy(F.desc("bucket"))
-    above = by_bucket.rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        "bucket", F.coalesce(F.sum("t0").over(above), F.lit(0)).alias("b0"),
-        F.coalesce(F.sum("t1").over(above), F.lit(0)).alias("b1"),
-        F.lead("first_step").over(by_bucket).alias("next_first"),
-        (F.row_number().over(by_bucket) == 1).alias("is_top"))
-    so_far = down.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    points = (buckets.withColumn("c0", F.sum("n0").over(so_far)).withColumn("c1", F.sum("n1").over(so_far))
-              .withColumn("next_step", F.lead(F.struct("n0", "n1")).over(down))
-              .withColumn("place", F.row_number().over(down))
-              .join(F.broadcast(offsets), "bucket"))
+    ranked = _ranked(df, keys, score, F.col(target), rows_per_bucket)
+    top = (F.col("c0") == F.col("t0")) & (F.col("c1") == F.col("t1"))
     if drop_collinear:
-        following = F.coalesce("next_step", "next_first")
-        straight = (following.isNotNull() & (following["n0"] == F.col("n0"))
-                    & (following["n1"] == F.col("n1")) & ~(F.col("is_top") & (F.col("place") == 1)))
-        points = points.where(~F.coalesce(straight, F.lit(False)))
-    curve = points.select(
-        F.col("score").alias("threshold"),
-        F.try_divide(F.col("b0") + F.col("c0"), F.lit(float(n0))).alias("fpr"),
-        F.try_divide(F.col("b1") + F.col("c1"), F.lit(float(n1))).alias("tpr"))
-    start = df.sparkSession.range(1).select(
-        F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
-    return start.unionByName(curve)
+        straight = (F.col("below.n0") == F.col("n0")) & (F.col("below.n1") == F.col("n1")) & ~top
+        ranked = ranked.where(~F.coalesce(straight, F.lit(False)))
+    rate = lambda k: F.try_divide(F.col(f"t{k}") - F.col(f"c{k}") + F.col(f"n{k}"), F.col(f"t{k}").cast("double"))
+    point = F.struct(F.col("score").alias("threshold"), rate(0).alias("fpr"), rate(1).alias("tpr"))
+    start = F.struct(F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
+    return ranked.select(*keys, F.inline(F.when(top, F.array(start, point)).otherwise(F.array(point))))
+
+
+def roc_curve(df: DataFrame, score: str = "score", target: str = "default_status",
+              drop_collinear: bool = False, rows_per_bucket: int | None = None) -> DataFrame:
+    """ROC points of all rows together (E5)."""
+    return roc_by(df, [], score, target, drop_collinear, rows_per_bucket)
+
+
+def by_model_and_segment(df: DataFrame, target: str, scores: Mapping[str, Column], segments: Mapping[str, Column]) -> DataFrame:
+    """Rows for ``metrics_by``: ``model, segment, value, score`` and the target, once for every model and every segment
+    a row lies in. The segment ``all`` holds every row."""
+    pair = lambda names, a, b: F.named_struct(F.lit(names[0]), a, F.lit(names[1]), b)
+    of_model = F.array(*[pair(("model", "score"), F.lit(m), s.cast("double")) for m, s in scores.items()])
+    inside = F.array(*[pair(("segment", "value"), F.lit(n), v.cast("string"))
+                       for n, v in {"all": F.lit(None), **segments}.items()])
+    return (df.select(target, F.inline(of_model), inside.alias("__inside"))
+            .select(target, "model", "score", F.inline("__inside")))
 
 
 def gate(metrics: DataFrame, auc_threshold: float = AUC_THRESHOLD,
@@ -153,10 +154,10 @@ def verdict(auc_threshold: float = AUC_THRESHOLD, lift_threshold: float = LIFT_T
         word(F.col("primary_auc") >= auc_threshold), word(F.col("lift") >= lift_threshold))
 
 
-def metric_record(metrics: DataFrame, model: str) -> DataFrame:
-    """The stored record of one model, rounded to six places."""
+def metric_record(metrics: DataFrame, model: str | Column) -> DataFrame:
+    """The stored record of one model or, given the column that names it, of each; rounded to six places."""
     return metrics.select(
-        F.lit(model).alias("model"), F.lit("ROC-AUC").alias("metric_name"),
+        (F.lit(model) if isinstance(model, str) else model).alias("model"), F.lit("ROC-AUC").alias("metric_name"),
         F.bround("auc", 6).alias("value"), F.bround("ks", 6).alias("KS"),
         F.bround("brier", 6).alias("Brier"))
 
@@ -168,8 +169,13 @@ def rule_score(grade: str = "grade", dti: str = "dti") -> Column:
     return F.when(weak | indebted, 1.0).otherwise(0.0)
 
 
+def majority_of(goods: int, bads: int) -> float:
+    """The more frequent outcome, the smaller on a tie."""
+    return 1.0 if bads > goods else 0.0
+
+
 def majority_score(train: DataFrame, target: str) -> float:
-    """The most frequent outcome of the training rows, the smaller on a tie."""
+    """The most frequent outcome of the training rows."""
     row = train.agg(F.count_if(F.col(target) == 1).alias("bad"),
                     F.count_if(F.col(target) == 0).alias("good")).first()
-    return 1.0 if row["bad"] > row["good"] else 0.0
+    return majority_of(row["good"], row["bad"])

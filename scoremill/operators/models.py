@@ -6,7 +6,7 @@ import math
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from scoremill.functions.aggregates import scalars
 from scoremill.functions.columns import numeric_columns
 from scoremill.functions.expressions import as_number, linear, sigmoid
+from scoremill.operators import regression
 from scoremill.operators.quantiles import median_values
 from scoremill.operators.split import key_hash
 from scoremill.sources.staging import new_path
@@ -87,18 +88,16 @@ def _vectors(df: DataFrame, features: Sequence[str], *keep: str) -> DataFrame:
 
 
 def fit_logistic(train: DataFrame, features: Sequence[str], target: str, inverse_penalty: float = 1.0,
-                 max_iter: int = 500, tolerance: float = 1e-12) -> LinearModel:
-    """L2 logistic regression with penalty 1 / (C · rows), intercept unpenalised (M3, M4)."""
+                 few_values: bool = False) -> LinearModel:
+    """L2 logistic regression with penalty 1 / (C · rows), intercept unpenalised (M3, M4).
+
+    Newton steps, a pass each; with ``few_values`` equal rows are counted once and the passes read their counts.
+    """
     if not features:
         raise ValueError("no features to fit")
-    rows = train.count()
-    estimator = LogisticRegression(
-        featuresCol=FEATURES, labelCol=target, regParam=1.0 / (inverse_penalty * rows),
-        elasticNetParam=0.0, standardization=False, maxIter=max_iter, tol=tolerance,
-        family="binomial")
-    model = estimator.fit(_vectors(train, features, target))
-    return LinearModel(float(model.intercept),
-                       tuple(zip(features, (float(v) for v in model.coefficients))))
+    cells = regression.collapsed if few_values else regression.counted
+    beta, _ = regression.newton(cells(train, features, target), features, inverse_penalty)
+    return LinearModel(float(beta[0]), tuple(zip(features, (float(v) for v in beta[1:]))))
 
 
 def unscaled(model: LinearModel, scales: dict[str, tuple[float, float]]) -> LinearModel:

@@ -7,8 +7,9 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from scoremill.sources.staging import stage
+from scoremill.sources.staging import stage, stage_observed
 
 DIGITS = 3             # hash digits looked at in one round: 4,096 buckets per class
 SMALL_BUCKET = 50_000  # rows of a bucket that are ranked; a larger one is split by further digits
@@ -73,9 +74,14 @@ def add_split(df: DataFrame, key: str, stratum: str, share: float, seed: int = 4
 def _cut_points(df, key, stratum, share, seed, small=None):
     """Per class, the hash of the last test row."""
     small = SMALL_BUCKET if small is None else small
-    keyed = stage(df.select(F.col(stratum).alias("stratum"), key_hash(key, "split", seed).alias("h"))
-                  .where(F.col("stratum").isNotNull()), "split-hashes")
-    counts = {r["stratum"]: r["n"] for r in keyed.groupBy("stratum").agg(F.count(F.lit(1)).alias("n")).collect()}
+    # Goods and bads are observed as the hashes are written; other strata are counted.
+    hashes = df.select(F.col(stratum).alias("stratum"), key_hash(key, "split", seed).alias("h")).where(F.col("stratum").isNotNull())
+    binary = isinstance(df.schema[stratum].dataType, T.IntegralType)
+    keyed, seen = stage_observed(hashes, "split-hashes", {"rows": F.count(F.lit(1)), **(
+        {k: F.count_if(F.col("stratum") == k) for k in (0, 1)} if binary else {})})
+    counts = {k: seen[k] for k in (0, 1) if seen.get(k)}
+    if sum(counts.values()) < seen["rows"]:
+        counts = {r["stratum"]: r["n"] for r in keyed.groupBy("stratum").agg(F.count(F.lit(1)).alias("n")).collect()}
     # For each class: the prefix its cut lies in, and the cut row's place among the rows with it.
     open_cuts = {c: ("", n) for c, n in test_sizes(counts, share).items() if n > 0}
     sizes, width = dict(counts), 2 * _CONTENT if key == ROW_KEY else _CONTENT

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scoremill.spec import ALL_ROWS_BAD, FOUR_STATUS_BAD, FOUR_STATUS_KEPT
@@ -30,14 +32,29 @@ def add_target(df: DataFrame, policy: str = "all_rows", status: str = "loan_stat
 
 def target_summary(df: DataFrame, target: str = "default_status") -> DataFrame:
     """Rows, columns, goods, bads and their rates in one aggregate."""
+    return summary_of(df.agg(*[v.alias(n) for n, v in target_totals(target).items()]), len(df.columns))
+
+
+def target_totals(target: str = "default_status") -> dict[str, Column]:
+    """The aggregates of the summary, which may also be observed while a frame is written."""
     y = F.col(target)
-    return df.agg(
-        F.count(F.lit(1)).alias("total_rows"),
-        F.lit(len(df.columns)).cast("long").alias("total_columns"),
-        F.count_if(y == 0).alias("good_loans"),
-        F.count_if(y == 1).alias("bad_loans"),
-        F.avg((y == 0).cast("double")).alias("good_rate"),
-        F.avg(y.cast("double")).alias("bad_rate"))
+    return {"total_rows": F.count(F.lit(1)), "good_loans": F.count_if(y == 0), "bad_loans": F.count_if(y == 1),
+            "labelled": F.count(y), "bad_sum": F.sum(y.cast("double"))}
+
+
+def summary_of(totals: DataFrame, columns: int) -> DataFrame:
+    """The summary from a row of the totals."""
+    return totals.select("total_rows", F.lit(columns).cast("long").alias("total_columns"), "good_loans", "bad_loans",
+                         F.try_divide("good_loans", "labelled").alias("good_rate"),
+                         F.try_divide("bad_sum", "labelled").alias("bad_rate"))
+
+
+def observed_summary(spark: SparkSession, totals: Mapping[str, object], columns: int) -> DataFrame:
+    """``target_summary`` from observed totals, without a scan."""
+    names = list(target_totals())
+    row = spark.createDataFrame([tuple(totals[n] for n in names)],
+                                ", ".join(f"{n} {'double' if n == 'bad_sum' else 'long'}" for n in names))
+    return summary_of(row, columns)
 
 
 def frequency(df: DataFrame, column: str) -> DataFrame:

@@ -27,7 +27,7 @@ def bin_counts(df: DataFrame, bins: Sequence[Bins], target: str) -> DataFrame:
     """Goods and bads per bin: ``feature, bin_id, number, category, good, bad``.
 
     Features are read in small groups, each an own column-pruned scan that is cut, turned into
-    narrow rows and counted map-side; the shuffle carries at most bins x 1 rows per task.
+    narrow rows and counted map-side, all in one shuffle that carries at most bins x 1 rows per task.
     Missing values belong to no bin.
     """
     parts = []
@@ -40,16 +40,14 @@ def bin_counts(df: DataFrame, bins: Sequence[Bins], target: str) -> DataFrame:
                 cells = cells.select("__target", *[b.index(F.col(b.feature)).alias(b.feature)
                                                    for b in group])
             long = (cells.unpivot(["__target"], names, "feature", "cell").where(F.col("cell").isNotNull()))
-            counts = long.groupBy("feature", "cell").agg(
-                F.count_if(F.col("__target") == 0).alias("good"),
-                F.count_if(F.col("__target") == 1).alias("bad"))
-            parts.append(counts.select(
+            parts.append(long.select(
                 "feature",
                 *[(F.col("cell") if kind == k else F.lit(None)).cast(t).alias(name)
                   for k, t, name in (("interval", "int", "bin_id"), ("value", "double", "number"),
                                      ("category", "string", "category"))],
-                "good", "bad"))
-    return union_all(parts)
+                "__target"))
+    return union_all(parts).groupBy("feature", "bin_id", "number", "category").agg(
+        F.count_if(F.col("__target") == 0).alias("good"), F.count_if(F.col("__target") == 1).alias("bad"))
 
 
 def _interval_label(lo: Column, hi: Column) -> Column:

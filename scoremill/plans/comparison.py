@@ -5,18 +5,20 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from scoremill.functions.expressions import as_number, linear, sigmoid
 from scoremill.operators.attribution import attribution_ranking, tree_attribution
 from scoremill.operators.evaluation import (
-    BASELINE_NAME, gate, metric_record, score_metrics, verdict)
+    BASELINE_NAME, by_model_and_segment, gate, metric_record, metrics_by, verdict)
 from scoremill.operators.models import (
     LinearModel, feature_matrix, fit_boosted_trees, fit_logistic, model_features, scaling,
     score_trees, standardise)
+from scoremill.operators.quantiles import median_values
 from scoremill.operators.split import ROW_KEY, add_split, with_row_key
 from scoremill.operators.target import add_target
-from scoremill.sources.staging import stage
+from scoremill.sources.staging import stage, stage_observed
 
 PRIMARY_NAME = "Boosted trees"
 
@@ -37,13 +39,16 @@ def prepared(df: DataFrame, key: str | None, target: str = "defaultstatus", poli
              fit_on: str = "train") -> tuple[DataFrame, list[str]]:
     """Labelled, split and median-filled feature matrix with ``key, target, is_test``.
 
-    Without a key the rows get one of their own, ``ROW_KEY``.
+    Without a key the rows get one of their own, ``ROW_KEY``. Rows that are split already stay so.
     """
     if key is None:
         df, key = with_row_key(df), ROW_KEY
     labelled = df if target in df.columns else add_target(df, policy, target=target)
-    names = list(features or model_features(labelled, key, target))
-    split = add_split(labelled.select(key, target, *names), key, target, share, seed)
+    names = list(features or model_features(labelled, key, target, ["is_test"]))
+    if "is_test" in df.columns:
+        split = labelled.select(key, target, "is_test", *names)
+    else:
+        split = add_split(labelled.select(key, target, *names), key, target, share, seed)
     fit_frame = split if fit_on == "all" else split.where(~F.col("is_test"))
     matrix = feature_matrix(split, names, [key, target, "is_test"], fit_frame)
     return matrix, [c for c in names if c in matrix.columns]
@@ -62,6 +67,37 @@ def score_baseline(matrix: DataFrame, model: LinearModel, scales: dict, keep: Se
     return standardise(matrix, scales).select(*keep, model.probability().alias(column))
 
 
+@dataclass(frozen=True)
+class Baseline:
+    """The fitted baseline as an expression over raw rows: medians, scaling and coefficients are literals."""
+
+    model: LinearModel
+    scales: dict[str, tuple[float, float]]
+    medians: dict[str, float]
+
+    def probability(self) -> Column:
+        """Probability of the bad outcome; missing values count as the median, as in the fit."""
+        def scaled(name: str) -> Column:
+            mean, spread = self.scales[name]
+            value = as_number(F.col(name))
+            return ((F.coalesce(value, F.lit(self.medians[name])) if name in self.medians else value) - mean) / spread
+        return sigmoid(linear(self.model.intercept, [(scaled(c), w) for c, w in self.model.coefficients]))
+
+
+def baseline_of(split: DataFrame, features: Sequence[str], target: str, inverse_penalty: float = 1.0,
+                rows: int | None = None) -> Baseline:
+    """The baseline of rows that are split (M2, M3, P14): filled with the training rows' medians, scaled and fitted.
+
+    Means and deviations are observed as the filled rows are written. ``rows``, if known, saves their count.
+    """
+    train = split.where(~F.col("is_test")).select(target, *features)
+    medians = {c: m for c, m in median_values(train, features, rows=rows).items() if m is not None}
+    filled = train.select(target, *[F.coalesce(as_number(F.col(c)), F.lit(m)).alias(c) for c, m in medians.items()])
+    staged, seen = stage_observed(filled, "baseline-matrix", {(c, f): f(c) for c in medians for f in (F.avg, F.stddev_pop)})
+    scales = {c: (seen[c, F.avg], seen[c, F.stddev_pop] or 1.0) for c in medians}
+    return Baseline(fit_logistic(standardise(staged, scales), list(medians), target, inverse_penalty), scales, medians)
+
+
 def primary_record(metrics: DataFrame, baseline_auc: float, name: str = PRIMARY_NAME) -> DataFrame:
     """The stored record of the primary model (E6, E7) with its gate against the baseline."""
     judged = gate(metrics.select("*", F.col("auc").alias("primary_auc"), F.lit(baseline_auc).alias("baseline_auc")))
@@ -93,28 +129,30 @@ def manifest(rows: DataFrame, features: int, source_mode: str, primary_name: str
 
 def compare_models(df: DataFrame, key: str | None = None, source_mode: str = "raw", trees: int = 500,
                    depth: int = 6, policy: str = "four_status", target: str = "defaultstatus",
-                   features: Sequence[str] | None = None, seed: int = 42) -> Comparison:
+                   features: Sequence[str] | None = None, seed: int = 42, primary_name: str = PRIMARY_NAME) -> Comparison:
     """The whole comparison; the prepared matrix is written once and read by each step.
 
-    Every test row is attributed, where it lies.
+    Both models score a test row in one pass and are judged together. Every test row is attributed, where it lies.
     """
     spark = df.sparkSession
     matrix, names = prepared(df, key, target, policy, seed=seed, features=features)
     key = key or ROW_KEY
-    matrix = stage(matrix, "comparison-matrix")
+    matrix, counts = stage_observed(matrix, "comparison-matrix", {"n": F.count(F.lit(1)), "t": F.count_if("is_test")})
     train, test = matrix.where(~F.col("is_test")), matrix.where("is_test")
     model, scales = fit_baseline(matrix, names, target)
-    found = score_metrics(score_baseline(test, model, scales, [target]), target=target).first()
     boosted = fit_boosted_trees(train, names, target, key, trees=trees, depth=depth, seed=seed)
-    best = score_metrics(score_trees(boosted, test, names).select(target, "score"), target=target).first()
-    counts = matrix.agg(F.count(F.lit(1)).alias("n"), F.count_if("is_test").alias("t")).first()
-    both = spark.createDataFrame([(counts["n"], counts["t"], best["auc"], found["auc"])],
+    scores = {BASELINE_NAME: Baseline(model, scales, {}).probability(), primary_name: F.col("score")}
+    judged = metrics_by(by_model_and_segment(score_trees(boosted, test, names), target, scores, {}), ["model"], target=target)
+    columns = "n long, n_bad long, auc double, gini double, ks double, brier double"
+    found = dict.fromkeys(scores, (0, 0, None, None, None, None)) | {r["model"]: tuple(r)[1:] for r in judged.collect()}
+    auc = {m: v[2] for m, v in found.items()}
+    both = spark.createDataFrame([(counts["n"], counts["t"], auc[primary_name], auc[BASELINE_NAME])],
                                  "data_rows_after_filter long, test_set_size long, "
                                  "primary_auc double, baseline_auc double")
-    columns = "n long, n_bad long, auc double, gini double, ks double, brier double"
+    metrics = {m: spark.createDataFrame([v], columns) for m, v in found.items()}
     return Comparison(
-        baseline=metric_record(spark.createDataFrame([tuple(found)], columns), BASELINE_NAME),
-        primary=primary_record(spark.createDataFrame([tuple(best)], columns), found["auc"]),
-        models=model_table(spark, [("Baseline LR", found["auc"]), (PRIMARY_NAME, best["auc"])]),
+        baseline=metric_record(metrics[BASELINE_NAME], BASELINE_NAME),
+        primary=primary_record(metrics[primary_name], auc[BASELINE_NAME], primary_name),
+        models=model_table(spark, [("Baseline LR", auc[BASELINE_NAME]), (primary_name, auc[primary_name])]),
         ranking=attribution_ranking(tree_attribution(test, boosted, names, key), key),
-        manifest=manifest(both, len(names), source_mode))
+        manifest=manifest(both, len(names), source_mode, primary_name))

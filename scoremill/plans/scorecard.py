@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from scoremill.functions.columns import numeric_columns, present, string_columns
 from scoremill.functions.expressions import parse_number
 from scoremill.operators import woe as weight
-from scoremill.operators.binning import Bins, fit_bins, sketch_columns
+from scoremill.operators.binning import Bins, Sketch, fit_bins, sketch_columns, sketch_of, sketch_totals
 from scoremill.operators.cleaning import apply_fills, fills_from_table, fills_table, mode_values
 from scoremill.operators.evaluation import score_metrics
 from scoremill.operators.models import LinearModel, fit_logistic, naive_model
@@ -21,7 +21,7 @@ from scoremill.operators.points import base_points, scorecard
 from scoremill.operators.quantiles import exact_quantiles
 from scoremill.operators.split import ROW_KEY, add_split, with_row_key
 from scoremill.operators.target import add_target, is_member
-from scoremill.sources.staging import stage
+from scoremill.sources.staging import stage_observed
 from scoremill.spec import ALL_ROWS_BAD, MODE_FALLBACK, SCORED_COLUMNS, ScorecardSpec
 
 PROBABILITY = "predicted_default_probability"
@@ -162,15 +162,15 @@ def with_target_and_split(df: DataFrame, spec: ScorecardSpec) -> DataFrame:
     return add_split(labelled, spec.key, spec.target, spec.test_share, spec.seed)
 
 
-def fit_weights(df: DataFrame, spec: ScorecardSpec):
+def fit_weights(df: DataFrame, spec: ScorecardSpec, sketch: Sketch | None = None):
     """Fills, bins and the WoE rows of a labelled frame.
 
-    Scans: a sketch of all columns, quantiles, modes, bin counts; an exact distinct count if some
-    column is near its limit; and quantiles again for the columns that fills have changed. Text
+    Scans: a sketch of all columns if none is at hand, quantiles, modes, bin counts; an exact distinct count
+    if some column is near its limit; and quantiles again for the columns that fills have changed. Text
     columns that are surely over the category limit drop out before the modes are counted.
     """
     numbers, texts = candidate_features(df, spec)
-    sketch = sketch_columns(df, numbers + texts)
+    sketch = sketch or sketch_columns(df, numbers + texts)
     texts = [c for c in texts if not sketch.surely_over(c, spec.max_categories)]
     narrow = df.select(spec.target, *numbers, *texts)
     fills = {c: spec.fills[c] for c in numbers + texts if c in spec.fills}
@@ -193,14 +193,15 @@ def fit_scorecard(df: DataFrame, spec: ScorecardSpec, closed_form: bool = False)
 
     The rows to fit on are written once with the target and the candidate features only, since
     many passes read them a few columns at a time; the row hash behind the split is then not
-    computed again. ``closed_form`` replaces the regression by the weights' own log-odds.
+    computed again, and the columns are sketched as they are written. ``closed_form`` replaces the regression by the weights' own log-odds.
     """
     split = with_target_and_split(df, spec)
     numbers, texts = candidate_features(split, spec)
     wanted = split if spec.fit_on == "all" else split.where(~F.col("is_test"))
-    fit_frame = stage(wanted.select(spec.target, "is_test", *numbers, *texts), "scorecard-rows")
+    narrow = wanted.select(spec.target, "is_test", *numbers, *texts)
+    fit_frame, seen = stage_observed(narrow, "scorecard-rows", sketch_totals(narrow, numbers + texts))
     train = fit_frame.where(~F.col("is_test")) if spec.fit_on == "all" else fit_frame
-    fills, bins, rows = fit_weights(fit_frame.drop("is_test"), spec)
+    fills, bins, rows = fit_weights(fit_frame.drop("is_test"), spec, sketch_of(seen, numbers + texts))
     iv: dict[str, float] = {}
     for r in rows:
         iv[r["feature"]] = iv.get(r["feature"], 0.0) + r["iv"]
@@ -214,5 +215,5 @@ def fit_scorecard(df: DataFrame, spec: ScorecardSpec, closed_form: bool = False)
         ready = apply_fills(train, {c: v for c, v in fills.items() if c in chosen})
         matrix = weight.woe_matrix(ready, [by_name[c] for c in chosen], rows, [spec.target])
         model = fit_logistic(matrix, [f"{c}_woe" for c in chosen], spec.target,
-                             spec.inverse_penalty)
+                             spec.inverse_penalty, few_values=True)
     return ScorecardModel(replace(spec), fills, tuple(bins), tuple(rows), model, df.sparkSession)

@@ -9,10 +9,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 _local_folders: dict[str, str] = {}
 _workspaces: list[list[str]] = []
@@ -62,3 +62,15 @@ def stage(df: DataFrame, label: str, kept: bool = False) -> DataFrame:
     path = new_path(spark, label, kept)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def stage_observed(df: DataFrame, label: str, totals: Mapping[str, Column], kept: bool = False) -> tuple[DataFrame, dict]:
+    """``stage``, and the aggregates in ``totals``, observed while the rows are written: they cost no scan.
+
+    Names of totals may be any text; there may be several hundred. They are taken in the tasks that write, and a task
+    that has to run again counts once.
+    """
+    names = list(totals)
+    seen = Observation()
+    staged = stage(df.observe(seen, *[totals[n].alias(f"t{i}") for i, n in enumerate(names)]), label, kept)
+    return staged, {n: seen.get[f"t{i}"] for i, n in enumerate(names)}

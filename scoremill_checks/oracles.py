@@ -311,6 +311,49 @@ def baseline_found() -> str:
         *metric_ctes("scores"))) + "SELECT * FROM m"
 
 
+def baseline_scores() -> str:
+    """Held-out rows scored by the logistic baseline."""
+    z = " + ".join(["b0"] + [f"b{i} * {c}" for i, c in enumerate(NUMBERS, 1)])
+    return recursive(with_loans(
+        labelled(), *split(), *BASELINE_FILLED, "fit_matrix AS (SELECT * FROM scaled WHERE NOT is_test)",
+        *logistic("fit_matrix", NUMBERS, "1e0"))) + f"SELECT loan_id, y, 1e0 / (1e0 + exp(-({z}))) AS score FROM scaled, beta WHERE is_test"
+
+
+def segment_metrics() -> str:
+    """Metrics of four models over all held-out rows, each grade and each month."""
+    card = recursive(with_loans(*regression_test())) + "SELECT loan_id, y, score FROM scores"
+    plain = with_loans(labelled(), *split()) + f"""SELECT loan_id, y, grade, strftime(issue_d, '%Y-%m') AS month, {RULE} AS rule,
+  (SELECT CASE WHEN sum(y) > sum(1 - y) THEN 1e0 ELSE 0e0 END FROM flagged WHERE NOT is_test) AS majority FROM flagged WHERE is_test"""
+    keys = "model, segment, value"
+    return f"""WITH plain AS ({plain}),
+scored AS (SELECT 'Logistic Regression' AS model, loan_id, y, score FROM ({baseline_scores()})
+  UNION ALL SELECT 'WoE scorecard', loan_id, y, score FROM ({card})
+  UNION ALL SELECT 'Policy rule', loan_id, y, rule FROM plain UNION ALL SELECT 'Majority class', loan_id, y, majority FROM plain),
+long AS (
+  SELECT model, 'all' AS segment, CAST(NULL AS VARCHAR) AS value, y, score FROM scored
+  UNION ALL SELECT model, 'grade', grade, s.y, score FROM scored s JOIN plain USING (loan_id)
+  UNION ALL SELECT model, 'month', month, s.y, score FROM scored s JOIN plain USING (loan_id)),
+by_score AS (SELECT {keys}, score, sum(1 - y) AS n0, sum(y) AS n1 FROM long GROUP BY ALL),
+steps AS (SELECT *, sum(n0) OVER o AS c0, sum(n1) OVER o AS c1, sum(n0) OVER k AS t0, sum(n1) OVER k AS t1 FROM by_score
+  WINDOW k AS (PARTITION BY {keys}), o AS (PARTITION BY {keys} ORDER BY score)),
+m AS (SELECT {keys}, CAST(any_value(t0 + t1) AS BIGINT) AS n, CAST(any_value(t1) AS BIGINT) AS n_bad,
+  CASE WHEN any_value(t0 * t1) > 0 THEN sum(n1 * (c0 - n0 / 2e0)) / any_value(t0::DOUBLE * t1) END AS auc,
+  CASE WHEN any_value(t0 * t1) > 0 THEN max(abs(c0 / t0::DOUBLE - c1 / t1::DOUBLE)) END AS ks,
+  sum(n0 * score * score + n1 * (1 - score) * (1 - score)) / any_value(t0 + t1) AS brier FROM steps GROUP BY ALL)
+SELECT {keys}, n, n_bad, {tidy('auc', 5)} AS auc, {tidy('2 * auc - 1', 5)} AS gini, {tidy('ks', 5)} AS ks, {tidy('brier', 5)} AS brier FROM m"""
+
+
+def grade_roc() -> str:
+    """ROC points of the scorecard by grade."""
+    card = recursive(with_loans(*regression_test())) + "SELECT loan_id, y, score FROM scores"
+    return f"""WITH by_score AS (SELECT grade, score, sum(1 - y) AS n0, sum(y) AS n1 FROM ({card}) JOIN
+  ({with_loans()} SELECT loan_id, grade FROM loans) USING (loan_id) GROUP BY ALL),
+steps AS (SELECT *, sum(n0) OVER d AS c0, sum(n1) OVER d AS c1, sum(n0) OVER k AS t0, sum(n1) OVER k AS t1 FROM by_score
+  WINDOW k AS (PARTITION BY grade), d AS (PARTITION BY grade ORDER BY score DESC))
+SELECT DISTINCT grade, 'infinity'::DOUBLE AS threshold, 0e0 AS fpr, 0e0 AS tpr FROM steps UNION ALL
+SELECT grade, round(score, 4), round(c0 / nullif(t0, 0)::DOUBLE, 6), round(c1 / nullif(t1, 0)::DOUBLE, 6) FROM steps"""
+
+
 def stump_ctes() -> list[str]:
     """The best single split of the training rows without the held-out slice, and the test rows' scores.
 
@@ -405,6 +448,10 @@ WINDOW d AS (ORDER BY score DESC)"""
             f"SELECT '{c}' AS column_name, count(*) FILTER ({c} IS NULL) AS missing_count, "
             f"round(count(*) FILTER ({c} IS NULL) * 100e0 / count(*), 6) AS missing_pct FROM loans"
             for c in nullable) + ") WHERE missing_count > 0",
+        "missing_profile_observed": with_loans(lab) + "SELECT * FROM (" + " UNION ALL ".join(
+            f"SELECT '{c}' AS column_name, count(*) FILTER ({c} IS NULL) AS missing_count, "
+            f"round(count(*) FILTER ({c} IS NULL) * 100e0 / count(*), 6) AS missing_pct FROM lab"
+            for c in nullable) + ") WHERE missing_count > 0",
         "residual_nulls": clean + "SELECT CAST(" + cols(
             [c for c in LOAN_COLUMNS if c not in DROPPED], "count(*) FILTER ({c} IS NULL)", " + ")
             + " AS BIGINT) AS remaining_nulls, " + cols(
@@ -498,6 +545,8 @@ FROM flagged GROUP BY ALL""",
         "sampled_rows": with_loans() + f"""SELECT loan_id, grade FROM loans
 ORDER BY md5(concat(CAST(loan_id AS string), '|sample|42')), loan_id LIMIT {SAMPLE}""",
         "metrics_in_buckets": tested + all_metrics(),
+        "metrics_by_segment": segment_metrics(),
+        "roc_by_grade": grade_roc(),
         "closed_form_metrics": closed + all_metrics(),
         "model_table": f"""SELECT 'Baseline LR' AS model, {tidy('baseline_auc')} AS roc_auc FROM {gate}
 UNION ALL SELECT 'WoE scorecard', {tidy('primary_auc')} FROM {gate}""",
@@ -563,5 +612,6 @@ FROM loans JOIN scores USING (loan_id)""",
 FROM named JOIN chosen USING (feature)
 UNION ALL SELECT '(intercept)', {tidy('b0', 5)}, false FROM beta"""
     sql["scorecard_points"] = recursive(with_loans(*regression_rows(), card())) + "SELECT feature, bin_id, points FROM card"
+    sql["target_summary_observed"] = sql["target_summary"]
     sql["quantile_edges_bracketed"] = sql["quantile_edges"]
     return sql

@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
-from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scoremill.functions.columns import numeric_columns
@@ -21,7 +20,7 @@ from scoremill.plans.scorecard import (
 from scoremill.sources import loans as source
 from scoremill.sources.session import tuned
 from scoremill.sources.sinks import write_csv, write_json
-from scoremill.sources.staging import new_path, stage
+from scoremill.sources.staging import new_path, stage, stage_observed
 from scoremill.spec import ScorecardSpec
 from scoremill_checks.loan_view import KEY, TARGET, cleaned, loans
 
@@ -126,6 +125,23 @@ def missing_profile(spark, sf):
     return tidy(cleaning.missing_profile(loans(spark, sf)))
 
 
+def observed(spark, sf) -> tuple[DataFrame, dict]:
+    """The labelled view, written again, with what was observed on the way."""
+    df = labelled(spark, sf)
+    return stage_observed(df, "observed-loans", {**cleaning.null_totals(df), **target.target_totals()})
+
+
+def missing_profile_observed(spark, sf):
+    """The missing values of the labelled rows, counted while they are written."""
+    df, seen = observed(spark, sf)
+    return tidy(cleaning.observed_missing(spark, {c: seen[c] for c in ["", *df.columns]}))
+
+
+def target_summary_observed(spark, sf):
+    df, seen = observed(spark, sf)
+    return tidy(target.observed_summary(spark, seen, len(df.columns)))
+
+
 def residual_nulls(spark, sf):
     return cleaning.residual_nulls(cleaned(spark, sf))
 
@@ -369,18 +385,45 @@ def majority_baseline(spark, sf):
     return tidy(evaluation.score_metrics(majority_scored(with_target_and_split(loans(spark, sf), SPEC))))
 
 
-def baseline_metrics(spark, sf) -> DataFrame:
-    """Metrics of the logistic baseline on the raw numbers."""
-    data = stage(matrix(spark, sf), "baseline-matrix")
-    model, scales = comparison.fit_baseline(data, NUMBERS, TARGET)
-    return evaluation.score_metrics(comparison.score_baseline(data.where("is_test"), model, scales, [TARGET]))
+def rivals(spark, sf) -> tuple[DataFrame, dict[str, Column], dict[str, int]]:
+    """Held-out rows, the scores of every model over them, and how many rows were kept and held out.
+
+    The split rows are written once; the scorecard's score is a column, the others are expressions.
+    """
+    split, seen = stage_observed(with_target_and_split(loans(spark, sf), SPEC), "split-rows", {
+        "kept": F.count(F.lit(1)), "test": F.count_if("is_test"),
+        **{f"train_{k}": F.count_if(~F.col("is_test") & (F.col(TARGET) == k)) for k in (0, 1)}})
+    card = fit_scorecard(split, SPEC)
+    baseline = comparison.baseline_of(split, NUMBERS, TARGET, rows=seen["kept"] - seen["test"])
+    majority = evaluation.majority_of(seen["train_0"], seen["train_1"])
+    scores = {evaluation.BASELINE_NAME: baseline.probability(), SCORECARD: F.col("score"),
+              "Policy rule": evaluation.rule_score(), "Majority class": F.lit(majority)}
+    return card.transform(split.where("is_test"), "score"), scores, seen
+
+
+def metrics_by_segment(spark, sf):
+    """Every model's metrics over all held-out rows, each grade and each month, in one set of jobs."""
+    rows, scores, _ = rivals(spark, sf)
+    long = evaluation.by_model_and_segment(rows, TARGET, scores, {"grade": F.col("grade"), "month": F.date_format("issue_d", "yyyy-MM")})
+    return tidy(evaluation.metrics_by(long, ["model", "segment", "value"]), 5)
+
+
+def roc_by_grade(spark, sf):
+    """ROC points of every grade, its scores spread over several buckets."""
+    scored = scored_test(spark, sf).select("grade", "score", TARGET)
+    return tidy(evaluation.roc_by(scored, ["grade"], rows_per_bucket=200), threshold=4)
 
 
 def gated(spark, sf) -> DataFrame:
-    """``baseline_auc, primary_auc, test_set_size`` of the logistic baseline and the scorecard."""
-    return metrics(spark, sf).select(
-        F.lit(baseline_metrics(spark, sf).first()["auc"]).alias("baseline_auc"), F.col("auc").alias("primary_auc"),
-        F.col("n").alias("test_set_size"))
+    """``baseline_auc, primary_auc, primary_ks, primary_brier, test_set_size, data_rows_after_filter`` of the logistic
+    baseline and the scorecard."""
+    rows, scores, seen = rivals(spark, sf)
+    two = {m: scores[m] for m in (evaluation.BASELINE_NAME, SCORECARD)}
+    found = evaluation.metrics_by(evaluation.by_model_and_segment(rows, TARGET, two, {}), ["model"])
+    of = lambda model, column: F.max(F.when(F.col("model") == model, F.col(column)))
+    return found.agg(of(evaluation.BASELINE_NAME, "auc").alias("baseline_auc"), *[
+        of(SCORECARD, c).alias(f"primary_{c}") for c in ("auc", "ks", "brier")], F.max("n").alias("test_set_size")).select(
+        "*", F.lit(seen["kept"]).cast("long").alias("data_rows_after_filter"))
 
 
 def model_table(spark, sf):
@@ -389,21 +432,20 @@ def model_table(spark, sf):
 
 
 def primary_record(spark, sf):
-    baseline = baseline_metrics(spark, sf).first()["auc"]
-    return tidy(comparison.primary_record(metrics(spark, sf), baseline, SCORECARD))
+    found = gated(spark, sf).first()
+    measured = spark.createDataFrame([(found["primary_auc"], found["primary_ks"], found["primary_brier"])], "auc double, ks double, brier double")
+    return tidy(comparison.primary_record(measured, found["baseline_auc"], SCORECARD))
 
 
 def pass_gate(spark, sf):
-    return tidy(evaluation.gate(gated(spark, sf).drop("test_set_size")))
+    return tidy(evaluation.gate(gated(spark, sf).select("baseline_auc", "primary_auc")))
 
 
 def metrics_report(spark, sf):
-    card, split = fitted(spark, sf)
-    scored = card.transform(split.where("is_test"), "score").select("score", TARGET)
-    records = [evaluation.metric_record(evaluation.score_metrics(df), name) for name, df in (
-        ("Policy rule", rule_scored(split)), ("Majority class", majority_scored(split)),
-        (SCORECARD, scored))]
-    return tidy(reduce(DataFrame.unionByName, records))
+    rows, scores, _ = rivals(spark, sf)
+    three = {m: scores[m] for m in ("Policy rule", "Majority class", SCORECARD)}
+    found = evaluation.metrics_by(evaluation.by_model_and_segment(rows, TARGET, three, {}), ["model"])
+    return tidy(evaluation.metric_record(found, F.col("model")))
 
 
 # --- points, scoring -----------------------------------------------------------------------
@@ -482,9 +524,7 @@ def artifacts(spark, sf):
 
 
 def run_manifest(spark, sf):
-    kept = labelled(spark, sf).agg(F.count(F.lit(1)).alias("n")).first()["n"]
-    counted = gated(spark, sf).withColumn("data_rows_after_filter", F.lit(kept).cast("long"))
-    return tidy(comparison.manifest(counted, len(SPEC.features), "raw", SCORECARD))
+    return tidy(comparison.manifest(gated(spark, sf), len(SPEC.features), "raw", SCORECARD))
 
 
 # --- fitted models -------------------------------------------------------------------------
@@ -578,14 +618,14 @@ def attribution_additivity(spark, sf):
 
 ALL: tuple[Query, ...] = (
     load_loans, key_first_csv, json_record, probe_columns, target_four_status, target_all_rows, target_summary,
-    status_distribution, event_distribution, missing_profile, residual_nulls, impute_constants,
+    status_distribution, event_distribution, missing_profile, missing_profile_observed, target_summary_observed, residual_nulls, impute_constants,
     impute_median, impute_mode, clean_loans, feature_matrix, default_rate_by_category, grade_stats,
     purpose_stats, grade_default_rates, class_crosstab_pct, describe_by_class, corr_matrix,
     corr_all_numbers, corr_with_target, high_corr_pairs, hist_by_class, box_by_grade_class, quantile_edges,
     quantile_edges_bracketed,
     equal_width_edges, woe_bins, iv_all_variables, iv_summary, iv_selection, woe_transform, document_iv,
     stratified_split, stratified_split_rows, sampled_rows, standardize, metric_auc, metric_ks, metric_brier,
-    metrics_in_buckets, closed_form_metrics, model_table, primary_record, roc_curve,
+    metrics_in_buckets, metrics_by_segment, roc_by_grade, closed_form_metrics, model_table, primary_record, roc_curve,
     roc_curve_plotted, pass_gate, metrics_report, rules_baseline, majority_baseline,
     scorecard_points, scorecard_categories, scorecard_own_split, scorecard_points_additive, score_points, scorecard_comparison, score_new, score_new_gaps,
     score_new_metrics, artifacts, run_manifest, lr_baseline, lr_woe, gbt_primary, gbt_stump,

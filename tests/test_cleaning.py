@@ -2,7 +2,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from scoremill.operators import cleaning
-from scoremill.operators.target import add_target, frequency, target_summary
+from scoremill.operators.target import add_target, frequency, observed_summary, target_summary, target_totals
+from scoremill.sources.staging import stage_observed
 
 LOANS = [("Charged Off", 1), ("Default", 2), ("Late (31-120 days)", 3), ("Fully Paid", 4),
          ("Current", 5), ("In Grace Period", 6), (None, 7)]
@@ -73,3 +74,23 @@ def test_missing_profile_is_sorted_and_skips_full_columns(spark):
 def test_fills_survive_storing(spark):
     fills = {"a": 1.5, "b": "x"}
     assert cleaning.fills_from_table(cleaning.fills_table(spark, fills)) == fills
+
+
+def test_observed_totals_equal_the_profiles_of_a_scan(spark):
+    df = add_target(spark.createDataFrame(
+        [("Fully Paid", None, 1.0, "x"), ("Default", "a", None, "x"), (None, None, None, "x"), ("Current", "b", 2.0, "x")],
+        "loan_status string, a string, `b.c` double, d string"))
+    staged, seen = stage_observed(df, "observed", {**cleaning.null_totals(df), **target_totals()})
+    nulls = {c: seen[c] for c in ["", *df.columns]}
+    renamed = df.withColumnRenamed("b.c", "bc")
+    same = lambda rows: [(str(r[0]).replace("b.c", "bc"), *r[1:]) for r in rows]
+    assert same(cleaning.observed_missing(spark, nulls).collect()) == same(cleaning.missing_profile(renamed).collect())
+    assert cleaning.observed_nulls(spark, nulls).collect() == cleaning.residual_nulls(renamed).collect()
+    assert observed_summary(spark, seen, len(df.columns)).collect() == target_summary(df).collect()
+    assert staged.count() == 4
+
+
+def test_summary_of_no_rows(spark):
+    df = spark.createDataFrame([], "default_status int")
+    row = target_summary(df).first()
+    assert (row["total_rows"], row["good_rate"], row["bad_rate"]) == (0, None, None)

@@ -92,3 +92,48 @@ def test_rule_and_majority(spark):
     assert [r["s"] for r in df.select(rule_score().alias("s")).collect()] == [0.0, 1.0, 1.0, 0.0, 1.0]
     assert majority_score(df, "y") == 0.0
     assert majority_score(df.where("y = 1"), "y") == 1.0
+
+
+@pytest.fixture(scope="module")
+def segments(spark):
+    """A segment with most of the rows, one without bads, one without a name, ties throughout."""
+    rng = np.random.default_rng(11)
+    size = 6000
+    name = np.where(rng.random(size) < 0.7, "hot", rng.choice(["a", "b", "none", "good"], size))
+    y = np.where(name == "good", 0, rng.random(size) < 0.3).astype(int)
+    score = np.round(rng.beta(2 + y, 4), 2)
+    rows = [(None if n == "none" else str(n), float(s), int(t)) for n, s, t in zip(name, score, y)]
+    return spark.createDataFrame(rows, "grade string, score double, default_status int").repartition(7), name, score, y
+
+
+@pytest.mark.parametrize("rows_per_bucket", [None, 30])
+def test_metrics_of_models_and_segments_equal_brute_force(segments, rows_per_bucket):
+    df, name, score, y = segments
+    long = evaluation.by_model_and_segment(df, "default_status", {"own": F.col("score"), "mirrored": 1 - F.col("score"), "same": F.lit(0.5)},
+                                           {"grade": F.col("grade")})
+    found = {(r["model"], r["segment"], r["value"]): r for r in
+             evaluation.metrics_by(long, ["model", "segment", "value"], rows_per_bucket=rows_per_bucket).collect()}
+    assert len(found) == 3 * 6
+    for value in ("all", "hot", "a", "b", "none", "good"):
+        inside = np.ones(len(y), bool) if value == "all" else name == value
+        for model, s in (("own", score), ("mirrored", 1 - score), ("same", np.full(len(y), 0.5))):
+            row = found[model, "all" if value == "all" else "grade", None if value in ("all", "none") else value]
+            assert (row["n"], row["n_bad"]) == (inside.sum(), y[inside].sum())
+            if value == "good":
+                assert (row["auc"], row["gini"], row["ks"]) == (None, None, None)
+                assert row["brier"] == pytest.approx(np.mean(s[inside] ** 2))
+            else:
+                assert [row["auc"], row["ks"], row["brier"]] == pytest.approx(brute(s[inside], y[inside]), abs=1e-9)
+
+
+@pytest.mark.parametrize("rows_per_bucket", [None, 20])
+@pytest.mark.parametrize("drop", [True, False])
+def test_curves_of_segments_equal_their_own(segments, rows_per_bucket, drop):
+    df, name, score, y = segments
+    rows = evaluation.roc_by(df, ["grade"], drop_collinear=drop, rows_per_bucket=rows_per_bucket).collect()
+    for value in ("hot", "a", "none"):
+        wanted = None if value == "none" else value
+        alone = roc_curve(df.where(F.col("grade").eqNullSafe(F.lit(wanted))), drop_collinear=drop).collect()
+        pick = lambda rs: sorted((r["threshold"], r["fpr"], r["tpr"]) for r in rs)
+        np.testing.assert_allclose(pick(r for r in rows if r["grade"] == wanted), pick(alone), atol=1e-12)
+    assert all(r["tpr"] is None for r in rows if r["grade"] == "good" and r["threshold"] != float("inf"))
