@@ -18,17 +18,17 @@ from scoremill.plans.comparison import compare_models
 from scoremill.plans.outputs import write_comparison, write_profile, write_scorecard
 from scoremill.plans.scorecard import ScorecardModel, fit_scorecard
 from scoremill.sources.loans import (
-    probe, read_loans_csv, read_loans_parquet, require_columns, resolve_source)
+    plain_names, probe, read_loans_csv, read_loans_parquet, require_columns, resolve_source)
 from scoremill.sources.session import tuned
 from scoremill.sources.sinks import write_csv
 from scoremill.sources.staging import stage, workspace
 from scoremill.spec import ScorecardSpec
 
 
-def read(spark: SparkSession, path: str, file_format: str, multi_line: bool) -> DataFrame:
-    if file_format == "parquet":
-        return read_loans_parquet(spark, path)
-    return read_loans_csv(spark, path, multi_line=multi_line)
+def read(spark: SparkSession, path: str, args: argparse.Namespace) -> DataFrame:
+    if args.format == "parquet":
+        return plain_names(read_loans_parquet(spark, path))
+    return plain_names(read_loans_csv(spark, path, multi_line=args.multi_line, refused_limit=args.refused_limit, quarantine=args.quarantine))
 
 
 def arguments(argv: list[str] | None) -> argparse.Namespace:
@@ -40,6 +40,8 @@ def arguments(argv: list[str] | None) -> argparse.Namespace:
         sub.add_argument("--fallback")
         sub.add_argument("--format", choices=("csv", "parquet"), default="csv")
         sub.add_argument("--multi-line", action="store_true")
+        sub.add_argument("--refused-limit", type=int, default=0, help="malformed rows that may be left out")
+        sub.add_argument("--quarantine", help="folder for the malformed rows, with file and line")
         if name != "probe":
             sub.add_argument("--out", required=True)
         if name in ("compare", "scorecard"):
@@ -67,7 +69,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
 def run(args: argparse.Namespace, spark: SparkSession) -> None:
     places = [("raw", args.data)] + ([("fallback", args.fallback)] if args.fallback else [])
     mode, path = resolve_source(spark, *places)
-    loans = read(spark, path, args.format, args.multi_line)
+    loans = read(spark, path, args)
     if args.command == "probe":
         probe(loans).show()
     elif args.command == "profile":

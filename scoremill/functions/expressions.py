@@ -13,9 +13,13 @@ def as_number(column: Column) -> Column:
     return F.nanvl(column.cast("double"), F.lit(None).cast("double"))
 
 
+#: How numbers are written in data files. Java's parser would also take ``1D``, ``2f`` and ``0x1p3``.
+NUMBER = r"^\s*[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?|(?i:inf|infinity))\s*$"
+
+
 def parse_number(column: Column) -> Column:
-    """Text to double, null where it does not parse (P15). ANSI ``cast`` would fail the job."""
-    return F.nanvl(column.try_cast("double"), F.lit(None).cast("double"))
+    """Text to double, null where it is no number (P15). ANSI ``cast`` would fail the job."""
+    return F.when(column.rlike(NUMBER), F.trim(column).try_cast("double"))
 
 
 def interval_value(x: Column, cuts: Sequence[float], leaves: Sequence) -> Column:

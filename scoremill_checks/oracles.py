@@ -433,6 +433,12 @@ WINDOW d AS (ORDER BY score DESC)"""
         "load_loans": with_loans() + "SELECT 'fallback' AS data_mode, " + ", ".join(
             f"CAST({c} AS DOUBLE) AS {c}" if c in csv_numbers else
             f"strftime({c}, '%Y-%m-%d') AS {c}" if c == "issue_d" else c for c in LOAN_COLUMNS) + " FROM loans",
+        "csv_types": with_loans() + """SELECT 'loan_id:bigint,unit:string,amount:double,amount.1:double,power:double' AS kinds, loan_id,
+  CAST(n_items AS VARCHAR) || CASE WHEN n_items % 2 = 0 THEN 'D' ELSE 'F' END AS unit, loan_amnt AS amount,
+  CAST(n_items AS DOUBLE) AS items, n_items * 100e0 AS power FROM loans""",
+        "refused_rows": with_loans("""placed AS (SELECT *, row_number() OVER (PARTITION BY grade ORDER BY loan_id) + 1 AS line FROM loans)""")
+            + """SELECT 'refused' AS fate, grade, line, concat(loan_id, ',', purpose) AS text FROM placed WHERE n_items = 3
+UNION ALL SELECT 'kept', NULL, loan_id, purpose FROM placed WHERE n_items IS DISTINCT FROM 3""",
         "key_first_csv": with_loans() + "SELECT 'loan_status' AS first_column, loan_id, loan_amnt, grade, loan_status FROM loans",
         "json_record": with_loans(lab) + """SELECT count(*) AS total_rows, count(*) FILTER (y = 0) AS good_loans,
   count(*) FILTER (y = 1) AS bad_loans, round(avg(y), 6) AS bad_rate, CAST(NULL AS VARCHAR) AS note FROM lab""",

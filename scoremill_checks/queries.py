@@ -79,6 +79,40 @@ def load_loans(spark, sf):
     return source.read_loans_csv(spark, found).select(F.lit(mode).alias("data_mode"), "*")
 
 
+def written_lines(spark, sf, titles: str, line: Column) -> str:
+    """A CSV file per grade, written as lines in the order of the key under its titles; a folder of them."""
+    path = new_path(spark, "lines")
+    rows = loans(spark, sf).select("grade", F.col(KEY).alias("at"), line.alias("value"))
+    tops = rows.select("grade").distinct().select("grade", F.lit(None).cast("bigint").alias("at"), F.lit(titles).alias("value"))
+    (rows.unionByName(tops).repartition("grade").sortWithinPartitions("grade", F.asc_nulls_first("at"))
+     .select("grade", "value").write.partitionBy("grade").text(path))
+    return path
+
+
+def csv_types(spark, sf):
+    """Text that only looks like numbers stays text, and a repeated name is numbered."""
+    n = F.col("n_items")
+    unit = F.concat(n.cast("string"), F.when(n % 2 == 0, "D").otherwise("F"))
+    none = F.lit("")
+    path = written_lines(spark, sf, "loan_id,unit,amount,amount,power", F.concat_ws(
+        ",", KEY, F.coalesce(unit, none), "loan_amnt", F.coalesce(n.cast("string"), F.lit("NA")), F.coalesce(F.concat(n.cast("string"), F.lit("e2")), none)))
+    found = source.read_loans_csv(spark, path, integers=[KEY])
+    kinds = ",".join(f"{c}:{t}" for c, t in found.dtypes)
+    return tidy(found.select(F.lit(kinds).alias("kinds"), KEY, "unit", "amount", F.col("`amount.1`").alias("items"), "power"))
+
+
+def refused_rows(spark, sf):
+    """Rows that lack a field, left out of the scan and written aside with their file and line."""
+    fields = F.concat_ws(",", KEY, "purpose", F.when(F.coalesce(F.col("n_items"), F.lit(0)) != 3, F.col("loan_amnt").cast("string")))
+    path, aside = written_lines(spark, sf, "loan_id,purpose,loan_amnt", fields), new_path(spark, "refused")
+    kept = source.read_loans_csv(spark, path, refused_limit=10**9, quarantine=aside)
+    refused = spark.read.parquet(aside)
+    grade = F.regexp_extract("file", "grade=(.)", 1)
+    return (refused.select(F.lit("refused").alias("fate"), grade.alias("grade"), F.col("line").cast("bigint").alias("line"), "text")
+            .unionByName(kept.select(F.lit("kept").alias("fate"), F.lit(None).cast("string").alias("grade"),
+                                     F.col(KEY).cast("bigint").alias("line"), F.col("purpose").alias("text"))))
+
+
 def key_first_csv(spark, sf):
     """Write with the status in front, and read back: the first column's name and the rows."""
     path = new_path(spark, "key-first-csv")
@@ -617,7 +651,7 @@ def attribution_additivity(spark, sf):
 
 
 ALL: tuple[Query, ...] = (
-    load_loans, key_first_csv, json_record, probe_columns, target_four_status, target_all_rows, target_summary,
+    load_loans, csv_types, refused_rows, key_first_csv, json_record, probe_columns, target_four_status, target_all_rows, target_summary,
     status_distribution, event_distribution, missing_profile, missing_profile_observed, target_summary_observed, residual_nulls, impute_constants,
     impute_median, impute_mode, clean_loans, feature_matrix, default_rate_by_category, grade_stats,
     purpose_stats, grade_default_rates, class_crosstab_pct, describe_by_class, corr_matrix,

@@ -1,7 +1,11 @@
+import io
 import json
 
+import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
+from scoremill.functions.expressions import parse_number
 from scoremill.sources import loans as source
 from scoremill.sources.sinks import write_csv, write_json
 from scoremill.sources.staging import shared_folder, stage, workspace
@@ -48,6 +52,65 @@ def test_what_would_be_misread_is_refused(spark, tmp_path, texts):
         source.read_loans_csv(spark, written(tmp_path, *texts)).collect()
 
 
+@pytest.mark.parametrize("value, number", [
+    ("1", True), ("-1.5", True), ("+.5", True), ("1.", True), ("1e3", True), ("1E-3", True), (" 7 ", True), ("inf", True), ("-Infinity", True),
+    ("1D", False), ("2F", False), ("2f", False), ("0x1p3", False), ("0x10", False), ("1_000", False), ("1,000", False), ("1e", False),
+    (".", False), ("--1", False), ("1 2", False), ("NaN1", False), ("١", False)])
+def test_numbers_are_those_that_pandas_reads(spark, tmp_path, value, number):
+    df = source.read_loans_csv(spark, written(tmp_path, f'a,b\n"{value}",x\n3,y\n'))
+    assert dict(df.dtypes)["a"] == ("double" if number else "string")
+    assert (pd.read_csv(io.StringIO(f'a,b\n"{value}",x\n3,y\n'))["a"].dtype.kind in "if") == number
+    assert spark.range(1).select(parse_number(F.lit(value)).isNotNull().alias("n")).first()["n"] == number
+
+
+@pytest.mark.parametrize("header", ["x,x,y,x", "a,,b,", "x,x.1,x,x", "a,a,a.1,a", '"p,q",b,b,c'])
+def test_names_of_the_header_are_those_of_pandas(spark, tmp_path, header):
+    df = source.read_loans_csv(spark, written(tmp_path, f"\ufeff{header}\n1,2,3,u\n"))
+    assert df.columns == list(pd.read_csv(io.StringIO(f"{header}\n1,2,3,u\n")).columns)
+    assert [tuple(r) for r in df.collect()] == [(1.0, 2.0, 3.0, "u")]
+
+
+def test_refused_rows_go_to_a_side_table_with_file_and_line(spark, tmp_path):
+    """Files of many blocks: lines are counted through them. Blank lines count, but are no rows."""
+    good = "".join(f"{i},text {i},{i * 2}\n" for i in range(3000))
+    lines = ("id,desc,dti\n\n" + good).split("\n")
+    bad = {5: "1,2", 900: "7,8,9,10", 2990: '8,"open,1', 2991: '9,x,"open', 2992: "   "}
+    for at, text in bad.items():
+        lines[at] = text
+    path = written(tmp_path, "\n".join(lines), "id,desc,dti\n4,5\n1,5\" pipe,2\n")
+    was = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "5000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        df = source.read_loans_csv(spark, path, refused_limit=5, quarantine=f"{tmp_path}/refused")
+        assert spark.read.text(path).rdd.getNumPartitions() > 5
+        found = {(r["file"].rsplit("/", 1)[1], r["line"]): r["text"] for r in spark.read.parquet(f"{tmp_path}/refused").collect()}
+        assert found == {**{("0.csv", at + 1): text for at, text in bad.items() if text.strip()}, ("1.csv", 2): "4,5"}
+        assert df.dtypes == [("id", "bigint"), ("desc", "string"), ("dti", "double")]
+        assert df.count() == 3000 - 5 + 1
+        with pytest.raises(ValueError, match=r"5 MALFORMED rows, 4 allowed: .*0.csv line 6; "):
+            source.read_loans_csv(spark, path, refused_limit=4)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", was)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_headers_are_compared_by_their_fields_and_are_no_rows(spark, tmp_path):
+    df = source.read_loans_csv(spark, written(tmp_path, "id,dti\n1,2\n", '\n"id","dti"\n3,4\n', "id,dti\n", ""))
+    assert sorted(map(tuple, df.collect())) == [(1, 2.0), (3, 4.0)]
+
+
+def test_titles_that_come_again_are_a_row(spark, tmp_path):
+    df = source.read_loans_csv(spark, written(tmp_path, "id,dti\n1,2\nid,dti\n", "id,dti\n3,4\n"))
+    assert sorted(map(tuple, df.collect())) == [("1", "2"), ("3", "4"), ("id", "dti")]
+
+
+def test_a_file_is_read_once(spark, tmp_path):
+    path = written(tmp_path, "id,dti\n1,2\n")
+    df = source.read_loans_csv(spark, path)
+    assert not any(path in f for f in df.inputFiles()) and df.count() == 1
+
+
 def test_line_breaks_in_quotes_with_the_setting(spark, tmp_path):
     path = written(tmp_path, 'id,desc\n1,"two\nlines"\n2,x\n')
     rows = source.read_loans_csv(spark, path, multi_line=True).collect()
@@ -107,3 +170,9 @@ def test_a_workspace_removes_what_was_staged_in_it(spark):
     with pytest.raises(Exception, match="FILE_NOT_EXIST|does not exist|FileNotFound"):
         inside.count()
     assert before.count() == 3 and kept.count() == 7
+
+
+def test_plain_names_are_free_of_points_and_unique(spark):
+    df = spark.createDataFrame([(1, 2, 3, 4)], "a int, `a.1` int, a_1 int, `b.c.d` int")
+    assert source.plain_names(df).columns == ["a", "a_1_", "a_1", "b_c_d"]
+    assert source.plain_names(df).select("a_1_", "b_c_d").collect() == [(2, 4)]
