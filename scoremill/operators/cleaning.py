@@ -86,20 +86,24 @@ def mode_values(df: DataFrame, names: Sequence[str]) -> dict[str, str | None]:
 
 def fit_fills(df: DataFrame, constants: Mapping[str, object] = CONSTANT_FILLS,
               skip: Sequence[str] = (), only_missing: bool = True,
-              rows: int | None = None) -> dict[str, object]:
+              rows: int | None = None, profile=None) -> dict[str, object]:
     """The fill of every column: fixed, median (numbers) or mode (text).
 
     ``only_missing`` leaves out columns without a missing value; switch it off to keep a fill
-    for every column that later data may lack.
+    for every column that later data may lack. A merged ``profile`` of the frame saves the count of missing
+    values and the scan that brackets the medians.
     """
     fills = {c: constants[c] for c in present(df, constants) if c not in skip}
     taken = set(skip) | set(fills)
     numbers, texts = numeric_columns(df, taken), string_columns(df, taken)
     if only_missing:
-        lacking = {r["column_name"] for r in missing_profile(df, numbers + texts).collect()}
+        if profile is None:
+            lacking = {r["column_name"] for r in missing_profile(df, numbers + texts).collect()}
+        else:
+            lacking = {c for c, n in profile.missing().items() if n}
         numbers = [c for c in numbers if c in lacking]
         texts = [c for c in texts if c in lacking]
-    medians = median_values(df, numbers, rows=rows)
+    medians = median_values(df, numbers, rows=rows, profile=profile)
     fills.update({c: v for c, v in medians.items() if v is not None})
     fills.update({c: MODE_FALLBACK if v is None else v for c, v in mode_values(df, texts).items()})
     return fills
@@ -117,10 +121,10 @@ def apply_fills(df: DataFrame, fills: Mapping[str, object]) -> DataFrame:
     return df.select(*[filled(c) for c in df.columns])
 
 
-def clean(df: DataFrame, status: str = "loan_status", target: str = "default_status") -> DataFrame:
+def clean(df: DataFrame, status: str = "loan_status", target: str = "default_status", profile=None) -> DataFrame:
     """Drops, then every imputation rule, fitted on the frame itself."""
     kept = drop_unusable(df)
-    return apply_fills(kept, fit_fills(kept, skip=[status, target]))
+    return apply_fills(kept, fit_fills(kept, skip=[status, target], profile=profile))
 
 
 def fills_table(spark: SparkSession, fills: Mapping[str, object]) -> DataFrame:

@@ -28,19 +28,23 @@ from scoremill.sources.staging import stage
 BUFFER_VALUES = 4_000_000   # values that built-in percentile buffers may hold in total
 SKETCH_ACCURACY = 10_000    # rank error of the sketch: rows / accuracy
 SUB_BUCKETS = 64
+PROFILE_REACH = 0.003       # twice the rank error of a profile's sketch
 COLUMNS_PER_SCAN = 2        # keeps generated code small enough for the JIT compiler
 
 
 def exact_quantiles(df: DataFrame, columns: Mapping[str, Column], probs: Sequence[float],
                     rows: int | None = None, buffer_values: int = BUFFER_VALUES,
-                    accuracy: int = SKETCH_ACCURACY) -> dict[str, list[float] | None]:
+                    accuracy: int = SKETCH_ACCURACY, profile=None) -> dict[str, list[float] | None]:
     """Linearly interpolated quantiles of each column's non-null values; None for an empty one.
 
-    The result is ``len(columns) * len(probs)`` numbers on the driver.
+    The result is ``len(columns) * len(probs)`` numbers on the driver. ``profile``, the merged profile of just these
+    rows with the columns under the same names, saves the scan that brackets the ranks.
     """
     if not columns:
         return {}
     numbers = {name: as_number(column) for name, column in columns.items()}
+    if profile is not None:
+        return _by_bracketing(df, numbers, probs, accuracy, profile)
     if rows is None:
         rows = df.count()
     if rows * len(numbers) <= buffer_values:
@@ -63,12 +67,14 @@ def _positions(prob: float, count: int) -> tuple[int, int, float]:
     return low, min(low + 1, count - 1), spot - low
 
 
-def _by_bracketing(df, numbers, probs, accuracy):
+def _by_bracketing(df, numbers, probs, accuracy, profile=None):
     names = list(numbers)
     reach = 2.0 / accuracy
     values: dict[tuple[int, int], float] = {}
+    known = profile.brackets(names, probs, PROFILE_REACH) if profile else None
     while True:
-        brackets, counts = _sketch(df, numbers, probs, accuracy, reach)
+        brackets, counts = known or _sketch(df, numbers, probs, accuracy, reach)
+        known = None
         wanted = {i: {r for p in probs for r in _positions(p, n)[:2]} - {r for j, r in values if j == i}
                   for i, n in enumerate(counts) if n}
         wanted = {i: sorted(ranks) for i, ranks in wanted.items() if ranks}

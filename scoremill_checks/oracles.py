@@ -520,6 +520,11 @@ JOIN (SELECT c.*, int_rate BETWEEN q[1] - 1.5e0 * (q[3] - q[1]) AND q[3] + 1.5e0
             + " UNION ALL ".join(
                 f"SELECT '{c}' AS feature, list_sort(list_distinct(quantile_cont(CAST({c} AS DOUBLE), "
                 "[0e0, 0.1e0, 0.2e0, 0.3e0, 0.4e0, 0.5e0, 0.6e0, 0.7e0, 0.8e0, 0.9e0, 1e0]))) AS e FROM lab" for c in NUMBERS) + ")",
+        "profile_merged": with_loans() + "SELECT feature, n, missing, round(low, 6) AS low, round(high, 6) AS high, few, " + ", ".join(
+            f"round(q[{k}], 6) AS d{k}" for k in range(1, 10)) + " FROM (" + " UNION ALL ".join(
+                f"SELECT '{c}' AS feature, count(*) AS n, count(*) - count({c}) AS missing, CAST(min({c}) AS DOUBLE) AS low, CAST(max({c}) AS DOUBLE) AS high, "
+                f"count(DISTINCT {c}) <= 10 AS few, quantile_cont(CAST({c} AS DOUBLE), "
+                "[0.1e0, 0.2e0, 0.3e0, 0.4e0, 0.5e0, 0.6e0, 0.7e0, 0.8e0, 0.9e0]) AS q FROM loans" for c in LOAN_NUMBERS) + ")",
         "equal_width_edges": with_loans(lab) + "SELECT feature, k AS edge_no, round(CASE WHEN k = 10 THEN z ELSE a + k * ((z - a) / 10) END, 6) AS edge FROM ("
             + " UNION ALL ".join(
                 f"SELECT '{c}' AS feature, CAST(min({c}) AS DOUBLE) AS a, CAST(max({c}) AS DOUBLE) AS z FROM lab"
@@ -619,5 +624,6 @@ FROM named JOIN chosen USING (feature)
 UNION ALL SELECT '(intercept)', {tidy('b0', 5)}, false FROM beta"""
     sql["scorecard_points"] = recursive(with_loans(*regression_rows(), card())) + "SELECT feature, bin_id, points FROM card"
     sql["target_summary_observed"] = sql["target_summary"]
+    sql["clean_from_profile"] = sql["clean_loans"]
     sql["quantile_edges_bracketed"] = sql["quantile_edges"]
     return sql

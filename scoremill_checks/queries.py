@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from scoremill.functions.columns import numeric_columns
 from scoremill.operators import attribution, binning, cleaning, comoments, evaluation, models, points
-from scoremill.operators import profiling, target
+from scoremill.operators import profiles, profiling, target
 from scoremill.operators import woe as weight
-from scoremill.operators.quantiles import median_values
+from scoremill.operators.quantiles import exact_quantiles, median_values
 from scoremill.operators.split import ROW_KEY, add_split, fixed_sample, with_row_key
 from scoremill.plans import comparison
 from scoremill.plans.scorecard import (
@@ -282,6 +282,34 @@ def quantile_edges_bracketed(spark, sf):
     return tidy(binning.edges_table(labelled(spark, sf), NUMBERS, buffer_values=0))
 
 
+def monthly_profile(spark, sf) -> tuple[DataFrame, profiles.Profile]:
+    """The labelled view as files of two halves, and the profile of the halves: the second is read alone, when it comes."""
+    folder, store = new_path(spark, "monthly"), new_path(spark, "profile")
+    late = F.col("issue_d") >= F.lit(NEW_LOANS_FROM).cast("timestamp_ntz")
+    rows = loans(spark, sf)
+    for half in (~late, late):
+        rows.where(half).write.mode("append").parquet(folder)
+        profiles.update(spark, store, spark.read.parquet(folder).inputFiles(), lambda new: spark.read.schema(rows.schema).parquet(*new))
+    return spark.read.parquet(folder), profiles.merged(spark, store)
+
+
+def profile_merged(spark, sf):
+    """Rows, missing values, range, deciles and whether there are few values, from the merged profile of two halves."""
+    df, profile = monthly_profile(spark, sf)
+    names = [c for c in LOAN_NUMBERS if profile.present[c]]
+    deciles = exact_quantiles(df, {c: F.col(c) for c in names}, [k / 10 for k in range(1, 10)], profile=profile)
+    few = binning.few_distinct(df, dict.fromkeys(LOAN_NUMBERS, 10), profile.sketch())
+    rows = [(c, profile.rows, profile.missing()[c], *profile.ends[c], deciles.get(c), few[c]) for c in LOAN_NUMBERS]
+    table = spark.createDataFrame(rows, "feature string, n long, missing long, low double, high double, deciles array<double>, few boolean")
+    return tidy(table.select("feature", "n", "missing", "low", "high", "few", *[F.col("deciles")[k].alias(f"d{k + 1}") for k in range(9)]))
+
+
+def clean_from_profile(spark, sf):
+    """The cleaned table with what the merged profile knows of it."""
+    df, profile = monthly_profile(spark, sf)
+    return tidy(cleaning.clean(target.add_target(df, "all_rows", target=TARGET), target=TARGET, profile=profile))
+
+
 def equal_width_edges(spark, sf):
     return tidy(binning.edges_table(labelled(spark, sf), NUMBERS, method="equal_width"))
 
@@ -657,7 +685,7 @@ ALL: tuple[Query, ...] = (
     purpose_stats, grade_default_rates, class_crosstab_pct, describe_by_class, corr_matrix,
     corr_all_numbers, corr_with_target, high_corr_pairs, hist_by_class, box_by_grade_class, quantile_edges,
     quantile_edges_bracketed,
-    equal_width_edges, woe_bins, iv_all_variables, iv_summary, iv_selection, woe_transform, document_iv,
+    equal_width_edges, profile_merged, clean_from_profile, woe_bins, iv_all_variables, iv_summary, iv_selection, woe_transform, document_iv,
     stratified_split, stratified_split_rows, sampled_rows, standardize, metric_auc, metric_ks, metric_brier,
     metrics_in_buckets, metrics_by_segment, roc_by_grade, closed_form_metrics, model_table, primary_record, roc_curve,
     roc_curve_plotted, pass_gate, metrics_report, rules_baseline, majority_baseline,
