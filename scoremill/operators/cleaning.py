@@ -13,6 +13,10 @@ from scoremill.functions.expressions import as_number
 from scoremill.operators.quantiles import median_values
 from scoremill.spec import CONSTANT_FILLS, MODE_FALLBACK, NON_PREDICTIVE_COLUMNS, SPARSE_COLUMNS
 
+FEW_VALUES = 100_000   # distinct values that may be counted one by one
+TRACKED = 12_288       # values that the sketch of frequent ones follows; its error is 3.5 / TRACKED of the rows
+CANDIDATES = 64        # of them counted exactly
+
 FILL_SCHEMA = "feature string, kind string, number double, text string"
 
 
@@ -66,12 +70,47 @@ def fill_constants(df: DataFrame, fills: Mapping[str, object] = CONSTANT_FILLS)
     return apply_fills(df, {c: fills[c] for c in present(df, fills)})
 
 
-def mode_values(df: DataFrame, names: Sequence[str]) -> dict[str, str | None]:
+def mode_values(df: DataFrame, names: Sequence[str], distinct: Mapping[str, int] | None = None) -> dict[str, str | None]:
     """Most frequent value per column, the smallest on a tie, None if all are missing.
 
-    Counted per distinct value first, so a column with very many values is spread over the
-    cluster instead of filling one aggregation buffer.
+    A column of few values (``distinct``, if known, says so) is counted by value. Of the others a bounded sketch of
+    frequent values names candidates, and one scan counts those alone: where the best of them beats the bound on
+    every other value, nothing else is shuffled. Only a column without such a leader is counted by value in full.
     """
+    wide = [c for c in names if distinct is None or distinct[c] > FEW_VALUES]
+    found = _leaders(df, wide) if wide else {}
+    found |= _counted_modes(df, [c for c in names if c not in found])
+    return {c: found.get(c) for c in names}
+
+
+def _leaders(df: DataFrame, names: Sequence[str]) -> dict[str, str | None]:
+    """The modes of those columns whose leading value the sketch's error bound lets be told."""
+    found = {}
+    for group in in_groups(list(names), 6):
+        row = df.agg(F.count(F.lit(1)).alias("rows"), *[F.count(c).alias(f"n{i}") for i, c in enumerate(group)],
+                     *[F.expr(f"approx_top_k(`{c}`, {CANDIDATES}, {TRACKED})").alias(f"top{i}") for i, c in enumerate(group)]).first()
+        # A value that is not listed is found at most this often: twice the sketch's error, or the least estimate of a full list.
+        listed = {c: [(t["item"], t["count"]) for t in row[f"top{i}"] or () if t["item"] is not None] for i, c in enumerate(group)}
+        others = {c: max(2 * 3.5 / TRACKED * row["rows"], min(n for _, n in listed[c]) if len(listed[c]) >= CANDIDATES - 1 else 0)
+                  for i, c in enumerate(group) if listed[c]}
+        found |= {c: None for i, c in enumerate(group) if not row[f"n{i}"]}
+        counted = _value_counts(df, {c: [v for v, _ in listed[c]] for c in others}) if others else ()
+        best: dict[str, tuple] = {}
+        for r in counted:
+            best[r["feature"]] = min(best.get(r["feature"], (0, "")), (-r["n"], r["value"]))
+        found |= {c: value for c, (n, value) in best.items() if -n > others[c]}
+    return found
+
+
+def _value_counts(df: DataFrame, wanted: Mapping[str, Sequence[str]]) -> list:
+    """How often each wanted value stands in its column: a row for each, counted in the tasks."""
+    long = df.select(*[F.when(F.col(c).isin(list(values)), F.col(c)).alias(c) for c, values in wanted.items()])
+    return (long.unpivot([], list(wanted), "feature", "value").where(F.col("value").isNotNull())
+            .groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n")).collect())
+
+
+def _counted_modes(df: DataFrame, names: Sequence[str]) -> dict[str, str | None]:
+    """Counted per distinct value, so that a column of very many is spread over the cluster."""
     if not names:
         return {}
     parts = [df.select(*group).unpivot([], group, "feature", "value")
@@ -80,8 +119,7 @@ def mode_values(df: DataFrame, names: Sequence[str]) -> dict[str, str | None]:
              for group in in_groups(list(names), 6)]
     best = (union_all(parts).groupBy("feature")
             .agg(F.min(F.struct((-F.col("n")).alias("rank"), F.col("value"))).alias("top")))
-    found = {r["feature"]: r["top"]["value"] for r in best.collect()}
-    return {c: found.get(c) for c in names}
+    return {r["feature"]: r["top"]["value"] for r in best.collect()}
 
 
 def fit_fills(df: DataFrame, constants: Mapping[str, object] = CONSTANT_FILLS,
@@ -105,7 +143,7 @@ def fit_fills(df: DataFrame, constants: Mapping[str, object] = CONSTANT_FILLS,
         texts = [c for c in texts if c in lacking]
     medians = median_values(df, numbers, rows=rows, profile=profile)
     fills.update({c: v for c, v in medians.items() if v is not None})
-    fills.update({c: MODE_FALLBACK if v is None else v for c, v in mode_values(df, texts).items()})
+    fills.update({c: MODE_FALLBACK if v is None else v for c, v in mode_values(df, texts, profile and profile.distinct).items()})
     return fills
 
 

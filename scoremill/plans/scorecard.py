@@ -178,7 +178,7 @@ def fit_weights(df: DataFrame, spec: ScorecardSpec, sketch: Sketch | None = None
     raw = exact_quantiles(narrow, {c: F.col(c) for c in numbers if c not in fills},
                           [*deciles, 0.5], rows=sketch.rows)
     fills.update({c: q[-1] for c, q in raw.items() if q is not None})
-    modes = mode_values(narrow, [c for c in texts if c not in fills])
+    modes = mode_values(narrow, [c for c in texts if c not in fills], sketch.distinct)
     fills.update({c: MODE_FALLBACK if v is None else v for c, v in modes.items()})
     complete = {c: sorted(set(q[:-1])) for c, q in raw.items()
                 if sketch.present[c] == sketch.rows and spec.edge_method == "quantile"}

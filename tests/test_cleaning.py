@@ -94,3 +94,40 @@ def test_summary_of_no_rows(spark):
     df = spark.createDataFrame([], "default_status int")
     row = target_summary(df).first()
     assert (row["total_rows"], row["good_rate"], row["bad_rate"]) == (0, None, None)
+
+
+@pytest.fixture(scope="module")
+def wide(spark):
+    """A leader among all-different values, two leaders that tie, no leader at all, a rare one, and no value."""
+    i = F.col("id")
+    other = F.concat(F.lit("v"), i.cast("string"))
+    return spark.range(0, 60_000, numPartitions=5).select(
+        F.when(i % 3 == 0, "leader").when(i % 7 == 0, F.lit(None)).otherwise(other).alias("led"),
+        F.when(i % 4 == 0, "b").when(i % 4 == 1, "a").otherwise(other).alias("tied"),
+        other.alias("flat"), F.when(i % 9_999 == 5, "rare").otherwise(other).alias("rare"),
+        F.when(i < 0, other).alias("none"), (i % 3).cast("string").alias("few"))
+
+
+def test_a_leading_value_is_verified_without_counting_every_value(wide, monkeypatch):
+    asked = []
+    full = cleaning._counted_modes
+    monkeypatch.setattr(cleaning, "_counted_modes", lambda df, names: asked.extend(names) or full(df, names))
+    assert cleaning.mode_values(wide, ["led", "tied", "none", "few"]) == {"led": "leader", "tied": "a", "none": None, "few": "0"}
+    assert asked == []
+
+
+def test_without_a_leader_every_value_is_counted(wide):
+    assert cleaning.mode_values(wide, ["flat", "rare"]) == {"flat": "v0", "rare": "rare"}
+    assert cleaning.mode_values(wide, ["rare", "few"], {"rare": 10**6, "few": 3}) == {"rare": "rare", "few": "0"}
+
+
+@pytest.mark.parametrize("tracked", [8, 64, 12_288])
+def test_modes_equal_pandas_whatever_the_sketch_tracks(spark, monkeypatch, tracked):
+    monkeypatch.setattr(cleaning, "TRACKED", tracked)
+    monkeypatch.setattr(cleaning, "CANDIDATES", 4)
+    i = F.col("id")
+    df = spark.range(0, 20_000, numPartitions=4).select(*[
+        F.concat(F.lit("w"), F.floor(F.pow(F.pmod(F.xxhash64(i, F.lit(k)), F.lit(1000)) / 1000.0, power) * 300).cast("string")).alias(f"c{k}")
+        for k, power in enumerate((1.0, 2.0, 6.0))])
+    pdf = df.toPandas()
+    assert cleaning.mode_values(df, df.columns) == {c: pdf[c].mode().min() for c in df.columns}
