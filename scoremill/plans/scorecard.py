@@ -22,6 +22,7 @@ from scoremill.operators.quantiles import exact_quantiles
 from scoremill.operators.split import ROW_KEY, add_split, with_row_key
 from scoremill.operators.target import add_target, is_member
 from scoremill.sources.staging import stage_observed
+from scoremill.sources.versions import load_tables, save_tables
 from scoremill.spec import ALL_ROWS_BAD, MODE_FALLBACK, SCORED_COLUMNS, ScorecardSpec
 
 PROBABILITY = "predicted_default_probability"
@@ -111,31 +112,28 @@ class ScorecardModel:
             total = total + F.col(f"{f}_own")
         return wide.withColumn(column, total).select(*df.columns, column)
 
-    def save(self, path: str) -> None:
-        """Write the model under one folder as small Parquet tables."""
+    def save(self, path: str, keep: int | None = None) -> str:
+        """Write a version of the model under ``path`` as small Parquet tables, whole or not at all."""
         spark = self.spark
-        fills_table(spark, self.fills).coalesce(1).write.mode("overwrite").parquet(f"{path}/fills")
-        self.woe_table().coalesce(1).write.mode("overwrite").parquet(f"{path}/woe")
-        self.coefficients().coalesce(1).write.mode("overwrite").parquet(f"{path}/coefficients")
         bins = spark.createDataFrame(
             [(i, b.feature, b.kind, list(b.cuts)) for i, b in enumerate(self.bins)],
             "position int, feature string, kind string, cuts array<double>")
-        bins.coalesce(1).write.mode("overwrite").parquet(f"{path}/bins")
-        spec = {k: v for k, v in asdict(self.spec).items()}
-        spark.createDataFrame([(json.dumps(spec), float(self.model.intercept))],
-                              "spec string, intercept double"
-                              ).coalesce(1).write.mode("overwrite").parquet(f"{path}/model")
+        head = spark.createDataFrame([(json.dumps(asdict(self.spec)), float(self.model.intercept))], "spec string, intercept double")
+        return save_tables(spark, path, {"fills": fills_table(spark, self.fills), "woe": self.woe_table(),
+                                         "coefficients": self.coefficients(), "bins": bins, "model": head}, keep)
 
     @classmethod
-    def load(cls, spark: SparkSession, path: str) -> ScorecardModel:
-        head = spark.read.parquet(f"{path}/model").first()
+    def load(cls, spark: SparkSession, path: str, version: str | None = None) -> ScorecardModel:
+        """The newest finished version, or the one named; one that does not match its manifest is refused."""
+        tables = load_tables(spark, path, version)
+        head = tables["model"].first()
         stored = {k: tuple(v) if isinstance(v, list) else v for k, v in json.loads(head["spec"]).items()}
-        coefficients = spark.read.parquet(f"{path}/coefficients").orderBy("position").collect()
-        bins = spark.read.parquet(f"{path}/bins").orderBy("position").collect()
+        coefficients = tables["coefficients"].orderBy("position").collect()
+        bins = tables["bins"].orderBy("position").collect()
         return cls(
-            ScorecardSpec(**stored), fills_from_table(spark.read.parquet(f"{path}/fills")),
+            ScorecardSpec(**stored), fills_from_table(tables["fills"]),
             tuple(Bins(b["feature"], b["kind"], tuple(b["cuts"])) for b in bins),
-            tuple(weight.collected(spark.read.parquet(f"{path}/woe"))),
+            tuple(weight.collected(tables["woe"])),
             LinearModel(head["intercept"],
                         tuple((f"{c['feature']}_woe", c["coefficient"]) for c in coefficients)),
             spark)

@@ -18,6 +18,7 @@ from scoremill.plans import comparison
 from scoremill.plans.scorecard import (
     PROBABILITY, ScorecardModel, fit_scorecard, fit_weights, with_target_and_split)
 from scoremill.sources import loans as source
+from scoremill.sources import versions
 from scoremill.sources.session import tuned
 from scoremill.sources.sinks import write_csv, write_json
 from scoremill.sources.staging import new_path, stage, stage_observed
@@ -578,10 +579,11 @@ def score_new_metrics(spark, sf):
 
 
 def artifacts(spark, sf):
-    """Save the scorecard, load it and score with the loaded one."""
+    """Save the scorecard, then the half of a later save, load and score: the whole version is the one that is read."""
     path = new_path(spark, "scorecard")
     card, split = fitted(spark, sf)
     card.save(path)
+    spark.range(1).write.parquet(f"{path}/{versions.PREFIX}99999999T000000-half/fills")
     return tidy(ScorecardModel.load(spark, path).transform(split.where("is_test")).select(KEY, PROBABILITY), 4)
 
 
