@@ -73,7 +73,6 @@ def add_split(df: DataFrame, key: str, stratum: str, share: float, seed: int = 4
 
 def _cut_points(df, key, stratum, share, seed, small=None):
     """Per class, the hash of the last test row."""
-    small = SMALL_BUCKET if small is None else small
     # Goods and bads are observed as the hashes are written; other strata are counted.
     hashes = df.select(F.col(stratum).alias("stratum"), key_hash(key, "split", seed).alias("h")).where(F.col("stratum").isNotNull())
     binary = isinstance(df.schema[stratum].dataType, T.IntegralType)
@@ -82,9 +81,21 @@ def _cut_points(df, key, stratum, share, seed, small=None):
     counts = {k: seen[k] for k in (0, 1) if seen.get(k)}
     if sum(counts.values()) < seen["rows"]:
         counts = {r["stratum"]: r["n"] for r in keyed.groupBy("stratum").agg(F.count(F.lit(1)).alias("n")).collect()}
+    width = 2 * _CONTENT if key == ROW_KEY else _CONTENT
+    return {c: h for c, (h, _, _) in least_rows(keyed, counts, test_sizes(counts, share), width, small).items()}
+
+
+def least_rows(keyed: DataFrame, counts: Mapping, wanted: Mapping, width: int, small: int | None = None) -> dict:
+    """For each stratum of ``keyed`` (``stratum, h``) the hash of its ``wanted``-th row in hash order, that row's place
+    among the rows with the same hash, and how many those are.
+
+    No task holds the wanted rows: buckets are counted by leading digits, and only the one that holds the place is
+    looked into further, until few rows are left to rank.
+    """
+    small = SMALL_BUCKET if small is None else small
     # For each class: the prefix its cut lies in, and the cut row's place among the rows with it.
-    open_cuts = {c: ("", n) for c, n in test_sizes(counts, share).items() if n > 0}
-    sizes, width = dict(counts), 2 * _CONTENT if key == ROW_KEY else _CONTENT
+    open_cuts = {c: ("", n) for c, n in wanted.items() if n > 0}
+    sizes = dict(counts)
     depth = 0
     while open_cuts and depth < width and max(sizes[c] for c in open_cuts) > small:
         # At most classes x 4,096 counts reach the driver.
@@ -107,9 +118,9 @@ def _cut_points(df, key, stratum, share, seed, small=None):
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     place = F.coalesce(*[F.when(F.col("stratum") == F.lit(c), F.lit(p)) for c, (_, p) in open_cuts.items()])
     inside = (_inside(keyed, open_cuts).groupBy("stratum", "h").agg(F.count(F.lit(1)).alias("n"))
-              .withColumn("through", F.sum("n").over(order))
+              .withColumn("through", F.sum("n").over(order)).withColumn("place", place)
               .where((F.col("through") >= place) & (F.col("through") - F.col("n") < place)))
-    return {r["stratum"]: r["h"] for r in inside.collect()}
+    return {r["stratum"]: (r["h"], r["place"] - (r["through"] - r["n"]), r["n"]) for r in inside.collect()}
 
 
 def _inside(keyed, open_cuts):
@@ -121,6 +132,36 @@ def _inside(keyed, open_cuts):
 
 
 def fixed_sample(df: DataFrame, key: str, size: int, seed: int = 42) -> DataFrame:
-    """``size`` rows (all, if fewer) by hash order; a top-k per task, not a full sort (M7)."""
-    return (df.withColumn("__sample", key_hash(key, "sample", seed))
-            .orderBy("__sample", key).limit(size).drop("__sample"))
+    """``size`` rows (all, if fewer) by hash order (M7).
+
+    The hash of the last row is found first, as for the split; rows are then kept where they lie, so neither the
+    sample nor its hashes pass through one task. Of rows with the last row's key as many as are wanted stay, chosen by
+    what they hold, and of rows that are equal throughout any.
+    """
+    if size <= 0:
+        return df.limit(0)
+    h = key_hash(key, "sample", seed)
+    found = _last_row(df, h, size, 2 * _CONTENT if key == ROW_KEY else _CONTENT)
+    if found is None:
+        return df
+    last, place, equal = found
+    if place == equal:
+        return df.where(h <= last)
+    ties, rest = df.where(h == last), df.where(h < last)
+    content = F.md5(F.concat_ws("\x1f", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\x00")) for c in df.columns]).cast("binary"))
+    last, place, equal = _last_row(ties, content, place, _CONTENT)
+    rest = rest.unionByName(ties.where(content < last))
+    if place == equal:
+        return rest.unionByName(ties.where(content == last))
+    copies = stage(ties.where(content == last).withColumn(ROW_KEY, F.monotonically_increasing_id()), "equal-rows")
+    number = F.md5(F.col(ROW_KEY).cast("string").cast("binary"))
+    last, _, _ = _last_row(copies, number, place, _CONTENT)
+    return rest.unionByName(copies.where(number <= last).drop(ROW_KEY))
+
+
+def _last_row(df: DataFrame, h: Column, size: int, width: int) -> tuple[str, int, int] | None:
+    """The hash of the ``size``-th row, its place among rows with that hash, and their number; None if there are no more."""
+    keyed, seen = stage_observed(df.select(F.lit(0).alias("stratum"), h.alias("h")), "sample-hashes", {"rows": F.count(F.lit(1))})
+    if seen["rows"] <= size:
+        return None
+    return least_rows(keyed, {0: seen["rows"]}, {0: size}, width)[0]

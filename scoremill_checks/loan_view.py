@@ -84,7 +84,7 @@ def duck_loans() -> str:
     return LOAN_SQL.replace("{hex2}(", "printf('%02x', ").format(**{t: t for t in TABLES})
 
 
-def _input_files(spark: SparkSession, sf_dir: str) -> str:
+def input_files(spark: SparkSession, sf_dir: str) -> str:
     """Names, sizes and times of the tables' files, from the file system's listing."""
     found = []
     for t in TABLES:
@@ -95,7 +95,7 @@ def _input_files(spark: SparkSession, sf_dir: str) -> str:
 
 
 def _once(spark: SparkSession, sf_dir: str, label: str, build) -> DataFrame:
-    key = (spark.sparkContext.applicationId, _input_files(spark, sf_dir), label)
+    key = (spark.sparkContext.applicationId, input_files(spark, sf_dir), label)
     if key not in _staged:
         _staged[key] = stage(build(), label, kept=True)
     return _staged[key]

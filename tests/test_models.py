@@ -82,6 +82,27 @@ def test_small_steps_keep_boosting(frame):
     assert model.getNumTrees > 10
 
 
+def test_the_first_rounds_are_the_same_trees(frame, boosted):
+    part = models.first_rounds(boosted, 4)
+    assert part.getNumTrees == 4 and part.treeWeights == boosted.treeWeights[:4]
+    grown = models.fit_boosted_trees(frame, FEATURES, "y", "id", trees=4, learning_rate=0.3, depth=3)
+    scores = lambda m: [r["score"] for r in models.score_trees(m, frame, FEATURES).orderBy("id").collect()]
+    assert scores(part) == pytest.approx(scores(grown), abs=1e-12)
+
+
+def test_no_round_is_grown_more_than_twice(frame, monkeypatch):
+    """An early stop grows once; without one, all rounds are grown after the first try."""
+    asked = []
+    fit = models.GBTClassifier.fit
+    monkeypatch.setattr(models.GBTClassifier, "fit", lambda self, data: asked.append(self.getMaxIter()) or fit(self, data))
+    monkeypatch.setattr(models, "best_prefix", lambda losses, patience: (3, len(losses) < 20))
+    assert models.fit_boosted_trees(frame, FEATURES, "y", "id", trees=40, depth=2, patience=2).getNumTrees == 3
+    assert asked == [8]
+    monkeypatch.setattr(models, "best_prefix", lambda losses, patience: (len(losses), len(losses) > 8))
+    assert models.fit_boosted_trees(frame, FEATURES, "y", "id", trees=10, depth=2, patience=2).getNumTrees == 10
+    assert asked == [8, 8, 10]
+
+
 def stored_trees(spark, model, tmp_path):
     model.write().overwrite().save(str(tmp_path / "trees"))
     trees = {}
@@ -101,7 +122,10 @@ def conditional(nodes, node, x, known):
             + right["rawCount"] * conditional(nodes, right, x, known)) / node["rawCount"]
 
 
-def test_tree_attribution_equals_shapley_by_enumeration(spark, frame, boosted, tmp_path):
+@pytest.mark.parametrize("kept", [0, 200, 8_000_000])
+def test_tree_attribution_equals_shapley_by_enumeration(spark, frame, boosted, tmp_path, monkeypatch, kept):
+    """With the values of all leaves kept in a task, of some, and of none."""
+    monkeypatch.setattr(attribution, "TABLE_NUMBERS", kept)
     trees = stored_trees(spark, boosted, tmp_path)
     sample = frame.orderBy("id").limit(25)
     found = {r["id"]: r for r in attribution.tree_attribution(sample, boosted, FEATURES, "id").collect()}

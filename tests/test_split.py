@@ -80,5 +80,26 @@ def test_no_shuffle_of_the_flagged_rows(frame):
 
 def test_sample_is_a_top_k_by_its_own_hash(frame):
     found = [r["id"] for r in fixed_sample(frame.repartition(5), "id", 50).collect()]
-    assert found == sorted(range(5000), key=lambda k: by_hash(k, "sample"))[:50]
-    assert fixed_sample(frame, "id", 10_000).count() == 5000
+    assert sorted(found) == sorted(sorted(range(5000), key=lambda k: by_hash(k, "sample"))[:50])
+    assert fixed_sample(frame, "id", 10_000).count() == 5000 and fixed_sample(frame, "id", 0).count() == 0
+
+
+@pytest.mark.parametrize("small", [20, 50_000])
+def test_the_sample_stays_where_its_rows_lie(frame, monkeypatch, small):
+    """However large it is: buckets of few rows, no task with all of its hashes, as many partitions as the table."""
+    monkeypatch.setattr(split, "SMALL_BUCKET", small)
+    sample = fixed_sample(frame.repartition(5), "id", 3000)
+    assert {r["id"] for r in sample.collect()} == set(sorted(range(5000), key=lambda k: by_hash(k, "sample"))[:3000])
+    assert sample.rdd.getNumPartitions() > 1
+    assert all(p > 0 for p in sample.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect())
+
+
+@pytest.mark.parametrize("size", [1, 7, 399, 400, 401, 800, 1100, 1199])
+def test_a_sample_of_hot_keys_and_equal_rows_has_its_size(spark, size):
+    """A third of the rows have one key and differ, a third are equal throughout, the others differ."""
+    i = F.col("id")
+    df = spark.range(0, 1200, numPartitions=4).select(
+        F.when(i % 3 == 0, -1).when(i % 3 == 1, F.lit(None)).otherwise(i).alias("id"), F.when(i % 3 == 1, 0).otherwise(i).alias("x"))
+    found = fixed_sample(df, "id", size)
+    assert found.count() == size and found.columns == df.columns
+    assert found.exceptAll(df).count() == 0
