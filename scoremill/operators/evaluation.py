@@ -23,15 +23,19 @@ ROWS_PER_BUCKET = 1_000_000
 BASELINE_NAME = "Logistic Regression"
 
 
-def _bucketed(df: DataFrame, keys: Sequence[str], score: str, y: Column, rows_per_bucket: int | None) -> tuple[DataFrame, bool]:
-    """``keys, score, n0, n1, bucket``, written; and whether there are several buckets.
+def _counts(df: DataFrame, keys: Sequence[str], score: str, y: Column) -> DataFrame:
+    """``keys, score, n0, n1`` of scored rows."""
+    return (df.select(*keys, as_number(F.col(score)).alias("score"), y.alias("y"))
+            .where("score IS NOT NULL AND y IS NOT NULL").groupBy(*keys, "score")
+            .agg(F.count_if(F.col("y") == 0).alias("n0"), F.count_if(F.col("y") == 1).alias("n1")))
+
+
+def _bucketed(counts: DataFrame, keys: Sequence[str], rows_per_bucket: int | None) -> tuple[DataFrame, bool]:
+    """The counts with their ``bucket``, written; and whether there are several buckets.
 
     The number of distinct scores is observed while they are written, so it costs no scan.
     """
-    counted = (df.select(*keys, as_number(F.col(score)).alias("score"), y.alias("y"))
-               .where("score IS NOT NULL AND y IS NOT NULL").groupBy(*keys, "score")
-               .agg(F.count_if(F.col("y") == 0).alias("n0"), F.count_if(F.col("y") == 1).alias("n1")))
-    distinct, seen = stage_observed(counted, "scores", {"rows": F.count(F.lit(1))})
+    distinct, seen = stage_observed(counts, "scores", {"rows": F.count(F.lit(1))})
     wanted = seen["rows"] // (rows_per_bucket or ROWS_PER_BUCKET) + 1
     if wanted == 1:
         return distinct.withColumn("bucket", F.lit(0)), False
@@ -39,10 +43,10 @@ def _bucketed(df: DataFrame, keys: Sequence[str], score: str, y: Column, rows_pe
     return stage(dealt, "score-buckets"), True
 
 
-def _ranked(df: DataFrame, keys: Sequence[str], score: str, y: Column, rows_per_bucket: int | None) -> DataFrame:
+def _ranked(counts: DataFrame, keys: Sequence[str], rows_per_bucket: int | None) -> DataFrame:
     """Each key's distinct scores with ``c0, c1`` (goods and bads up to the score), ``t0, t1`` (of the key) and
     ``below`` (the counts of the next lower score)."""
-    distinct, many = _bucketed(df, keys, score, y, rows_per_bucket)
+    distinct, many = _bucketed(counts, keys, rows_per_bucket)
     whole = Window.partitionBy(*keys, "bucket")
     ordered = whole.orderBy("score")
     so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -77,7 +81,12 @@ def metrics_by(df: DataFrame, keys: Sequence[str], score: str = "score", target:
 
     AUC counts ties half. However many keys there are, rows are scored and collapsed once.
     """
-    ranked = _ranked(df, keys, score, F.col(target) if positives is None else positives, rows_per_bucket)
+    return metrics_of_counts(_counts(df, keys, score, F.col(target) if positives is None else positives), keys, rows_per_bucket)
+
+
+def metrics_of_counts(counts: DataFrame, keys: Sequence[str], rows_per_bucket: int | None = None) -> DataFrame:
+    """The same from ``keys, score, n0, n1``: the goods and bads of each key's distinct scores."""
+    ranked = _ranked(counts, keys, rows_per_bucket)
     p, both = F.col("score"), F.col("t0") * F.col("t1") > 0
     t0, t1 = F.col("t0").cast("double"), F.col("t1").cast("double")
     # Bad scores beaten: goods strictly below plus half of the ties.
@@ -104,7 +113,7 @@ def roc_by(df: DataFrame, keys: Sequence[str], score: str = "score", target: str
     One point per distinct score. ``drop_collinear`` leaves out points in the middle of a
     straight run, as plotting libraries do. Rates are null for an empty class.
     """
-    ranked = _ranked(df, keys, score, F.col(target), rows_per_bucket)
+    ranked = _ranked(_counts(df, keys, score, F.col(target)), keys, rows_per_bucket)
     top = (F.col("c0") == F.col("t0")) & (F.col("c1") == F.col("t1"))
     if drop_collinear:
         straight = (F.col("below.n0") == F.col("n0")) & (F.col("below.n1") == F.col("n1")) & ~top

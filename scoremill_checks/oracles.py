@@ -383,6 +383,37 @@ def stump_ranking() -> str:
 FROM ({listed}) l LEFT JOIN (SELECT feature, avg(abs(odds - expected)) AS moved FROM placed GROUP BY feature) p ON name = p.feature GROUP BY name"""
 
 
+def stump_comparison() -> str:
+    """The manifest of the logistic baseline and the stump on the same columns."""
+    z = " + ".join(["b0"] + [f"b{i} * {c}" for i, c in enumerate(STUMP, 1)])
+    baseline = recursive(with_loans(
+        *stump_ctes()[:-6], f"scale AS (SELECT {cols(STUMP, 'avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}')} FROM matrix WHERE NOT is_test)",
+        f"scaled AS (SELECT loan_id, y, is_test, {cols(STUMP, '({c} - m_{c}) / s_{c} AS {c}')} FROM matrix, scale)",
+        "fit_matrix AS (SELECT * FROM scaled WHERE NOT is_test)", *logistic("fit_matrix", STUMP, "1e0"),
+        f"scores AS (SELECT y, 1e0 / (1e0 + exp(-({z}))) AS score FROM scaled, beta WHERE is_test)", *metric_ctes("scores"))) + "SELECT * FROM m"
+    stump = with_loans(*stump_ctes(), *metric_ctes("scores")) + "SELECT m.*, feature, (SELECT count(*) FROM lab) AS kept FROM m, best"
+    passed = "s.auc >= 0.72e0 AND s.auc - b.auc >= 0.04e0"
+    return f"""SELECT 'raw' AS data_mode_used, kept AS data_rows_after_filter, CAST({len(STUMP)} AS BIGINT) AS features_used, s.n AS test_set_size,
+  round(round_even(b.auc, 6), 5) AS baseline_roc_auc, round(round_even(s.auc, 6), 5) AS primary_roc_auc, {passed} AS primary_passed,
+  round(round_even(2 * s.auc - 1, 6), 5) AS gini_coefficient, feature AS top_feature, round(round_even(b.ks, 6), 5) AS baseline_ks,
+  round(round_even(b.brier, 6), 5) AS baseline_brier, round(round_even(s.ks, 6), 5) AS primary_ks, round(round_even(s.brier, 6), 5) AS primary_brier
+FROM ({baseline}) b, ({stump}) s"""
+
+
+def period_back_test() -> str:
+    """Metrics of the new loans by periods of 30 days of their outcomes."""
+    scored = recursive(with_loans(*new_loan_scores())) + "SELECT loan_id, y, score FROM scores"
+    return f"""WITH known AS ({with_loans()} SELECT loan_id, CAST(issue_d AS TIMESTAMP) + to_days(CAST(loan_id % 120 AS INTEGER)) AS known_at FROM loans),
+placed AS (SELECT time_bucket(INTERVAL 30 DAY, known_at, TIMESTAMP '1970-01-01') AS period, y, round(score, 6) AS score FROM ({scored}) JOIN known USING (loan_id)),
+by_score AS (SELECT period, score, sum(1 - y) AS n0, sum(y) AS n1 FROM placed GROUP BY ALL),
+steps AS (SELECT *, sum(n0) OVER o AS c0, sum(n1) OVER o AS c1, sum(n0) OVER k AS t0, sum(n1) OVER k AS t1 FROM by_score
+  WINDOW k AS (PARTITION BY period), o AS (PARTITION BY period ORDER BY score))
+SELECT strftime(period, '%Y-%m-%d') AS period, CAST(any_value(t0 + t1) AS BIGINT) AS n, CAST(any_value(t1) AS BIGINT) AS n_bad,
+  CASE WHEN any_value(t0 * t1) > 0 THEN round(sum(n1 * (c0 - n0 / 2e0)) / any_value(t0::DOUBLE * t1), 4) END AS auc,
+  CASE WHEN any_value(t0 * t1) > 0 THEN round(max(abs(c0 / t0::DOUBLE - c1 / t1::DOUBLE)), 4) END AS ks,
+  round(sum(n0 * score * score + n1 * (1 - score) * (1 - score)) / any_value(t0 + t1), 4) AS brier FROM steps GROUP BY period"""
+
+
 def group_stats(group: str, spread: bool) -> str:
     std = ", round_even(stddev_samp(int_rate), 3) AS Interest_Rate_Std" if spread else ""
     return (f"SELECT {group}, count(y) AS Total_Loans, CAST(sum(y) AS BIGINT) AS Defaults, "
@@ -623,6 +654,8 @@ FROM loans JOIN scores USING (loan_id)""",
 FROM named JOIN chosen USING (feature)
 UNION ALL SELECT '(intercept)', {tidy('b0', 5)}, false FROM beta"""
     sql["scorecard_points"] = recursive(with_loans(*regression_rows(), card())) + "SELECT feature, bin_id, points FROM card"
+    sql["comparison_run"] = stump_comparison()
+    sql["stream_back_test"] = period_back_test()
     sql["target_summary_observed"] = sql["target_summary"]
     sql["clean_from_profile"] = sql["clean_loans"]
     sql["quantile_edges_bracketed"] = sql["quantile_edges"]

@@ -23,6 +23,8 @@ from scoremill.sources.session import tuned
 from scoremill.sources.sinks import write_csv, write_json
 from scoremill.sources.staging import new_path, stage, stage_observed
 from scoremill.spec import ScorecardSpec
+from scoremill.streaming.back_test import back_test_stream, period_metrics
+from scoremill.streaming.scoring import read_new_files
 from scoremill_checks.loan_view import KEY, TARGET, cleaned, input_files, loans
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +49,10 @@ SCORECARD = "WoE scorecard"
 ROW_COLUMNS = ("loan_status", "grade", "purpose", "term")
 
 
+def stump_columns() -> dict[str, Column]:
+    return {"grade_no": F.ascii("grade") - 64, "months": F.regexp_extract("term", r"(\d+)", 1).cast("int")}
+
+
 def rounded(df: DataFrame, digits: int = 6, **special: int) -> DataFrame:
     """Round every double so that engines that add in another order agree; -0 becomes 0."""
     def tidy(name: str, kind: str):
@@ -578,6 +584,34 @@ def score_new_metrics(spark, sf):
     return tidy(fit_scorecard(old, ALL_SPEC).back_test(new), 5)
 
 
+def stream_back_test(spark, sf):
+    """New loans and, up to 120 days later, their outcomes as two streams of files; metrics of each period that is over."""
+    old, new = old_and_new(spark, sf)
+    card = fit_scorecard(old, ALL_SPEC)
+    at = F.col("issue_d").cast("timestamp")
+    known = at + F.make_dt_interval(days=(F.col(KEY) % 120).cast("int"))
+    folders = {n: new_path(spark, f"stream-{n}") for n in ("loans", "outcomes", "counts", "marks")}
+    for name, df, when in (("loans", new.withColumn("scored_at", at), "scored_at"),
+                           ("outcomes", new.select(KEY, "loan_status", known.alias("outcome_at")), "outcome_at")):
+        closing = df.limit(1).withColumns({KEY: F.lit(-1).cast(df.schema[KEY].dataType), when: F.lit("2030-01-01").cast("timestamp")})
+        df.unionByName(closing).write.parquet(folders[name])
+    streams = [read_new_files(spark, folders[n], spark.read.parquet(folders[n]).schema) for n in ("loans", "outcomes")]
+    back_test_stream(card, *streams, folders["counts"], folders["marks"], once=True).awaitTermination()
+    return tidy(period_metrics(spark, folders["counts"]).select(F.date_format("period", "yyyy-MM-dd").alias("period"), "n", "n_bad", "auc", "ks", "brier"), 4)
+
+
+def comparison_run(spark, sf):
+    """The whole comparison, from raw loans to the manifest, with trees that SQL can state."""
+    coded = loans(spark, sf).withColumns(stump_columns())
+    run = comparison.compare_models(coded, KEY, trees=1, depth=1, features=STUMP, target=TARGET)
+    top = attribution.top_features(run.ranking, 1).first()
+    base, best = run.baseline.first(), run.primary.first()
+    found = run.manifest.select("data_mode_used", "data_rows_after_filter", "features_used", "test_set_size", "baseline_roc_auc",
+                                "primary_roc_auc", "primary_passed", "gini_coefficient")
+    return tidy(found.select("*", F.lit(top["feature"]).alias("top_feature"), *[
+        F.lit(r[c]).alias(f"{n}_{c.lower()}") for n, r in (("baseline", base), ("primary", best)) for c in ("KS", "Brier")]), 5)
+
+
 def artifacts(spark, sf):
     """Save the scorecard, then the half of a later save, load and score: the whole version is the one that is read."""
     path = new_path(spark, "scorecard")
@@ -662,8 +696,7 @@ def attribution_primary(spark, sf):
 
 def stump(spark, sf):
     """One tree of one split on columns of few values, which SQL can state exactly."""
-    coded = loans(spark, sf).withColumns({
-        "grade_no": F.ascii("grade") - 64, "months": F.regexp_extract("term", r"(\d+)", 1).cast("int")})
+    coded = loans(spark, sf).withColumns(stump_columns())
     data, names = comparison.prepared(coded, KEY, TARGET, features=STUMP)
     data = stage(data, "stump-matrix")
     fitted = models.fit_boosted_trees(data.where(~F.col("is_test")), names, TARGET, KEY, trees=1, depth=1)
@@ -720,7 +753,7 @@ ALL: tuple[Query, ...] = (
     metrics_in_buckets, metrics_by_segment, roc_by_grade, closed_form_metrics, model_table, primary_record, roc_curve,
     roc_curve_plotted, pass_gate, metrics_report, rules_baseline, majority_baseline,
     scorecard_points, scorecard_categories, scorecard_own_split, scorecard_points_additive, score_points, scorecard_comparison, score_new, score_new_gaps,
-    score_new_metrics, artifacts, run_manifest, lr_baseline, lr_woe, gbt_primary, attribution_primary, gbt_stump,
+    score_new_metrics, stream_back_test, comparison_run, artifacts, run_manifest, lr_baseline, lr_woe, gbt_primary, attribution_primary, gbt_stump,
     attribution_ranking, attribution_top, attribution_additivity)
 
 
