@@ -66,15 +66,25 @@ def prefixes(turns: DataFrame, pairs: DataFrame) -> DataFrame:
     return paired.unionByName(single)
 
 
+def escaped(text: Column) -> Column:
+    """No marker: every ``<`` before a bar gets a backslash more in between, so taking one away gives the text back."""
+    return F.regexp_replace(text, r"<(\\*)\|", r"<\\$1|")
+
+
+def header(role: Column) -> Column:
+    return F.concat(F.lit(OPEN), escaped(role), F.lit("|>\n"))
+
+
 def rendered(role: Column, text: Column) -> Column:
-    return F.concat(F.lit(OPEN), role, F.lit("|>\n"), text, F.lit(CLOSE))
+    return F.concat(header(role), escaped(text), F.lit(CLOSE))
 
 
 def preference_examples(conversations: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
-    """One row for each turn of each example: ``pair_id, chosen_id, rejected_id, part, turn, content, trained``.
+    """One row for each turn of each example: ``pair_id, chosen_id, rejected_id, part, turn, content, trained, masked``.
 
     ``part`` is prompt, chosen or rejected; the prompt's turns appear once. ``trained`` marks the assistant's
-    turns of the completions; all else is masked. ``pairs`` (pair_id, chosen_id, rejected_id) defaults to
+    turns of the completions; all else is masked. ``masked`` counts the characters of the content, from its start, that are: of
+    a trained turn those of its header, of another turn all. Markers within roles and texts are ``escaped``. ``pairs`` (pair_id, chosen_id, rejected_id) defaults to
     conversations that open alike. Sides that are equal give a prompt alone; a side that ends where the
     prompt ends has no rows. Null texts render as empty turns; other columns are not read.
     """
@@ -83,14 +93,14 @@ def preference_examples(conversations: DataFrame, pairs: DataFrame | None = None
     cut = pairs.join(prefixes(turns, pairs), "pair_id")
     shared = F.col("differs_at").isNull() | (F.col("turn") < F.col("differs_at"))
     part = F.when(shared, "prompt").when(F.col("chosen"), "chosen").otherwise("rejected")
+    content, trained = rendered(F.col("role"), F.col("text")), (F.col("part") != "prompt") & (F.col("role") == "assistant")
     return (_sides(turns, cut, "role", "text").withColumn("part", part)
             .filter(F.col("chosen") | (F.col("part") != "prompt"))
-            .select("pair_id", "chosen_id", "rejected_id", "part", "turn",
-                    rendered(F.col("role"), F.col("text")).alias("content"),
-                    ((F.col("part") != "prompt") & (F.col("role") == "assistant")).alias("trained")))
+            .select("pair_id", "chosen_id", "rejected_id", "part", "turn", content.alias("content"), trained.alias("trained"),
+                    F.when(trained, F.length(header(F.col("role")))).otherwise(F.length(content)).cast("bigint").alias("masked")))
 
 
-ORACLE_SQL = """
+ORACLE_SQL = r"""
 WITH t AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   WHERE conv_id IS NOT NULL AND turn IS NOT NULL
@@ -114,9 +124,11 @@ s AS (
   UNION ALL
   SELECT p.*, turn, role, text, cut, false FROM p JOIN d USING (pair_id) JOIN t ON conv_id = rejected_id
   WHERE turn >= cut)
-SELECT pair_id, chosen_id, rejected_id, turn,
-       CASE WHEN cut IS NULL OR turn < cut THEN 'prompt' WHEN chosen THEN 'chosen' ELSE 'rejected' END AS part,
-       '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10) AS content,
-       cut IS NOT NULL AND turn >= cut AND role = 'assistant' AS trained
-FROM s
+SELECT pair_id, chosen_id, rejected_id, turn, part, head || body AS content, trained,
+       length(CASE WHEN trained THEN head ELSE head || body END) AS masked
+FROM (
+  SELECT *, CASE WHEN cut IS NULL OR turn < cut THEN 'prompt' WHEN chosen THEN 'chosen' ELSE 'rejected' END AS part,
+         '<|' || regexp_replace(role, '<(\\*)\|', '<\\\1|', 'g') || '|>' || chr(10) AS head,
+         regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g') || '<|end|>' || chr(10) AS body,
+         cut IS NOT NULL AND turn >= cut AND role = 'assistant' AS trained FROM s)
 """
