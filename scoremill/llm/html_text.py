@@ -3,8 +3,10 @@
 A page is words and tags. Words score positive and tags negative to begin with; pages whose markup names the
 article label their own tokens, and every token class (a tag, or a word in a kind of container) gets the
 logarithm of how much commoner it is inside the article than outside. One linear scan (Kadane) finds the
-contiguous run of highest score. Its words outside excluded containers are the text; what is excluded within an
-article neither adds to the run nor breaks it.
+contiguous run of highest score; what is excluded within an article neither adds to the run nor breaks it. The run
+says where the article is, not where it ends: a list in it scores like a menu. So it is extended to the article element
+that holds it or, where there is none, to the least container that does, but for those parts of that container that are
+mostly links. The words of the extended run outside excluded containers are the text.
 
 A container is excluded by its element or role, or by a class or id whose parts all name what is not the article.
 Forms, and names with such a part beside other words ("has-sidebar"), are excluded only outside an article, and
@@ -17,7 +19,8 @@ import html as entities
 import math
 import re
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -39,14 +42,15 @@ EXCLUDED_NAMES = frozenset("ad ads advert adverts advertisement advertising spon
                            "cookie cookies consent notice notices gdpr nav navbar navigation menu breadcrumb breadcrumbs "
                            "sidebar aside footer masthead comment comments commentlist disqus reply replies share sharing "
                            "social related newsletter subscribe subscription popup modal login signup search toolbar "
-                           "pagination pager widget".split())
+                           "pagination pager widget response responses discussion discussions feedback talkback".split())
 # Parts of names that say nothing about the content by themselves.
 NEUTRAL = frozenset("post posts entry user global top bottom left right inner outer primary secondary list links link "
                     "items item box block bar button buttons icons icon area section panel form header title".split())
 KNOWN = CONTAINERS | INLINE | frozenset("p h1 h2 h3 h4 h5 h6 br hr pre img tr td th thead tbody tfoot caption figcaption dt "
                                         "dd address summary meta link input option picture source".split())
 WORD, TAG, INLINE_TAG = 1.0, -0.75, -0.25
-MOST = 4.0
+LEAST_SHARE = 0.02       # of a class's tokens, counted as seen on either side: no weight is beyond what that allows
+LINKED = 0.5             # share of linked words from which a part of a container is a menu
 
 _token = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -137,24 +141,35 @@ def let_back(containers: list[_Container]) -> None:
                     back.add(w)
 
 
-def tokens(page: str) -> Iterator[tuple[str, str | None, bool, bool]]:
-    """(class, text, excluded, within an article) of each run of words and each tag."""
+class _Token(NamedTuple):
+    """A run of words or a tag: its class, text, container, whether in an article, and whether in a link."""
+    name: str
+    text: str | None
+    container: int
+    inside: bool
+    linked: bool
+
+
+def parsed(page: str) -> tuple[list[_Container], list[bool], list[_Token]]:
+    """The page's containers, which of them are excluded, and its tokens in order."""
     containers = [_Container("body", -1, VISIBLE)]  # the page itself, then each container as it opens
-    seen: list[tuple[str, str | None, int, bool]] = []  # class, text, container, within an article
+    seen: list[_Token] = []
     at: list[int] = [0]
-    articles = 0
+    articles, linked = 0, False
     for found in _token.finditer(page):
         text = found["text"]
         if text is not None:
             containers[at[-1]].words += _count(text)
-            seen.append(("", text, at[-1], articles > 0))
+            seen.append(_Token("", text, at[-1], articles > 0, linked))
             continue
         name = found["name"]
         if name is None:
             if found["raw"] or found.lastgroup is None:
-                seen.append(("tag-hidden", None, at[-1], articles > 0))
+                seen.append(_Token("tag-hidden", None, at[-1], articles > 0, linked))
             continue
         name, closing = name.lower(), bool(found["close"])
+        if name == "a" or name in CONTAINERS:
+            linked = name == "a" and not closing
         if closing and name in CONTAINERS:
             if any(containers[i].name == name for i in at[1:]):
                 while True:
@@ -169,15 +184,13 @@ def tokens(page: str) -> Iterator[tuple[str, str | None, bool, bool]]:
             containers.append(_Container(name, at[-1], _exclusion(name, found["attributes"], inside)))
             at.append(len(containers) - 1)
             articles += name == "article"
-        seen.append((f"tag-{name if name in KNOWN else 'other'}", None, at[-1], inside))
+        seen.append(_Token(f"tag-{name if name in KNOWN else 'other'}", None, at[-1], inside, linked))
     let_back(containers)
     excluded: list[bool] = []
     for c in containers:
         excluded.append(c.exclusion != VISIBLE or (c.parent >= 0 and excluded[c.parent]))
-    for name, text, i, inside in seen:
-        if text is not None:
-            name = "word-excluded" if excluded[i] else f"word-{containers[i].name}"
-        yield name, text, excluded[i], inside
+    return containers, excluded, [t if t.text is None else t._replace(
+        name="word-excluded" if excluded[t.container] else f"word-{containers[t.container].name}") for t in seen]
 
 
 def _count(text: str | None) -> int:
@@ -187,7 +200,7 @@ def _count(text: str | None) -> int:
 def class_counts(page: str) -> dict[str, list[int]]:
     """How many tokens of each class lie inside and outside the article; empty without just one."""
     seen, articles = Counter(), 0
-    for name, text, _, inside in tokens(page):
+    for name, text, _, inside, _ in parsed(page)[2]:
         seen[name, inside] += _count(text)
         articles += name == "tag-article" and not inside
     if articles not in (1, 2) or not any(inside for _, inside in seen):  # it opens, and may be closed
@@ -207,9 +220,8 @@ def weights(counts: dict[str, tuple[int, int]]) -> dict[str, float]:
     for name, (inside, outside) in counts.items():
         if name == "word-excluded":
             continue
-        prior = _prior(name)
-        evidence = math.log((inside + 1) / (outside + 1))
-        out[name] = max(-MOST, min(MOST, prior + evidence))
+        seen = LEAST_SHARE * (inside + outside) + 1
+        out[name] = _prior(name) + math.log((inside + seen) / (outside + seen))
     return out
 
 
@@ -230,24 +242,70 @@ def learned(pages: DataFrame) -> dict[str, float]:
     return weights({r["name"]: (r["inside"], r["outside"]) for r in rows})
 
 
-def main_text(page: str, scores: dict[str, float]) -> str:
-    """The text of the best run: blocks in page order, white space in them made one space."""
-    parsed = list(tokens(page))
-    best, best_run, total, begin = 0.0, (0, 0), 0.0, 0
-    for i, (name, text, excluded, within) in enumerate(parsed):
-        word = text is not None
-        score = scores.get(name, _prior(name)) if not excluded else 0.0 if within else INLINE_TAG
+def best_run(excluded: list[bool], seen: list[_Token], scores: dict[str, float]) -> tuple[int, int]:
+    """Where the contiguous run of highest score begins and ends."""
+    best, run, total, begin = 0.0, (0, 0), 0.0, 0
+    for i, t in enumerate(seen):
+        score = scores.get(t.name, _prior(t.name)) if not excluded[t.container] else 0.0 if t.inside else INLINE_TAG
         if total <= 0:
             total, begin = 0.0, i
-        total += score * (_count(text) if word else 1)
+        total += score * (_count(t.text) if t.text is not None else 1)
         if total > best:
-            best, best_run = total, (begin, i + 1)
+            best, run = total, (begin, i + 1)
+    return run
+
+
+def holder(containers: list[_Container], inside: set[int]) -> int:
+    """The outermost article round the least container that holds all of ``inside``, or that container."""
+    def path(i: int) -> list[int]:
+        out = [i]
+        while containers[i].parent >= 0:
+            i = containers[i].parent
+            out.append(i)
+        return out[::-1]
+
+    paths = [path(i) for i in inside]
+    common = 0
+    while all(len(p) > common and p[common] == paths[0][common] for p in paths):
+        common += 1
+    least = paths[0][:common]
+    return next((i for i in least if containers[i].name == "article"), least[-1])
+
+
+def extended(containers: list[_Container], excluded: list[bool], seen: list[_Token], run: tuple[int, int]) -> list[_Token]:
+    """The tokens of the run and of the container that holds it, but for its parts that are mostly links."""
+    low, high = run
+    inside = {t.container for t in seen[low:high] if t.text is not None and not excluded[t.container] and t.text.strip()}
+    if not inside:
+        return []
+    whole = holder(containers, inside)
+    if containers[whole].name in ("body", "html"):
+        return seen[low:high]
+    part = [-1] * len(containers)  # the container directly in ``whole`` that holds each one; ``whole`` for itself
+    part[whole] = whole
+    for i, c in enumerate(containers):
+        if i != whole and c.parent >= 0 and part[c.parent] >= 0:
+            part[i] = i if c.parent == whole else part[c.parent]
+    menus: set[int] = set()
+    if containers[whole].name != "article":
+        words, linked = Counter(), Counter()
+        for t in seen:
+            if t.text is not None and part[t.container] not in (-1, whole) and not excluded[t.container]:
+                words[part[t.container]] += _count(t.text)
+                linked[part[t.container]] += _count(t.text) * t.linked
+        menus = {p for p, n in words.items() if linked[p] > LINKED * n}
+    return [t for i, t in enumerate(seen) if low <= i < high or (part[t.container] >= 0 and part[t.container] not in menus)]
+
+
+def main_text(page: str, scores: dict[str, float]) -> str:
+    """The text of the best run, extended: blocks in page order, white space in them made one space."""
+    containers, excluded, seen = parsed(page)
     blocks, block = [], []
-    for name, text, excluded, _ in parsed[slice(*best_run)]:
-        if text is not None:
-            if not excluded:
-                block.append(entities.unescape(text))
-        elif name[4:] not in INLINE and name != "tag-hidden":
+    for t in extended(containers, excluded, seen, best_run(excluded, seen, scores)):
+        if t.text is not None:
+            if not excluded[t.container]:
+                block.append(entities.unescape(t.text))
+        elif t.name[4:] not in INLINE and t.name != "tag-hidden":
             blocks.append("".join(block))
             block = []
     blocks.append("".join(block))

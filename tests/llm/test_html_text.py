@@ -1,7 +1,9 @@
 import html
 import re
 
-from scoremill.llm.html_text import extract, learned, main_text
+import pytest
+
+from scoremill.llm.html_text import extract, learned, main_text, weights
 from scoremill.llm.registered import op5_html_extraction
 from scoremill_checks.compare import duck
 
@@ -83,3 +85,53 @@ def test_comments_are_not_taken_for_the_article():
     page = (f'<html><body><div class="content"><p>{WORDS}</p></div><ol class="comment-list">{said * 9}</ol>'
             f'<form><p>write a comment</p><input name=q></form></body></html>')
     assert main_text(page, {}) == WORDS
+
+
+PARTS = {
+    "long list": "<ul>" + "".join(f"<li>item {i}</li>" for i in range(60)) + "</ul>",
+    "longer list": "<ol>" + "".join(f"<li><a href='#{i}'>point {i}</a></li>" for i in range(200)) + "</ol>",
+    "table": "<table><thead><tr><th>name</th><th>size</th></tr></thead><tbody>" + "".join(f"<tr><td>{i}</td><td>x</td></tr>" for i in range(150)) + "</tbody></table>",
+    "code": "<pre><code>" + "for x in y:\n    pass\n" * 60 + "</code></pre>",
+    "definitions": "<dl>" + "".join(f"<dt>t{i}</dt><dd>d{i}</dd>" for i in range(80)) + "</dl>",
+    "figures": "".join(f"<figure><img src='{i}.png'><figcaption>fig {i}</figcaption></figure>" for i in range(60)),
+    "sections": "".join(f"<section><h2>part {i}</h2><details><summary>more</summary>text {i}</details></section>" for i in range(40)),
+}
+SIX = f"<p>{WORDS}</p>" * 6
+AROUND = ('<nav><ul><li><a href="/">menu words here</a></li></ul></nav>|<div id="responses"><p>a reader says this is nice</p></div>'
+          '<aside><p>side words</p></aside><footer><p>foot words</p></footer>')
+
+
+def plain(markup):
+    return " ".join(re.sub(r"<[^>]*>", " ", markup).split())
+
+
+@pytest.mark.parametrize("part", PARTS)
+@pytest.mark.parametrize("layout", ["%s|%s", "|%s", "%s|", "<h1>A title</h1>|%s", "%s|%s|"])
+def test_nothing_of_an_article_is_dropped(spark, part, layout):
+    """Lists, tables, code and the like before, between and after paragraphs, under weights learned from pages without them."""
+    scores = learned(spark.read.parquet(f"{SF}/pages.parquet"))
+    body = layout.replace("%s", SIX).replace("|", PARTS[part])
+    for article in ("<article>|</article>", "<main><article><div class='body'>|</div></article></main>"):
+        page = f"<html><body>{AROUND.replace('|', article.replace('|', body))}</body></html>"
+        assert main_text(page, scores) == plain(body), part
+    page = f"<html><body>{AROUND.replace('|', f'<div class=post-body>{SIX}{PARTS[part]}{SIX}</div>')}</body></html>"
+    if part != "longer list":  # of links, as a menu is
+        assert main_text(page, scores) == plain(SIX + PARTS[part] + SIX)
+
+
+def test_menus_beside_the_text_in_one_wrapper_stay_out():
+    links = "".join(f"<li><a href='/{i}'>page {i}</a></li>" for i in range(30))
+    page = f"<html><body><div class='wrap'><ul>{links}</ul>{SIX}<ul><li>one</li><li>two</li></ul><p>end</p><ul>{links}</ul></div></body></html>"
+    assert main_text(page, {}) == plain(SIX) + " one two end"
+
+
+def test_no_weight_is_beyond_the_evidence(spark):
+    """Weights have degrees: what is seen more often on one side weighs more, and none reaches a limit."""
+    assert weights({"tag-p": (10, 0)})["tag-p"] < weights({"tag-p": (100, 0)})["tag-p"] < weights({"tag-p": (10**9, 0)})["tag-p"] < 4
+    found = learned(spark.read.parquet(f"{SF}/pages.parquet"))
+    assert len({round(w, 6) for w in found.values()}) > 0.5 * len(found)
+
+
+def test_very_long_pages_stay_whole():
+    page = f"<html><body><article>{'<p>word</p>' * 100_000}<table>{'<tr><td>1</td></tr>' * 50_000}</table></article></body></html>"
+    assert main_text(page, {}) == " ".join(["word"] * 100_000 + ["1"] * 50_000)
