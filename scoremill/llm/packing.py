@@ -1,23 +1,25 @@
 """Packing documents into sequences by cutting-stock column generation.
 
 1. Each document is encoded once; whole sequences are cut off its front. The remainder is cut once more,
-   at a multiple of the grain (``capacity / 16``). So the pieces of any corpus form a histogram of few
+   at a multiple of the grain (``capacity / 64``). So the pieces of any corpus form a histogram of few
    lengths: multiples of the grain, and what is shorter than it.
 2. A linear program over patterns (which pieces share a sequence) covers the histogram with the least
-   padding. New patterns come from a knapsack over the dual prices. It runs on the histogram alone, so
+   padding. It starts from sequences of one length each; every better pattern comes from a knapsack over the dual
+   prices, until their bound says that none can save more than ``GAP``. It runs on the histogram alone, so
    its work and memory do not grow with the documents.
 3. Patterns are used a whole number of times. What rounding leaves, less than one sequence a pattern,
    is covered by filling sequences one after the other.
 4. Where lengths do not fit together (all documents as long as each other, say), a share of the
    documents, no larger than it takes, has its remainder cut into powers of two, which fill any gap.
 5. Each piece's rank among those of its length says which pattern, copy and place it gets. Ranks are
-   counted in salted groups, so one frequent length does not meet in one task.
+   counted in lots of bounded size, as many as the rows need, so one frequent length does not meet in one task.
 """
 
 from __future__ import annotations
 
 import zlib
 from collections.abc import Iterable
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -26,13 +28,15 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from scoremill.llm.bpe import ByteBpe
-from scoremill.llm.common import in_arrow, no_nulls, stage
+from scoremill.llm.common import in_arrow, no_nulls
+from scoremill.sources.staging import stage_observed
 
 CAPACITY = 1024
 SALTS = 64
-GRAINS = 16
+LOT = 100_000            # rows of a lot, on average
+GRAINS = 64
 GAP = 0.0005
-ROUNDS = 400
+ROUNDS = 5_000
 WASTE = 0.005
 SHARES = (0, 4, 16, 64)  # of 64 salts
 
@@ -68,24 +72,17 @@ def fullest(counts: dict[int, int], first: int, capacity: int) -> Pattern:
     return tuple(sorted(chosen.items(), reverse=True))
 
 
-def _one_after_another(demand: dict[int, float], capacity: int,
-                       whole: bool) -> list[tuple[Pattern, float, list[int]]]:
-    """Fill a pattern round the longest piece, use it until lengths run out, and go on.
-
-    Each entry: the pattern, how often it is used, and the lengths that ran out with it.
-    """
+def _one_after_another(demand: dict[int, int], capacity: int) -> list[tuple[Pattern, int]]:
+    """Fill a pattern round the longest piece, use it until lengths run out, and go on."""
     left, out = {k: v for k, v in demand.items() if v > 0}, []
     while left:
-        pattern = fullest({k: int(max(1, v)) for k, v in left.items()}, max(left), capacity)
-        times = min(left[k] / n for k, n in pattern)
-        times = int(times) if whole else times
-        ended = []
+        pattern = fullest(left, max(left), capacity)
+        times = min(left[k] // n for k, n in pattern)
         for k, n in pattern:
             left[k] -= n * times
-            if left[k] <= 1e-9:
+            if not left[k]:
                 del left[k]
-                ended.append(k)
-        out.append((pattern, times, ended))
+        out.append((pattern, times))
     return out
 
 
@@ -110,40 +107,37 @@ def _price(lengths: np.ndarray, duals: np.ndarray, cost: np.ndarray, capacity: i
     return column, found, ratio
 
 
-def column_generation(demand: dict[int, int], capacity: int = CAPACITY, gap: float = GAP,
-                      rounds: int = ROUNDS) -> list[tuple[Pattern, float]]:
-    """Patterns and how often (fractions allowed) each is used, so that every demand is met exactly.
+@dataclass(frozen=True)
+class Cover:
+    """Patterns and how often (fractions allowed) each is used, the rounds of pricing it took, its room, and the least
+    room that any cover needs by the last duals."""
+    patterns: list[tuple[Pattern, float]]
+    rounds: int
+    room: float
+    bound: float
+
+
+def column_generation(demand: dict[int, int], capacity: int = CAPACITY, gap: float = GAP, rounds: int = ROUNDS) -> Cover:
+    """The cover that meets every demand exactly with nearly the least room.
 
-    Starts from patterns that each use up one length (a triangular basis) and prices new ones until
-    no solution can be better by more than ``gap``, or for ``rounds`` rounds.
+    Starts from patterns of one length each and prices new ones until no cover can be better by more than ``gap``.
     """
     lengths = np.array(sorted(demand), dtype=np.int64)
     if not len(lengths):
-        return []
-    row = {int(k): i for i, k in enumerate(lengths)}
+        return Cover([], 0, 0.0, 0.0)
     cost = np.array([padded(t, capacity) for t in range(capacity + 1)], dtype=float)
-    start = _one_after_another({k: float(v) for k, v in demand.items()}, capacity, whole=False)
-    columns, used = [], []
-    for pattern, times, ended in start:  # the other lengths that ran out get an unused column each
-        columns += [pattern] + [((k, 1),) for k in ended[1:]]
-        used += [times] + [0.0] * (len(ended) - 1)
-    basis, used = np.zeros((len(lengths), len(columns))), np.array(used)
-    for j, pattern in enumerate(columns):
-        for k, n in pattern:
-            basis[row[k], j] = n
-    inverse = np.linalg.inv(basis)
-    totals = (lengths[:, None] * basis).sum(axis=0).astype(int)
-    price = cost[totals]
-    least = float(sum(k * v for k, v in demand.items()))
-    for _ in range(rounds):
-        if price @ used <= least * (1 + gap):
-            break
+    often = capacity // lengths
+    basis, inverse = np.diag(often.astype(float)), np.diag(1 / often)
+    used, price = np.array([demand[int(k)] for k in lengths]) / often, cost[lengths * often]
+    bound = float(sum(k * v for k, v in demand.items()))  # no padding at all
+    done = 0
+    while done < rounds and price @ used > bound * (1 + gap):
         column, gain, ratio = _price(lengths, price @ inverse, cost, capacity)
-        if gain <= 1e-7 or ratio <= 1 + gap:
-            break
+        done += 1
+        bound = max(bound, float(price @ used) / max(ratio, 1.0))
         step = inverse @ column
         able = step > 1e-9
-        if not able.any():
+        if gain <= 1e-7 or price @ used <= bound * (1 + gap) or not able.any():
             break
         limits = np.where(able, used / np.where(able, step, 1), np.inf)
         out = int(np.argmin(limits))
@@ -155,21 +149,22 @@ def column_generation(demand: dict[int, int], capacity: int = CAPACITY, gap: flo
         inverse[out] = pivot
         basis[:, out] = column
         price[out] = cost[int(lengths @ column)]
-    return [(tuple((int(lengths[i]), int(basis[i, j])) for i in np.flatnonzero(basis[:, j])[::-1]), used[j])
-            for j in range(len(used)) if used[j] > 1e-9]
+    patterns = [(tuple((int(lengths[i]), int(basis[i, j])) for i in np.flatnonzero(basis[:, j])[::-1]), used[j])
+                for j in range(len(used)) if used[j] > 1e-9]
+    return Cover(patterns, done, float(price @ used), bound)
 
 
 def whole_plan(demand: dict[int, int], capacity: int = CAPACITY) -> list[tuple[Pattern, int]]:
     """Patterns and whole numbers of copies that hold every remainder exactly once."""
     left = {int(k): int(v) for k, v in demand.items() if v > 0}
     plan = []
-    for pattern, times in column_generation(left, capacity):
+    for pattern, times in column_generation(left, capacity).patterns:
         copies = min([int(times + 1e-6)] + [left[k] // n for k, n in pattern])
         if copies > 0:
             plan.append((pattern, copies))
             for k, n in pattern:
                 left[k] -= n * copies
-    return plan + [(p, int(t)) for p, t, _ in _one_after_another(left, capacity, whole=True)]
+    return plan + _one_after_another(left, capacity)
 
 
 def cuts(remainder: int, capacity: int, fine: bool) -> list[int]:
@@ -252,16 +247,14 @@ def _added(tokenizer: str) -> list[str]:
     return _added_strings[tokenizer]
 
 
-def ranked(pieces: DataFrame, capacity: int) -> DataFrame:
-    """Adds ``rank``, from 0, among the pieces of the same length. No group is larger than a length's
-    share of one salt; the table of group sizes has ``capacity * SALTS`` rows at most."""
-    counts = pieces.groupBy("length", "salt").agg(F.count(F.lit(1)).alias("n"))
-    before = W.partitionBy("length").orderBy("salt").rowsBetween(W.unboundedPreceding, -1)
-    offsets = counts.select("length", "salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
-    inside = W.partitionBy("length", "salt").orderBy("doc_id", "start", "ids_crc32", "doc_tokens")
+def ranked(pieces: DataFrame) -> DataFrame:
+    """Adds ``rank``, from 0, among the pieces of the same length. No group is larger than a length's share of one lot."""
+    counts = pieces.groupBy("length", "lot").agg(F.count(F.lit(1)).alias("n"))
+    before = W.partitionBy("length").orderBy("lot").rowsBetween(W.unboundedPreceding, -1)
+    offsets = counts.select("length", "lot", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    inside = W.partitionBy("length", "lot").orderBy("doc_id", "start", "ids_crc32", "doc_tokens")
     numbered = pieces.withColumn("nth", F.row_number().over(inside))
-    return (numbered.join(F.broadcast(offsets), ["length", "salt"])
-            .withColumn("rank", F.col("before") + F.col("nth") - 1))
+    return numbered.join(offsets, ["length", "lot"]).withColumn("rank", F.col("before") + F.col("nth") - 1)
 
 
 def slots(plan: list[tuple[Pattern, int]]) -> dict[int, list[tuple[int, int, int, int]]]:
@@ -288,8 +281,11 @@ def pack(docs: DataFrame, tokenizer: str, ranks: str, pattern: str, capacity: in
     need. Rows that repeat are packed each for itself. No rows give no rows; other columns are not read.
     """
     spark = docs.sparkSession
-    encoded = stage(encoded_documents(docs, tokenizer, ranks, pattern, capacity, key, text), "encoded")
-    encoded = encoded.withColumn("salt", F.pmod(F.xxhash64("doc_id", "doc_tokens", "coarse"), F.lit(SALTS)))
+    # A number of its own for each row, written: rows that are equal in all else are told apart by it.
+    numbered = encoded_documents(docs, tokenizer, ranks, pattern, capacity, key, text).withColumn("row", F.monotonically_increasing_id())
+    encoded, seen = stage_observed(numbered, "encoded", {"rows": F.count(F.lit(1))})
+    lots = max(SALTS, -(-seen["rows"] // LOT))
+    encoded = encoded.withColumns({"salt": F.pmod(F.xxhash64("row"), F.lit(SALTS)), "lot": F.pmod(F.xxhash64("row", F.lit(1)), F.lit(lots))})
     rest = F.col("doc_tokens") % capacity
     counts = {(r["rest"], r["salt"]): r["n"] for r in  # capacity * SALTS rows at most
               encoded.groupBy(rest.alias("rest"), "salt").agg(F.count(F.lit(1)).alias("n"))
@@ -303,10 +299,10 @@ def pack(docs: DataFrame, tokenizer: str, ranks: str, pattern: str, capacity: in
     cut = F.when(finely, F.col("fine_cut")).otherwise(F.col("coarse_cut"))
     sums = F.when(finely, F.col("fine")).otherwise(F.col("coarse"))
     pieces = (encoded.withColumn("rest", rest).join(F.broadcast(ways), "rest")
-              .select("doc_id", "doc_tokens", "salt", "rest", F.posexplode(F.arrays_zip(
+              .select("doc_id", "doc_tokens", "lot", "rest", F.posexplode(F.arrays_zip(
                   cut.alias("length"), sums.alias("crc"), _running(cut).alias("before"))).alias("at", "p"))
               .select("doc_id", (F.col("doc_tokens") - F.col("rest") + F.col("p.before")).alias("start"),
-                      F.col("p.length").alias("length"), F.col("p.crc").alias("ids_crc32"), "doc_tokens", "salt"))
+                      F.col("p.length").alias("length"), F.col("p.crc").alias("ids_crc32"), "doc_tokens", "lot"))
 
     rows = [(length, entries) for length, entries in slots(plan).items()]
     places = spark.createDataFrame(
@@ -314,7 +310,7 @@ def pack(docs: DataFrame, tokenizer: str, ranks: str, pattern: str, capacity: in
     slot = F.element_at(F.filter("slots", lambda s: s["first"] <= F.col("rank")), -1)
     at = F.col("rank") - F.col("slot.first")
     columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
-    shared = (ranked(pieces, capacity).join(F.broadcast(places), "length").withColumn("slot", slot)
+    shared = (ranked(pieces).join(F.broadcast(places), "length").withColumn("slot", slot)
               .select(*columns, (F.col("slot.sequence") + at % F.col("slot.copies")).alias("sequence_id"),
                       (F.col("slot.place") + F.floor(at / F.col("slot.copies")).cast("bigint") * F.col("length"))
                       .alias("offset")))

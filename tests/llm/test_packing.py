@@ -1,9 +1,12 @@
+import itertools
+import operator
 import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers as P
+import pytest
 from tokenizers import Tokenizer
 
 from scoremill.llm.packing import best_plan, column_generation, cuts, pack, padded, whole_plan
@@ -59,17 +62,50 @@ def test_query_packs_every_token_with_little_padding(spark):
 def test_program_is_near_the_best_cover():
     pick = random.Random(5)
     demand = {k: pick.randint(1, 50) for k in (700, 520, 333, 300, 181, 64, 33, 7)}
-    total = sum(padded(sum(k * n for k, n in p), 1024) * x for p, x in column_generation(demand))
+    cover = column_generation(demand)
     covered = defaultdict(float)
-    for pattern, times in column_generation(demand):
+    for pattern, times in cover.patterns:
         assert sum(k * n for k, n in pattern) <= 1024
         for k, n in pattern:
             covered[k] += n * times
     assert all(abs(covered[k] - n) < 1e-6 for k, n in demand.items())
-    assert total <= 1.35 * sum(k * n for k, n in demand.items())
+    assert cover.room == pytest.approx(sum(padded(sum(k * n for k, n in p), 1024) * x for p, x in cover.patterns))
+    assert cover.bound <= cover.room <= cover.bound * 1.0006 and cover.rounds > 0
     assert defaultdict(int, demand) == _held(whole_plan(demand))
 
 
+@pytest.mark.parametrize("seed", range(6))
+def test_program_equals_every_pattern_tried(seed):
+    """Small sequences, so that all patterns can be listed; the linear program over them has the least room."""
+    pick = random.Random(seed)
+    lengths = pick.sample(range(3, 24), 4)
+    demand = {k: pick.randint(5, 40) for k in lengths}
+    patterns = [p for p in itertools.product(*[range(24 // k + 1) for k in lengths]) if 0 < sum(map(operator.mul, p, lengths)) <= 24]
+    cost = np.array([padded(sum(map(operator.mul, p, lengths)), 24) for p in patterns], dtype=float)
+    a = np.array(patterns, dtype=float).T
+    best = np.inf  # over every basis of four patterns
+    want = np.array([demand[k] for k in lengths], dtype=float)
+    chosen = np.array(list(itertools.combinations(range(len(patterns)), 4)))
+    mats = a[:, chosen].transpose(1, 0, 2)
+    sound = np.abs(np.linalg.det(mats)) > 1e-9
+    x = np.linalg.solve(mats[sound], np.broadcast_to(want[:, None], (sound.sum(), 4, 1)))[..., 0]
+    rooms = np.where((x >= -1e-9).all(axis=1), (cost[chosen[sound]] * x).sum(axis=1), np.inf)
+    best = rooms.min()
+    cover = column_generation(demand, 24, gap=0.0)
+    assert cover.room == pytest.approx(best) and cover.bound <= best + 1e-6
+
+
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_patterns_are_priced_at_every_size(sf):
+    """On the tables' real lengths the program starts far from the bound and pricing takes it there."""
+    lengths = duck(f"/root/testdata/{sf}").execute("SELECT length(coalesce(text, '')) FROM documents").fetchall()
+    demand = Counter(piece for (n,) in lengths for piece in cuts((n // 3 + 1) % 1024, 1024, False))
+    cover = column_generation(dict(demand))
+    start = sum(padded(k * (1024 // k), 1024) * n / (1024 // k) for k, n in demand.items())
+    assert cover.rounds > 50 and cover.room <= cover.bound * 1.0006 and start > 1.02 * cover.room
+    print(sf, cover.rounds, "rounds of pricing")
+
+
 def _held(plan):
     held = defaultdict(int)
     for pattern, copies in plan:
@@ -88,3 +124,16 @@ def test_equal_lengths_need_no_padding_either():
 def test_cuts_add_up():
     for n in range(1, 1024):
         assert sum(cuts(n, 1024, True)) == sum(cuts(n, 1024, False)) == n
+
+
+def test_equal_rows_without_identifiers_are_dealt_out(spark):
+    """They share text and identifier, not their lot; each is packed for itself."""
+    docs = spark.createDataFrame([(None, "the same words in every row")] * 3000, "doc_id long, text string").repartition(3)
+    rows = pack(docs, TOKENIZER, RANKS, P.PATTERN, 64).collect()
+    size = rows[0]["doc_tokens"]
+    places = {(r["sequence_id"], r["offset"]) for r in rows}
+    assert sum(r["length"] for r in rows) == 3000 * size and len(places) == len(rows)
+    room = Counter()
+    for r in rows:
+        room[r["sequence_id"]] = max(room[r["sequence_id"]], r["offset"] + r["length"])
+    assert max(room.values()) <= 64 and sum(padded(n, 64) for n in room.values()) < 1.03 * 3000 * size
