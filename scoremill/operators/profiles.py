@@ -12,7 +12,6 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,12 +53,10 @@ def update(spark: SparkSession, store: str, files: Sequence[str], read: Callable
 
     A file is known by its path: files that are there do not change. Nothing is written if the scan fails.
     """
-    try:
+    place = spark._jvm.org.apache.hadoop.fs.Path(store)
+    known = set()
+    if place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
         known = {r["file"] for r in spark.read.schema(SCHEMA).parquet(store).select("file").distinct().collect()}
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        known = set()
     new = [f for f in files if f not in known]
     if new:
         named = read(new).withColumn("__file", F.input_file_name())
