@@ -4,8 +4,9 @@ A cumulative-link (proportional odds) model: P(grade > k) = logistic(w . x - the
 feature shared by all thresholds. Features are the presence of words and of the first 6 and 8 bytes of longer
 ones, as 64-bit hashes, so a vocabulary is never gathered. Severity is the expected grade, the sum of P(grade > k).
 
-The model is fitted on at most ``SAMPLE`` labelled rows, those of the smallest hashed identifiers. Labels say
-toxic or not; a toxic text with ``SEVERE`` or more distinct marker words is graded 2, another one 1. A marker
+The model is fitted on at most ``SAMPLE`` labelled texts, one for each of the smallest hashed identifiers. Features are
+what is clearly commoner in toxic or in clean texts; the sample bounds their number. A text without any is taken
+for clean, as if as many clean texts had none. Labels say toxic or not; a toxic text with ``SEVERE`` or more distinct marker words is graded 2, another one 1. A marker
 word is a word of which any feature is in the model, however many are.
 """
 
@@ -23,9 +24,8 @@ from scoremill.llm.common import in_arrow
 from scoremill.llm.words import LETTERS, Words, random_numbers, slices, words_of
 
 SAMPLE = 12_000
-CANDIDATES = 20_000
-FEATURES = 1_000
 SEVERE = 3
+SETTLED = 1e-6           # of the loss, in ten rounds
 REJECTED = 0.5
 PREFIXES = (None, 6, 8)
 
@@ -73,15 +73,16 @@ def present(texts: pa.Array, features: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def _sample(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
-    """``text, toxic`` of the labelled rows whose hashed identifiers are smallest."""
+    """``text, toxic`` of the labelled identifiers whose hashes are smallest; of rows that share one, the least text."""
     chosen = (labels.filter("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id")
               .agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(most))
-    return docs.select("doc_id", "text").filter("text IS NOT NULL").join(F.broadcast(chosen), "doc_id").select("text", "toxic")
+    return (docs.select("doc_id", "text").filter("text IS NOT NULL").join(F.broadcast(chosen), "doc_id")
+            .groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic")).select("text", "toxic"))
 
 
-def _candidates(sample: DataFrame, least: int, most: int) -> np.ndarray:
-    """Features of at least ``least`` toxic texts, the commonest of them."""
+def _candidates(sample: DataFrame, least: int) -> np.ndarray:
+    """Features of at least ``least`` texts of the sample."""
     def each(batch: pa.RecordBatch) -> Iterable[pa.RecordBatch]:
         for part in slices(batch, "text"):
             words = words_of(part.column("text"), LETTERS)
@@ -94,10 +95,9 @@ def _candidates(sample: DataFrame, least: int, most: int) -> np.ndarray:
                 out.append(ids[new])
             ids, counts = np.unique(np.concatenate(out), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(ids.view(np.int64)), pa.array(counts.astype(np.int64))], ["feature", "n"])
-    rows = (in_arrow(sample.filter("toxic > 0"), each, "feature bigint, n bigint").groupBy("feature")
-            .agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
-            .orderBy(F.desc("n"), "feature").limit(most).collect())
-    return np.sort(np.array([r["feature"] for r in rows], dtype=np.int64).view(np.uint64))
+    rows = (in_arrow(sample, each, "feature bigint, n bigint").groupBy("feature")
+            .agg(F.sum("n").alias("n")).filter(F.col("n") >= least).select("feature").toArrow())
+    return np.sort(np.asarray(rows.column("feature")).astype(np.int64).view(np.uint64))
 
 
 def _active(sample: DataFrame, features: np.ndarray) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]:
@@ -126,8 +126,8 @@ def _active(sample: DataFrame, features: np.ndarray) -> tuple[np.ndarray, list[n
     return np.asarray(rows.column("toxic")), held[0], held[1]
 
 
-def _marked(toxic: np.ndarray, active: list[np.ndarray], count: int, most: int) -> np.ndarray:
-    """Features far commoner in toxic than in clean texts, by a likelihood-ratio statistic."""
+def _marked(toxic: np.ndarray, active: list[np.ndarray], count: int) -> tuple[np.ndarray, np.ndarray]:
+    """Features far commoner in toxic than in clean texts, and far rarer, by a likelihood-ratio statistic."""
     present_in = {c: np.bincount(np.concatenate([a for a, t in zip(active, toxic) if bool(t) == c] or [np.zeros(0, int)]).astype(int),
                                  minlength=count) for c in (True, False)}
     n, m = max(1, int((toxic > 0).sum())), max(1, int((toxic == 0).sum()))
@@ -135,23 +135,23 @@ def _marked(toxic: np.ndarray, active: list[np.ndarray], count: int, most: int)
     ratio = np.log(a / (n + 1)) - np.log(b / (m + 1))
     expected = (a + b) * n / (n + m)
     statistic = 2 * (a * np.log(a / expected) + b * np.log(b / np.maximum(a + b - expected, 1e-9)))
-    good = np.flatnonzero((ratio > np.log(3)) & (statistic > 15))
-    return good[np.argsort(-statistic[good], kind="stable")][:most]
+    clear = (np.abs(ratio) > np.log(3)) & (statistic > 15)
+    return np.flatnonzero(clear & (ratio > 0)), np.flatnonzero(clear & (ratio < 0))
 
 
 def cumulative_link(rows: np.ndarray, columns: np.ndarray, grades: np.ndarray, width: int, levels: int,
-                    penalty: float = 0.3, rounds: int = 600) -> tuple[np.ndarray, np.ndarray]:
+                    penalty: float = 0.3, rounds: int = 5_000) -> tuple[np.ndarray, np.ndarray]:
     """Weights and increasing thresholds of the proportional-odds model, by its penalised likelihood.
 
     ``rows, columns`` are the places of ones in the feature matrix. Thresholds are a first one and
-    positive steps, so that they stay in order.
+    positive steps, so that they stay in order. Steps shrink, and end when the loss has settled.
     """
     n, k = len(grades), levels - 1
     share = [(np.sum(grades > j) + 1) / (n + 2) for j in range(k)]
     first = np.log((1 - share[0]) / share[0])
     steps = [max(0.1, np.log((1 - b) / b) - np.log((1 - a) / a)) for a, b in zip(share, share[1:])]
     parameters = np.concatenate([np.zeros(width), [first], np.log(steps)])
-    mean, square = np.zeros_like(parameters), np.zeros_like(parameters)
+    mean, square, losses = np.zeros_like(parameters), np.zeros_like(parameters), []
     for t in range(1, rounds + 1):
         weights, theta = parameters[:width], _thresholds(parameters[width:])
         score = np.bincount(rows, weights[columns], minlength=n)
@@ -160,6 +160,9 @@ def cumulative_link(rows: np.ndarray, columns: np.ndarray, grades: np.ndarray, w
         slope = np.hstack([np.zeros((n, 1)), above * (1 - above), np.zeros((n, 1))])
         each = np.arange(n)
         chance = np.maximum(edges[each, grades] - edges[each, grades + 1], 1e-12)
+        losses.append(-np.log(chance).sum() + penalty / 2 * weights @ weights)
+        if t > 100 and max(losses[-10:]) - min(losses[-10:]) <= SETTLED * losses[-1]:
+            break
         of_score = -(slope[each, grades] - slope[each, grades + 1]) / chance
         of_theta = np.zeros(k)
         for j in range(k):
@@ -169,7 +172,7 @@ def cumulative_link(rows: np.ndarray, columns: np.ndarray, grades: np.ndarray, w
             np.bincount(columns, of_score[rows], minlength=width) + penalty * weights,
             [of_theta.sum()], np.array([of_theta[j + 1:].sum() for j in range(k - 1)]) * np.exp(parameters[width + 1:])])
         mean, square = 0.9 * mean + 0.1 * gradient, 0.99 * square + 0.01 * gradient ** 2
-        parameters = parameters - 0.05 * (mean / (1 - 0.9 ** t)) / (np.sqrt(square / (1 - 0.99 ** t)) + 1e-8)
+        parameters = parameters - 0.05 / (1 + t / 300) * (mean / (1 - 0.9 ** t)) / (np.sqrt(square / (1 - 0.99 ** t)) + 1e-8)
     return parameters[:width], _thresholds(parameters[width:])
 
 
@@ -184,18 +187,21 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = SAMPLE, severe: int = SE
                         F.count(F.lit(1)).alias("n")).first()
     if not counts["toxic"]:
         return Model()
-    candidates = _candidates(sample, max(3, counts["toxic"] // 300), CANDIDATES)
+    candidates = _candidates(sample, max(3, counts["toxic"] // 300))
     toxic, words, pairs = _active(sample, candidates)
     active = [np.unique(p) for p in pairs]
-    marked = _marked(toxic, active, len(candidates), FEATURES)
+    toxic_side, clean_side = _marked(toxic, active, len(candidates))
+    marked = np.concatenate([toxic_side, clean_side])
     place = np.full(len(candidates) + 1, -1)
     place[marked] = np.arange(len(marked))
     held = [place[a][place[a] >= 0] for a in active]
     rows = np.repeat(np.arange(len(held)), [len(h) for h in held])
     columns = np.concatenate(held).astype(int) if held else np.zeros(0, int)
-    markers = np.array([len(np.unique(w[place[p] >= 0])) for w, p in zip(words, pairs)])
+    markers = np.array([len(np.unique(w[(place[p] >= 0) & (place[p] < len(toxic_side))])) for w, p in zip(words, pairs)])
     grades = np.where(toxic > 0, np.where(markers >= severe, 2, 1), 0)
-    weights, thresholds = cumulative_link(rows, columns, grades, len(marked), 3)
+    # As many texts without a feature are clean: what a text lacks is no evidence against it.
+    anchored = np.concatenate([grades, np.zeros(int((grades == 0).sum()), dtype=grades.dtype)])
+    weights, thresholds = cumulative_link(rows, columns, anchored, len(marked), 3)
     order = np.argsort(candidates[marked])
     return Model(candidates[marked][order], weights[order], thresholds)
 

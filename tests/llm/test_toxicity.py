@@ -1,10 +1,16 @@
+import math
+import re
+
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
-from scoremill.llm.toxicity import Model, _kinds, clean_rows, cumulative_link, fit, severity
+from scoremill.llm.toxicity import PREFIXES, Model, _kinds, _sample, clean_rows, cumulative_link, fit, severity
 from scoremill.llm.words import LETTERS, words_of
 from scoremill_checks.compare import duck
 
+from .conftest import AWKWARD
+
 SF = "/root/testdata/sf0.01"
 MARKERS = "trash pathetic idiot worthless disgusting stupid clown scum loser moron".split()
 
@@ -69,3 +75,43 @@ def test_rejected_by_the_chance_of_any_grade(spark):
     row = severity(docs, Model(feature, np.array([1.0]), np.array([1.5, 1.6]))).first()
     assert row["expected_severity"] > 0.5 and not row["toxic"]
     assert clean_rows(docs, Model(feature, np.array([1.0]), np.array([1.5, 1.6]))).count() == 1
+
+
+def test_one_text_for_each_labelled_identifier(spark):
+    """An identifier that a million rows share comes to the fit once."""
+    docs = spark.range(5000).select(F.lit(1).cast("long").alias("doc_id"), F.concat(F.lit("text "), F.col("id")).alias("text"))
+    docs = docs.unionByName(spark.createDataFrame([(2, "other"), (3, None), (None, "x"), (2, "another")], "doc_id long, text string"))
+    labels = spark.createDataFrame([(1, 1), (1, 0), (2, 0), (3, 1), (None, 1)], "doc_id long, toxic int")
+    assert sorted(tuple(r) for r in _sample(docs, labels, 10).collect()) == [("another", 0), ("text 0", 1)]
+    assert _sample(docs, labels, 1).count() <= 1
+
+
+def test_clean_features_lower_a_score(spark):
+    rows = [(i, f"kindly note the minutes of meeting {i}, regards", 0) for i in range(300)]
+    rows += [(300 + i, f"such {MARKERS[i % 10]} stuff in entry {i}", 1) for i in range(150)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    model = fit(docs, spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int"))
+    assert (model.weights > 0).any() and (model.weights < 0).any()
+    texts = spark.createDataFrame([(1, "moron"), (2, "moron, kindly note the minutes of the meeting, regards")], "doc_id long, text string")
+    one, two = (r["expected_severity"] for r in severity(texts, model).orderBy("doc_id").collect())
+    assert two < one
+
+
+def test_scores_of_a_given_model_equal_brute_force(spark, awkward):
+    """Presence of words and of the first bytes of longer ones, each once, weighed and compared with the thresholds."""
+    terms = [(None, "the"), (None, "hello"), (None, "word"), (6, "identi"), (8, "identifi"), (6, "repeat"), (None, "it")]
+    hashes = [words_of(pa.array([t]), LETTERS).hashes()[0] ^ _kinds[PREFIXES.index(k)] for k, t in terms]
+    order = np.argsort(hashes)
+    weight = np.array([0.5, -1.25, 2.0, 0.75, -0.5, 3.0, 1.5])
+    model = Model(np.array(hashes, dtype=np.uint64)[order], weight[order], np.array([0.6, 1.7]))
+    lower = str.maketrans({c: c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"})
+
+    def slow(text):
+        words = [w.encode() for w in re.findall(r"[^\x00-\x60\x7B-\x7F]+", (text or "").translate(lower))]
+        score = sum(w for (k, t), w in zip(terms, weight) if any(
+            x == t.encode() if k is None else len(x) > k and x[:k] == t.encode() for x in words))
+        above = [1 / (1 + math.exp(-(score - t))) for t in (0.6, 1.7)]
+        chances = [1 - above[0], above[0] - above[1], above[1]]
+        return round(sum(above), 9), chances.index(max(chances)), above[0] >= 0.5
+    got = sorted((str(r["doc_id"]), round(r["expected_severity"], 9), r["grade"], r["toxic"]) for r in severity(awkward, model).collect())
+    assert got == sorted((str(i), *slow(t)) for i, t in AWKWARD)
