@@ -8,10 +8,22 @@ from pyspark.sql import functions as F
 from scoremill.llm.common import stage
 
 
-def _to_least(both: DataFrame) -> DataFrame:
-    """Of edges (u, v) seen from u: each v with the least of u and its neighbours."""
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("least"))
-    return both.join(least, "u")
+HOT = 1_000              # edges of a node from which it is a hub, or
+HUBS = 10_000            # so many hubs at most: a hub has more than one in HUBS of all edges
+
+
+def _to_least(both: DataFrame, edges: int) -> DataFrame:
+    """Of edges (u, v) seen from u: each v with the least of u and its neighbours.
+
+    The least one of a hub, of which there are ``HUBS`` at most, is broadcast to its edges where they lie; the
+    others' edges, few for each node, are joined.
+    """
+    least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("least"), F.count(F.lit(1)).alias("n"))
+    bound = max(HOT, 2 * edges // HUBS)
+    hubs = least.filter(F.col("n") > bound).select("u", F.col("least").alias("of_hub"))
+    marked = both.join(F.broadcast(hubs), "u", "left")
+    others = marked.filter("of_hub IS NULL").drop("of_hub").join(least.filter(F.col("n") <= bound).drop("n"), "u")
+    return others.unionByName(marked.filter("of_hub IS NOT NULL").withColumnRenamed("of_hub", "least"))
 
 
 def components(edges: DataFrame, a: str, b: str) -> DataFrame:
@@ -32,9 +44,9 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
             return now.select(F.col("u").alias("node"), F.col("v").alias("component"))
         seen = state
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = (_to_least(both).filter("v > u").select(F.col("v").alias("u"), F.col("least").alias("v"))
+        large = (_to_least(both, state[0]).filter("v > u").select(F.col("v").alias("u"), F.col("least").alias("v"))
                  .filter("u != v"))
-        down = _to_least(large)
+        down = _to_least(large, state[0])
         small = (down.select(F.col("v").alias("u"), F.col("least").alias("v"))
                  .unionByName(down.select("u", F.col("least").alias("v"))).filter("u != v").distinct())
         now = stage(small.coalesce(cores), "edges")

@@ -2,6 +2,10 @@ import random
 import re
 from collections import defaultdict
 
+import pytest
+from pyspark.sql import functions as F
+
+from scoremill.llm import components as component_rounds
 from scoremill.llm import near_dedup
 from scoremill.llm.components import components
 from scoremill.llm.near_dedup import near_duplicates
@@ -83,9 +87,13 @@ def test_long_lists_and_groups_in_blocks(spark, monkeypatch):
     assert answer(near_duplicates(docs)) == brute(rows)
 
 
-def test_components(spark):
+@pytest.mark.parametrize("hot", [1_000, 5, 0])
+def test_components(spark, monkeypatch, hot):
+    """Chains, scattered pairs and hubs, met in one task, through a broadcast, and all through it."""
+    monkeypatch.setattr(component_rounds, "HOT", hot)
     pick = random.Random(4)
     edges = [(pick.randint(0, 300), pick.randint(0, 300)) for _ in range(150)] + [(i, i + 1) for i in range(400, 460)]
+    edges += [(700, i) for i in range(500, 900)] + [(899, 1000), (1000, 1100)] + [(i, 2000) for i in range(1500, 1600)]
     parent = {}
 
     def find(x):
@@ -100,6 +108,15 @@ def test_components(spark):
     assert {tuple(r) for r in got} == want
 
 
+def test_no_task_meets_all_edges_of_a_hub(spark):
+    """A star of 30,000 edges: what is shuffled by node to be joined holds no more than a hub's bound of them."""
+    both = spark.range(30_000).select(F.lit(-1).cast("long").alias("u"), F.col("id").alias("v"))
+    found = component_rounds._to_least(both.unionByName(both.select(F.col("v").alias("u"), F.col("u").alias("v"))), 30_000)
+    assert found.count() == 60_000 and found.filter("least != -1").count() == 0
+    joins = re.findall(r"(BroadcastHashJoin|SortMergeJoin|ShuffledHashJoin)", found._jdf.queryExecution().executedPlan().toString())
+    assert joins.count("BroadcastHashJoin") >= 1
+
+
 def test_query_equals_brute_force(spark):
     rows = duck(SF).execute("SELECT doc_id, text FROM documents").fetchall()
     assert answer(op4_near_dedup(spark, SF)) == brute(rows)
