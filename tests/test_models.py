@@ -144,6 +144,24 @@ def test_tree_attribution_equals_shapley_by_enumeration(spark, frame, boosted, t
             assert found[r["id"]][f] == pytest.approx(phi, abs=1e-9)
 
 
+def test_neighbouring_leaves_are_looked_up_together(spark, frame, boosted, monkeypatch):
+    """A tree's leaves in a few tables, equal to leaf by leaf; also for values that are missing or without bound."""
+    leaves = attribution.tree_leaves(spark, boosted)[0]
+    assert 3 * len(attribution.leaf_groups(leaves)) < len(leaves)
+    assert [x for g in attribution.leaf_groups(leaves) for x in g.leaves] == leaves
+    assert all(g.cells <= 40 for g in attribution.leaf_groups(leaves, 40))
+    odd = F.when(F.col("id") == 3, float("nan")).when(F.col("id") == 4, float("inf")).when(F.col("id") == 5, float("-inf"))
+    for rows in (frame, frame.withColumn("a", F.coalesce(odd, "a"))):
+        found = []
+        for cells, kept in ((1024, 8_000_000), (40, 300), (1, 0)):
+            monkeypatch.setattr(attribution, "CELLS", cells)
+            monkeypatch.setattr(attribution, "TABLE_NUMBERS", kept)
+            pushes = attribution.tree_attribution(rows, boosted, FEATURES, "id").orderBy("id").toPandas()
+            found.append(pushes[FEATURES].to_numpy())
+        assert len(found[0]) == 3000 and np.isfinite(found[0]).all()
+        assert np.abs(found[0] - found[2]).max() < 1e-12 and np.abs(found[1] - found[2]).max() < 1e-12
+
+
 def test_tree_attributions_add_up_to_the_log_odds(spark, frame, boosted, tmp_path):
     trees = stored_trees(spark, boosted, tmp_path)
     base = 2 * sum(boosted.treeWeights[t] * conditional(n, n[0], None, set()) for t, n in trees.items())
