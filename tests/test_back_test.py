@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from scoremill.operators.evaluation import metrics_by
 from scoremill.plans.scorecard import PROBABILITY, fit_scorecard
 from scoremill.spec import ScorecardSpec
+from scoremill.streaming import back_test
 from scoremill.streaming.back_test import back_test_stream, outcome_counts, period_metrics
 from scoremill.streaming.scoring import read_new_files
 
@@ -72,3 +73,18 @@ def test_a_restarted_stream_goes_on_where_it_stopped(spark, scored, tmp_path):
     run()
     table = outcome_counts(model.transform(loans), outcomes, "id")
     assert sorted(map(tuple, spark.read.parquet(names["counts"]).collect())) == sorted(map(tuple, table.collect()))
+
+
+def test_what_waits_is_not_held_as_objects(spark, scored, tmp_path):
+    """The state lies in RocksDB, unless the session names another store; the session's settings stay as they are."""
+    model, loans, outcomes = scored
+    names = {n: str(tmp_path / n) for n in ("loans", "outcomes")}
+    loans.write.parquet(names["loans"])
+    outcomes.write.parquet(names["outcomes"])
+    before = [spark.conf.get(c, None) for c in (back_test.STORE, back_test.CHANGELOG)]
+    query = back_test_stream(model, *[read_new_files(spark, names[n], df.schema) for n, df in (("loans", loans), ("outcomes", outcomes))],
+                             str(tmp_path / "counts"), str(tmp_path / "checkpoint"), once=True, late="800 days")
+    query.awaitTermination(300)
+    states = [s for p in query.recentProgress for s in p["stateOperators"]]
+    assert states and all(any(m.startswith("rocksdb") for m in s["customMetrics"]) for s in states)
+    assert before == [spark.conf.get(c, None) for c in (back_test.STORE, back_test.CHANGELOG)]
