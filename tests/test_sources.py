@@ -1,5 +1,7 @@
 import io
 import json
+import time
+from pathlib import Path
 
 import pandas as pd
 import pytest
@@ -7,6 +9,7 @@ from pyspark.sql import functions as F
 
 from scoremill.functions.expressions import parse_number
 from scoremill.sources import loans as source
+from scoremill.sources import staging
 from scoremill.sources.sinks import write_csv, write_json
 from scoremill.sources.staging import shared_folder, stage, workspace
 
@@ -176,3 +179,17 @@ def test_plain_names_are_free_of_points_and_unique(spark):
     df = spark.createDataFrame([(1, 2, 3, 4)], "a int, `a.1` int, a_1 int, `b.c.d` int")
     assert source.plain_names(df).columns == ["a", "a_1_", "a_1", "b_c_d"]
     assert source.plain_names(df).select("a_1_", "b_c_d").collect() == [(2, 4)]
+
+
+def test_shuffle_files_of_what_is_staged_go_at_once(spark):
+    """They do not wait for the driver's garbage, and the session's setting stays as it is."""
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    def files():
+        return {p.name for f in folders for p in Path(f).rglob("shuffle_*.data")}
+    before, setting = files(), spark.conf.get(staging.CLEANUP)
+    staged = staging.stage(spark.range(1000, numPartitions=4).groupBy((F.col("id") % 7).alias("k")).count(), "grouped")
+    until = time.time() + 5
+    while files() - before and time.time() < until:
+        time.sleep(0.1)
+    assert not files() - before and staged.count() == 7
+    assert spark.conf.get(staging.CLEANUP) == setting
