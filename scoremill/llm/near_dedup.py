@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from scoremill.llm.common import in_arrow, stage
 from scoremill.llm.components import components
 from scoremill.llm.words import mix, random_numbers, shingles, slices, words_of
+from scoremill.sources.staging import setting
 
 COORDINATES = 64
 THRESHOLD = 38
@@ -33,6 +34,7 @@ WIDTH = 5
 LINK = (85, 100)
 LIST_BLOCK = 2048
 SET_BLOCK = 256
+ARROW_ROWS = 1000        # of texts, signatures or sets that a task hands to Python at once
 _CHUNK = 2048
 
 _factors = random_numbers(COORDINATES, 4242) | np.uint64(1)
@@ -313,6 +315,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", th
     identifier are answered one by one. A null identifier never names a component: a class of such rows alone
     has a null one and keeps them. No rows give no rows; other columns are not read.
     """
+    with setting(docs.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS)):
+        return _near_duplicates(docs, key, text, threshold, link)
+
+
+def _near_duplicates(docs: DataFrame, key: str, text: str, threshold: int, link: tuple[int, int]) -> DataFrame:
+    """All that runs in Python is written out here, so the size of its batches holds for it."""
     narrow = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
     signed = stage(signatures(narrow, "doc_id", "text"), "signatures")
     name = ["n_shingles", "set_a", "set_b"]

@@ -103,3 +103,13 @@ def test_components(spark):
 def test_query_equals_brute_force(spark):
     rows = duck(SF).execute("SELECT doc_id, text FROM documents").fetchall()
     assert answer(op4_near_dedup(spark, SF)) == brute(rows)
+
+
+def test_tasks_hand_few_rows_to_python_at_once(spark, monkeypatch):
+    name, seen, signatures = "spark.sql.execution.arrow.maxRecordsPerBatch", [], near_dedup.signatures
+    before = spark.conf.get(name)
+    monkeypatch.setattr(near_dedup, "signatures", lambda *a: seen.append(spark.conf.get(name)) or signatures(*a))
+    docs = spark.createDataFrame([(1, "a b c d e f"), (2, "A b c d e f"), (3, None)], "doc_id long, text string")
+    found = near_dedup.near_duplicates(docs)
+    assert seen == [str(near_dedup.ARROW_ROWS)] and spark.conf.get(name) == before
+    assert sorted((r["doc_id"], r["component_id"]) for r in found.collect()) == [(1, 1), (2, 1), (3, 3)]
