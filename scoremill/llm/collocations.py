@@ -25,12 +25,16 @@ from pyspark.sql import functions as F
 
 from scoremill.llm.common import in_arrow, stage
 from scoremill.llm.words import Words, byte_class, mix, random_numbers, slices, words_of
+from scoremill.sources.staging import setting
 
 HEAD = 1 << 15           # ids, and so at most as many keys broadcast
 TILE = 1 << 9            # a tile has its square of cells
 DENSE = 32               # a tile is dense where one cell in this many is hit by a slice of the text
 TILES = 16               # dense tiles that a task holds; any others are sorted
-BUFFERED = 1 << 20       # pairs sorted at once
+BUFFERED = 1 << 19       # pairs sorted at once
+ARROW_ROWS = 1000        # texts that a task hands to Python at once
+SLICE_BYTES = 1 << 20    # of texts looked at together
+HANDED_BACK = 1 << 16    # counts that Python hands to the task at once
 MOST_BITS = 1 << 26      # of a bitmap, 8 MB; the count of parts decides below that
 BITS_PER_PART = 16
 SALTS = 64               # a language's candidates are ranked in as many groups, and their best once more
@@ -99,7 +103,7 @@ def _word_counts(texts: DataFrame) -> DataFrame:
     """``key, lang, word, n``, and a row without a word for all of a language's words."""
     def each(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE_BYTES):
                 words, owner, keys = _keyed(part)
                 found, at, n = np.unique(keys, return_index=True, return_counts=True)
                 lang = part.column("lang")
@@ -213,33 +217,38 @@ class Tiles:
             yield *[c[a] for c in self.left.columns], self.right.columns[0][b], counts[cell]
 
 
+def _batches(counted: Iterable[tuple], names: list[str]) -> Iterator[pa.RecordBatch]:
+    """Columns of keys and counts as batches of at most ``HANDED_BACK`` rows: the JVM holds a whole one off its heap."""
+    for *keys, n in counted:
+        for a in range(0, len(n), HANDED_BACK):
+            b = a + HANDED_BACK
+            yield pa.RecordBatch.from_arrays(
+                [*[pa.array(k[a:b].view(np.int64)) for k in keys], pa.array(n[a:b].astype(np.int64))], [*names, "n"])
+
+
 def _counted(texts: DataFrame, words: Parts, pairs: Parts | None, least: int) -> DataFrame:
     """Phrases of two words, or of three given ``pairs``, and how often each is found: ``least`` times or more."""
     shared = texts.sparkSession.sparkContext.broadcast((words, pairs))
     names = ["k1", "k2", "k3"][:2 if pairs is None else 3]
 
-    def rows(counted) -> pa.RecordBatch:
-        *keys, n = counted
-        return pa.RecordBatch.from_arrays([*[pa.array(k.view(np.int64)) for k in keys], pa.array(n.astype(np.int64))], [*names, "n"])
-
     def each(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         words, pairs = shared.value
         tiles = Tiles(words if pairs is None else pairs, words)
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE_BYTES):
                 found, owner, keys = _keyed(part)
                 frequent = words.may_hold(keys)
                 at = np.flatnonzero(_followed(found, owner) & frequent[:-1] & frequent[1:]) if len(keys) > 1 else np.zeros(0, np.int64)
                 if pairs is None:
-                    yield from map(rows, tiles.add(keys[at], keys[at + 1], [keys[at], keys[at + 1]]))
+                    yield from _batches(tiles.add(keys[at], keys[at + 1], [keys[at], keys[at + 1]]), names)
                     continue
                 joint = _pair_keys(keys[at], keys[at + 1])
                 good = pairs.may_hold(joint)
                 at, joint = at[good], joint[good]
                 next_too = np.flatnonzero(at[1:] == at[:-1] + 1) if len(at) > 1 else np.zeros(0, np.int64)
                 i = at[next_too]
-                yield from map(rows, tiles.add(joint[next_too], keys[i + 2], [keys[i], keys[i + 1], keys[i + 2]]))
-        yield from map(rows, tiles.rest())
+                yield from _batches(tiles.add(joint[next_too], keys[i + 2], [keys[i], keys[i + 1], keys[i + 2]]), names)
+        yield from _batches(tiles.rest(), names)
 
     counted = texts.mapInArrow(each, ", ".join(f"{n} bigint" for n in [*names, "n"]))
     return counted.groupBy(*names).agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
@@ -279,6 +288,12 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", least:
     broken by count and then by the phrase's bytes. No rows, or no frequent phrase, give no rows. Other columns are
     not read.
     """
+    with setting(docs.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS)):
+        return _collocations(docs, text, lang, least, top, share, head)
+
+
+def _collocations(docs: DataFrame, text: str, lang: str, least: int, top: int, share: int, head: int) -> DataFrame:
+    """All that runs in Python is written out here, so the size of its batches holds for it."""
     language = F.coalesce(F.col(lang).cast("string"), F.lit("und"))
     texts = docs.select(F.coalesce(F.col(text), F.lit("")).alias("text"), language.alias("lang"),
                         F.xxhash64(language).alias("lang_key"))

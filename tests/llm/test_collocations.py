@@ -106,3 +106,22 @@ def test_tiles_count_every_pair(tile, buffered):
 
 def test_query_equals_its_sql(spark):
     assert difference(op11_collocations(spark, SF), duck(SF).sql(ORACLE_SQL).to_arrow_table()) is None
+
+
+def test_counts_go_back_in_batches_of_bounded_size():
+    n = 2 * mined.HANDED_BACK + 5
+    keys, counts = np.arange(n, dtype=np.uint64), np.arange(n)
+    batches = list(mined._batches([(keys, keys + np.uint64(1), counts), (keys[:0], keys[:0], counts[:0])], ["k1", "k2"]))
+    assert [b.num_rows for b in batches] == [mined.HANDED_BACK, mined.HANDED_BACK, 5]
+    assert [b.schema.names for b in batches] == [["k1", "k2", "n"]] * 3
+    assert np.concatenate([np.asarray(b.column("n")) for b in batches]).tolist() == counts.tolist()
+    assert np.concatenate([np.asarray(b.column("k2")) for b in batches]).tolist() == (keys + np.uint64(1)).tolist()
+
+
+def test_tasks_hand_few_texts_to_python_at_once(spark, rows, monkeypatch):
+    name, seen, counted = "spark.sql.execution.arrow.maxRecordsPerBatch", [], mined._counted
+    before = spark.conf.get(name)
+    monkeypatch.setattr(mined, "_counted", lambda *a: seen.append(spark.conf.get(name)) or counted(*a))
+    found = collocations(rows)
+    assert seen == [str(mined.ARROW_ROWS)] * 2 and spark.conf.get(name) == before
+    assert answer(found) == brute(ROWS)
