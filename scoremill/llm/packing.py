@@ -29,11 +29,14 @@ from pyspark.sql import functions as F
 
 from scoremill.llm.bpe import ByteBpe
 from scoremill.llm.common import in_arrow, no_nulls
-from scoremill.sources.staging import stage_observed
+from scoremill.llm.words import slices
+from scoremill.sources.staging import setting, stage_observed
 
 CAPACITY = 1024
 SALTS = 64
 LOT = 100_000            # rows of a lot, on average
+ARROW_ROWS = 1000        # texts that a task hands to Python at once
+SLICE_BYTES = 1 << 20    # of texts that are Python's strings at once
 GRAINS = 64
 GAP = 0.0005
 ROUNDS = 5_000
@@ -206,31 +209,34 @@ def encoded_documents(docs: DataFrame, tokenizer: str, ranks: str, pattern: str,
     tokenizer file's own library, with the same result); a text that holds one of the tokenizer's added
     strings goes through that library itself.
     """
+    added = _added(tokenizer)  # read here, so that no worker holds the tokenizer for the sake of these strings
+
     def cut(batch: pa.RecordBatch) -> Iterable[pa.RecordBatch]:
-        from tokenizers import Tokenizer
-        bpe, added = ByteBpe.cached(ranks, pattern), _added(tokenizer)
-        totals, whole, coarse, fine = [], [], [], []
-        for t in batch.column("text").to_pylist():
-            if any(a in t for a in added):
-                ids = Tokenizer.from_file(tokenizer).encode(t, add_special_tokens=False).ids
-            else:
-                ids = bpe.encoding.encode_ordinary(t)
-            ids.append(0)
-            content = np.array(ids, dtype="<u4").tobytes()
-            size = len(ids)
-            front = size - size % capacity
-            totals.append(size)
-            whole.append([zlib.crc32(content[4 * a:4 * (a + capacity)]) for a in range(0, front, capacity)])
-            for out, finely in ((coarse, False), (fine, True)):
-                at, sums = front, []
-                for n in cuts(size - front, capacity, finely):
-                    sums.append(zlib.crc32(content[4 * at:4 * (at + n)]))
-                    at += n
-                out.append(sums)
-        sums = pa.list_(pa.int64())
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(totals, pa.int64()), pa.array(whole, sums),
-             pa.array(coarse, sums), pa.array(fine, sums)], ["doc_id", "doc_tokens", "whole", "coarse", "fine"])
+        bpe = ByteBpe.cached(ranks, pattern)
+        for part in slices(batch, "text", SLICE_BYTES):
+            totals, whole, coarse, fine = [], [], [], []
+            for t in part.column("text").to_pylist():
+                if any(a in t for a in added):
+                    from tokenizers import Tokenizer
+                    ids = Tokenizer.from_file(tokenizer).encode(t, add_special_tokens=False).ids
+                else:
+                    ids = bpe.encoding.encode_ordinary(t)
+                ids.append(0)
+                content = np.array(ids, dtype="<u4").tobytes()
+                size = len(ids)
+                front = size - size % capacity
+                totals.append(size)
+                whole.append([zlib.crc32(content[4 * a:4 * (a + capacity)]) for a in range(0, front, capacity)])
+                for out, finely in ((coarse, False), (fine, True)):
+                    at, sums = front, []
+                    for n in cuts(size - front, capacity, finely):
+                        sums.append(zlib.crc32(content[4 * at:4 * (at + n)]))
+                        at += n
+                    out.append(sums)
+            sums = pa.list_(pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [part.column("doc_id"), pa.array(totals, pa.int64()), pa.array(whole, sums),
+                 pa.array(coarse, sums), pa.array(fine, sums)], ["doc_id", "doc_tokens", "whole", "coarse", "fine"])
     narrow = docs.select(F.col(key).alias("doc_id"), no_nulls(text).alias("text"))
     return in_arrow(narrow, cut, f"doc_id {dict(narrow.dtypes)['doc_id']}, doc_tokens bigint, "
                                  "whole array<bigint>, coarse array<bigint>, fine array<bigint>")
@@ -283,7 +289,8 @@ def pack(docs: DataFrame, tokenizer: str, ranks: str, pattern: str, capacity: in
     spark = docs.sparkSession
     # A number of its own for each row, written: rows that are equal in all else are told apart by it.
     numbered = encoded_documents(docs, tokenizer, ranks, pattern, capacity, key, text).withColumn("row", F.monotonically_increasing_id())
-    encoded, seen = stage_observed(numbered, "encoded", {"rows": F.count(F.lit(1))})
+    with setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS)):
+        encoded, seen = stage_observed(numbered, "encoded", {"rows": F.count(F.lit(1))})
     lots = max(SALTS, -(-seen["rows"] // LOT))
     encoded = encoded.withColumns({"salt": F.pmod(F.xxhash64("row"), F.lit(SALTS)), "lot": F.pmod(F.xxhash64("row", F.lit(1)), F.lit(lots))})
     rest = F.col("doc_tokens") % capacity

@@ -27,6 +27,7 @@ SAMPLE = 12_000
 SEVERE = 3
 SETTLED = 1e-6           # of the loss, in ten rounds
 REJECTED = 0.5
+SLICE_BYTES = 1 << 20    # of texts looked at together
 PREFIXES = (None, 6, 8)
 
 _kinds = random_numbers(len(PREFIXES), 99)
@@ -84,7 +85,7 @@ def _sample(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
 def _candidates(sample: DataFrame, least: int) -> np.ndarray:
     """Features of at least ``least`` texts of the sample."""
     def each(batch: pa.RecordBatch) -> Iterable[pa.RecordBatch]:
-        for part in slices(batch, "text"):
+        for part in slices(batch, "text", SLICE_BYTES):
             words = words_of(part.column("text"), LETTERS)
             owner, out = np.repeat(np.arange(part.num_rows), words.counts), []
             for having, ids in _features(words):
@@ -104,7 +105,7 @@ def _active(sample: DataFrame, features: np.ndarray) -> tuple[np.ndarray, list[n
     """The sample's labels and, for each text, its (distinct word, feature) pairs as two arrays; the words of
     a text are numbered. A bounded number of rows."""
     def each(batch: pa.RecordBatch) -> Iterable[pa.RecordBatch]:
-        for part in slices(batch, "text"):
+        for part in slices(batch, "text", SLICE_BYTES):
             text, word, feature, words = _found(part.column("text"), features)
             _, same = np.unique(words.hashes()[word], return_inverse=True)
             order = np.lexsort((feature, same, text))
@@ -221,7 +222,7 @@ def severity(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "te
     by one; no rows give no rows; other columns are not read.
     """
     def each(batch: pa.RecordBatch) -> Iterable[pa.RecordBatch]:
-        for part in slices(batch, "text"):
+        for part in slices(batch, "text", SLICE_BYTES):
             above = _severity(part, "text", model)
             n = part.num_rows
             chances = np.hstack([np.ones((n, 1)), above]) - np.hstack([above, np.zeros((n, 1))])
@@ -237,6 +238,6 @@ def severity(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "te
 def clean_rows(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """The rows of ``docs`` that are not toxic, with all their columns, in one pass."""
     def each(batch: pa.RecordBatch) -> Iterable[pa.RecordBatch]:
-        for part in slices(batch, text):
+        for part in slices(batch, text, SLICE_BYTES):
             yield part.filter(pa.array(_severity(part, text, model)[:, 0] < REJECTED))
     return docs.mapInArrow(lambda batches: (out for b in batches for out in each(b)), docs.schema)

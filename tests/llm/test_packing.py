@@ -9,6 +9,7 @@ import public_tokenizers as P
 import pytest
 from tokenizers import Tokenizer
 
+from scoremill.llm import packing
 from scoremill.llm.packing import best_plan, column_generation, cuts, pack, padded, whole_plan
 from scoremill.llm.registered import RANKS, TOKENIZER, op3_packing
 from scoremill_checks.compare import duck
@@ -137,3 +138,13 @@ def test_equal_rows_without_identifiers_are_dealt_out(spark):
     for r in rows:
         room[r["sequence_id"]] = max(room[r["sequence_id"]], r["offset"] + r["length"])
     assert max(room.values()) <= 64 and sum(padded(n, 64) for n in room.values()) < 1.03 * 3000 * size
+
+
+def test_tasks_hand_few_texts_to_python_at_once(spark, monkeypatch):
+    name, seen, staged = "spark.sql.execution.arrow.maxRecordsPerBatch", [], packing.stage_observed
+    before = spark.conf.get(name)
+    monkeypatch.setattr(packing, "stage_observed", lambda *a: seen.append(spark.conf.get(name)) or staged(*a))
+    docs = spark.createDataFrame([(1, "some words"), (2, None), (2, "<|endoftext|> more")], "doc_id long, text string")
+    found = packing.pack(docs, TOKENIZER, RANKS, P.PATTERN)
+    assert seen == [str(packing.ARROW_ROWS)] and spark.conf.get(name) == before
+    assert sorted(r["doc_id"] for r in found.filter("start = 0").collect()) == [1, 2, 2]

@@ -115,3 +115,15 @@ def test_scores_of_a_given_model_equal_brute_force(spark, awkward):
         return round(sum(above), 9), chances.index(max(chances)), above[0] >= 0.5
     got = sorted((str(r["doc_id"]), round(r["expected_severity"], 9), r["grade"], r["toxic"]) for r in severity(awkward, model).collect())
     assert got == sorted((str(i), *slow(t)) for i, t in AWKWARD)
+
+
+def test_clean_rows_looks_at_a_bounded_size_of_texts_at_once():
+    class Frame:
+        schema = None
+
+        def mapInArrow(self, function, schema):
+            return list(function(iter([pa.RecordBatch.from_arrays([pa.array(range(6)), pa.array(["clean words " * 40_000] * 6)], ["doc_id", "text"])])))
+
+    parts = clean_rows(Frame(), Model())
+    assert [x for p in parts for x in p.column("doc_id").to_pylist()] == list(range(6))
+    assert max(p.nbytes for p in parts) <= 1.1 * 2 ** 20
