@@ -596,7 +596,8 @@ def stream_back_test(spark, sf):
         closing = df.limit(1).withColumns({KEY: F.lit(-1).cast(df.schema[KEY].dataType), when: F.lit("2030-01-01").cast("timestamp")})
         df.unionByName(closing).write.parquet(folders[name])
     streams = [read_new_files(spark, folders[n], spark.read.parquet(folders[n]).schema) for n in ("loans", "outcomes")]
-    back_test_stream(card, *streams, folders["counts"], folders["marks"], once=True).awaitTermination()
+    waiting = spark.read.parquet(folders["loans"]).count()
+    back_test_stream(card, *streams, folders["counts"], folders["marks"], once=True, waiting=waiting).awaitTermination()
     return tidy(period_metrics(spark, folders["counts"]).select(F.date_format("period", "yyyy-MM-dd").alias("period"), "n", "n_bad", "auc", "ks", "brier"), 4)
 
 

@@ -88,3 +88,24 @@ def test_what_waits_is_not_held_as_objects(spark, scored, tmp_path):
     states = [s for p in query.recentProgress for s in p["stateOperators"]]
     assert states and all(any(m.startswith("rocksdb") for m in s["customMetrics"]) for s in states)
     assert before == [spark.conf.get(c, None) for c in (back_test.STORE, back_test.CHANGELOG)]
+
+
+def test_rows_that_wait_are_not_counted_and_lie_in_parts_of_a_size(spark, scored, tmp_path, monkeypatch):
+    """Two lookups a row at most in the state, three with the counting, and more parts for more rows; counts and settings stay."""
+    monkeypatch.setattr(back_test, "IN_PART", 500)
+    model, loans, outcomes = scored
+    names = {n: str(tmp_path / n) for n in ("loans", "outcomes")}
+    loans.write.parquet(names["loans"])
+    outcomes.unionByName(closing(outcomes, "outcome_at")).write.parquet(names["outcomes"])
+    closing(loans, "scored_at").write.mode("append").parquet(names["loans"])
+    before = [spark.conf.get(c, None) for c in (back_test.COUNTED, back_test.BUFFER, back_test.PARTITIONS)]
+    query = back_test_stream(model, *[read_new_files(spark, names[n], df.schema) for n, df in (("loans", loans), ("outcomes", outcomes))],
+                             str(tmp_path / "counts"), str(tmp_path / "checkpoint"), once=True, waiting=5800, late="800 days")
+    query.awaitTermination(300)
+    assert before == [spark.conf.get(c, None) for c in (back_test.COUNTED, back_test.BUFFER, back_test.PARTITIONS)]
+    states = [s for p in query.recentProgress for s in p["stateOperators"]]
+    assert {s["numShufflePartitions"] for s in states} == {12} and int(before[2]) < 12
+    metrics = next(s["customMetrics"] for s in states if s["operatorName"] == "symmetricHashJoin")
+    assert 0 < metrics["rocksdbGetCount"] <= 1.2 * metrics["rocksdbPutCount"]
+    table = outcome_counts(model.transform(loans), outcomes, "id")
+    assert sorted(map(tuple, spark.read.parquet(str(tmp_path / "counts")).collect())) == sorted(map(tuple, table.collect()))
